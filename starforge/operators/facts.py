@@ -92,7 +92,8 @@ def build_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str,
                hash_mode: str = "safe", assign: bool = True, key_start=0,
                state_match: str = "state_code", source_match: str = "source_system",
                person: Sequence[str] = ("first_name", "last_name", "birth_date"),
-               only_valid: bool = True, person_counts: bool = True) -> DataFrame:
+               only_valid: bool = True, person_counts: bool = True,
+               skip: Sequence[str] = ()) -> DataFrame:
     """Fact rows of one subject from valid staging rows (X-01..X-03).
 
     Surrogate lookups (dates, codes per category, zip, state with its
@@ -100,27 +101,55 @@ def build_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str,
     the bounded dimensions are broadcast behind a size check, so the staging
     side is never shuffled for them. No personal column survives.
     ``person_counts=False`` skips the per-person window (W-07) for callers
-    that only aggregate; ``assign=False`` leaves the surrogate key NULL.
+    that only aggregate; ``assign=False`` leaves the surrogate key NULL;
+    ``skip`` (``codes``, ``zipcode``, ``state``, ``source``, ``file``) leaves
+    those keys NULL for callers that do not read them. Dimensions listed in
+    ``dims.small`` were counted once by their builder and are broadcast
+    without another count.
     ``dims``: ``d_date, d_code, d_code_category, d_state, d_data_source,
     d_file`` and, for registration, ``d_zipcode``.
     """
     spec = FACT_SPECS[subject]
     ts = _ts(batch_ts)
+    small = getattr(dims, "small", set())
+
+    def bc(name):  # dimensions already counted against the bound broadcast directly
+        return True if name in small else None
+
+    def null_key(frame, col):
+        return frame.withColumn(col, F.lit(None).cast("long"))
+
     df = valid(staging) if only_valid else staging
     for col, out in spec["dates"].items():
-        df = lookup_date(df, dims["d_date"], col, out)
+        df = lookup_date(df, dims["d_date"], col, out, broadcast=bc("d_date") or True)
     for col, (cat, out) in spec["codes"].items():
-        df = lookup_code(df, dims["d_code"], dims["d_code_category"], cat, col, out)
+        if "codes" in skip:
+            df = null_key(df, out)
+        else:
+            df = lookup_code(df, dims["d_code"], dims["d_code_category"], cat, col, out,
+                             broadcast=bc("d_code"))
     if subject == "registration":
-        if "d_zipcode" in dims:
+        if "d_zipcode" in dims and "zipcode" not in skip:
             df = lookup(df, dims["d_zipcode"], {"zipcode": "zipcode"}, "zipcode_key", active_only=True)
         else:
-            df = df.withColumn("zipcode_key", F.lit(None).cast("long"))
-    df = lookup(df, dims["d_state"], {"state": state_match}, "state_key", active_only=True,
-                extra=["country_key"] if subject == "registration" else ())
-    df = lookup(df, dims["d_data_source"], {"source_system": source_match}, "data_source_key",
-                active_only=True)
-    df = lookup(df, dims["d_file"], {"source_file_name": "file_name"}, "file_key")
+            df = null_key(df, "zipcode_key")
+    if "state" in skip:
+        df = null_key(df, "state_key")
+        if subject == "registration":
+            df = null_key(df, "country_key")
+    else:
+        df = lookup(df, dims["d_state"], {"state": state_match}, "state_key", active_only=True,
+                    extra=["country_key"] if subject == "registration" else (), broadcast=bc("d_state"))
+    if "source" in skip:
+        df = null_key(df, "data_source_key")
+    else:
+        df = lookup(df, dims["d_data_source"], {"source_system": source_match}, "data_source_key",
+                    active_only=True, broadcast=bc("d_data_source"))
+    if "file" in skip:
+        df = null_key(df, "file_key")
+    else:
+        df = lookup(df, dims["d_file"], {"source_file_name": "file_name"}, "file_key",
+                    broadcast=bc("d_file"))
     df = df.withColumn("record_hash", change_hash(spec["tracked"], hash_mode))
     df = df.withColumns({"source_system_id": F.col("source_system"), "created_dt": ts, "updated_dt": ts})
 

@@ -201,3 +201,7 @@ for _subj, _id, _date, _req in [
         fn.__name__ = f"dq_{subj}"
         return fn
     query(f"dq_{_subj}", "Q-01 Q-02 Q-03 Q-07 S-09", _dq_sql(_subj, _id, _date, _req))(_make(_subj))
+
+
+# more registered queries live in sibling modules; importing them registers them
+from . import q_scd  # noqa: E402,F401

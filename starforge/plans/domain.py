@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.dates import date_key
 from ..operators.keys import assign_keys, small_keys
-from ..operators.lookup import bounded_broadcast
+from ..operators.lookup import BROADCAST_MAX_ROWS, bounded_broadcast
 from ..operators.staging import conform
 from ..sources.calendar import build_d_date
 
@@ -40,21 +40,36 @@ CODE_CATEGORIES = [
     ("CLASSIFICATION", "Classification", "registration", "Registration classification"),
 ]
 
-# Which staging column feeds which code category.
+# Which raw column (or rule over it) feeds which code category: the same
+# rules the staging frames apply, read straight from the narrow source column.
 CODE_SOURCES = [
-    ("REG_TYPE", "registration", "registration_type"),
-    ("REG_STATUS", "registration", "registration_status"),
-    ("CLASSIFICATION", "registration", "classification"),
-    ("COMP_STATUS", "compliance", "compliance_status"),
-    ("COMP_RESULT", "compliance", "compliance_result"),
-    ("VERIF_METHOD", "verification", "verification_method"),
-    ("VERIF_STATUS", "verification", "verification_status"),
-    ("VERIF_RESULT", "verification", "verification_result"),
+    ("REG_TYPE", "orders", lambda: F.col("o_orderpriority")),
+    ("REG_STATUS", "orders", lambda: F.col("o_orderstatus")),
+    ("CLASSIFICATION", "orders", lambda: classification(F.col("o_totalprice"))),
+    ("COMP_STATUS", "lineitem", lambda: F.col("l_linestatus")),
+    ("COMP_RESULT", "lineitem", lambda: F.col("l_returnflag")),
+    ("VERIF_METHOD", "events", lambda: F.col("event_type")),
+    ("VERIF_STATUS", "events", lambda: verification_status(F.col("value"))),
+    ("VERIF_RESULT", "events", lambda: verification_result(F.col("value"))),
 ]
 
+# Source system and daily landing file of each subject's rows.
+SOURCE_FILES = [("ORDERS", "orders", "o_orderdate"), ("LINEITEM", "lineitem", "l_shipdate"),
+                ("EVENTS", "events", "ts")]
+
+
+_TABLES: dict = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table as a lazy frame. The handle (file listing, footer schema)
+    is made once per session and path; every action still reads the files."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _day_file(prefix: str, ts_col: str):
@@ -71,8 +86,8 @@ def stg_registration(spark: SparkSession, sf_dir: str, batch_ts: str = BATCH_TS)
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    geo = bounded_broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
-                            .select("n_nationkey", "r_name"))
+    # nations and regions are fixed reference lists (25 and 5 rows at every scale)
+    geo = F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name"))
     people = c.join(geo, c.c_nationkey == geo.n_nationkey, "left")
     df = o.join(people, o.o_custkey == people.c_custkey, "left")
     out = df.select(
@@ -91,9 +106,9 @@ def stg_registration(spark: SparkSession, sf_dir: str, batch_ts: str = BATCH_TS)
                    (F.col("c_custkey") * 7919 % 25000).cast("int")).alias("birth_date"),
         F.col("o_orderstatus").alias("registration_status"),
         F.col("o_orderpriority").alias("registration_type"),
-        F.when(F.col("o_totalprice") >= 250000, "PREMIUM").otherwise("STANDARD").alias("classification"),
+        classification(F.col("o_totalprice")).alias("classification"),
         F.col("c_mktsegment").alias("registration_method"),
-        F.col("c_mktsegment").alias("source_system"),
+        F.lit("ORDERS").alias("source_system"),
         _day_file("orders", "o_orderdate").alias("source_file_name"),
     )
     return _stamp(out, schemas.STG_REGISTRATION, batch_ts)
@@ -125,6 +140,14 @@ def stg_compliance(spark: SparkSession, sf_dir: str, batch_ts: str = BATCH_TS) -
     return _stamp(out, schemas.STG_COMPLIANCE, batch_ts, extra=["compliance_score"])
 
 
+def classification(price):
+    return F.when(price >= 250000, "PREMIUM").otherwise("STANDARD")
+
+
+def verification_result(v):
+    return F.when(v >= 50, "MATCH").otherwise("NO_MATCH")
+
+
 def verification_status(v):
     return (F.when(v < 25, "REQUESTED").when(v < 50, "IN_PROGRESS")
             .when(v < 100, "COMPLETED").otherwise("VERIFIED"))
@@ -143,7 +166,7 @@ def stg_verification(spark: SparkSession, sf_dir: str, batch_ts: str = BATCH_TS)
         F.date_add(d, F.floor(v / 100).cast("int")).alias("response_date"),
         F.col("event_type").alias("verification_method"),
         verification_status(v).alias("verification_status"),
-        F.when(v >= 50, "MATCH").otherwise("NO_MATCH").alias("verification_result"),
+        verification_result(v).alias("verification_result"),
         F.lit(None).cast("string").alias("interim_status"),
         (v >= 50).alias("is_match"),
         F.least(v, F.lit(100.0)).cast("decimal(5,2)").alias("match_score"),
@@ -190,16 +213,16 @@ def d_code_category(spark: SparkSession) -> DataFrame:
                            "is_active": F.lit(True)})
 
 
-def d_code(spark: SparkSession, sf_dir: str, stg: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Code dimension from the distinct values of each categorized staging column.
+def d_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code dimension from the distinct values of each categorized column.
 
-    Size is bounded by the number of distinct codes; keys follow (category, value).
+    Size is bounded by the number of distinct codes; keys follow (category,
+    value). Each category reads one column, aggregated map-side first.
     """
-    stg = stg or {}
     parts = []
-    for cat, subj, col in CODE_SOURCES:
-        s = stg.get(subj) or staging(spark, sf_dir, subj)
-        parts.append(s.select(F.lit(cat).alias("code_category_id"), F.col(col).alias("code_value"))
+    for cat, tbl, expr in CODE_SOURCES:
+        parts.append(table(spark, sf_dir, tbl).select(F.lit(cat).alias("code_category_id"),
+                                                      expr().alias("code_value"))
                      .filter(F.col("code_value").isNotNull()).distinct())
     vals = parts[0]
     for p in parts[1:]:
@@ -230,13 +253,13 @@ def d_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def d_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
-    ctry = d_country(spark, sf_dir).select("r_regionkey", "country_key")
+    ctry = d_country(spark, sf_dir).select("r_regionkey", "country_key", "country_name")
     s = n.join(F.broadcast(ctry), n.n_regionkey == ctry.r_regionkey, "left") \
         .withColumn("state_code", _state_code("n_nationkey"))
     keyed = small_keys(s, "state_key", ["state_code"])
     return keyed.select(
         "state_key", F.col("state_code").alias("state_id"), F.col("n_name").alias("state_name"),
-        "state_code", "country_key",
+        "state_code", "country_key", "country_name",
         F.lit(DIM_START_TS).cast("timestamp").alias("effective_start_dt"),
         F.lit(None).cast("timestamp").alias("effective_end_dt"), F.lit(True).alias("is_active"))
 
@@ -259,25 +282,9 @@ def d_zipcode(spark: SparkSession, sf_dir: str, state: DataFrame | None = None)
         F.lit(None).cast("timestamp").alias("effective_end_dt"), F.lit(True).alias("is_active"))
 
 
-def _staged_meta(spark, sf_dir, stg):
-    parts = []
-    for subj in ("registration", "compliance", "verification"):
-        s = stg.get(subj) or staging(spark, sf_dir, subj)
-        parts.append(s.groupBy("source_system", "source_file_name").agg(F.count(F.lit(1)).alias("n")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def d_data_source(spark: SparkSession, sf_dir: str, stg: dict[str, DataFrame] | None = None) -> DataFrame:
-    """One data source per distinct ``source_system`` of the staged subjects."""
-    stg = stg or {}
-    parts = []
-    for subj in ("registration", "compliance", "verification"):
-        s = stg.get(subj) or staging(spark, sf_dir, subj)
-        parts.append(s.select("source_system").filter(F.col("source_system").isNotNull()).distinct())
-    src = parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
+def d_data_source(spark: SparkSession) -> DataFrame:
+    """One data source per subject feed; keys follow the source system name."""
+    src = spark.createDataFrame([(name,) for name, _t, _c in SOURCE_FILES], "source_system string")
     keyed = small_keys(src, "data_source_key", ["source_system"])
     return keyed.select(
         "data_source_key", F.concat(F.lit("SRC_"), "source_system").alias("data_source_id"),
@@ -288,49 +295,63 @@ def d_data_source(spark: SparkSession, sf_dir: str, stg: dict[str, DataFrame] |
         F.lit(None).cast("timestamp").alias("effective_end_dt"), F.lit(True).alias("is_active"))
 
 
-def d_file(spark: SparkSession, sf_dir: str, stg: dict[str, DataFrame] | None = None,
-           sources: DataFrame | None = None, batch_ts: str = BATCH_TS) -> DataFrame:
-    """File dimension: one row per landed daily file with its record count (D-09 shape).
+def d_file(spark: SparkSession, sf_dir: str, batch_ts: str = BATCH_TS) -> DataFrame:
+    """File dimension: one row per landed daily file with its record count.
 
-    Bounded by days × sources; keys follow the file name.
+    Bounded by days × feeds; keys follow the file name. Each feed reads its
+    date column only and is aggregated map-side before the shuffle.
     """
-    stg = stg or {}
-    meta = _staged_meta(spark, sf_dir, stg).filter(F.col("source_file_name").isNotNull()) \
-        .groupBy("source_file_name").agg(F.min("source_system").alias("source_system"),
-                                         F.sum("n").alias("record_count"))
-    src = (sources if sources is not None else d_data_source(spark, sf_dir, stg)) \
-        .select("source_system", "data_source_key")
+    parts = []
+    for name, tbl, col in SOURCE_FILES:
+        parts.append(table(spark, sf_dir, tbl).select(_day_file(tbl, col).alias("file_name"))
+                     .groupBy("file_name").agg(F.count(F.lit(1)).alias("record_count"))
+                     .withColumn("source_system", F.lit(name)))
+    meta = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    src = d_data_source(spark).select("source_system", "data_source_key")
     f = meta.join(F.broadcast(src), "source_system", "left")
-    keyed = small_keys(f, "file_key", ["source_file_name"])
+    keyed = small_keys(f, "file_key", ["file_name"])
     return keyed.select(
-        "file_key", F.col("source_file_name").alias("file_id"), "data_source_key",
-        F.col("source_file_name").alias("file_name"), F.lit(None).cast("string").alias("file_path"),
-        F.lit(None).cast("long").alias("file_size_bytes"), F.col("record_count").cast("long"),
-        F.lit(batch_ts).cast("timestamp").alias("load_timestamp"),
+        "file_key", F.col("file_name").alias("file_id"), "data_source_key", "file_name",
+        F.lit(None).cast("string").alias("file_path"), F.lit(None).cast("long").alias("file_size_bytes"),
+        F.col("record_count").cast("long"), F.lit(batch_ts).cast("timestamp").alias("load_timestamp"),
         F.lit("COMPLETED").alias("processing_status"), F.lit(None).cast("string").alias("error_message"))
 
 
-def dims(spark: SparkSession, sf_dir: str, stg: dict[str, DataFrame] | None = None,
-         with_zipcode: bool = True) -> dict[str, DataFrame]:
-    """All dimensions a fact build needs.
+class Dims(dict):
+    """Dimension frames by name; ``small`` names those checked to fit a broadcast."""
+
+    def __init__(self, *a, **kw):
+        super().__init__(*a, **kw)
+        self.small = set()
+
+
+def dims(spark: SparkSession, sf_dir: str, stg=None, with_zipcode: bool = True, need=None) -> Dims:
+    """The dimensions a fact build needs.
 
-    The small dimensions are derived once and cached: the size checks before
-    broadcast and every lookup then read the cached rows instead of deriving
-    them again from full scans. (In a deployed warehouse they are tables.)
-    The zipcode dimension grows with the customers and is not cached.
+    The small ones are derived once, cached, and counted once against the
+    broadcast bound; lookups then broadcast them without counting again and
+    read the cached rows instead of re-deriving them from full scans. (In a
+    deployed warehouse they are tables.) The zipcode dimension grows with the
+    customers: it is neither cached nor assumed small. ``need`` limits the
+    build to the named dimensions.
     """
-    stg = stg or {}
-    state = d_state(spark, sf_dir).cache()
-    src = d_data_source(spark, sf_dir, stg).cache()
-    out = {
-        "d_date": d_date(spark).cache(),
-        "d_code_category": d_code_category(spark).cache(),
-        "d_code": d_code(spark, sf_dir, stg).cache(),
-        "d_state": state,
-        "d_country": d_country(spark, sf_dir).cache(),
-        "d_data_source": src,
-        "d_file": d_file(spark, sf_dir, stg, src).cache(),
+    makers = {
+        "d_date": lambda: d_date(spark),
+        "d_code_category": lambda: d_code_category(spark),
+        "d_code": lambda: d_code(spark, sf_dir),
+        "d_state": lambda: d_state(spark, sf_dir),
+        "d_country": lambda: d_country(spark, sf_dir),
+        "d_data_source": lambda: d_data_source(spark),
+        "d_file": lambda: d_file(spark, sf_dir),
     }
-    if with_zipcode:
-        out["d_zipcode"] = d_zipcode(spark, sf_dir, state)
+    out = Dims()
+    for name, make in makers.items():
+        if need is not None and name not in need:
+            continue
+        df = make().cache()
+        if df.count() <= BROADCAST_MAX_ROWS:
+            out.small.add(name)
+        out[name] = df
+    if with_zipcode and (need is None or "d_zipcode" in need):
+        out["d_zipcode"] = d_zipcode(spark, sf_dir, out.get("d_state"))
     return out

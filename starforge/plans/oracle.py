@@ -41,7 +41,7 @@ CTE["stg_registration"] = f"""stg_registration AS (
          o.o_orderpriority AS registration_type,
          CASE WHEN o.o_totalprice >= 250000 THEN 'PREMIUM' ELSE 'STANDARD' END AS classification,
          c.c_mktsegment AS registration_method,
-         c.c_mktsegment AS source_system,
+         'ORDERS' AS source_system,
          'orders_' || strftime(o.o_orderdate, '%Y%m%d') || '.parquet' AS source_file_name,
          {TS} AS load_timestamp, 'PENDING' AS processing_status,
          CAST(NULL AS VARCHAR) AS error_message, TRUE AS dq_is_valid,
@@ -95,15 +95,16 @@ CTE["d_code_category"] = f"""d_code_category AS (
   SELECT * FROM (VALUES {_cats}) t(code_category_key, code_category_id)
 )"""
 
-CTE["d_code"] = f"""code_vals AS (
-  SELECT DISTINCT 'REG_TYPE' AS cid, registration_type AS v FROM stg_registration
-  UNION ALL SELECT DISTINCT 'REG_STATUS', registration_status FROM stg_registration
-  UNION ALL SELECT DISTINCT 'CLASSIFICATION', classification FROM stg_registration
-  UNION ALL SELECT DISTINCT 'COMP_STATUS', compliance_status FROM stg_compliance
-  UNION ALL SELECT DISTINCT 'COMP_RESULT', compliance_result FROM stg_compliance
-  UNION ALL SELECT DISTINCT 'VERIF_METHOD', verification_method FROM stg_verification
-  UNION ALL SELECT DISTINCT 'VERIF_STATUS', verification_status FROM stg_verification
-  UNION ALL SELECT DISTINCT 'VERIF_RESULT', verification_result FROM stg_verification
+CTE["d_code"] = """code_vals AS (
+  SELECT DISTINCT 'REG_TYPE' AS cid, o_orderpriority AS v FROM orders
+  UNION ALL SELECT DISTINCT 'REG_STATUS', o_orderstatus FROM orders
+  UNION ALL SELECT DISTINCT 'CLASSIFICATION', CASE WHEN o_totalprice >= 250000 THEN 'PREMIUM' ELSE 'STANDARD' END FROM orders
+  UNION ALL SELECT DISTINCT 'COMP_STATUS', l_linestatus FROM lineitem
+  UNION ALL SELECT DISTINCT 'COMP_RESULT', l_returnflag FROM lineitem
+  UNION ALL SELECT DISTINCT 'VERIF_METHOD', event_type FROM events
+  UNION ALL SELECT DISTINCT 'VERIF_STATUS', CASE WHEN value < 25 THEN 'REQUESTED' WHEN value < 50 THEN 'IN_PROGRESS'
+                                                 WHEN value < 100 THEN 'COMPLETED' ELSE 'VERIFIED' END FROM events
+  UNION ALL SELECT DISTINCT 'VERIF_RESULT', CASE WHEN value >= 50 THEN 'MATCH' ELSE 'NO_MATCH' END FROM events
 ),
 d_code AS (
   SELECT row_number() OVER (ORDER BY k.code_category_key, v.v) AS code_key,
@@ -134,24 +135,22 @@ CTE["d_zipcode"] = """d_zipcode AS (
 
 CTE["d_data_source"] = """d_data_source AS (
   SELECT row_number() OVER (ORDER BY source_system) AS data_source_key, source_system
-  FROM (SELECT source_system FROM stg_registration UNION SELECT source_system FROM stg_compliance
-        UNION SELECT source_system FROM stg_verification) t
-  WHERE source_system IS NOT NULL
+  FROM (VALUES ('ORDERS'), ('LINEITEM'), ('EVENTS')) t(source_system)
 )"""
 
 CTE["d_file"] = """d_file AS (
-  SELECT row_number() OVER (ORDER BY source_file_name) AS file_key, source_file_name AS file_name
-  FROM (SELECT source_file_name FROM stg_registration UNION SELECT source_file_name FROM stg_compliance
-        UNION SELECT source_file_name FROM stg_verification) t
-  WHERE source_file_name IS NOT NULL
+  SELECT row_number() OVER (ORDER BY file_name) AS file_key, file_name, record_count
+  FROM (SELECT 'orders_' || strftime(o_orderdate, '%Y%m%d') || '.parquet' AS file_name, count(*) AS record_count
+        FROM orders GROUP BY 1
+        UNION ALL SELECT 'lineitem_' || strftime(l_shipdate, '%Y%m%d') || '.parquet', count(*) FROM lineitem GROUP BY 1
+        UNION ALL SELECT 'events_' || strftime(ts, '%Y%m%d') || '.parquet', count(*) FROM events GROUP BY 1) t
 )"""
 
 DEPS = {
     "stg_registration": [], "stg_compliance": [], "stg_verification": [], "d_code_category": [],
-    "d_code": ["stg_registration", "stg_compliance", "stg_verification", "d_code_category"],
+    "d_code": ["d_code_category"],
     "d_country": [], "d_state": ["d_country"], "d_zipcode": ["d_state"],
-    "d_data_source": ["stg_registration", "stg_compliance", "stg_verification"],
-    "d_file": ["stg_registration", "stg_compliance", "stg_verification"],
+    "d_data_source": [], "d_file": [],
 }
 
 

@@ -10,6 +10,8 @@ from ..operators.lookup import star
 from . import domain
 
 SUBJECTS = ("registration", "compliance", "verification")
+# Dimensions the report datasets read (the file dimension is operational only).
+REPORT_DIMS = {"d_date", "d_code", "d_code_category", "d_state", "d_country", "d_data_source"}
 
 
 def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -17,22 +19,29 @@ def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def fact(spark: SparkSession, sf_dir: str, subject: str, keys: bool = False,
-         zipcode: bool = False, person_counts: bool = False,
-         stg: dict[str, DataFrame] | None = None, dims: dict | None = None) -> DataFrame:
+         zipcode: bool = False, person_counts: bool = False, skip=(),
+         stg: DataFrame | None = None, dims: dict | None = None) -> DataFrame:
     """A fact as the daily load builds it. Aggregating callers leave out the
-    surrogate key, the zipcode lookup and the per-person window, which do not
-    change any other column."""
-    stg = stg or staged(spark, sf_dir)
-    dims = dims or domain.dims(spark, sf_dir, stg, with_zipcode=zipcode)
-    return build_fact(stg[subject], dims, subject, domain.BATCH_TS, assign=keys,
-                      person_counts=person_counts)
+    surrogate key, the zipcode lookup, the per-person window and lookups in
+    ``skip``; none of these changes any other column."""
+    stg = stg if stg is not None else domain.staging(spark, sf_dir, subject)
+    if dims is None:
+        need = {"d_date", "d_code", "d_code_category", "d_state", "d_country", "d_data_source", "d_file"}
+        if "file" in skip:
+            need.discard("d_file")
+        if "codes" in skip:
+            need -= {"d_code", "d_code_category"}
+        if zipcode:
+            need.add("d_zipcode")
+        dims = domain.dims(spark, sf_dir, with_zipcode=zipcode, need=need)
+    return build_fact(stg, dims, subject, domain.BATCH_TS, assign=keys,
+                      person_counts=person_counts, skip=skip)
 
 
 def registration_star(spark: SparkSession, sf_dir: str, extra_roles: dict | None = None) -> DataFrame:
     """Registration fact with calendar, state/country and status/type/classification names."""
-    stg = staged(spark, sf_dir)
-    dm = domain.dims(spark, sf_dir, stg, with_zipcode=False)
-    f = fact(spark, sf_dir, "registration", stg=stg, dims=dm)
+    dm = domain.dims(spark, sf_dir, with_zipcode=False, need=REPORT_DIMS)
+    f = fact(spark, sf_dir, "registration", dims=dm, skip=("file",))
     roles = {
         "reg": (dm["d_date"], "registration_date_key", "date_key",
                 ["date_value", "year", "quarter", "month", "month_name"]),
@@ -42,7 +51,8 @@ def registration_star(spark: SparkSession, sf_dir: str, extra_roles: dict | None
         "type": (dm["d_code"], "registration_type_code_key", "code_key", ["code_value"]),
     }
     roles.update(extra_roles or {})
-    return star(f, roles, how="left")
+    checked = {"d_date", "d_state", "d_country", "d_code"} <= dm.small and not extra_roles
+    return star(f, roles, how="left", broadcast=True if checked else None)
 
 
 def subject_star(spark: SparkSession, sf_dir: str, subject: str, codes: dict[str, str]) -> DataFrame:
@@ -50,15 +60,15 @@ def subject_star(spark: SparkSession, sf_dir: str, subject: str, codes: dict[str
 
     ``codes``: ``{role: fact code-key column}``; each brings ``<role>_code_value``.
     """
-    stg = staged(spark, sf_dir)
-    dm = domain.dims(spark, sf_dir, stg, with_zipcode=False)
-    f = fact(spark, sf_dir, subject, stg=stg, dims=dm)
+    dm = domain.dims(spark, sf_dir, with_zipcode=False, need=REPORT_DIMS)
+    f = fact(spark, sf_dir, subject, dims=dm, skip=("file",))
     date_col = f"{subject}_date_key"
     roles = {"day": (dm["d_date"], date_col, "date_key", ["date_value", "year", "month"]),
              "state": (dm["d_state"], "state_key", "state_key", ["state_name"])}
     for role, col in codes.items():
         roles[role] = (dm["d_code"], col, "code_key", ["code_value"])
-    return star(f, roles, how="left")
+    checked = {"d_date", "d_state", "d_code"} <= dm.small
+    return star(f, roles, how="left", broadcast=True if checked else None)
 
 
 def month_col(date_col: str = "reg_date_value"):
