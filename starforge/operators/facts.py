@@ -240,7 +240,7 @@ def history_rows(changes: DataFrame, existing: DataFrame, hist: DataFrame | None
     chg_keys = chg.select(key)
     hist_cols = [sk, key, "snapshot_date_key", *cols, "change_type", "effective_start_dt",
                  "effective_end_dt", "is_current", "created_dt"]
-    opened = chg.join(existing.select(key, sk), key, "inner").select(
+    opened = chg.drop(sk).join(existing.select(key, sk), key, "inner").select(
         F.col(sk), F.col(key), snap.alias("snapshot_date_key"), *[F.col(c) for c in cols],
         F.lit("UPDATE").alias("change_type"), ts.alias("effective_start_dt"),
         F.lit(None).cast("timestamp").alias("effective_end_dt"), F.lit(True).alias("is_current"),
