@@ -13,15 +13,18 @@ from ..operators.monitor import AGG
 
 def ingest_new_files(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: T.StructType,
                      fmt: str = "parquet", transform: Callable[[DataFrame], DataFrame] | None = None,
-                     partition_by: Sequence[str] = (), wait: bool = True):
+                     partition_by: Sequence[str] = (), wait: bool = True, glob: str | None = None):
     """Process each landed file exactly once (R-01, the "bookmark").
 
     A file source remembers which files it has read in the checkpoint; with
     ``availableNow`` each run takes all new files (in bounded micro-batches)
     and stops. The Parquet sink commits through its own log, so a retried
-    batch does not duplicate rows.
+    batch does not duplicate rows. ``src`` is a folder; ``glob`` picks files in it.
     """
-    sdf = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", 1000).load(src)
+    reader = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", 1000)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    sdf = reader.load(src)
     if transform is not None:
         sdf = transform(sdf)
     w = (sdf.writeStream.format("parquet").option("checkpointLocation", checkpoint)
@@ -37,7 +40,10 @@ def ingest_new_files(spark: SparkSession, src: str, dst: str, checkpoint: str, s
 def window_counts_stream(sdf: DataFrame, ts: str, value: str, agg: str = "Sum", width: str = "5 minutes",
                          watermark: str = "10 minutes", by: Sequence[str] = ()) -> DataFrame:
     """Tumbling-window statistic with a late-data bound (R-02): rows later than
-    the watermark are dropped and their window's state is released."""
+    the watermark are dropped and their window's state is released. Event
+    time must be a TIMESTAMP (a TIMESTAMP_NTZ column is read as UTC)."""
+    if dict(sdf.dtypes).get(ts) == "timestamp_ntz":
+        sdf = sdf.withColumn(ts, F.col(ts).cast("timestamp"))
     return (sdf.withWatermark(ts, watermark)
             .groupBy(*by, F.window(F.col(ts), width).alias("period"))
             .agg(AGG[agg](F.col(value)).alias("stat"))
