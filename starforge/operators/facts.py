@@ -121,7 +121,8 @@ def build_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str,
 
     df = valid(staging) if only_valid else staging
     for col, out in spec["dates"].items():
-        df = lookup_date(df, dims["d_date"], col, out, broadcast=bc("d_date") or True)
+        df = lookup_date(df, dims["d_date"], col, out, broadcast=bc("d_date") or True,
+                         span=getattr(dims, "calendar_span", None))
     for col, (cat, out) in spec["codes"].items():
         if "codes" in skip:
             df = null_key(df, out)

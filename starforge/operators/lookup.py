@@ -38,32 +38,42 @@ def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], key: str, out:
 
     Left join: unmatched rows keep a NULL key, or ``unknown`` when given.
     Only the key, the match columns and ``extra`` columns of the dimension are
-    shipped (column pruning reaches the scan). The dimension must be unique on
+    shipped (column pruning reaches the scan); they keep their own names until
+    after the join, so two lookups against the same dimension projection plan
+    the same broadcast and Spark reuses it. The dimension must be unique on
     the match columns (checked by ``check_scd2``), otherwise rows multiply.
     """
     out = out or key
     if active_only:
         dim = dim.filter(F.col("is_active"))
-    tmp = {dc: f"_lk_{i}" for i, dc in enumerate(on.values())}
-    d = dim.select(*[F.col(dc).alias(tmp[dc]) for dc in on.values()], F.col(key).alias(out),
-                   *[F.col(c) for c in extra])
-    d = bounded_broadcast(d, max_rows, broadcast)
+    cols = list(dict.fromkeys([*on.values(), key, *extra]))
+    d = bounded_broadcast(dim.select(*cols), max_rows, broadcast).alias("_lk_dim")
+    left = df.alias("_lk_fact")
     cond = None
     for fc, dc in on.items():
-        c = df[fc] == d[tmp[dc]]
+        c = F.col(f"_lk_fact.{fc}") == F.col(f"_lk_dim.{dc}")
         cond = c if cond is None else cond & c
-    res = df.join(d, cond, "left").drop(*tmp.values())
+    res = left.join(d, cond, "left").select(
+        "_lk_fact.*", F.col(f"_lk_dim.{key}").alias(out), *[F.col(f"_lk_dim.{c}") for c in extra])
     if unknown is not None:
         res = res.withColumn(out, F.coalesce(F.col(out), F.lit(unknown)))
     return res
 
 
 def lookup_date(df: DataFrame, d_date: DataFrame, col: str, out: str,
-                broadcast: bool | None = True) -> DataFrame:
+                broadcast: bool | None = True, span: tuple[str, str] | None = None) -> DataFrame:
     """Role-playing date key lookup (J-02): ``to_date(col) = d_date.date_value``.
 
     The calendar is bounded by its day span, so it is broadcast by default.
+    When the caller passes ``span`` — the calendar was generated without
+    gaps by ``build_d_date`` over ``[start, end]`` — the key is computed
+    (``yyyyMMdd``) for dates inside the span and NULL outside: the same
+    result as the join, with no join.
     """
+    if span is not None:
+        d = F.to_date(F.col(col))
+        inside = (d >= F.lit(span[0]).cast("date")) & (d <= F.lit(span[1]).cast("date"))
+        return df.withColumn(out, F.when(inside, _date_key(d)))
     tmp = f"_lkd_{out}"
     res = df.withColumn(tmp, F.to_date(col))
     res = lookup(res, d_date, {tmp: "date_value"}, "date_key", out, broadcast=broadcast)
@@ -75,12 +85,18 @@ def lookup_code(df: DataFrame, d_code: DataFrame, d_code_category: DataFrame, ca
     """Code key of ``col`` within one category (J-03), active versions only.
 
     The category is matched by its id (e.g. ``REG_STATUS``), not by a code
-    value, so a status column finds the status codes.
+    value, so a status column finds the status codes. The match is an
+    equi-join on (category id, value) against the whole active code list, so
+    every code lookup of a fact plans the same broadcast (reused once built).
     """
-    cat = d_code_category.filter(F.col("is_active") & (F.col("code_category_id") == category)) \
-        .select("code_category_key")
-    codes = d_code.filter(F.col("is_active")).join(F.broadcast(cat), "code_category_key", "left_semi")
-    return lookup(df, codes, {col: "code_value"}, "code_key", out, broadcast=broadcast)
+    cat = d_code_category.filter(F.col("is_active")).select("code_category_key", "code_category_id")
+    codes = d_code.filter(F.col("is_active")).join(F.broadcast(cat), "code_category_key") \
+        .select("code_category_id", "code_value", "code_key")
+    tmp = f"_lkc_{out}"
+    res = df.withColumn(tmp, F.lit(category))
+    res = lookup(res, codes, {tmp: "code_category_id", col: "code_value"}, "code_key", out,
+                 broadcast=broadcast)
+    return res.drop(tmp)
 
 
 def date_key_of(c) -> Column:
@@ -104,14 +120,16 @@ def star(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str, str, Sequence
     """Star join (J-11): ``{role: (dim, fact_key, dim_key, columns)}``.
 
     Each dimension brings ``columns`` renamed ``<role>_<column>`` unless the
-    column name already starts with the role.
+    column name already starts with the role. The shipped projection keeps the
+    dimension's names, so a dimension playing two roles is broadcast once.
     """
     out = fact
     for role, (dim, fk, pk, cols) in dims.items():
         names = {c: (c if c.startswith(role) else f"{role}_{c}") for c in cols}
-        d = dim.select(F.col(pk).alias(f"_pk_{role}"), *[F.col(c).alias(n) for c, n in names.items()])
-        d = bounded_broadcast(d, broadcast=broadcast)
-        out = out.join(d, out[fk] == d[f"_pk_{role}"], how).drop(f"_pk_{role}")
+        d = bounded_broadcast(dim.select(*dict.fromkeys([pk, *cols])), broadcast=broadcast).alias("_st_dim")
+        left = out.alias("_st_fact")
+        out = left.join(d, F.col(f"_st_fact.{fk}") == F.col(f"_st_dim.{pk}"), how).select(
+            "_st_fact.*", *[F.col(f"_st_dim.{c}").alias(n) for c, n in names.items()])
     return out
 
 
