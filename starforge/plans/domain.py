@@ -19,6 +19,7 @@ from ..operators.keys import assign_keys, small_keys
 from ..operators.lookup import BROADCAST_MAX_ROWS, bounded_broadcast
 from ..operators.staging import conform
 from ..sources.calendar import build_d_date
+from ..sources.seeds import CODE_CATEGORIES
 
 # Fixed values used across the plans. The batch instant is after every date
 # in the data, so "now" checks do not depend on the wall clock.
@@ -27,18 +28,8 @@ DIM_START_TS = "1990-01-01 00:00:00"       # when the seeded dimension versions
 SNAPSHOT_DATE = "2000-01-01"                # date of the earlier load used by incremental plans
 CALENDAR_START, CALENDAR_END = "1900-01-01", "2099-12-31"
 
-# The code categories of the reference seed, in its order
-# (id, name, type, description). Their keys are 1..8 in this order.
-CODE_CATEGORIES = [
-    ("REG_TYPE", "Registration Type", "registration", "Types of voter registration"),
-    ("REG_STATUS", "Registration Status", "registration", "Status of registration"),
-    ("COMP_STATUS", "Compliance Status", "compliance", "Compliance check status"),
-    ("COMP_RESULT", "Compliance Result", "compliance", "Result of compliance check"),
-    ("VERIF_METHOD", "Verification Method", "verification", "Method used for verification"),
-    ("VERIF_STATUS", "Verification Status", "verification", "Status of verification"),
-    ("VERIF_RESULT", "Verification Result", "verification", "Result of verification"),
-    ("CLASSIFICATION", "Classification", "registration", "Registration classification"),
-]
+# The code categories of the reference seed; their keys are 1..8 in this order.
+
 
 # Which raw column (or rule over it) feeds which code category: the same
 # rules the staging frames apply, read straight from the narrow source column.
