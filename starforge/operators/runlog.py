@@ -59,7 +59,7 @@ class RunLog:
 
 def slowest(runlog: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` longest finished runs with their duration in seconds (T-06)."""
-    dur = F.timestampdiff("SECOND", F.col("start_timestamp"), F.col("end_timestamp"))
+    dur = F.timestamp_diff("SECOND", F.col("start_timestamp"), F.col("end_timestamp"))
     return (runlog.filter(F.col("end_timestamp").isNotNull())
             .withColumn("duration_seconds", dur)
             .orderBy(F.col("duration_seconds").desc(), F.col("start_timestamp").desc(), F.col("job_name"))

@@ -13,7 +13,8 @@ from ..operators.monitor import AGG
 
 def ingest_new_files(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: T.StructType,
                      fmt: str = "parquet", transform: Callable[[DataFrame], DataFrame] | None = None,
-                     partition_by: Sequence[str] = (), wait: bool = True, glob: str | None = None):
+                     partition_by: Sequence[str] = (), wait: bool = True, glob: str | None = None,
+                     recursive: bool = False):
     """Process each landed file exactly once (R-01, the "bookmark").
 
     A file source remembers which files it has read in the checkpoint; with
@@ -24,6 +25,8 @@ def ingest_new_files(spark: SparkSession, src: str, dst: str, checkpoint: str, s
     reader = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", 1000)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    if recursive:  # dated sub-folders of a landing tree
+        reader = reader.option("recursiveFileLookup", "true")
     sdf = reader.load(src)
     if transform is not None:
         sdf = transform(sdf)
