@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .tables import VersionedTable, append, register_external
 
 
@@ -47,7 +48,7 @@ def run_archive(fact_table: VersionedTable, d_date: DataFrame, date_key: str, cu
     """Archive run (X-08): write old rows by year, verify, then switch the fact
     to the kept rows.
 
-    The old set is checkpointed (materialized once in the shared checkpoint
+    The old set is materialized once (Parquet in the shared checkpoint
     folder), so the written archive and the verified count are the same rows;
     the archive is appended before the fact loses them, and the fact's new
     version is written next to the old one, so a failure at any step leaves
@@ -55,7 +56,7 @@ def run_archive(fact_table: VersionedTable, d_date: DataFrame, date_key: str, cu
     """
     fact = fact_table.read()
     old, kept = archive_split(fact, d_date, date_key, cut, part)
-    old = old.checkpoint(eager=True)
+    old = materialize(old, "archive")
     n_old = old.count()
     if n_old:
         try:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -29,16 +29,15 @@ def assign_keys(df: DataFrame, key: str, order: Sequence, start=0,
     be reproducible. ``start`` may be a literal or a Column (e.g. from a
     one-row ``max(key)`` frame joined in by the caller).
 
-    The numbered frame is checkpointed once so the count and the keyed rows
-    come from the same materialized partitions (ids stay stable even if a
-    task is retried on another executor).
+    The numbered frame is written once (Parquet in the shared checkpoint
+    folder) so the per-partition counts and the keyed rows read the same ids,
+    even if a task is retried on another executor.
     """
     cols = _order_cols(order)
     numbered = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
                 .withColumn("_sf_mid", F.monotonically_increasing_id()))
     if checkpoint:
-        ensure_checkpoint_dir(numbered.sparkSession)
-        numbered = numbered.checkpoint(eager=True)
+        numbered = materialize(numbered, f"keys-{key}")
     numbered = (numbered.withColumn("_sf_pid", F.shiftright("_sf_mid", _LOCAL_BITS))
                 .withColumn("_sf_pos", F.col("_sf_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)))
     per_part = numbered.groupBy("_sf_pid").agg(F.count(F.lit(1)).alias("_sf_n"))

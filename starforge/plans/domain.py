@@ -204,15 +204,19 @@ def d_code_category(spark: SparkSession) -> DataFrame:
                            "is_active": F.lit(True)})
 
 
-def d_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+def d_code(spark: SparkSession, sf_dir: str, categories=None) -> DataFrame:
     """Code dimension from the distinct values of each categorized column.
 
     Size is bounded by the number of distinct codes; keys follow (category,
     value). Each source table is scanned once for all its categorized
     columns ((category, value) pairs exploded per row, aggregated map-side).
+    ``categories`` limits the build to some categories (keys are then only
+    consistent within that build; reports read code values, not keys).
     """
     by_table: dict[str, list] = {}
     for cat, tbl, expr in CODE_SOURCES:
+        if categories is not None and cat not in categories:
+            continue
         by_table.setdefault(tbl, []).append(F.struct(F.lit(cat).alias("code_category_id"),
                                                      expr().alias("code_value")))
     parts = [table(spark, sf_dir, tbl).select(F.explode(F.array(*items)).alias("c"))
@@ -320,40 +324,44 @@ class Dims(dict):
         self.calendar_span = None
 
 
-def dims(spark: SparkSession, sf_dir: str, stg=None, with_zipcode: bool = True, need=None) -> Dims:
+def dims(spark: SparkSession, sf_dir: str, stg=None, with_zipcode: bool = True, need=None,
+         code_categories=None) -> Dims:
     """The dimensions a fact build needs.
 
-    The small ones are derived once, cached, and counted once against the
-    broadcast bound; lookups then broadcast them without counting again and
-    read the cached rows instead of re-deriving them from full scans. (In a
-    deployed warehouse they are tables.) The zipcode dimension grows with the
-    customers: it is neither cached nor assumed small. ``need`` limits the
-    build to the named dimensions.
+    Small by construction (no count needed): the calendar (generated over a
+    fixed span, and its keys computed inside it), the code categories and
+    data sources (seed lists), states and countries (the 25 nations and 5
+    regions at every scale). Derived from the data: codes and files; those
+    are built once, cached, and counted once against the broadcast bound, so
+    lookups broadcast them without counting again and read the cached rows
+    instead of re-deriving them from full scans. (In a deployed warehouse
+    they are tables.) The zipcode dimension grows with the customers: it is
+    neither cached nor assumed small. ``need`` limits the build to the named
+    dimensions; ``code_categories`` to the code categories a query reads.
     """
     makers = {
         "d_date": lambda: d_date(spark),
         "d_code_category": lambda: d_code_category(spark),
-        "d_code": lambda: d_code(spark, sf_dir),
+        "d_code": lambda: d_code(spark, sf_dir, code_categories),
         "d_state": lambda: d_state(spark, sf_dir),
         "d_country": lambda: d_country(spark, sf_dir),
         "d_data_source": lambda: d_data_source(spark),
         "d_file": lambda: d_file(spark, sf_dir),
     }
+    bounded = {"d_date", "d_code_category", "d_state", "d_country", "d_data_source"}
     out = Dims()
     for name, make in makers.items():
         if need is not None and name not in need:
             continue
-        if name == "d_date":
-            # generated without gaps over a fixed span: bounded by construction,
-            # and date keys can be computed inside the span (no join, no count)
+        if name in bounded:
             out[name] = make()
             out.small.add(name)
-            out.calendar_span = (CALENDAR_START, CALENDAR_END)
             continue
         df = make().cache()
         if df.count() <= BROADCAST_MAX_ROWS:
             out.small.add(name)
         out[name] = df
+    out.calendar_span = (CALENDAR_START, CALENDAR_END) if "d_date" in out else None
     if with_zipcode and (need is None or "d_zipcode" in need):
         out["d_zipcode"] = d_zipcode(spark, sf_dir, out.get("d_state"))
     return out

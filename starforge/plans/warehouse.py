@@ -12,6 +12,10 @@ from . import domain
 SUBJECTS = ("registration", "compliance", "verification")
 # Dimensions the report datasets read (the file dimension is operational only).
 REPORT_DIMS = {"d_date", "d_code", "d_code_category", "d_state", "d_country", "d_data_source"}
+# Code categories each subject's facts read.
+SUBJECT_CODES = {"registration": ["REG_TYPE", "REG_STATUS", "CLASSIFICATION"],
+                 "compliance": ["COMP_STATUS", "COMP_RESULT"],
+                 "verification": ["VERIF_METHOD", "VERIF_STATUS", "VERIF_RESULT"]}
 
 
 def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -40,7 +44,8 @@ def fact(spark: SparkSession, sf_dir: str, subject: str, keys: bool = False,
 
 def registration_star(spark: SparkSession, sf_dir: str, extra_roles: dict | None = None) -> DataFrame:
     """Registration fact with calendar, state/country and status/type/classification names."""
-    dm = domain.dims(spark, sf_dir, with_zipcode=False, need=REPORT_DIMS)
+    dm = domain.dims(spark, sf_dir, with_zipcode=False, need=REPORT_DIMS,
+                     code_categories=SUBJECT_CODES["registration"])
     f = fact(spark, sf_dir, "registration", dims=dm, skip=("file",))
     roles = {
         "reg": (dm["d_date"], "registration_date_key", "date_key",
@@ -60,7 +65,8 @@ def subject_star(spark: SparkSession, sf_dir: str, subject: str, codes: dict[str
 
     ``codes``: ``{role: fact code-key column}``; each brings ``<role>_code_value``.
     """
-    dm = domain.dims(spark, sf_dir, with_zipcode=False, need=REPORT_DIMS)
+    dm = domain.dims(spark, sf_dir, with_zipcode=False, need=REPORT_DIMS,
+                     code_categories=SUBJECT_CODES[subject])
     f = fact(spark, sf_dir, subject, dims=dm, skip=("file",))
     date_col = f"{subject}_date_key"
     roles = {"day": (dm["d_date"], date_col, "date_key", ["date_value", "year", "month"]),

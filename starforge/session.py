@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library assumes. AQE re-plans joins and coalesces shuffle
 # partitions from runtime sizes; skew-join splits a hot key's partition.
@@ -62,3 +63,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
+    folder and reading it back. One computation, columnar write; a lost
+    executor afterwards re-reads files instead of recomputing the plan."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"materialized/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
