@@ -24,9 +24,9 @@ def allowed_states(d_state: DataFrame, grants: DataFrame, user) -> DataFrame:
     by_region = d_state.join(g.filter(F.col("role") == ROLE_REGION).select(F.col("member").alias("country_name")),
                              "country_name", "left_semi")
     parts = [by_state.select("state_key"), by_region.select("state_key")]
-    has_all = g.filter(F.col("role") == ROLE_ALL).select(F.lit(ROLE_ALL).alias("role")).distinct()
-    parts.append(d_state.withColumn("role", F.lit(ROLE_ALL)).join(has_all, "role", "left_semi")
-                 .select("state_key"))
+    # the ALL role is a yes/no for the user: a scalar subquery, not a join
+    has_all = g.filter(F.col("role") == ROLE_ALL).agg(F.count(F.lit(1)) > 0).scalar()
+    parts.append(d_state.filter(has_all).select("state_key"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
 
 

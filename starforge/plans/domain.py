@@ -67,6 +67,11 @@ def _day_file(prefix: str, ts_col: str):
     return F.concat(F.lit(prefix + "_"), date_key(F.col(ts_col)).cast("string"), F.lit(".parquet"))
 
 
+def _feed_of(file_col):
+    """Feed (source system) named by a landing file: ``orders_19981003.parquet`` → ``ORDERS``."""
+    return F.upper(F.substring_index(file_col, "_", 1))
+
+
 def _state_code(c):
     return F.lpad(F.col(c).cast("string"), 2, "0")
 
@@ -99,7 +104,7 @@ def stg_registration(spark: SparkSession, sf_dir: str, batch_ts: str = BATCH_TS)
         F.col("o_orderpriority").alias("registration_type"),
         classification(F.col("o_totalprice")).alias("classification"),
         F.col("c_mktsegment").alias("registration_method"),
-        F.lit("ORDERS").alias("source_system"),
+        _feed_of(_day_file("orders", "o_orderdate")).alias("source_system"),
         _day_file("orders", "o_orderdate").alias("source_file_name"),
     )
     return _stamp(out, schemas.STG_REGISTRATION, batch_ts)
@@ -124,7 +129,7 @@ def stg_compliance(spark: SparkSession, sf_dir: str, batch_ts: str = BATCH_TS) -
         F.lit("SHIPMENT").alias("source_list_type"),
         F.year("l_shipdate").alias("source_year"),
         _state_code("s_nationkey").alias("state"),
-        F.lit("LINEITEM").alias("source_system"),
+        _feed_of(_day_file("lineitem", "l_shipdate")).alias("source_system"),
         _day_file("lineitem", "l_shipdate").alias("source_file_name"),
         (F.col("l_discount") * 100).cast("decimal(5,2)").alias("compliance_score"),
     )
@@ -163,7 +168,7 @@ def stg_verification(spark: SparkSession, sf_dir: str, batch_ts: str = BATCH_TS)
         F.least(v, F.lit(100.0)).cast("decimal(5,2)").alias("match_score"),
         F.col("props").alias("verification_flags"),
         F.lit(None).cast("string").alias("state"),
-        F.lit("EVENTS").alias("source_system"),
+        _feed_of(_day_file("events", "ts")).alias("source_system"),
         _day_file("events", "ts").alias("source_file_name"),
     )
     return _stamp(out, schemas.STG_VERIFICATION, batch_ts)
