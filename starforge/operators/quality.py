@@ -40,18 +40,19 @@ def _result(table: str, name: str, ctype: str, checked: Column, failed: Column,
             F.lit(None).cast("string").alias("details")]
 
 
+def _emit(counts: DataFrame, results: list[list[Column]]) -> DataFrame:
+    """One output row per check from a one-row aggregate: an array of structs
+    exploded in a single branch (the aggregate is planned and run once)."""
+    return counts.select(F.explode(F.array(*[F.struct(*r) for r in results])).alias("_r")).select("_r.*")
+
+
 def check_not_null(df: DataFrame, cols: Sequence[str], table: str, ts) -> DataFrame:
     """Completeness (Q-01): one aggregate pass for every column."""
     aggs = [F.count(F.lit(1)).alias("_n")] + [
         F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(cols)]
     counts = df.agg(*aggs)
-    parts = [counts.select(*_result(table, f"{c}_not_null", "COMPLETENESS", F.col("_n"),
-                                    F.col(f"_null_{i}"), THRESHOLD_COMPLETENESS, False, ts))
-             for i, c in enumerate(cols)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _emit(counts, [_result(table, f"{c}_not_null", "COMPLETENESS", F.col("_n"), F.col(f"_null_{i}"),
+                                  THRESHOLD_COMPLETENESS, False, ts) for i, c in enumerate(cols)])
 
 
 def _checks_row(df: DataFrame, subject_cfg: Mapping, as_of) -> DataFrame:
@@ -92,19 +93,15 @@ def run_checks(df: DataFrame, subject: str, check_ts, as_of=None) -> DataFrame:
     table = f"staging.{cfg['table']}"
     as_of = check_ts if as_of is None else as_of
     row = _checks_row(df, cfg, as_of)
-    parts = [row.select(*_result(table, f"{c}_not_null", "COMPLETENESS", F.col("_n"),
-                                 F.col(f"_null_{i}"), THRESHOLD_COMPLETENESS, False, check_ts))
-             for i, c in enumerate(cfg["required"])]
-    parts.append(row.select(*_result(table, f"{cfg['date']}_valid_range", "VALIDITY", F.col("_n"),
-                                     F.col("_bad_date"), THRESHOLD_VALIDITY, True, check_ts)))
+    results = [_result(table, f"{c}_not_null", "COMPLETENESS", F.col("_n"), F.col(f"_null_{i}"),
+                       THRESHOLD_COMPLETENESS, False, check_ts) for i, c in enumerate(cfg["required"])]
+    results.append(_result(table, f"{cfg['date']}_valid_range", "VALIDITY", F.col("_n"),
+                           F.col("_bad_date"), THRESHOLD_VALIDITY, True, check_ts))
     uniq = _result(table, f"{cfg['id']}_unique", "CONSISTENCY", F.col("_n"), F.col("_dup_keys"),
                    THRESHOLD_UNIQUENESS, False, check_ts)
     uniq[-1] = F.concat(F.lit("duplicate_rows="), F.col("_dup_rows").cast("string")).alias("details")
-    parts.append(row.select(*uniq))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    results.append(uniq)
+    return _emit(row, results)
 
 
 def check_range(df: DataFrame, c: str, lo, hi, table: str, ts, threshold: float = THRESHOLD_VALIDITY) -> DataFrame:
@@ -154,13 +151,8 @@ def check_types(df: DataFrame, schema: T.StructType, table: str, ts) -> DataFram
         F.count_if(~_type_ok(fl.name, fl.dataType, fl.metadata.get("max_length"))).alias(f"_bad_{i}")
         for i, fl in enumerate(fields)]
     counts = df.agg(*aggs)
-    parts = [counts.select(*_result(table, f"{fl.name}_type", "CONFORMITY", F.col("_n"),
-                                    F.col(f"_bad_{i}"), 100.0, False, ts))
-             for i, fl in enumerate(fields)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _emit(counts, [_result(table, f"{fl.name}_type", "CONFORMITY", F.col("_n"), F.col(f"_bad_{i}"),
+                                  100.0, False, ts) for i, fl in enumerate(fields)])
 
 
 def flag_rows(df: DataFrame, subject: str, as_of) -> DataFrame:

@@ -48,12 +48,19 @@ def growth(monthly_df: DataFrame, periods: int = 1, name: str = "growth") -> Dat
 
 
 def same_period_last_year(monthly_df: DataFrame) -> DataFrame:
-    """Total of the same month one year earlier (W-04): a self join on
-    ``add_months(-12)``, so a gap in the spine cannot shift it."""
-    prev = monthly_df.select(F.add_months("month_start", 12).alias("month_start"),
-                             F.col("total").alias("last_year_total"))
-    return monthly_df.join(prev, "month_start", "left") \
-        .withColumn("last_year_total", F.col("last_year_total").cast("long"))
+    """Total of the same month one year earlier (W-04).
+
+    On the dense spine of :func:`monthly` the month twelve rows back is the
+    same calendar month a year earlier, so ``lag(12)`` finds it in one pass
+    (no self join, which would plan the whole input twice). The lagged month
+    is checked, so a frame without the dense spine still gets NULL, not a
+    wrong month.
+    """
+    w = _series_window()
+    lag_m = F.lag("month_start", 12).over(w)
+    lag_t = F.lag("total", 12).over(w)
+    same = lag_m == F.add_months("month_start", -12)
+    return monthly_df.withColumn("last_year_total", F.when(same, lag_t).cast("long"))
 
 
 def yoy(monthly_df: DataFrame) -> DataFrame:
