@@ -54,7 +54,7 @@ def agg_registration_daily(spark, sf):
 
 # ------------------------------------------------------------------ calendar
 
-@query("d_date", "D-07 S-05 F-05 F-06 F-07 F-08 F-09 F-10", """
+@query("d_date", "D-07 S-05 F-05 F-06 F-07 F-08 F-09 F-10 F-14 W-01", """
 WITH b AS (SELECT make_date(CAST(year(min(o_orderdate)) AS INTEGER), 1, 1) AS s,
                   make_date(CAST(year(max(o_orderdate)) AS INTEGER), 12, 31) AS e FROM orders),
 days AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS d FROM b)
@@ -108,7 +108,7 @@ LEFT JOIN d_data_source ds ON ds.source_system = ft.source_system
 LEFT JOIN d_file f ON f.file_name = ft.source_file_name"""
 
 
-@query("fact_registration", "X-01 J-02 J-03 J-04 J-05 J-06 J-16 F-13 W-07 W-08 D-01 P-03 P-05", _REG_FACT_SQL)
+@query("fact_registration", "X-01 J-02 J-03 J-04 J-05 J-06 J-16 F-13 W-07 W-08 D-01 P-03 P-05 F-01 F-02 F-04 F-15 P-01 P-02 S-03", _REG_FACT_SQL)
 def fact_registration(spark, sf):
     return warehouse.fact(spark, sf, "registration", keys=True, zipcode=True, person_counts=True)
 
@@ -200,7 +200,7 @@ for _subj, _id, _date, _req in [
             return quality.run_checks(domain.staging(spark, sf, subj), subj, domain.BATCH_TS)
         fn.__name__ = f"dq_{subj}"
         return fn
-    query(f"dq_{_subj}", "Q-01 Q-02 Q-03 Q-07 S-09", _dq_sql(_subj, _id, _date, _req))(_make(_subj))
+    query(f"dq_{_subj}", "Q-01 Q-02 Q-03 Q-07 S-09 F-03 F-18 F-19 P-06 P-07 P-01 P-02", _dq_sql(_subj, _id, _date, _req))(_make(_subj))
 
 
 # more registered queries live in sibling modules; importing them registers them

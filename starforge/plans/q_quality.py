@@ -160,7 +160,7 @@ def date_stats(spark, sf):
     return out
 
 
-@query("code_dimension", "D-08 S-04 J-19 U-02", with_ctes("d_code") + """
+@query("code_dimension", "D-08 S-04 J-19 U-02 A-14", with_ctes("d_code") + """
 SELECT code_key, code_id, code_category_key, code_value,
        CAST(row_number() OVER (PARTITION BY code_category_key ORDER BY code_value) AS INTEGER) AS display_order
 FROM d_code""")
@@ -180,8 +180,9 @@ def file_information(spark, sf):
     return domain.d_file(spark, sf).select("file_key", "file_name", "record_count", "data_source_key")
 
 
-@query("geo_hierarchy", "J-16 J-04", with_ctes("d_state") + """
-SELECT CAST(c.c_custkey AS VARCHAR) AS zipcode, s.state_name, s.country_name
+@query("geo_hierarchy", "J-16 J-04 F-17", with_ctes("d_state") + """
+SELECT CAST(c.c_custkey AS VARCHAR) AS zipcode, s.state_name, s.country_name,
+       left(s.country_name, 2) AS country_code_iso2
 FROM customer c LEFT JOIN d_state s ON lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') = s.state_code""")
 def geo_hierarchy(spark, sf):
     """Zipcode → state → country, walking the snowflake one level at a time."""
@@ -189,5 +190,6 @@ def geo_hierarchy(spark, sf):
     base = c.select(F.col("c_custkey").cast("string").alias("zipcode"),
                     F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("state_code"))
     out = lookup.hierarchy(base, [(domain.d_state(spark, sf), "state_code", ["state_name", "country_key"]),
-                                  (domain.d_country(spark, sf), "country_key", ["country_name"])])
-    return out.select("zipcode", "state_name", "country_name")
+                                  (domain.d_country(spark, sf), "country_key",
+                                   ["country_name", "country_code_iso2"])])
+    return out.select("zipcode", "state_name", "country_name", "country_code_iso2")

@@ -393,7 +393,7 @@ def rls_registrations(spark, sf):
     return seen.join(names, "state_key", "left").select("registration_id", "state_name")
 
 
-@query("report_sliced", "P-09 P-12 P-11", REG + """
+@query("report_sliced", "P-09 P-12 P-11 F-16", REG + """
 SELECT registration_id, registration_date, registration_status AS status FROM stg_registration
 WHERE year(registration_date) = 1998 AND quarter(registration_date) IN (1, 2)
   AND registration_status IN ('F', 'O') AND registration_type IN ('1-URGENT', '2-HIGH')""")

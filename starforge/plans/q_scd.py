@@ -73,7 +73,7 @@ applied AS (
 """
 
 
-@query("scd2_classify", "D-05 J-01 D-01", _CUR + "SELECT p_partkey, action FROM cmp")
+@query("scd2_classify", "D-05 J-01 D-01 F-01 F-02", _CUR + "SELECT p_partkey, action FROM cmp")
 def scd2_classify(spark, sf):
     out = scd.classify(part_source(spark, sf), part_dimension(spark, sf), NK, TRACKED)
     return out.select("p_partkey", "action")

@@ -167,3 +167,17 @@ def test_create_all_and_list_tables(spark, tmp_path):
     kinds = dict(rows(tables.list_tables(spark, "dw"), "table_name", "table_kind"))
     assert kinds["d_code"] == "dimension" and kinds["f_registration_hist"] == "history"
     assert kinds["f_registration"] == "fact"
+
+
+def test_fill_missing_and_table_as(spark, tmp_path):
+    from starforge.operators.staging import fill_missing, latest_per_key, latest_per_key_agg
+    df = spark.createDataFrame([(1, None), (2, "x")], "id int, v string")
+    out = fill_missing(df, {"v": "unknown", "w": 0})
+    assert rows(out) == [(1, "unknown", 0), (2, "x", 0)]
+    t = tables.create_table_as(out, "tmp_fill", str(tmp_path / "tmp_fill"))
+    tables.insert_into(spark.createDataFrame([(3, "y", 1)], "id int, v string, w int"), "tmp_fill")
+    assert t.sparkSession.table("tmp_fill").count() == 3
+    dup = spark.createDataFrame([(1, 5, "a"), (1, 7, "b"), (2, 1, "c")], "k int, ts int, v string")
+    a = rows(latest_per_key(dup, ["k"], [F.col("ts").desc()]), "k", "v")
+    b = rows(latest_per_key_agg(dup, ["k"], "ts"), "k", "v")
+    assert a == b == [(1, "b"), (2, "c")]
