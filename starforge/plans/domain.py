@@ -85,7 +85,9 @@ def stg_registration(spark: SparkSession, sf_dir: str, batch_ts: str = BATCH_TS)
     # nations and regions are fixed reference lists (25 and 5 rows at every scale)
     geo = F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name"))
     people = c.join(geo, c.c_nationkey == geo.n_nationkey, "left")
-    df = o.join(people, o.o_custkey == people.c_custkey, "left")
+    # customers grow with the data: broadcast only under the checked bound,
+    # otherwise a shuffle join on the customer key
+    df = o.join(bounded_broadcast(people), o.o_custkey == people.c_custkey, "left")
     out = df.select(
         F.col("o_orderkey").cast("string").alias("registration_id"),
         F.col("c_name").alias("first_name"),
