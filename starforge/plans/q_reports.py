@@ -71,7 +71,8 @@ def report_by_type(spark, sf):
     f = warehouse.fact(spark, sf, "registration", dims=dm, skip=("file",))
     roles = {"status": "registration_status_code_key", "type": "registration_type_code_key"}
     f = lookup.with_role(f, roles, "type", "code_key_in_use")
-    codes = F.broadcast(dm["d_code"].select(F.col("code_key").alias("code_key_in_use"), "code_value"))
+    codes = lookup.bounded_broadcast(dm["d_code"].select(F.col("code_key").alias("code_key_in_use"), "code_value"),
+                                     broadcast=True if "d_code" in dm.small else None)
     return f.join(codes, "code_key_in_use", "left").groupBy(F.col("code_value").alias("type")) \
         .agg(F.count(F.lit(1)).alias("registration_count"))
 

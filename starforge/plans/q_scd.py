@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import scd
-from ..operators.keys import small_keys
+from ..operators.keys import assign_keys, small_keys
 from . import domain
 from .catalog import query
 
@@ -32,9 +32,7 @@ def part_dimension(spark, sf):
         .filter(F.col("first_sale") < F.lit(SCD_BATCH_TS).cast("timestamp"))
     p = part_source(spark, sf).join(first, F.col("p_partkey") == F.col("l_partkey"), "left_semi")
     p = p.withColumn("p_size", F.when(F.col("p_size") > 40, F.col("p_size") - 1).otherwise(F.col("p_size")))
-    # part dimension keys: distributed numbering is used by scd2_apply for new rows;
-    # the starting state is numbered in natural-key order
-    from ..operators.keys import assign_keys
+    # the starting state is numbered in natural-key order (distributed numbering)
     keyed = assign_keys(p, "part_key", NK)
     return keyed.select("part_key", "p_partkey", "p_name", "p_brand", "p_type", "p_size",
                         F.lit(domain.DIM_START_TS).cast("timestamp").alias("effective_start_dt"),

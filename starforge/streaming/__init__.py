@@ -1 +1,6 @@
-"""streaming."""
+"""Structured Streaming forms of the batch steps: ingest once, windowed alarm, micro-batch upsert."""
+
+from .stream import (alarms_from_periods, ingest_new_files, stream_alarm, stream_upsert,
+                     window_counts_stream)
+
+__all__ = ["alarms_from_periods", "ingest_new_files", "stream_alarm", "stream_upsert", "window_counts_stream"]
