@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.dates import completed_years, date_key
 from ..functions.hashing import change_hash
+from ..session import materialize
 from .keys import assign_keys
 from .lookup import lookup, lookup_code, lookup_date
 from .staging import strip_pii, valid
@@ -287,7 +288,7 @@ def upsert_fact(existing: DataFrame, split: DataFrame, key: str, sk: str, batch_
 
 def load_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str, mode: str,
               existing: DataFrame | None = None, hist: DataFrame | None = None, batch_ts=None,
-              hash_mode: str = "safe", update_current: bool = True, **kw):
+              hash_mode: str = "safe", update_current: bool = True, materialize_split: bool = True, **kw):
     """INITIAL: the whole fact (written with overwrite, so a rerun does not
     double it). INCREMENTAL: ``(fact, history)`` next states (X-06)."""
     spec = FACT_SPECS[subject]
@@ -300,6 +301,10 @@ def load_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str, m
         raise ValueError("INCREMENTAL needs the existing fact")
     built = build_fact(staging, dims, subject, batch_ts, hash_mode, assign=False, **kw)
     split = split_changes(built, existing, spec["id"])
+    if materialize_split:
+        # the split feeds both the fact upsert and the history: write it once
+        # (shared checkpoint folder) so the batch is built and compared once
+        split = materialize(split, f"split-{subject}")
     fact = upsert_fact(existing, split, spec["id"], spec["key"], batch_ts, update_current)
     hist_cols = {"registration": ["registration_date_key", "registration_status_code_key",
                                   "registration_type_code_key", "zipcode_key", "state_key"],
