@@ -41,22 +41,31 @@ def get_spark(master: str | None = None, app: str = "starforge",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` usable.
+    """The shared folder for checkpoints and written intermediate tables.
 
-    On a cluster the shared folder comes from ``spark.checkpoint.dir``; we read
-    it from the session and never replace it. Only when nothing is configured
-    (unit tests on a laptop) do we fall back to a fresh local folder.
+    On a cluster it comes from ``spark.checkpoint.dir``; we read it from the
+    session and never replace it. Only when nothing is configured (unit tests
+    on a laptop) do we fall back to a fresh local folder.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no SparkContext
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    else:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="starforge-ckpt-")
-    os.makedirs(configured, exist_ok=True) if configured.startswith("/") else None
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if configured.startswith("/"):
+        os.makedirs(configured, exist_ok=True)
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
