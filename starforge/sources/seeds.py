@@ -28,13 +28,14 @@ CODES = {
                    ("CANCELLED", "Cancelled", 4), ("SUSPENDED", "Suspended", 5)],
 }
 
-# Data sources (id, name, type, source system, schedule).
+# Data sources (id, name, type, source system, schedule). System names are
+# the seeded ones without the platform-name prefix they carry in the seed script.
 DATA_SOURCES = [
-    ("SRC_INTERNET", "Internet", "Online", "RCV Web Portal", "Real-time"),
-    ("SRC_IVR", "IVR", "Phone", "RCV IVR System", "Real-time"),
+    ("SRC_INTERNET", "Internet", "Online", "Web Portal", "Real-time"),
+    ("SRC_IVR", "IVR", "Phone", "IVR System", "Real-time"),
     ("SRC_DMV", "DMV", "Integration", "DMV System", "Daily"),
     ("SRC_BATCH", "Batch File", "File", "Batch Processing", "Daily"),
-    ("SRC_MOBILE", "Mobile App", "Mobile", "RCV Mobile App", "Real-time"),
+    ("SRC_MOBILE", "Mobile App", "Mobile", "Mobile App", "Real-time"),
 ]
 
 # Country (id, name, iso2, iso3) and states (code, name).

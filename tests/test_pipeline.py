@@ -24,17 +24,17 @@ def raw(spark, data):
 
 BATCH1 = [
     ("REG001", "IL", "62701", dt.date(2025, 1, 15), dt.date(1990, 5, 20), "ACTIVE", "NEW", "Internet",
-     "RCV Web Portal", "batch_20250115.csv"),
+     "Web Portal", "batch_20250115.csv"),
     ("REG002", "IL", "60601", dt.date(2025, 1, 16), dt.date(1985, 8, 15), "ACTIVE", "NEW", "Internet",
-     "RCV Web Portal", "batch_20250116.csv"),
+     "Web Portal", "batch_20250116.csv"),
     ("REG003", "IL", "61602", dt.date(2025, 1, 17), dt.date(1992, 3, 10), "PENDING", "RENEWAL", "DMV",
      "DMV System", "batch_20250117.csv"),
 ]
 BATCH2 = [
     ("REG004", "IL", "61101", dt.date(2025, 1, 21), dt.date(1988, 11, 25), "ACTIVE", "NEW", "Mobile",
-     "RCV Mobile App", "batch_20250121.csv"),
+     "Mobile App", "batch_20250121.csv"),
     ("REG002", "IL", "60601", dt.date(2025, 1, 21), dt.date(1985, 8, 15), "INACTIVE", "UPDATE", "Internet",
-     "RCV Web Portal", "batch_20250121.csv"),
+     "Web Portal", "batch_20250121.csv"),
 ]
 
 
