@@ -193,3 +193,16 @@ def geo_hierarchy(spark, sf):
                                   (domain.d_country(spark, sf), "country_key",
                                    ["country_name", "country_code_iso2"])])
     return out.select("zipcode", "state_name", "country_name", "country_code_iso2")
+
+
+@query("landed_files", "D-09 S-01")
+def landed_files(spark, sf):
+    """One row per landed source file with its size and record count, from the
+    file metadata of the reads (no SQL form: file sizes are not in the views)."""
+    from ..sources.files import file_information
+    out = None
+    for name, tbl, _c in domain.SOURCE_FILES:
+        f = file_information(domain.table(spark, sf, tbl), name)
+        out = f if out is None else out.unionByName(f)
+    return out.select("source_system", "file_name", F.col("file_size_bytes").cast("long"),
+                      F.col("record_count").cast("long"))

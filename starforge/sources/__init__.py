@@ -1,10 +1,10 @@
 """Sources: raw files, CSV, warehouse tables, seeds, calendar, archive."""
 
 from .calendar import build_d_date, date_series, month_spine
-from .files import (csv_to_parquet, high_water_mark, incremental_extract, read_archive,
+from .files import (csv_to_parquet, file_information, high_water_mark, incremental_extract, read_archive,
                     read_raw, read_table, seed_rows)
 
 __all__ = [
-    "build_d_date", "csv_to_parquet", "date_series", "high_water_mark", "incremental_extract",
+    "build_d_date", "csv_to_parquet", "date_series", "file_information", "high_water_mark", "incremental_extract",
     "month_spine", "read_archive", "read_raw", "read_table", "seed_rows",
 ]

@@ -70,3 +70,17 @@ def high_water_mark(runlog: DataFrame, job_name: str) -> DataFrame:
     """One-row frame with the last processed date of the latest successful run."""
     return (runlog.filter((F.col("job_name") == job_name) & (F.col("status") == "SUCCESS"))
             .agg(F.max("last_processed_date").alias("last_processed_date")))
+
+
+def file_information(df: DataFrame, source_system: str | None = None) -> DataFrame:
+    """One row per landed file read by ``df`` (D-09): path, name, size and
+    record count, from the file source's hidden ``_metadata`` column. A
+    grouped count (partial aggregation per task), so the size of the input
+    does not matter; ``df`` must come straight from a file read."""
+    m = df.select(F.col("_metadata.file_path").alias("file_path"),
+                  F.col("_metadata.file_name").alias("file_name"),
+                  F.col("_metadata.file_size").alias("file_size_bytes"))
+    out = m.groupBy("file_path", "file_name", "file_size_bytes").agg(F.count(F.lit(1)).alias("record_count"))
+    if source_system is not None:
+        out = out.withColumn("source_system", F.lit(source_system))
+    return out
