@@ -39,9 +39,8 @@ def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], key: str, out:
     Left join: unmatched rows keep a NULL key, or ``unknown`` when given.
     Only the key, the match columns and ``extra`` columns of the dimension are
     shipped (column pruning reaches the scan); they keep their own names until
-    after the join, so two lookups against the same dimension projection plan
-    the same broadcast and Spark reuses it. The dimension must be unique on
-    the match columns (checked by ``check_scd2``), otherwise rows multiply.
+    after the join. The dimension must be unique on the match columns
+    (checked by ``check_scd2``), otherwise rows multiply.
     """
     out = out or key
     if active_only:
@@ -86,8 +85,8 @@ def lookup_code(df: DataFrame, d_code: DataFrame, d_code_category: DataFrame, ca
 
     The category is matched by its id (e.g. ``REG_STATUS``), not by a code
     value, so a status column finds the status codes. The match is an
-    equi-join on (category id, value) against the whole active code list, so
-    every code lookup of a fact plans the same broadcast (reused once built).
+    equi-join on (category id, value); Catalyst pushes the category into the
+    shipped side, so each lookup broadcasts only that category's codes.
     """
     cat = d_code_category.filter(F.col("is_active")).select("code_category_key", "code_category_id")
     codes = d_code.filter(F.col("is_active")).join(F.broadcast(cat), "code_category_key") \
@@ -120,8 +119,8 @@ def star(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str, str, Sequence
     """Star join (J-11): ``{role: (dim, fact_key, dim_key, columns)}``.
 
     Each dimension brings ``columns`` renamed ``<role>_<column>`` unless the
-    column name already starts with the role. The shipped projection keeps the
-    dimension's names, so a dimension playing two roles is broadcast once.
+    column name already starts with the role. Only the key and the requested
+    columns of each dimension are shipped.
     """
     out = fact
     for role, (dim, fk, pk, cols) in dims.items():
