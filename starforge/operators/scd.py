@@ -120,9 +120,11 @@ def scd2_apply(source: DataFrame, dim: DataFrame, natural_key: Sequence[str], tr
     * new keys and new versions: appended with keys after the current maximum,
       numbered in natural-key order (:func:`assign_keys`).
 
-    Active rows and the source meet in one full outer join on the natural key
-    (one shuffle of each side); both outputs read that join, so Spark reuses
-    the exchanges. Write the result as a new table version (see ``tables``).
+    Active rows and the source meet in a full outer join on the natural key.
+    Catalyst specializes it per output (an outer join keeping the current
+    versions for the kept/closed rows, another for the new versions), each
+    shuffling both sides once by the key; no row reaches the driver. Write the
+    result as a new table version (see ``tables``).
     """
     ts = _ts(batch_ts)
     if dedup:
