@@ -110,7 +110,7 @@ def scd2_apply(source: DataFrame, dim: DataFrame, natural_key: Sequence[str], tr
                expire_missing: bool = False, type1_columns: Sequence[str] = (),
                dedup: bool = True, hash_col: str | None = None,
                key_checkpoint: bool = True) -> DataFrame:
-    """Next full state of an SCD2 dimension (D-03), in one pass, no driver collect.
+    """Next full state of an SCD2 dimension (D-03) as one lazy plan, no driver collect.
 
     * inactive history rows: unchanged;
     * active rows: closed (``effective_end_dt = batch_ts``, inactive) when
