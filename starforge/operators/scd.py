@@ -71,7 +71,7 @@ def scd2_diff(source: DataFrame, dim: DataFrame, natural_key: Sequence[str], tra
     ``inserts``: source rows of new keys and new versions of changed keys,
     with ``effective_start_dt = batch_ts``, open end, active. Helper columns
     are dropped. ``expire_keys``: surrogate keys of the versions to close.
-    Use :func:`scd2_apply` to get the whole next state in one pass instead.
+    Use :func:`scd2_apply` to get the whole next state as one frame instead.
     """
     src, cur = _hashed_pair(source, dim, natural_key, tracked, hash_mode, hash_col)
     j = src.join(cur.select(*natural_key, surrogate_key, "_h_cur", F.lit(True).alias("_hit")),
