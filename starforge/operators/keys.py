@@ -58,8 +58,3 @@ def small_keys(df: DataFrame, key: str, order: Sequence, start=0) -> DataFrame:
     start_c = start if isinstance(start, Column) else F.lit(start)
     return df.withColumn(key, (start_c + F.row_number().over(Window.orderBy(*_order_cols(order))))
                          .cast("long"))
-
-
-def next_key_start(dim: DataFrame, key: str) -> DataFrame:
-    """One-row frame ``_sf_start`` = max existing key (0 for an empty dimension)."""
-    return dim.agg(F.coalesce(F.max(key), F.lit(0)).cast("long").alias("_sf_start"))

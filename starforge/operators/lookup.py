@@ -98,11 +98,6 @@ def lookup_code(df: DataFrame, d_code: DataFrame, d_code_category: DataFrame, ca
     return res.drop(tmp)
 
 
-def date_key_of(c) -> Column:
-    """Arithmetic date key, for callers that know the calendar covers the date."""
-    return _date_key(c)
-
-
 def hierarchy(base: DataFrame, levels: Sequence[tuple[DataFrame, str, Sequence[str]]],
               how: str = "left", broadcast: bool | None = None) -> DataFrame:
     """Walk a snowflake (J-16): for each ``(dim, key, columns)`` join on ``key``

@@ -75,7 +75,3 @@ def subject_star(spark: SparkSession, sf_dir: str, subject: str, codes: dict[str
         roles[role] = (dm["d_code"], col, "code_key", ["code_value"])
     checked = {"d_date", "d_state", "d_code"} <= dm.small
     return star(f, roles, how="left", broadcast=True if checked else None)
-
-
-def month_col(date_col: str = "reg_date_value"):
-    return F.trunc(F.col(date_col), "month")
