@@ -58,3 +58,19 @@ def test_stream_alarm_matches_batch_rule(spark, tmp_path):
     stream_alarm(spark, sdf, "ts", "value", "Maximum", 50.0, 3, sink, str(tmp_path / "ck"))
     got = rows(alarms_from_periods(spark, sink, 50.0, 3), "period_start")
     assert got == [(t + dt.timedelta(minutes=10),)]
+
+
+def test_bounded_broadcast_falls_back_to_a_shuffle_join(spark):
+    fact = spark.range(1000).select((F.col("id") % 50).alias("k"))
+    dim = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only our hint may broadcast
+    try:
+        small = lookup.lookup(fact, dim, {"k": "k"}, "v", max_rows=100)
+        big = lookup.lookup(fact, dim, {"k": "k"}, "v", max_rows=10)
+        plan = lambda df: spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+        assert "BroadcastHashJoin" in plan(small)
+        assert "BroadcastHashJoin" not in plan(big)
+        assert rows(small) == rows(big)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
