@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 #: Rows per Arrow batch sent to Python. Texts may be long, so batches are small.
 ARROW_ROWS = 256
@@ -17,35 +22,72 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this library to the Python workers, once per application, so that
+    tasks can import it wherever they run."""
+    sc = spark.sparkContext
+    if any(os.path.basename(str(f)) == "starforge.zip" for f in sc.listFiles):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="starforge-code-"), "starforge.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the memory of Arrow batches of whole texts."""
+    ship_code(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
-def text_groups(ids: list, texts: list, chars: int = GROUP_CHARS) -> Iterator[tuple[list, list]]:
-    """Split a batch into runs of about ``chars`` code points (a longer text is
-    a run of its own); None becomes the empty text."""
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def text_groups(texts: list, chars: int = GROUP_CHARS) -> Iterator[tuple[int, int]]:
+    """Runs of rows holding about ``chars`` code points; a longer text is a run
+    of its own."""
     a, size = 0, 0
     for b, t in enumerate(texts):
         n = len(t) if t else 0
         if b > a and size + n > chars:
-            yield ids[a:b], [x or "" for x in texts[a:b]]
+            yield a, b
             a, size = b, 0
         size += n
     if len(texts) > a:
-        yield ids[a:], [x or "" for x in texts[a:]]
+        yield a, len(texts)
 
 
-def map_texts(df: DataFrame, id_col: str, text_col: str, fn, schema: str, arrow_schema: pa.Schema) -> DataFrame:
-    """``fn(ids, texts) -> dict of columns`` over runs of whole texts, without a
-    shuffle. The result has the columns of ``schema`` only."""
+def map_texts(df: DataFrame, id_col: str, text_col: str, fn, fields: list[tuple[str, pa.DataType]], carry: bool = False) -> DataFrame:
+    """``fn(ids, texts) -> dict of lists`` over runs of whole texts (None
+    becomes the empty text), without a shuffle. The result has the columns of
+    ``fields``; with ``carry`` they follow all columns of ``df``, and ``fn``
+    must give one value per row."""
     small_batches(df.sparkSession)
+    new = pa.schema(fields)
+    added = [T.StructField(f.name, from_arrow_type(f.type)) for f in new]
+    source = df if carry else df.select(df[id_col], df[text_col])
+    at = [source.columns.index(id_col), source.columns.index(text_col)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, texts in text_groups(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                cols = fn(ids, texts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[f.name], type=f.type) for f in arrow_schema], schema=arrow_schema)
+            ids, texts = (batch.column(i).to_pylist() for i in at)
+            for a, b in text_groups(texts):
+                cols = fn(ids[a:b], [t or "" for t in texts[a:b]])
+                made = [pa.array(cols[f.name], type=f.type) for f in new]
+                if carry:
+                    part = batch.slice(a, b - a)
+                    yield pa.RecordBatch.from_arrays([*part.columns, *made], schema=pa.schema([*part.schema, *new]))
+                else:
+                    yield pa.RecordBatch.from_arrays(made, schema=new)
 
-    return df.select(df[id_col], df[text_col]).mapInArrow(run, schema)
+    return source.mapInArrow(run, T.StructType([*(df.schema.fields if carry else []), *added]))

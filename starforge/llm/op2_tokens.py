@@ -207,11 +207,11 @@ def unit_counts(path: str) -> UnitCounts:
 
 def token_counts(df: DataFrame, path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_bytes, n_tokens, over_limit."""
-    schema = pa.schema([(id_col, pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
+    fields = [(id_col, pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())]
 
     def run(keys, texts):
         counts = unit_counts(path)
         n = [count_text(counts, t) for t in texts]
         return {id_col: keys, "n_bytes": [len(t.encode()) for t in texts], "n_tokens": n, "over_limit": [x > limit for x in n]}
 
-    return map_texts(df, id_col, text_col, run, f"`{id_col}` long, n_bytes long, n_tokens long, over_limit boolean", schema)
+    return map_texts(df, id_col, text_col, run, fields)

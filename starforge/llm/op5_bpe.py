@@ -129,19 +129,19 @@ def encode_texts(texts: list[str], path: str) -> list[list[int]]:
 
 def encode_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, ``ids`` (array of int), ``decoded``."""
-    schema = pa.schema([(id_col, pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+    fields = [(id_col, pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
 
     def run(keys, texts):
         ids = encode_texts(texts, path)
         return {id_col: keys, "ids": ids, "decoded": [decode(load(path), x) for x in ids]}
 
-    return map_texts(df, id_col, text_col, run, f"`{id_col}` long, ids array<int>, decoded string", schema)
+    return map_texts(df, id_col, text_col, run, fields)
 
 
 def encode_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_tokens, ids_sha256 and decoded_sha256, made
     in the task that encodes, so ids and decoded texts are never shipped."""
-    schema = pa.schema([(id_col, pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    fields = [(id_col, pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
 
     def run(keys, texts):
         encoder, fill = cached(path, "strings", lambda bpe, ids: (len(ids), " ".join(map(str, ids)), decode(bpe, ids)))
@@ -155,4 +155,4 @@ def encode_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                 out[name].append(hashlib.sha256(" ".join([p[k] for p in parts]).encode()).hexdigest())
         return out
 
-    return map_texts(df, id_col, text_col, run, f"`{id_col}` long, n_tokens long, ids_sha256 string, decoded_sha256 string", schema)
+    return map_texts(df, id_col, text_col, run, fields)

@@ -113,13 +113,13 @@ _STATE: dict[str, _Bytes] = {}
 
 def pieces(df: DataFrame, path: str, capacity: int, id_col: str, text_col: str) -> DataFrame:
     """(id, piece, start, length, ids_crc32) of every document's pieces."""
-    schema = pa.schema([(id_col, pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+    fields = [(id_col, pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
 
     def run(keys, texts):
         if path not in _STATE:
             _STATE[path] = _Bytes(path)
         known = _STATE[path]
-        out: dict[str, list] = {f.name: [] for f in schema}
+        out: dict[str, list] = {f: [] for f, _ in fields}
         for key, text in zip(keys, texts, strict=True):
             ids = b"".join([*map(known.__getitem__, known.bpe.units(text)), SEPARATOR.to_bytes(4, "little")])
             for k, at in enumerate(range(0, len(ids), 4 * capacity)):
@@ -128,7 +128,7 @@ def pieces(df: DataFrame, path: str, capacity: int, id_col: str, text_col: str)
                     out[name].append(v)
         return out
 
-    return map_texts(df, id_col, text_col, run, f"`{id_col}` long, piece int, start long, length long, ids_crc32 long", schema)
+    return map_texts(df, id_col, text_col, run, fields)
 
 
 def with_rank(df: DataFrame, group: str, order: list[str], buckets: int) -> DataFrame:

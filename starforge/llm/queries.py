@@ -51,3 +51,23 @@ def op9_best_fit_packing(spark, sf_dir):
     from .op9_packing import pack
 
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op1_quality_rules")
+def op1_quality_rules(spark, sf_dir):
+    """Base rules and boosted trees over every document."""
+    from .op1_quality import judge, train
+
+    docs = table(spark, sf_dir, "documents")
+    return judge(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op4_language_id")
+def op4_language_id(spark, sf_dir):
+    """Predicted language of every document."""
+    from .op4_language import held_out, identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, tokenizer_path("piece_bpe_32k.model"))
+    out = identify(docs, model)
+    return out.select("doc_id", held_out(out["doc_id"]).alias("held_out"), "lang_pred", "score")
