@@ -71,3 +71,32 @@ def op4_language_id(spark, sf_dir):
     model = train(docs, tokenizer_path("piece_bpe_32k.model"))
     out = identify(docs, model)
     return out.select("doc_id", held_out(out["doc_id"]).alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_html_text")
+def op7_html_text(spark, sf_dir):
+    """Main text of every page."""
+    from .op7_html import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
+@query("op8_exact_dedup", r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS plain FROM documents),
+g AS (SELECT doc_id, plain, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY plain) AS group_size,
+             row_number() OVER w = 1 AS kept
+      FROM d WINDOW w AS (PARTITION BY plain ORDER BY n DESC, doc_id))
+SELECT doc_id, keep_id, group_size, kept, sha256(plain) AS text_sha256 FROM g""")
+def op8_exact_dedup(spark, sf_dir):
+    """Groups of documents equal but for white space."""
+    from .op8_exact_dedup import exact_duplicates
+
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op10_url_filters")
+def op10_url_filters(spark, sf_dir):
+    """Every page's URL judged by fixed and mined rules."""
+    from .op10_urls import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
