@@ -100,3 +100,39 @@ def op10_url_filters(spark, sf_dir):
     from .op10_urls import judge_urls
 
     return judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_line_dedup", r"""
+WITH split AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
+w AS (SELECT doc_id, pos, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM split),
+l AS (SELECT doc_id, pos, w, len(w) AS n, array_to_string(w, ' ') AS line FROM w WHERE len(w) > 0),
+f AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) = 1 AS is_first FROM l),
+long AS (SELECT doc_id, pos, w, n, line FROM f WHERE is_first AND n >= 8),
+cut AS (SELECT doc_id, pos, n, place, md5(array_to_string(list_concat(w[1:place - 1], w[place + 1:]), ' ')) AS rest
+        FROM (SELECT *, unnest(range(1, n + 1)) AS place FROM long)),
+replaced AS (SELECT doc_id, pos FROM (SELECT *, row_number() OVER (PARTITION BY n, place, rest ORDER BY doc_id, pos) AS k FROM cut) WHERE k > 1),
+pairs AS (SELECT c.doc_id AS cd, c.pos AS ca, s.doc_id AS sd, s.pos AS sa FROM cut c JOIN long s ON c.rest = md5(s.line) AND s.n = c.n - 1),
+near AS (SELECT doc_id, pos FROM replaced UNION SELECT cd, ca FROM pairs WHERE (sd, sa) < (cd, ca) UNION SELECT sd, sa FROM pairs WHERE (cd, ca) < (sd, sa)),
+v AS (SELECT f.doc_id, f.pos, NOT f.is_first OR near.pos IS NOT NULL AS goes FROM f LEFT JOIN near ON near.doc_id = f.doc_id AND near.pos = f.pos),
+per AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (goes) AS n_dropped FROM v GROUP BY 1),
+kept AS (SELECT s.doc_id, string_agg(s.line, chr(10) ORDER BY s.pos) AS text
+         FROM split s LEFT JOIN v ON v.doc_id = s.doc_id AND v.pos = s.pos WHERE NOT coalesce(v.goes, FALSE) GROUP BY 1)
+SELECT d.doc_id, coalesce(per.n_lines, 0) AS n_lines, CAST(coalesce(per.n_dropped, 0) AS INTEGER) AS n_dropped,
+       sha256(coalesce(kept.text, '')) AS text_sha256
+FROM documents d LEFT JOIN per USING (doc_id) LEFT JOIN kept USING (doc_id)""")
+def op3_line_dedup(spark, sf_dir):
+    """Every document without the lines that repeat earlier ones."""
+    from pyspark.sql import functions as F
+
+    from .op3_line_dedup import deduped
+
+    out = deduped(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+@query("op6_ngram_jaccard")
+def op6_ngram_jaccard(spark, sf_dir):
+    """Components of documents whose 5-word shingles overlap by 80 percent."""
+    from .op6_jaccard import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"))
