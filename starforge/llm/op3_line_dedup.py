@@ -40,22 +40,18 @@ from .common import fresh
 
 #: Words that a line needs to be compared for nearness.
 MIN_NEAR = 8
-SPACES = r"[\x20\x09-\x0D]+"
 
 
 def words(line: Column) -> Column:
-    return F.filter(F.split(line, SPACES), lambda w: w != "")
+    """Runs without 0x20 and 0x09-0x0D (a line holds no 0x0A)."""
+    return F.array_remove(F.split(F.translate(line, "\t\x0b\x0c\r", "    "), " "), "")
 
 
-def digest(parts: Column, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), parts)
-
-
-def half_keys(w: Column, n: Column) -> list[Column]:
-    """Hashes of the first and second half, for partners of n - 1 to n + 1
-    words; the last two are null if they say nothing new."""
-    head, head_less = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
-    tail, tail_less = F.ceil(n / 2).cast("int"), F.ceil((n - 1) / 2).cast("int")
+def digests(w: Column) -> list[Column]:
+    """Hashes of the first and of the second half, which together are the
+    line's 128-bit digest, and of the one other half that a partner with a word
+    more or less may share (its shorter first or second half)."""
+    n = F.size(w)
 
     def first(k: Column) -> Column:
         return F.xxhash64(F.lit("first"), F.slice(w, F.lit(1), k))
@@ -63,43 +59,45 @@ def half_keys(w: Column, n: Column) -> list[Column]:
     def last(k: Column) -> Column:
         return F.xxhash64(F.lit("last"), F.slice(w, n - k + 1, k))
 
-    return [first(head), last(tail), F.when(head_less != head, first(head_less)), F.when(tail_less != tail, last(tail_less))]
+    half = F.shiftright(n, 1)
+    return [first(half), last(n - half), F.when(n >= MIN_NEAR, F.when(n % 2 == 0, first(half - 1)).otherwise(last(half)))]
 
 
 def line_table(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, at, a, b, keys) of every line with a word: position, 128-bit digest,
-    half keys if long enough."""
+    """(id, at, a, b, c) of every line with a word: position and half hashes; c
+    is null for lines too short to be near another."""
     lines = df.select(df[id_col].alias("id"), F.posexplode(F.split(df[text_col], "\n")).alias("at", "line"))
     split = lines.select("id", "at", words(F.col("line")).alias("w")).where(F.size("w") > 0)
-    n = F.size("w")
-    keys = F.when(n >= MIN_NEAR, F.array_compact(F.array(*half_keys(F.col("w"), n))))
-    return split.select("id", "at", digest(F.col("w"), 1).alias("a"), digest(F.col("w"), 2).alias("b"), keys.alias("keys"))
+    return split.select("id", "at", *[x.alias(name) for x, name in zip(digests(F.col("w")), "abc", strict=True)])
 
 
 def near_lines(df: DataFrame, firsts: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, at) of first lines that are near an earlier line. ``firsts``: (id,
-    at, keys) of the classes' first lines."""
-    halves = firsts.where(F.col("keys").isNotNull()).select("id", "at", F.explode("keys").alias("key"))
+    at, a, b, c) of the classes' first lines."""
+    halves = firsts.where(F.col("c").isNotNull()).select("id", "at", F.explode(F.array("a", "b", "c")).alias("key"))
     shared = halves.groupBy("key").count().where("count > 1").select("key")
     wanted = halves.join(shared, "key", "left_semi").groupBy("id").agg(F.collect_set("at").alias("ats"))
     wanted = wanted.withColumnRenamed("id", "_id")
-    texts = df.select(df[id_col].alias("id"), df[text_col].alias("text")).join(wanted, F.col("id").eqNullSafe(F.col("_id"))).drop("_id")
-    chosen = texts.select("id", F.explode(F.transform("ats", lambda k: F.struct(k.alias("at"), F.get(F.split("text", "\n"), k).alias("line")))).alias("x"))
-    lines = materialize(chosen.select("id", "x.at", words(F.col("x.line")).alias("w")), "line-candidates")
-
+    # split below the join: a lambda would split the text again for every line
+    parts = df.select(df[id_col].alias("id"), F.split(df[text_col], "\n").alias("parts"))
+    held = parts.join(wanted, F.col("id").eqNullSafe(F.col("_id"))).drop("_id")
+    chosen = held.select("id", F.explode(F.transform("ats", lambda k: F.struct(k.alias("at"), F.get("parts", k).alias("line")))).alias("x"))
+    split = chosen.select("id", "x.at", words(F.col("x.line")).alias("w"))
     whole = F.aggregate("w", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.xxhash64(x)))
+    lines = materialize(split.select("id", "at", "w", whole.alias("whole")), "line-candidates")
+
     n = F.size("w")
     variants = F.concat(
         F.array(F.struct(F.lit(-1).alias("place"), F.xxhash64(n, F.col("whole")).alias("key"))),
         F.transform("w", lambda x, i: F.struct(i.alias("place"), F.xxhash64(n - 1, F.col("whole").bitwiseXOR(F.xxhash64(x))).alias("key"))))
-    emitted = lines.withColumn("whole", whole).select("id", "at", F.explode(variants).alias("v")).select("id", "at", "v.place", "v.key")
+    emitted = lines.select("id", "at", F.explode(variants).alias("v")).select("id", "at", "v.place", "v.key")
     line = F.struct("id", "at")
     many = emitted.groupBy("key").agg(F.min(line).alias("lo"), F.max(line).alias("hi")).where("lo != hi").select("key")
     alive = emitted.join(many, "key", "left_semi").groupBy("id", "at").agg(F.collect_set("place").alias("places")).select(F.col("id").alias("_id"), F.col("at").alias("_at"), "places")
     held = lines.join(alive, F.col("id").eqNullSafe(F.col("_id")) & (F.col("at") == F.col("_at"))).select("id", "at", "w", F.explode("places").alias("place"))
     rest = F.when(F.col("place") < 0, F.col("w")).otherwise(
         F.concat(F.slice("w", F.lit(1), F.col("place")), F.slice("w", F.col("place") + 2, F.greatest(n - F.col("place") - 1, F.lit(0)))))
-    rests = materialize(held.select("id", "at", "place", digest(rest, 1).alias("a"), digest(rest, 2).alias("b")), "line-rests")
+    rests = materialize(held.select("id", "at", "place", F.xxhash64(F.lit(1), rest).alias("a"), F.xxhash64(F.lit(2), rest).alias("b")), "line-rests")
 
     def before(groups: DataFrame, rows: DataFrame, on: list[str]) -> DataFrame:
         """Rows whose group has an earlier line."""
@@ -116,8 +114,8 @@ def dropped_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """(id, n_lines, drop) per id that has lines: lines with a word, and the
     positions of those that go."""
     lines = materialize(line_table(df, id_col, text_col), "lines")
-    classes = lines.groupBy("a", "b").agg(F.min(F.struct("id", "at")).alias("first"), F.any_value("keys").alias("keys"))
-    firsts = materialize(classes.select("first.id", "first.at", "keys"), "first-lines")
+    classes = lines.groupBy("a", "b").agg(F.min(F.struct("id", "at")).alias("first"), F.any_value("c").alias("c"))
+    firsts = materialize(classes.select("first.id", "first.at", "a", "b", "c"), "first-lines")
     near = near_lines(df, firsts, id_col, text_col)
     stay = (firsts.select("id", "at", F.lit(1).alias("stays")).unionAll(near.select("id", "at", F.lit(-1).alias("stays"))))
     verdict = (lines.select("id", "at", F.lit(0).alias("stays")).unionAll(stay).groupBy("id", "at").agg(F.sum("stays").alias("stays")))
@@ -128,14 +126,13 @@ def deduped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """All columns of ``df``, the text without its dropped lines, and after
     them ``n_lines`` and ``n_dropped`` (fresh names; returned by position)."""
     verdict = materialize(dropped_lines(df, id_col, text_col), "line-verdicts")
-    key, total, drop = (fresh(df, x) for x in ("_line_id", "n_lines", "n_dropped"))
+    key, parts, total, drop = (fresh(df, x) for x in ("_line_id", "_parts", "n_lines", "n_dropped"))
     found = verdict.select(F.col("id").alias(key), F.col("n_lines").alias(total), F.col("drop").alias(drop))
-    joined = df.join(found, df[id_col].eqNullSafe(found[key]), "left").drop(key)
-    text = F.col(f"`{text_col}`")
-    parts = F.split(text, "\n")
+    split = df.select(*[F.split(df[c], "\n").alias(parts) if c == text_col else F.col(f"`{c}`") for c in df.columns])
+    joined = split.join(found, F.col(f"`{id_col}`").eqNullSafe(F.col(key)), "left")
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(drop))
-    shorter = F.when(F.size(drop) > 0, F.array_join(F.transform(stay, lambda k: F.get(parts, k)), "\n")).otherwise(text)
-    kept = [shorter.alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns]
+    left = F.when(F.size(drop) > 0, F.transform(stay, lambda k: F.get(parts, k))).otherwise(F.col(parts))
+    kept = [F.array_join(left, "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns]
     return joined.select(*kept, F.coalesce(F.col(total), F.lit(0)).alias(total), F.coalesce(F.size(drop), F.lit(0)).alias(drop))
 
 
