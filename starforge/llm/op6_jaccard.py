@@ -8,6 +8,10 @@ Two points within the distance share one of these, so boundary points are
 replicated exactly as far as needed and no link is lost. Points alone in all
 their regions are done: nothing is within the distance.
 
+A pair's sets are only fetched if its parity signatures allow a link: bit k of
+a signature is the parity of the shingles that hash to k, so two signatures
+differ in at most |x xor y| bits, and a link needs |x xor y| <= 0.2 |x or y|.
+
 Each region's pivot is its point of smallest digest, the same for most regions
 of a group of near copies. Distances to the pivots are computed once per pair.
 Points that link with the pivot are of one component and need no comparison
@@ -22,7 +26,7 @@ exact (up to collisions of 64-bit hashes).
 Defined results: null text and text without words have an empty set, link with
 nothing and are components of their own; fewer than five words make one
 shingle; repeated rows are copies of each other and all are returned; a null
-id is never a component's smallest unless all ids are null; an empty table
+id is never a component's smallest, and a set that only rows without id have links with nothing; an empty table
 gives an empty table; other columns are ignored.
 """
 
@@ -35,17 +39,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import ARROW_ROWS, fresh, map_texts, ship_code, text_groups
+from .common import fresh, map_texts, ship_code, small_batches, text_groups
 from .graph import components
 from .words import Words, mix, window_starts, windows, words_of
 
 SIZE = 5
 PERCENT = 80
-#: Counters of the sketch; its 4 MB don't grow with the corpus.
-SKETCH_BITS = 20
-SKETCH_BLOCKS = 16
+#: Counters of the sketch; its 16 MB don't grow with the corpus.
+SKETCH_BITS = 22
+#: Bits of the map of wanted ids (512 KB, whatever the corpus); a full map only
+#: spares nothing.
+WANTED_BITS = 22
+BLOCKS = 16
+#: Bits of a parity signature.
+PARITY_BITS = 10
+#: The signature folded to 512 bits, as columns for join conditions.
+SIGNS = [f"s{k}" for k in range(8)]
 #: Pivots of a region in the first round after its own, and their growth.
-PIVOTS, GROWTH = 8, 8
+PIVOTS, GROWTH = 16, 16
 
 
 def shingle_sets(texts: list[str], size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -80,51 +91,107 @@ def bucket(h: np.ndarray) -> np.ndarray:
     return h.view(np.uint64) >> np.uint64(64 - SKETCH_BITS)
 
 
-def sketch(docs: DataFrame, text_col: str) -> np.ndarray:
-    """How often shingles fall into each of 2**SKETCH_BITS counters, over all
-    documents: each task sums its own counters, blocks of them are added up."""
-    block = (1 << SKETCH_BITS) // SKETCH_BLOCKS
+def added(rows: DataFrame, count, size: int, kind: str) -> np.ndarray:
+    """Sum (saturating, of ``kind``) over all tasks of the fixed-size arrays
+    that ``count(column, array)`` fills from batches of the one column."""
+    block = size // BLOCKS
 
-    def count(batches):
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
+    def task(batches):
+        total = np.zeros(size, np.int64)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in text_groups(texts):
-                total += np.bincount(bucket(shingle_sets([t or "" for t in texts[a:b]])[1]), minlength=len(total))
+            count(batch.column(0).to_pylist(), total)
         if total.any():
-            parts = [total[k * block:(k + 1) * block].astype("<i8").tobytes() for k in range(SKETCH_BLOCKS)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array(parts, pa.binary())], names=["block", "counts"])
+            held = np.minimum(total, np.iinfo(kind).max).astype(kind)
+            parts = [held[k * block:(k + 1) * block].tobytes() for k in range(BLOCKS)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())], names=["block", "counts"])
 
     def add(pdf):
         import pandas as pd
 
-        total = sum(np.frombuffer(x, "<i8") for x in pdf["counts"])
-        return pd.DataFrame({"block": [pdf["block"].iloc[0]], "counts": [total.astype("<i8").tobytes()]})
+        total = np.zeros(block, np.int64)
+        for x in pdf["counts"]:
+            total += np.frombuffer(x, kind)
+        return pd.DataFrame({"block": [pdf["block"].iloc[0]], "counts": [np.minimum(total, np.iinfo(np.int32).max).astype("<i4").tobytes()]})
 
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    made = docs.select(docs[text_col]).mapInArrow(count, "block int, counts binary")
-    out = np.zeros(1 << SKETCH_BITS, np.int64)
-    for r in made.groupBy("block").applyInPandas(add, "block int, counts binary").collect():  # SKETCH_BLOCKS rows, 8 MB in all
-        out[r[0] * block:(r[0] + 1) * block] = np.frombuffer(r[1], "<i8")
+    out = np.zeros(size, np.int32)
+    made = rows.mapInArrow(task, "block int, counts binary").groupBy("block").applyInPandas(add, "block int, counts binary")
+    for r in made.collect():  # BLOCKS rows, 4 * size bytes in all
+        out[r[0] * block:(r[0] + 1) * block] = np.frombuffer(r[1], "<i4")
     return out
 
 
+def sketch(docs: DataFrame, text_col: str) -> np.ndarray:
+    """How often shingles fall into each of 2**SKETCH_BITS counters, over all
+    documents."""
+    def count(texts, total):
+        for a, b in text_groups(texts):
+            np.add.at(total, bucket(shingle_sets([t or "" for t in texts[a:b]])[1]), 1)
+
+    small_batches(docs.sparkSession)
+    return added(docs.select(docs[text_col]), count, 1 << SKETCH_BITS, "<u2")
+
+
+def _place(ids: np.ndarray) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - WANTED_BITS)).astype(np.int64)
+
+
+def texts_of(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(point, text) of the chosen (point, pick) documents. A bit map of the
+    picked ids, of fixed size, drops most other texts before the shuffle."""
+    def count(ids, total):
+        total[_place(np.array(ids))] = 1
+
+    wanted = np.packbits(added(chosen.select("pick"), count, 1 << WANTED_BITS, "<u1") > 0)
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def sift(batches):
+        for batch in batches:
+            at = _place(batch.column(0).to_numpy(zero_copy_only=False))
+            yield batch.filter(pa.array((shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
+
+    rows = docs.where(docs[id_col].isNotNull()).select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
+    return rows.mapInArrow(sift, rows.schema).join(chosen, F.col("id") == F.col("pick")).dropDuplicates(["point"]).select("point", "text")
+
+
 def points(docs: DataFrame, counts: np.ndarray, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """(id, n, point, prefix) of every document; point is 0 for empty sets."""
+    """(id, n, point, prefix, parity) of every document; point is 0 for empty
+    sets."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(keys, texts):
         begin, h = shingle_sets(texts)
-        out: dict[str, list] = {"id": keys, "n": [], "point": [], "prefix": []}
+        out: dict[str, list] = {"id": keys, "n": [], "point": [], "prefix": [], "parity": []}
         for a, b in zip(begin[:-1], begin[1:], strict=True):
             own, n = h[a:b], int(b - a)
             out["n"].append(n)
             out["point"].append((xxhash.xxh3_64_intdigest(own.tobytes()) >> 1 | 1) if n else 0)
             keep = n - (percent * n + 99) // 100 + 1 if n else 0
             out["prefix"].append(own[np.lexsort((own, shared.value[bucket(own)]))[:keep]])
+            odd = np.bincount(own & (1 << PARITY_BITS) - 1, minlength=1 << PARITY_BITS) & 1
+            out["parity"].append(np.packbits(odd.astype(bool)).tobytes())
         return out
 
-    return map_texts(docs, id_col, text_col, run, [("id", pa.int64()), ("n", pa.int64()), ("point", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+    return map_texts(docs, id_col, text_col, run, [("id", pa.int64()), ("n", pa.int64()), ("point", pa.int64()), ("prefix", pa.list_(pa.int64())), ("parity", pa.binary())])
+
+
+def possible(pairs: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and parity signatures don't rule out."""
+    left = parities.select(F.col("point").alias("a"), F.col("n").alias("n"), F.col("parity").alias("x"))
+    right = parities.select(F.col("point").alias("b"), F.col("n").alias("m"), F.col("parity").alias("y"))
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for k in (4, 5))
+            n, m = (batch.column(k).to_numpy() for k in (2, 3))
+            differ = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            # |x xor y| = n + m - 2 common, and a link needs 100 common >= percent (n + m - common)
+            common = -(-percent * (n + m) // (100 + percent))
+            yield batch.select([0, 1]).filter(pa.array(differ <= n + m - 2 * common))
+
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "x", "y")
+    return joined.mapInArrow(run, "a long, b long")
 
 
 def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -166,17 +233,19 @@ def point_components(docs: DataFrame, known: DataFrame, id_col: str, text_col: s
     first = (regions.join(pivots, "cell").where((F.col("point") != F.col("pivot")) & size_window(F.col("n"), F.col("pivot_n"), percent))
              .select(F.col("pivot").alias("a"), F.col("point").alias("b")).distinct())
 
-    used = regions.select(F.col("point").alias("_p")).distinct()
-    chosen = (known.join(used, known["point"] == used["_p"], "left_semi").groupBy("point").agg(F.min("id").alias("_pick")))
-    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(chosen, F.col("id") == F.col("_pick")).select("point", "text")
-    sets = materialize(_sets(texts), "shingle-sets")
+    parities = materialize(known.join(regions.select(F.col("point").alias("_p")).distinct(), known["point"] == F.col("_p"), "left_semi")
+                           .groupBy("point").agg(F.any_value("n").alias("n"), F.any_value("parity").alias("parity"), F.min("id").alias("pick")), "parities")
+    half = F.transform(F.sequence(F.lit(0), F.lit(2 * len(SIGNS) - 1)), lambda k: F.conv(F.hex(F.substring("parity", k * 8 + 1, F.lit(8))), 16, -10).cast("long"))
+    signs = parities.select("point", half.alias("h")).select("point", *[F.col("h")[k].bitwiseXOR(F.col("h")[k + len(SIGNS)]).alias(c) for k, c in enumerate(SIGNS)])
+    first = materialize(possible(first, parities, percent), "pairs")
+    sets = wanted_sets(docs, parities, first, id_col, text_col)
 
     checked = materialize(distances(first, sets), "distances")
     links = checked.where(linked(percent)).select("a", "b")
+    comp = components(links) if links.limit(1).count() else None
     near = 1 - percent / 100
     goal = PIVOTS
     while True:
-        comp = materialize(components(links), "components") if links.limit(1).count() else None
         if comp is None:
             named = regions.withColumn("component", F.col("point"))
         else:
@@ -185,30 +254,47 @@ def point_components(docs: DataFrame, known: DataFrame, id_col: str, text_col: s
         named = named.join(away, ["pivot", "point"], "left").withColumn("away", F.when(F.col("point") == F.col("pivot"), 0.0).otherwise(F.col("away")))
         open_cells = (named.groupBy("cell").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members"))
                       .where("lo != hi").where(F.col("members") > (0 if goal == PIVOTS else goal // GROWTH)).select("cell", "members"))
-        live = materialize(named.join(open_cells, "cell"), "open-regions")
+        live = materialize(named.join(open_cells, "cell").join(signs, "point"), "open-regions")
         if not live.limit(1).count():
             return comp
         chance = F.lit(float(goal)) / F.col("members")
-        draw = F.pmod(F.xxhash64("point", "cell"), F.lit(1 << 20)) / float(1 << 20)
-        more = live.where((draw < chance) | (F.col("members") <= goal)).select(
-            "cell", F.col("point").alias("p"), F.col("n").alias("p_n"), F.col("component").alias("p_component"), F.col("away").alias("p_away"))
+        # by the point alone: regions of the same points then take the same pivots
+        draw = F.pmod(F.xxhash64("point"), F.lit(1 << 20)) / float(1 << 20)
+        # sizes within the window differ by one class at most
+        size_class = F.floor(F.log("n") / np.log(100 / percent))
+        more = live.where("point != pivot").where((draw < chance) | (F.col("members") <= goal)).select(
+            "cell", F.explode(F.array(size_class - 1, size_class, size_class + 1)).alias("size_class"), F.col("point").alias("p"), F.col("n").alias("p_n"),
+            F.col("component").alias("p_component"), F.col("away").alias("p_away"), *[F.col(c).alias("p_" + c) for c in SIGNS])
         window = F.coalesce(F.abs(F.col("away") - F.col("p_away")) <= near + 1e-9, F.lit(True))
-        pairs = (live.where("point != pivot").join(more.where("p_away IS NULL OR p_away > 0"), "cell")
-                 .where((F.col("component") != F.col("p_component")) & size_window(F.col("n"), F.col("p_n"), percent) & window)
+        both = F.col("n") + F.col("p_n")
+        differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col("p_" + c))) for c in SIGNS), F.lit(0))
+        pairs = (live.where("point != pivot").withColumn("size_class", size_class).join(more, ["cell", "size_class"])
+                 .where((F.col("component") != F.col("p_component")) & size_window(F.col("n"), F.col("p_n"), percent) & window
+                        & (differ <= both - 2 * F.ceil(both * percent / (100 + percent))))
                  .select(F.least("point", "p").alias("a"), F.greatest("point", "p").alias("b")).distinct())
-        fresh_pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        new = materialize(distances(fresh_pairs, sets), "distances")
-        checked = checked.unionAll(new)
-        links = links.unionAll(new.where(linked(percent)).select("a", "b"))
+        more_pairs = materialize(possible(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"), parities, percent), "pairs")
         goal *= GROWTH
+        if not more_pairs.limit(1).count():
+            continue
+        new = materialize(distances(more_pairs, wanted_sets(docs, parities, more_pairs, id_col, text_col)), "distances")
+        checked = checked.unionAll(new)
+        found = new.where(linked(percent)).select("a", "b")
+        if found.limit(1).count():
+            links = links.unionAll(found)
+            comp = components(links)
+
 
+def wanted_sets(docs: DataFrame, parities: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(point, shingles) of the points in the pairs."""
+    ends = pairs.select(F.col("a").alias("_p")).unionAll(pairs.select(F.col("b").alias("_p"))).distinct()
+    chosen = materialize(parities.join(ends, parities["point"] == ends["_p"], "left_semi").where("pick IS NOT NULL").select("point", "pick"), "chosen")
 
-def _sets(texts: DataFrame) -> DataFrame:
     def run(keys, whole):
         begin, h = shingle_sets(whole)
         return {"point": keys, "shingles": [h[a:b] for a, b in zip(begin[:-1], begin[1:], strict=True)]}
 
-    return map_texts(texts, "point", "text", run, [("point", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    texts = texts_of(docs, chosen, id_col, text_col)
+    return materialize(map_texts(texts, "point", "text", run, [("point", pa.int64()), ("shingles", pa.list_(pa.int64()))]), "shingle-sets")
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
