@@ -23,3 +23,16 @@ def components(edges: DataFrame) -> DataFrame:
         label = step.select("id", "component")
         if not step.where("component != was").limit(1).count():
             return label
+
+
+def merged(known: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, component) after more edges: components of the known components'
+    own ids, so that only what is new is worked on."""
+    name = known.select(F.col("id").alias("_id"), F.col("component").alias("_c"))
+    ends = edges
+    for side in "ab":
+        ends = ends.join(name, F.col(side) == F.col("_id"), "left").withColumn(side, F.coalesce("_c", side)).drop("_id", "_c")
+    top = components(ends.where("a != b").distinct()).select(F.col("id").alias("_id"), F.col("component").alias("_c"))
+    old = known.join(top, F.col("component") == F.col("_id"), "left").select("id", F.coalesce("_c", "component").alias("component"))
+    new = top.join(known, F.col("_id") == known["id"], "left_anti").select(F.col("_id").alias("id"), F.col("_c").alias("component"))
+    return old.unionAll(new)

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import fresh, map_texts, ship_code, small_batches, text_groups
-from .graph import components
+from .graph import components, merged
 from .words import Words, mix, window_starts, windows, words_of
 
 SIZE = 5
@@ -250,13 +250,14 @@ def point_components(docs: DataFrame, known: DataFrame, id_col: str, text_col: s
             named = regions.withColumn("component", F.col("point"))
         else:
             named = regions.join(comp.withColumnRenamed("id", "point"), "point", "left").withColumn("component", F.coalesce("component", "point"))
-        away = checked.select(F.col("a").alias("pivot"), F.col("b").alias("point"), (1 - F.col("common") / F.col("together")).alias("away"))
-        named = named.join(away, ["pivot", "point"], "left").withColumn("away", F.when(F.col("point") == F.col("pivot"), 0.0).otherwise(F.col("away")))
         open_cells = (named.groupBy("cell").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members"))
                       .where("lo != hi").where(F.col("members") > (0 if goal == PIVOTS else goal // GROWTH)).select("cell", "members"))
-        live = materialize(named.join(open_cells, "cell").join(signs, "point"), "open-regions")
+        live = materialize(named.join(open_cells, "cell"), "open-regions")
         if not live.limit(1).count():
             return comp
+        regions = live.select("cell", "point", "n", "pivot")  # the others are done
+        away = checked.select(F.col("a").alias("pivot"), F.col("b").alias("point"), (1 - F.col("common") / F.col("together")).alias("away"))
+        live = live.join(away, ["pivot", "point"], "left").join(signs, "point")
         chance = F.lit(float(goal)) / F.col("members")
         # by the point alone: regions of the same points then take the same pivots
         draw = F.pmod(F.xxhash64("point"), F.lit(1 << 20)) / float(1 << 20)
@@ -280,8 +281,7 @@ def point_components(docs: DataFrame, known: DataFrame, id_col: str, text_col: s
         checked = checked.unionAll(new)
         found = new.where(linked(percent)).select("a", "b")
         if found.limit(1).count():
-            links = links.unionAll(found)
-            comp = components(links)
+            comp = materialize(merged(comp, found) if comp is not None else components(found), "components")
 
 
 def wanted_sets(docs: DataFrame, parities: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
