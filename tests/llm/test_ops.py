@@ -1,0 +1,286 @@
+"""The operators against the tokenizer library and brute force, on small
+frames that hold nulls, empty and long texts, ties, repeated rows, extra
+columns and empty tables."""
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+PATH = public_tokenizers.path("word_bpe_49k.json")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def lib():
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(PATH)
+
+
+def odd_texts():
+    rng = random.Random(5)
+    letters = "abcdefghiknoprstéçñ'’ .,!?019<|>\n\t\x1cΣİ中ü"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 80))) for _ in range(300)]
+    return [*texts, None, "", " ", "the " * 9000, "aaaa" * 400, "x<|endoftext|>y <|EndOfText|>", "don't 's!!'s"]
+
+
+@pytest.fixture(scope="module")
+def frame(spark):
+    rows = [(i, t, "en", i) for i, t in enumerate(odd_texts())]
+    return spark.createDataFrame([*rows, rows[0], rows[-1]], "doc_id long, text string, n_tokens string, kept long")
+
+
+def test_encoding_and_counts_match_the_library(spark, frame, lib):
+    from starforge.llm.op2_tokens import count_text, token_counts, unit_counts
+    from starforge.llm.op5_bpe import encode_digests, encode_documents
+
+    ids = {i: lib.encode(t or "", add_special_tokens=False).ids for i, t in enumerate(odd_texts())}
+    got = encode_documents(frame, PATH).collect()
+    assert len(got) == len(ids) + 2 and all(r.ids == ids[r.doc_id] for r in got)
+    assert all(r.decoded == lib.decode(ids[r.doc_id], skip_special_tokens=False) for r in got)
+    for r in encode_digests(frame, PATH).collect():
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids[r.doc_id])).encode()).hexdigest()
+    for r in token_counts(frame, PATH, limit=50).collect():
+        assert (r.n_tokens, r.n_bytes) == (len(ids[r.doc_id]), len((odd_texts()[r.doc_id] or "").encode())) and r.over_limit == (r.n_tokens > 50)
+    counts = unit_counts(PATH)
+    for k, t in enumerate(odd_texts()[:60]):
+        assert count_text(counts, t, chunk=5) == len(ids[k])
+    assert token_counts(frame.limit(0), PATH).count() == 0
+
+
+def test_pair_rule_equals_exact_merging():
+    from starforge.llm.bpe import FAR, load
+
+    bpe, rng = load(PATH), random.Random(2)
+    plain = [t for t in range(512, 20000) if not bpe.token[t].endswith(bpe.end)]
+
+    def leaves(t):
+        return [t] if bpe.left[t] < 0 else leaves(bpe.left[t]) + leaves(bpe.right[t])
+
+    pairs = [(rng.choice(plain), rng.choice(plain)) for _ in range(2000)]
+    a, b = np.array(pairs).T
+    apart = bpe.first_crossing(a, b) == FAR
+    assert [bpe.merge([int(x) for x in leaves(p) + leaves(q)]) == [p, q] for p, q in pairs] == apart.tolist()
+    long = [int(x) for x in leaves(plain[0]) * 60]
+    assert bpe.merge(long) == bpe._merge_long(long)
+
+
+def test_packing_is_whole_and_gapless(frame, lib):
+    from starforge.llm.op9_packing import best_fit, pack
+
+    rows = pack(frame, PATH, capacity=64).collect()
+    want = collections.Counter()
+    for i, t in [*enumerate(odd_texts()), (0, odd_texts()[0]), (len(odd_texts()) - 1, odd_texts()[-1])]:
+        ids = np.array([*lib.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
+        want.update((i, k // 64, k, len(ids[k:k + 64]), zlib.crc32(ids[k:k + 64].tobytes())) for k in range(0, len(ids), 64))
+    assert collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    bins = collections.defaultdict(list)
+    for r in rows:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for slots in bins.values():
+        at = 0
+        for offset, length in sorted(slots):
+            assert offset == at
+            at += length
+        assert at <= 64
+    assert len(bins) <= 1.05 * math.ceil(sum(r.length for r in rows) / 64) + 1
+    assert pack(frame.limit(0), PATH).count() == 0 and best_fit({}, 64) == []
+
+
+def test_quality_base_counts_and_monotone_trees(spark, frame):
+    from starforge.llm.op1_quality import MONOTONE, fit, judge, keep_good, score, train
+
+    texts = dict(enumerate(odd_texts()))
+    trees = train(frame, spark.createDataFrame([(0, 1), (1, 0), (1, None), (None, 1)], "doc_id long, quality int"))
+    for r in judge(frame, trees).collect():
+        t = texts[r.doc_id] or ""
+        w = WORD.findall(t)
+        seen = collections.Counter(zip(w, w[1:], w[2:], strict=False))
+        cover = {k + d for k in range(len(w) - 2) if seen[tuple(w[k:k + 3])] > 1 for d in range(3)}
+        lines = [x for x in t.split("\n") if WORD.search(x)]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (
+            len(w), sum(map(len, w)), sum(map(t.count, "#*$%&|<>")), len(lines) - len(set(lines)), len(cover))
+        assert r.base_failed == (len(w) < 50 or 100 * len(cover) > 50 * len(w)) and not (r.kept and r.base_failed)
+    assert keep_good(frame, trees).columns == frame.columns
+    rng = np.random.default_rng(1)
+    x = rng.random((600, len(MONOTONE)))
+    y = (x[:, 2] + 0.5 * rng.random(600) < 0.8).astype(float)
+    model = fit(x, y)
+    assert ((score(model, x) >= 0.5) == y).mean() > 0.85
+    for j in np.flatnonzero(MONOTONE):
+        grid = np.repeat(x[:1], 50, 0)
+        grid[:, j] = np.linspace(0, 1, 50)
+        assert (np.diff(score(model, grid)) <= 1e-12).all()
+
+
+def test_language_forward_equals_enumeration(spark):
+    from starforge.llm.op4_language import identify, lattice, forward, train
+
+    vocab = {"a": 0, "b": 1, "ab": 2, "aba": 3}
+    prob = np.array([[0.3], [0.2], [0.15], [0.05], [1e-7]])
+
+    def total(s):
+        return 1.0 if not s else sum((prob[vocab[s[:k]], 0] if s[:k] in vocab else prob[4, 0] if k == 1 else 0) * total(s[k:]) for k in range(1, len(s) + 1))
+
+    words = ["abab", "b", "aba", "cab"]
+    table, sizes = lattice(words, vocab, 3)
+    assert np.allclose(forward(table, prob)[np.arange(4), sizes, 0], [total(w) for w in words])
+    docs = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(
+        [("the house and the garden", "en"), ("das haus und der garten", "de")] * 30 + [(None, "en"), ("12 !!", None), ("", "de")])], "doc_id long, text string, lang string")
+    out = {r.doc_id: r for r in identify(docs, train(docs, public_tokenizers.path("piece_bpe_32k.model"))).collect()}
+    assert all(out[i].lang_pred == ("en", "de")[i % 2] and 0 <= out[i].score <= 1 for i in range(60))
+    assert all(out[i].lang_pred == "und" and out[i].score == 0 for i in (60, 61, 62))
+    assert identify(docs, train(docs.limit(0), public_tokenizers.path("piece_bpe_32k.model"))).where("lang_pred != 'und'").count() == 0
+
+
+def test_jaccard_components_match_brute_force(spark):
+    from starforge.llm.op6_jaccard import jaccard_components, keep_one
+
+    rng = random.Random(3)
+    texts = [None, "", "One two", "one TWO", "a b c d"]
+    for _ in range(12):
+        base = [rng.choice("abcdefghij") + str(rng.randint(0, 40)) for _ in range(rng.randint(5, 90))]
+        for _ in range(rng.randint(1, 9)):
+            texts.append(" ".join(base))
+            base = list(base)
+            base[rng.randrange(len(base))] = "w" + str(rng.randint(0, 9))
+    sets = []
+    for t in texts:
+        w = WORD.findall((t or "").lower())
+        sets.append({tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} - {()})
+    up = list(range(len(texts)))
+    for _ in texts:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                    up[i] = up[j] = min(up[i], up[j])
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, n string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(docs).collect()}
+    assert got == {i: (len(s), up[i]) for i, s in enumerate(sets)}
+    assert sorted(r.doc_id for r in keep_one(docs).collect()) == [i for i, u in enumerate(up) if u == i]
+    assert jaccard_components(docs.limit(0)).count() == 0
+
+
+def test_line_dedup_small(spark):
+    from starforge.llm.op3_line_dedup import dedup_lines, deduped
+
+    long = "one two three four five six seven eight nine"
+    rows = [(1, f"{long}\nshort line", 1), (2, f"{long} ten\nshort  line\nown words here", 1), (3, long.replace("five", "FIVE") + "\n\nmore", 1),
+            (4, long, 1), (5, None, 1), (6, "", 1), (7, " \n", 1), (8, "eight nine one two three four five six seven", 1), (7, " \n", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines int")
+    out = sorted((r.doc_id, r.text) for r in dedup_lines(docs).where("text IS NOT NULL").collect())
+    assert out == [(1, rows[0][1]), (2, "own words here"), (3, "\nmore"), (6, ""), (7, " \n"), (7, " \n"), (8, rows[7][1])]
+    assert deduped(docs).count() == len(rows) and deduped(docs.limit(0)).count() == 0
+
+
+def test_exact_dedup_small(spark):
+    from starforge.llm.op8_exact_dedup import exact_duplicates, keep_first
+
+    docs = spark.createDataFrame([(3, "a b", 0), (1, "ab", 0), (2, "a\tb", 0), (9, None, 0), (8, " ", 0), (8, " ", 0)], "doc_id long, text string, kept int")
+    rows = exact_duplicates(docs.repartition(5)).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in rows} == {(3, 2, 3), (1, 2, 3), (2, 2, 3), (9, 8, 3), (8, 8, 3)}
+    assert sorted(r.doc_id for r in rows if r.kept) == [2, 8]
+    assert keep_first(docs.where("doc_id < 8")).count() == 1 and exact_duplicates(docs.limit(0)).count() == 0
+
+
+def test_url_rules(spark):
+    from starforge.llm.op10_urls import judge_urls
+
+    urls = ["http://a.example.net/en/1", "http://a.example.net/de/1", "https://x.org/fr/2", "https://EXAMPLE.com/de/3?x", "http://net", "no url", None, "http://spam.io/win/1", "http://spam.io/win/2", "http://ok.io/a"]
+    urls += [f"http://spam.io/win/{k}" for k in range(20)] + [f"http://ok.io/n{k}" for k in range(20)]
+    pages = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id long, url string")
+    labels = spark.createDataFrame([(k, 0 if u and "spam" in u else 1, 0) for k, u in enumerate(urls) if k > 9], "doc_id long, quality int, toxic int")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judge_urls(pages, labels).collect()}
+    assert got[0][2:] == ("example.net/en/", "allow") and got[1][2:] == ("net/", "block") and got[2][2:] == ("org/fr/", "allow")
+    assert got[3] == ("example.com", "/de/3", "example.com/de/", "block") and got[4] == ("net", "", None, "allow")
+    assert got[5] == got[6] == ("", "", None, "allow") and got[7][3] == "block" and got[9][3] == "allow"
+    assert judge_urls(pages.limit(0), labels).count() == 0
+
+
+def test_html_template_removal(spark):
+    from starforge.llm.op7_html import extract
+
+    def page(k, body):
+        return f"<html><body><nav><a>Home</a></nav><div class=x>Subscribe now</div>{body}<div class='comments'><p>me too {k}</p></div></body></html>"
+
+    rows = [(k, "http://h.io/", page(k, f"<p>Text &amp; {k}<br>more<p>two<ul><li>x{k}<li>y{k}</ul>")) for k in range(12)]
+    rows += [(20, None, None), (21, "u", ""), (22, "http://q.io/", "<article><h1>T</h1><p class=ad>buy</p><p>a\n b<p>c</article> after <footer>f"), (23, "http://q.io/", "<p>cut <b>of")]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Text & 3 more\n\ntwo\n\nx3\n\ny3" or got[3] == "Text & 3 more\n\nx3\n\ny3"  # "two" recurs on every page
+    assert got[20] == got[21] == "" and got[22] == "T\n\na b\n\nc" and got[23] == "cut of"
+
+
+def test_pipeline_stages_keep_the_columns(spark):
+    import corpus_pipeline as c
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in c.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert 0 < out.count() <= docs.count()
+        empty = stage(spark, docs.limit(0), SF)
+        assert empty.columns == docs.columns and empty.count() == 0
+
+
+def test_pipeline_matches_brute_force(spark, lib):
+    import corpus_pipeline as c
+    from starforge.llm import op1_quality, op4_language
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    language = op4_language.train(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    rows = [(r.doc_id, r.text) for r in docs.orderBy("doc_id").collect()]
+    names, sure = language.predict([t or "" for _, t in rows])
+    rows = [x for x, n, p in zip(rows, names, sure, strict=True) if n != "und" and p >= 0.5]
+    held = docs.where(docs.doc_id.isin([i for i, _ in rows]))
+    trees = op1_quality.train(held, spark.read.parquet(f"{SF}/labels.parquet"))
+    base, x = op1_quality.statistics([t for _, t in rows])
+    good = (base["n_words"] >= 50) & (100 * base["n_repeat_words"] <= 50 * base["n_words"]) & (op1_quality.score(trees, x) >= 0.5)
+    rows = [r for r, g in zip(rows, good, strict=True) if g]
+
+    whole, cut, rest_of, kept = set(), set(), set(), []
+    every = [(i, k, tuple(WORD.findall(line))) for i, t in rows for k, line in enumerate(t.split("\n"))]
+    near = {}
+    for i, k, w in every:  # in order: what an earlier line equals or is one edit away from
+        if not w:
+            continue
+        goes = w in whole
+        if len(w) >= 8 and not goes:
+            less = {(p, w[:p] + w[p + 1:]) for p in range(len(w))}
+            goes = bool(less & cut) or w in rest_of or any(x in whole and len(x) >= 8 for _, x in less)
+        if w not in whole and len(w) >= 8:
+            less = {(p, w[:p] + w[p + 1:]) for p in range(len(w))}
+            cut |= less
+            rest_of |= {x for _, x in less}
+        whole.add(w)
+        near[i, k] = goes
+    for i, t in rows:
+        lines = t.split("\n")
+        left = [x for k, x in enumerate(lines) if not near.get((i, k))]
+        if any(WORD.search(x) for x in left):
+            kept.append((i, "\n".join(left)))
+
+    up, sets = {}, {}
+    for i, t in kept:
+        w = WORD.findall("".join(ch.lower() if "A" <= ch <= "Z" else ch for ch in t))
+        sets[i], up[i] = ({tuple(w[k:k + 5]) for k in range(len(w) - 4)} or {tuple(w)}), i
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if up[a] != up[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    up[a] = up[b] = min(up[a], up[b])
+                    changed = True
+    want = collections.Counter()
+    for i, t in kept:
+        if up[i] == i:
+            ids = np.array([*lib.encode(t, add_special_tokens=False).ids, 0], "<u4")
+            want.update((i, k // 2048, len(ids[k:k + 2048]), zlib.crc32(ids[k:k + 2048].tobytes())) for k in range(0, len(ids), 2048))
+    got = c.run(spark, SF).collect()
+    assert collections.Counter((r.doc_id, r.piece, r.length, r.ids_crc32) for r in got) == want
