@@ -76,17 +76,16 @@ def matrix(df: DataFrame, rows: Sequence[str], col: str, members: Sequence, valu
 
 
 def histogram(df: DataFrame, c: str, edges: Sequence[float], labels: Sequence[str] | None = None,
-              name: str = "bucket") -> DataFrame:
+              name: str = "bucket", below: str = "below", above: str = "above", missing: str = "unknown") -> DataFrame:
     """Counts by fixed bins (A-12). Bin i holds ``edges[i] <= c < edges[i+1]``;
-    values outside all bins and NULLs are not counted."""
+    values under the first and from the last edge on and NULLs have buckets of
+    their own, so the counts sum to the rows."""
     if labels is None:
         labels = [f"{edges[i]}-{edges[i + 1]}" for i in range(len(edges) - 1)]
-    expr = None
+    expr = F.when(_c(c).isNull(), F.lit(missing)).when(_c(c) < edges[0], F.lit(below))
     for i, lab in enumerate(labels):
-        cond = (_c(c) >= edges[i]) & (_c(c) < edges[i + 1])
-        expr = F.when(cond, F.lit(lab)) if expr is None else expr.when(cond, F.lit(lab))
-    return (df.select(expr.alias(name)).filter(F.col(name).isNotNull())
-            .groupBy(name).agg(F.count(F.lit(1)).alias("row_count")))
+        expr = expr.when(_c(c) < edges[i + 1], F.lit(lab))
+    return df.groupBy(expr.otherwise(F.lit(above)).alias(name)).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def funnel(df: DataFrame, c: str, stages: Sequence[str]) -> DataFrame:

@@ -181,7 +181,7 @@ def failures(results: DataFrame, raise_on_fail: bool = False) -> DataFrame:
     """Failed checks (Q-08). With ``raise_on_fail`` one small action checks for any."""
     failed = results.filter(F.col("status") == "FAIL")
     if raise_on_fail and failed.limit(1).count() > 0:
-        names = [r["check_name"] for r in failed.select("check_name").limit(50).collect()]
+        names = sorted(r["check_name"] for r in failed.select("check_name").distinct().collect())
         raise RuntimeError(f"data quality checks failed: {names}")
     return failed
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,10 +61,20 @@ class VersionedTable:
         return f"{self.path}/_current"
 
     def version(self) -> int:
+        """The current version; 0 only if neither pointer nor version exists.
+        A version without a pointer is an error, never an empty table."""
         try:
             row = self.spark.read.json(self._pointer()).agg(F.max("version")).first()
-        except Exception:  # noqa: BLE001 - no pointer yet means no version
-            return 0
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            try:
+                self.spark.read.format("binaryFile").load(f"{self.path}/v=*")
+            except AnalysisException as missing:
+                if missing.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                return 0
+            raise RuntimeError(f"table {self.path} has versions but no pointer; restore {self._pointer()}") from e
         return int(row[0]) if row and row[0] is not None else 0
 
     def exists(self) -> bool:

@@ -167,7 +167,7 @@ def stg_verification(spark: SparkSession, sf_dir: str, batch_ts: str = BATCH_TS)
         verification_result(v).alias("verification_result"),
         F.lit(None).cast("string").alias("interim_status"),
         (v >= 50).alias("is_match"),
-        F.least(v, F.lit(100.0)).cast("decimal(5,2)").alias("match_score"),
+        F.least(v, F.lit(999.99)).cast("decimal(5,2)").alias("match_score"),
         F.col("props").alias("verification_flags"),
         F.lit(None).cast("string").alias("state"),
         _feed_of(_day_file("events", "ts")).alias("source_system"),

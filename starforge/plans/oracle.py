@@ -80,7 +80,7 @@ CTE["stg_verification"] = f"""stg_verification AS (
               WHEN value < 100 THEN 'COMPLETED' ELSE 'VERIFIED' END AS verification_status,
          CASE WHEN value >= 50 THEN 'MATCH' ELSE 'NO_MATCH' END AS verification_result,
          CAST(NULL AS VARCHAR) AS interim_status, value >= 50 AS is_match,
-         CAST(least(value, 100.0) AS DECIMAL(5,2)) AS match_score,
+         CAST(least(value, 999.99) AS DECIMAL(5,2)) AS match_score,
          props AS verification_flags, CAST(NULL AS VARCHAR) AS state,
          'EVENTS' AS source_system,
          'events_' || strftime(ts, '%Y%m%d') || '.parquet' AS source_file_name,

@@ -102,8 +102,8 @@ def report_registration_detail(spark, sf):
                      F.col("src_source_name").alias("data_source"))
 
 
-AGE_EDGES = [18, 26, 36, 46, 56, 66, 200]
-AGE_LABELS = ["18-25", "26-35", "36-45", "46-55", "56-65", "66+"]
+AGE_EDGES = [18, 26, 36, 46, 56, 66]
+AGE_LABELS = ["18-25", "26-35", "36-45", "46-55", "56-65"]
 
 
 @query("report_age_distribution", "M-06 A-12 F-13", REG + """
@@ -111,14 +111,14 @@ AGE_LABELS = ["18-25", "26-35", "36-45", "46-55", "56-65", "66+"]
             - CASE WHEN month(registration_date) * 100 + day(registration_date)
                         < month(birth_date) * 100 + day(birth_date) THEN 1 ELSE 0 END AS INTEGER) AS age
         FROM stg_registration)
-SELECT CASE WHEN age >= 18 AND age < 26 THEN '18-25' WHEN age >= 26 AND age < 36 THEN '26-35'
+SELECT CASE WHEN age IS NULL THEN 'unknown' WHEN age < 18 THEN 'under 18' WHEN age >= 18 AND age < 26 THEN '18-25' WHEN age >= 26 AND age < 36 THEN '26-35'
             WHEN age >= 36 AND age < 46 THEN '36-45' WHEN age >= 46 AND age < 56 THEN '46-55'
-            WHEN age >= 56 AND age < 66 THEN '56-65' WHEN age >= 66 AND age < 200 THEN '66+' END AS bucket,
+            WHEN age >= 56 AND age < 66 THEN '56-65' ELSE '66+' END AS bucket,
        CAST(count(*) AS BIGINT) AS row_count
-FROM a WHERE age >= 18 AND age < 200 GROUP BY 1""")
+FROM a GROUP BY 1""")
 def report_age_distribution(spark, sf):
     st = reg_star(spark, sf)
-    return measures.histogram(st, "age_at_registration", AGE_EDGES, AGE_LABELS)
+    return measures.histogram(st, "age_at_registration", AGE_EDGES, AGE_LABELS, below="under 18", above="66+")
 
 
 @query("report_by_method", "M-07 A-03", REG + """
@@ -211,13 +211,14 @@ SCORE_LABELS = ["0-25", "25-50", "50-75", "75-100"]
 
 
 @query("report_match_score_histogram", "M-14 A-12", VER + """
-SELECT CASE WHEN match_score >= 0 AND match_score < 25 THEN '0-25' WHEN match_score >= 25 AND match_score < 50 THEN '25-50'
-            WHEN match_score >= 50 AND match_score < 75 THEN '50-75' ELSE '75-100' END AS bucket,
+SELECT CASE WHEN match_score IS NULL THEN 'unknown' WHEN match_score < 0 THEN 'below 0' WHEN match_score < 25 THEN '0-25' WHEN match_score >= 25 AND match_score < 50 THEN '25-50'
+            WHEN match_score >= 50 AND match_score < 75 THEN '50-75'
+            WHEN match_score < 100.01 THEN '75-100' ELSE 'above 100' END AS bucket,
        CAST(count(*) AS BIGINT) AS row_count
-FROM stg_verification WHERE match_score >= 0 AND match_score < 100.01 GROUP BY 1""")
+FROM stg_verification GROUP BY 1""")
 def report_match_score_histogram(spark, sf):
     st = ver_star(spark, sf)
-    return measures.histogram(st, "match_score", SCORE_EDGES, SCORE_LABELS)
+    return measures.histogram(st, "match_score", SCORE_EDGES, SCORE_LABELS, below="below 0", above="above 100")
 
 
 FUNNEL = ["REQUESTED", "IN_PROGRESS", "COMPLETED", "VERIFIED"]

@@ -59,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     else:
         configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="starforge-ckpt-")
     if configured.startswith("/"):
         os.makedirs(configured, exist_ok=True)
