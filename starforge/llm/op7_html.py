@@ -29,7 +29,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
 from .common import map_texts
 
 MIN_PAGES = 10
@@ -219,7 +218,8 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, id_col: str = "page_id
             out["subtree"] += [(h ^ site) >> 1 for h in found]
         return out
 
-    seen = materialize(map_texts(tagged, "_key", html_col, marks, [("page", pa.int64()), ("subtree", pa.int64())]), "subtrees")
+    # dealt once by subtree: the count and the join below read the same exchange
+    seen = map_texts(tagged, "_key", html_col, marks, [("page", pa.int64()), ("subtree", pa.int64())]).repartition("subtree")
     often = seen.groupBy("subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages).select("subtree")
     lists = seen.join(often, "subtree", "left_semi").groupBy("page").agg(F.collect_set("subtree").alias("_often"))
     joined = own.join(lists, own["_page"] == lists["page"], "left").drop("page")
