@@ -57,24 +57,49 @@ def split_word(word: str) -> list[str]:
     return [word[k:k + LONGEST_WORD] for k in range(0, len(word), LONGEST_WORD)]
 
 
-def lattice(parts: list[str], vocab: dict[str, int], longest: int) -> tuple[np.ndarray, np.ndarray]:
+class Trie:
+    """The pieces as a tree of characters, held in sorted arrays, so that all
+    start positions of many words walk it at once."""
+
+    def __init__(self, vocab: dict[str, int]):
+        prefixes = sorted({p[:k] for p in vocab for k in range(1, len(p) + 1)})
+        node = {"": 0} | {p: k for k, p in enumerate(prefixes, 1)}
+        keys = np.array([node[p[:-1]] << 21 | ord(p[-1]) for p in prefixes], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.child = np.append(keys[order], np.iinfo(np.int64).max), order + 1
+        self.piece = np.array([vocab.get(p, -1) for p in ["", *prefixes]], np.int32)
+        self.size, self.longest = len(vocab), max(map(len, vocab))
+
+
+def walk(parts: list[str], trie: Trie) -> tuple[np.ndarray, np.ndarray]:
     """(pieces, lengths): ``pieces[w, i, k]`` is the piece of k + 1 characters
     that ends before character i + 1 of part w, -1 if none; unknown single
-    characters get number len(vocab)."""
-    sizes = np.array([len(p) for p in parts])
-    table = np.full((len(parts), max(sizes, default=0), longest), -1, np.int32)
-    get, unknown = vocab.get, len(vocab)
-    for w, part in enumerate(parts):
-        for i in range(len(part)):
-            for k in range(min(i + 1, longest)):
-                piece = get(part[i - k:i + 1])
-                if piece is not None:
-                    table[w, i, k] = piece
-            if table[w, i, 0] < 0:
-                table[w, i, 0] = unknown
+    characters get the number after the last piece."""
+    sizes = np.array([len(p) for p in parts], np.int64)
+    table = np.full((len(parts), int(sizes.max(initial=0)), trie.longest), -1, np.int32)
+    chars = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    row = np.repeat(np.arange(len(parts)), sizes)
+    column = np.arange(len(chars)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    table[row, column, 0] = trie.size
+    at, left, node = np.arange(len(chars)), sizes[row] - column, np.zeros(len(chars), np.int64)
+    for k in range(trie.longest):
+        key = node << 21 | chars[at + k]
+        edge = np.searchsorted(trie.keys, key)
+        hit = trie.keys[edge] == key
+        at, left, node = at[hit], left[hit], trie.child[edge[hit]]
+        piece = trie.piece[node]
+        found = piece >= 0
+        table[row[at[found]], column[at[found]] + k, k] = piece[found]
+        more = left > k + 1
+        at, left, node = at[more], left[more], node[more]
     return table, sizes
 
 
+def lattice(parts: list[str], vocab: dict[str, int], longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`walk` over the pieces of at most ``longest`` characters."""
+    return walk(parts, Trie({p: k for p, k in vocab.items() if len(p) <= longest}))
+
+
 def forward(table: np.ndarray, prob: np.ndarray) -> np.ndarray:
     """alpha[w, i, l]: probability of the first i characters of part w in
     language l, summed over all segmentations. prob: (pieces + 1, languages)."""
@@ -90,11 +115,11 @@ def forward(table: np.ndarray, prob: np.ndarray) -> np.ndarray:
 
 def em(words: list[str], counts: np.ndarray, vocab: dict[str, int], rounds: int = 3) -> np.ndarray:
     """Piece probabilities of one language from word counts."""
-    longest = max(map(len, vocab))
+    trie = Trie(vocab)
     parts = [(p, c) for w, c in zip(words, counts, strict=True) for p in split_word(w)]
     parts.sort(key=lambda x: len(x[0]))
     blocks = [parts[k:k + 5000] for k in range(0, len(parts), 5000)]
-    tables = [(*lattice([p for p, _ in b], vocab, longest), np.array([c for _, c in b], float)) for b in blocks]
+    tables = [(*walk([p for p, _ in b], trie), np.array([c for _, c in b], float)) for b in blocks]
     size = len(vocab) + 1
     use = np.zeros(size)
     for table, _, weight in tables:  # begin with every occurrence of every piece
@@ -126,7 +151,7 @@ class Model:
 
     def __init__(self, languages: list[str], prob: np.ndarray, path: str):
         self.languages, self.prob, self.path = languages, prob, path
-        self.vocab = None
+        self.trie = None
 
     def __getstate__(self):
         return (self.languages, self.prob, self.path)
@@ -135,8 +160,7 @@ class Model:
         self.__init__(*state)
 
     def _open(self) -> None:
-        self.vocab = vocabulary(self.path)
-        self.longest = max(map(len, self.vocab))
+        self.trie = Trie(vocabulary(self.path))
         self._clear()
 
     def _clear(self) -> None:
@@ -150,28 +174,33 @@ class Model:
         parts.sort(key=lambda x: len(x[0]))
         for a in range(0, len(parts), 2000):
             block = parts[a:a + 2000]
-            table, sizes = lattice([p for p, _ in block], self.vocab, self.longest)
+            table, sizes = walk([p for p, _ in block], self.trie)
             alpha = forward(table, self.prob)[np.arange(len(sizes)), sizes]
-            np.add.at(out, [k for _, k in block], np.log(np.maximum(alpha, 1e-300)))
+            owner, logs = np.array([k for _, k in block]), np.log(np.maximum(alpha, 1e-300))
+            if len(parts) == len(words):
+                out[owner] = logs
+            else:
+                np.add.at(out, owner, logs)
         return out
 
     def learn_units(self, units: list[str]) -> None:
         """Rows (letters seen, log probabilities) for new units."""
-        spelt = [LETTERS.findall(u) for u in units]
-        words = list({w for ws in spelt for w in ws})
-        logs = dict(zip(words, self.word_logs(words), strict=True))
-        at = len(self.known)
-        if at + len(units) > len(self.rows):
+        number: dict[str, int] = {}
+        spelt = [[number.setdefault(w, len(number)) for w in LETTERS.findall(u)] for u in units]
+        logs = self.word_logs(list(number))
+        at, end = len(self.known), len(self.known) + len(units)
+        if end > len(self.rows):
             self.rows = np.vstack([self.rows, np.zeros((len(units) + len(self.rows), self.rows.shape[1]))])
-        for k, (u, ws) in enumerate(zip(units, spelt, strict=True), at):
-            self.known[u] = k
-            if ws:
-                self.rows[k, 0] = 1
-                self.rows[k, 1:] = sum(logs[w] for w in ws)
+        self.known.update(zip(units, range(at, end), strict=True))
+        sizes = np.array([len(ws) for ws in spelt], np.int64)
+        owner, word = np.repeat(np.arange(len(units)), sizes), np.array([w for ws in spelt for w in ws], np.int64)
+        self.rows[at:end, 0] = sizes > 0
+        for k in range(logs.shape[1]):
+            self.rows[at:end, 1 + k] = np.bincount(owner, logs[word, k], len(units))
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """Language and posterior of each whole text."""
-        if self.vocab is None:
+        if self.trie is None:
             self._open()
         units = [t.lower().split() for t in texts]
         new = set().union(*units).difference(self.known)
