@@ -37,7 +37,8 @@ PER_LANGUAGE = 300
 LETTERS = regex.compile(r"\p{L}+")
 MARK = "▁"
 UNKNOWN = 1e-7
-CACHE = 400_000
+#: Units of a cache generation; the units of the one before are kept beside it.
+CACHE = 250_000
 #: Words of more characters are scored in parts of this size, as pieces never are longer.
 LONGEST_WORD = 64
 
@@ -104,13 +105,15 @@ def forward(table: np.ndarray, prob: np.ndarray) -> np.ndarray:
     """alpha[w, i, l]: probability of the first i characters of part w in
     language l, summed over all segmentations. prob: (pieces + 1, languages)."""
     words, width, longest = table.shape
-    padded = np.vstack([prob, np.zeros((1, prob.shape[1]))])
-    alpha = np.zeros((words, width + 1, prob.shape[1]))
-    alpha[:, 0] = 1
+    ends = np.ascontiguousarray(table.transpose(1, 2, 0))
+    alpha = np.zeros((width + 1, words, prob.shape[1]))
+    alpha[0] = 1
     for i in range(width):
         for k in range(min(i + 1, longest)):
-            alpha[:, i + 1] += alpha[:, i - k] * padded[table[:, i, k]]
-    return alpha
+            live = np.flatnonzero(ends[i, k] >= 0)
+            if len(live):
+                alpha[i + 1][live] += alpha[i - k][live] * prob[ends[i, k][live]]
+    return alpha.transpose(1, 0, 2)
 
 
 def em(words: list[str], counts: np.ndarray, vocab: dict[str, int], rounds: int = 3) -> np.ndarray:
@@ -146,6 +149,11 @@ def em(words: list[str], counts: np.ndarray, vocab: dict[str, int], rounds: int
                     use += np.bincount(piece[live], (weight * alpha[:, i - k] * step_p / whole)[live], size)
 
 
+def letters(unit: str) -> list[str]:
+    """The runs of letters of a unit."""
+    return [unit] if unit.isascii() and unit.isalpha() else LETTERS.findall(unit)
+
+
 class Model:
     """Log probabilities of units in every language, cached."""
 
@@ -166,6 +174,26 @@ class Model:
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
         self.rows = np.zeros((1024, len(self.languages) + 1))
+        self.before, self.before_rows = self.known, self.rows
+
+    def _next_generation(self) -> None:
+        """Put the cache aside; what is met again comes back from there."""
+        old, rows = self.known, self.rows
+        self._clear()
+        self.before, self.before_rows = old, rows
+
+    def recall(self, units: list[str]) -> list[str]:
+        """Take over what the generation before knows; the units still new."""
+        met = [u for u in units if u in self.before]
+        self._add(met, self.before_rows[[self.before[u] for u in met]])
+        return [u for u in units if u not in self.before] if met else units
+
+    def _add(self, units: list[str], rows: np.ndarray) -> None:
+        at, end = len(self.known), len(self.known) + len(units)
+        if end > len(self.rows):
+            self.rows = np.vstack([self.rows, np.zeros((len(units) + len(self.rows), self.rows.shape[1]))])
+        self.rows[at:end] = rows
+        self.known.update(zip(units, range(at, end), strict=True))
 
     def word_logs(self, words: list[str]) -> np.ndarray:
         """log P(word) per language."""
@@ -186,17 +214,11 @@ class Model:
     def learn_units(self, units: list[str]) -> None:
         """Rows (letters seen, log probabilities) for new units."""
         number: dict[str, int] = {}
-        spelt = [[number.setdefault(w, len(number)) for w in LETTERS.findall(u)] for u in units]
+        spelt = [[number.setdefault(w, len(number)) for w in letters(u)] for u in units]
         logs = self.word_logs(list(number))
-        at, end = len(self.known), len(self.known) + len(units)
-        if end > len(self.rows):
-            self.rows = np.vstack([self.rows, np.zeros((len(units) + len(self.rows), self.rows.shape[1]))])
-        self.known.update(zip(units, range(at, end), strict=True))
         sizes = np.array([len(ws) for ws in spelt], np.int64)
         owner, word = np.repeat(np.arange(len(units)), sizes), np.array([w for ws in spelt for w in ws], np.int64)
-        self.rows[at:end, 0] = sizes > 0
-        for k in range(logs.shape[1]):
-            self.rows[at:end, 1 + k] = np.bincount(owner, logs[word, k], len(units))
+        self._add(units, np.stack([sizes > 0, *[np.bincount(owner, logs[word, k], len(units)) for k in range(logs.shape[1])]], axis=1))
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """Language and posterior of each whole text."""
@@ -205,10 +227,12 @@ class Model:
         units = [t.lower().split() for t in texts]
         new = set().union(*units).difference(self.known)
         if new and len(self.known) + len(new) > CACHE:
-            self._clear()
+            self._next_generation()
             new = set().union(*units)
         if new and self.languages:
-            self.learn_units(list(new))
+            new = self.recall(list(new))
+            if new:
+                self.learn_units(new)
         names, scores = [], []
         for us in units:
             total = self.rows[[self.known[u] for u in us]].sum(0) if us and self.languages else np.zeros(1)
