@@ -30,6 +30,19 @@ def dedup_source(source: DataFrame, natural_key: Sequence[str], order: Sequence
     return source.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys whose parts may be NULL (NULL equals NULL); one set of key
+    columns remains. Spark plans it as an equi-join."""
+    r = right.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    j = left.join(r, cond, how)
+    if how == "full":
+        j = j.withColumns({k: F.coalesce(F.col(k), F.col(f"_k_{k}")) for k in keys})
+    return j.drop(*[f"_k_{k}" for k in keys])
+
+
 def _hashed_pair(source: DataFrame, dim: DataFrame, natural_key: Sequence[str], tracked: Sequence[str],
                  hash_mode: str, hash_col: str | None):
     src = source.withColumn("_h_src", change_hash(tracked, hash_mode))
@@ -50,17 +63,16 @@ def classify(source: DataFrame, current: DataFrame, natural_key: Sequence[str],
     With ``include_missing``, active keys absent from the source come back as
     MISSING (full outer join).
     """
-    src = source.withColumn("_h_src", change_hash(tracked, hash_mode))
+    src = source.withColumns({"_h_src": change_hash(tracked, hash_mode), "_src": F.lit(True)})
     cur = current.filter(F.col("is_active")) if "is_active" in current.columns else current
     cur = cur.select(*natural_key, change_hash(tracked, hash_mode).alias("_h_cur"),
                      F.lit(True).alias("_hit"))
-    how = "full" if include_missing else "left"
-    j = src.join(cur, list(natural_key), how)
-    action = (F.when(F.col("_h_src").isNull() & F.col("_hit"), F.lit(MISSING))
+    j = _join(src, cur, natural_key, "full" if include_missing else "left")
+    action = (F.when(F.col("_src").isNull(), F.lit(MISSING))
               .when(F.col("_hit").isNull(), F.lit(NEW))
-              .when(F.col("_h_src") != F.col("_h_cur"), F.lit(CHANGED))
+              .when(~F.col("_h_src").eqNullSafe(F.col("_h_cur")), F.lit(CHANGED))
               .otherwise(F.lit(UNCHANGED)))
-    return j.withColumn("action", action).drop("_h_src", "_h_cur", "_hit")
+    return j.withColumn("action", action).drop("_h_src", "_src", "_h_cur", "_hit")
 
 
 def scd2_diff(source: DataFrame, dim: DataFrame, natural_key: Sequence[str], tracked: Sequence[str],
@@ -74,13 +86,13 @@ def scd2_diff(source: DataFrame, dim: DataFrame, natural_key: Sequence[str], tra
     Use :func:`scd2_apply` to get the whole next state as one frame instead.
     """
     src, cur = _hashed_pair(source, dim, natural_key, tracked, hash_mode, hash_col)
-    j = src.join(cur.select(*natural_key, surrogate_key, "_h_cur", F.lit(True).alias("_hit")),
-                 list(natural_key), "left")
-    ins = j.filter(F.col("_hit").isNull() | (F.col("_h_src") != F.col("_h_cur")))
+    j = _join(src, cur.select(*natural_key, surrogate_key, "_h_cur", F.lit(True).alias("_hit")), natural_key, "left")
+    differs = ~F.col("_h_src").eqNullSafe(F.col("_h_cur"))
+    ins = j.filter(F.col("_hit").isNull() | differs)
     inserts = ins.select(*source.columns).withColumns({
         "effective_start_dt": _ts(batch_ts), "effective_end_dt": F.lit(None).cast("timestamp"),
         "is_active": F.lit(True)})
-    expire = j.filter(F.col("_hit") & (F.col("_h_src") != F.col("_h_cur"))).select(surrogate_key).distinct()
+    expire = j.filter(F.col("_hit") & differs).select(surrogate_key).distinct()
     return inserts, expire
 
 
@@ -91,9 +103,8 @@ def scd2_diff_frame(source: DataFrame, dim: DataFrame, natural_key: Sequence[str
     One left join (source ⟕ active) feeds both parts.
     """
     src, cur = _hashed_pair(source, dim, natural_key, tracked, hash_mode, None)
-    j = src.join(cur.select(*natural_key, surrogate_key, "_h_cur", F.lit(True).alias("_hit")),
-                 list(natural_key), "left")
-    changed = F.col("_hit") & (F.col("_h_src") != F.col("_h_cur"))
+    j = _join(src, cur.select(*natural_key, surrogate_key, "_h_cur", F.lit(True).alias("_hit")), natural_key, "left")
+    changed = F.col("_hit") & ~F.col("_h_src").eqNullSafe(F.col("_h_cur"))
     ins = j.filter(F.col("_hit").isNull() | changed).select(
         F.lit("INSERT").alias("action"), *natural_key,
         F.lit(None).cast(dim.schema[surrogate_key].dataType).alias(surrogate_key),
@@ -132,11 +143,10 @@ def scd2_apply(source: DataFrame, dim: DataFrame, natural_key: Sequence[str], tr
     src, cur = _hashed_pair(source, dim, natural_key, tracked, hash_mode, hash_col)
     inactive = dim.filter(~F.col("is_active"))
     s_cols = [c for c in source.columns if c not in natural_key]
-    j = (cur.alias("c").join(
-        src.select(*natural_key, *[F.col(c).alias(f"_s_{c}") for c in s_cols], "_h_src",
-                   F.lit(True).alias("_s_hit")), list(natural_key), "full"))
+    j = _join(cur, src.select(*natural_key, *[F.col(c).alias(f"_s_{c}") for c in s_cols], "_h_src",
+                              F.lit(True).alias("_s_hit")), natural_key, "full")
     j = j.withColumn("_cur_hit", F.col(surrogate_key).isNotNull())
-    changed = F.col("_cur_hit") & F.col("_s_hit") & (F.col("_h_src") != F.col("_h_cur"))
+    changed = F.col("_cur_hit") & F.col("_s_hit") & ~F.col("_h_src").eqNullSafe(F.col("_h_cur"))
     gone = F.col("_cur_hit") & F.col("_s_hit").isNull() & F.lit(bool(expire_missing))
     close = F.coalesce(changed | gone, F.lit(False))
 
@@ -190,8 +200,10 @@ def scd1_apply(dim: DataFrame, source: DataFrame, key: Sequence[str], surrogate_
                batch_ts=None, stamp_col: str = "last_updated_dt") -> DataFrame:
     """Type 1 overwrite (D-04): source values replace matched rows in place,
     new keys are appended, untouched rows stay. Existing surrogate keys are
-    kept; new rows get keys after the current maximum."""
+    kept; new rows get keys after the current maximum. Of repeated source
+    rows one stays (:func:`dedup_source`)."""
     ts = _ts(batch_ts)
+    source = dedup_source(source, key)
     keep = dim.join(source.select(*key), list(key), "left_anti")
     attrs = [c for c in dim.columns if c not in key and c not in (surrogate_key, stamp_col)]
     src = source.select(*key, *[F.col(c).cast(dim.schema[c].dataType).alias(c)

@@ -115,3 +115,28 @@ def test_scd2_diff(spark):
     assert "record_hash" not in ins.columns and "_h_src" not in ins.columns
     frame = scd.scd2_diff_frame(src, dim, ["code_id"], ["code_value"], "code_key", BATCH)
     assert sorted(r["action"] for r in frame.collect()) == ["EXPIRE", "INSERT", "INSERT"]
+
+
+def test_null_key_parts_match_and_closed_rows_stay(spark):
+    dim = spark.createDataFrame([(1, "a", None, "x", T0, None, True), (2, "b", "1", "y", T0, None, True),
+                                 (3, "c", "1", "old", dt.datetime(2024, 1, 1), T0, False),
+                                 (4, "c", "1", "new", T0, None, True)],
+                                "k int, id string, part string, v string, effective_start_dt timestamp, "
+                                "effective_end_dt timestamp, is_active boolean")
+    src = spark.createDataFrame([("a", None, "x"), ("b", "1", "z"), ("c", "1", "new"), ("d", None, "w")],
+                                "id string, part string, v string")
+    key = ["id", "part"]
+    out = scd.scd2_apply(src, dim, key, ["v"], "k", BATCH)
+    assert rows(out, "k", "id", "part", "v", "is_active") == [
+        (1, "a", None, "x", True), (2, "b", "1", "y", False), (3, "c", "1", "old", False),
+        (4, "c", "1", "new", True), (5, "b", "1", "z", True), (6, "d", None, "w", True)]
+    assert rows(scd.classify(src, dim, key, ["v"]), "id", "action") == [
+        ("a", "UNCHANGED"), ("b", "CHANGED"), ("c", "UNCHANGED"), ("d", "NEW")]
+    ins, exp = scd.scd2_diff(src, dim, key, ["v"], "k", BATCH)
+    assert rows(ins, "id") == [("b",), ("d",)] and rows(exp) == [(2,)]
+
+
+def test_scd1_repeated_source_rows_give_one(spark):
+    dim = spark.createDataFrame([(1, "01", 5, T0)], "k long, code string, n int, last_updated_dt timestamp")
+    src = spark.createDataFrame([("01", 8), ("01", 9), ("02", 1), ("02", 1)], "code string, n int")
+    assert rows(scd.scd1_apply(dim, src, ["code"], "k", BATCH), "k", "code", "n") == [(1, "01", 8), (2, "02", 1)]
