@@ -26,6 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +38,10 @@ PER_LANGUAGE = 300
 LETTERS = regex.compile(r"\p{L}+")
 MARK = "▁"
 UNKNOWN = 1e-7
-#: Units of a cache generation; the units of the one before are kept beside it.
+#: Words of a cache generation; those of the one before are kept beside it.
 CACHE = 250_000
+#: Words whose lattices are worked on at once.
+BLOCK = 2000
 #: Words of more characters are scored in parts of this size, as pieces never are longer.
 LONGEST_WORD = 64
 
@@ -149,13 +152,17 @@ def em(words: list[str], counts: np.ndarray, vocab: dict[str, int], rounds: int
                     use += np.bincount(piece[live], (weight * alpha[:, i - k] * step_p / whole)[live], size)
 
 
-def letters(unit: str) -> list[str]:
-    """The runs of letters of a unit."""
-    return [unit] if unit.isascii() and unit.isalpha() else LETTERS.findall(unit)
+def split_texts(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """(sizes, words, which): text k's lower-cased words are the next sizes[k]
+    of words[which]. A text without letters has the one word ""."""
+    plain = pc.replace_substring_regex(pa.array([t.lower() for t in texts], pa.large_string()), r"\P{L}+", " ")
+    lists = pc.split_pattern(pc.utf8_trim(plain, " "), " ")
+    coded = lists.flatten().dictionary_encode()
+    return pc.list_value_length(lists).to_numpy(), coded.dictionary.to_pylist(), coded.indices.to_numpy()
 
 
 class Model:
-    """Log probabilities of units in every language, cached."""
+    """Log probabilities of words in every language, cached."""
 
     def __init__(self, languages: list[str], prob: np.ndarray, path: str):
         self.languages, self.prob, self.path = languages, prob, path
@@ -173,77 +180,66 @@ class Model:
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.rows = np.zeros((1024, len(self.languages) + 1))
-        self.before, self.before_rows = self.known, self.rows
+        self.rows = np.zeros((1024, len(self.languages)))
+        self.before: dict[str, int] = {}
 
     def _next_generation(self) -> None:
-        """Put the cache aside; what is met again comes back from there."""
+        """Put the cache aside; words met again come back from there."""
         old, rows = self.known, self.rows
         self._clear()
         self.before, self.before_rows = old, rows
 
-    def recall(self, units: list[str]) -> list[str]:
-        """Take over what the generation before knows; the units still new."""
-        met = [u for u in units if u in self.before]
-        self._add(met, self.before_rows[[self.before[u] for u in met]])
-        return [u for u in units if u not in self.before] if met else units
-
-    def _add(self, units: list[str], rows: np.ndarray) -> None:
-        at, end = len(self.known), len(self.known) + len(units)
+    def _add(self, words: list[str], rows: np.ndarray) -> None:
+        at, end = len(self.known), len(self.known) + len(words)
         if end > len(self.rows):
-            self.rows = np.vstack([self.rows, np.zeros((len(units) + len(self.rows), self.rows.shape[1]))])
+            self.rows = np.vstack([self.rows, np.zeros((len(words) + len(self.rows), self.rows.shape[1]))])
         self.rows[at:end] = rows
-        self.known.update(zip(units, range(at, end), strict=True))
+        self.known.update(zip(words, range(at, end), strict=True))
+
+    def learn(self, words: list[str]) -> None:
+        """Rows of log P(word) for words that ``known`` lacks."""
+        if self.before:
+            met = [w for w in words if w in self.before]
+            self._add(met, self.before_rows[[self.before[w] for w in met]])
+            words = [w for w in words if w not in self.before]
+        self._add(words, self.word_logs(words))
 
     def word_logs(self, words: list[str]) -> np.ndarray:
-        """log P(word) per language."""
+        """log P(word) per language; 0 for the empty word."""
         out = np.zeros((len(words), len(self.languages)))
-        parts = [(p, k) for k, w in enumerate(words) for p in split_word(w)]
-        parts.sort(key=lambda x: len(x[0]))
-        for a in range(0, len(parts), 2000):
-            block = parts[a:a + 2000]
-            table, sizes = walk([p for p, _ in block], self.trie)
-            alpha = forward(table, self.prob)[np.arange(len(sizes)), sizes]
-            owner, logs = np.array([k for _, k in block]), np.log(np.maximum(alpha, 1e-300))
-            if len(parts) == len(words):
-                out[owner] = logs
-            else:
-                np.add.at(out, owner, logs)
+        sizes = np.array([len(w) for w in words], np.int64)
+        order = np.argsort(sizes, kind="stable")
+        first, last = np.searchsorted(sizes[order], [1, LONGEST_WORD])
+        for a in range(first, last, BLOCK):
+            own = order[a:min(a + BLOCK, last)]
+            out[own] = self._part_logs([MARK + words[k] for k in own.tolist()])
+        for k in order[last:].tolist():
+            out[k] = self._part_logs(split_word(words[k])).sum(0)
         return out
 
-    def learn_units(self, units: list[str]) -> None:
-        """Rows (letters seen, log probabilities) for new units."""
-        number: dict[str, int] = {}
-        spelt = [[number.setdefault(w, len(number)) for w in letters(u)] for u in units]
-        logs = self.word_logs(list(number))
-        sizes = np.array([len(ws) for ws in spelt], np.int64)
-        owner, word = np.repeat(np.arange(len(units)), sizes), np.array([w for ws in spelt for w in ws], np.int64)
-        self._add(units, np.stack([sizes > 0, *[np.bincount(owner, logs[word, k], len(units)) for k in range(logs.shape[1])]], axis=1))
+    def _part_logs(self, parts: list[str]) -> np.ndarray:
+        table, sizes = walk(parts, self.trie)
+        return np.log(np.maximum(forward(table, self.prob)[np.arange(len(sizes)), sizes], 1e-300))
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """Language and posterior of each whole text."""
+        if not self.languages or not texts:
+            return ["und"] * len(texts), [0.0] * len(texts)
         if self.trie is None:
             self._open()
-        units = [t.lower().split() for t in texts]
-        new = set().union(*units).difference(self.known)
-        if new and len(self.known) + len(new) > CACHE:
+        sizes, words, which = split_texts(texts)
+        if len(self.known) + len(words) > CACHE:
             self._next_generation()
-            new = set().union(*units)
-        if new and self.languages:
-            new = self.recall(list(new))
-            if new:
-                self.learn_units(new)
-        names, scores = [], []
-        for us in units:
-            total = self.rows[[self.known[u] for u in us]].sum(0) if us and self.languages else np.zeros(1)
-            if not total[0]:
-                names.append("und")
-                scores.append(0.0)
-                continue
-            best = int(total[1:].argmax())
-            names.append(self.languages[best])
-            scores.append(float(1 / np.exp(total[1:] - total[1 + best]).sum()))
-        return names, scores
+        new = [w for w in words if w not in self.known]
+        if new:
+            self.learn(new)
+        logs = self.rows[[self.known[w] for w in words]]
+        owner, spelt = np.repeat(np.arange(len(texts)), sizes), np.array([w != "" for w in words])[which]
+        total = np.stack([np.bincount(owner, logs[which, k], len(texts)) for k in range(len(self.languages))], axis=1)
+        best = total.argmax(1)
+        score = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
+        known = np.bincount(owner, spelt, len(texts)) > 0
+        return [self.languages[b] if k else "und" for b, k in zip(best.tolist(), known.tolist(), strict=True)], np.where(known, score, 0.0).tolist()
 
 
 def held_out(id_col) -> F.Column:
