@@ -13,7 +13,7 @@ from ..functions.hashing import change_hash
 from ..session import materialize
 from .keys import assign_keys
 from .lookup import lookup, lookup_code, lookup_date
-from .staging import strip_pii, valid
+from .staging import latest_rows, strip_pii, valid
 
 NEW, CHANGED, UNCHANGED = "NEW", "CHANGED", "UNCHANGED"
 
@@ -204,9 +204,14 @@ def build_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str,
 def split_changes(new: DataFrame, existing: DataFrame, key: str, hash_col: str = "record_hash") -> DataFrame:
     """Incremental split (X-04): each incoming row tagged NEW / CHANGED / UNCHANGED.
 
-    One left join on the business key (J-09 and J-10 in one pass).
+    One left join on the business key (J-09 and J-10 in one pass); the count
+    per key of the target uses the same partitioning. A key that the target
+    holds twice is an error. Rows without a key are NEW.
     """
-    ex = existing.select(F.col(key), F.col(hash_col).alias("_ex_hash"), F.lit(True).alias("_ex_hit"))
+    twice = F.raise_error(F.concat(F.lit(f"repeated {key} in the target: "), F.col(key).cast("string")))
+    ex = (existing.filter(F.col(key).isNotNull()).groupBy(key)
+          .agg(F.max(hash_col).alias("_ex_hash"), F.count(F.lit(1)).alias("_ex_n"))
+          .select(key, "_ex_hash", F.when(F.col("_ex_n") > 1, twice.cast("boolean")).otherwise(F.lit(True)).alias("_ex_hit")))
     j = new.join(ex, key, "left")
     action = (F.when(F.col("_ex_hit").isNull(), F.lit(NEW))
               .when(~F.col(hash_col).eqNullSafe(F.col("_ex_hash")), F.lit(CHANGED))
@@ -235,6 +240,9 @@ def history_rows(changes: DataFrame, existing: DataFrame, hist: DataFrame | None
     (closed prior, open UPDATE) exists. The new row is opened with
     ``change_type='UPDATE'`` and the batch's snapshot date key. Untouched
     history rows pass through. All joins are on the business key.
+    Rows that an unfinished run of the same ``batch_ts`` wrote for these keys
+    are undone first, so the history may be written before the fact and the
+    batch run again.
     """
     ts = _ts(batch_ts)
     snap = date_key(ts)
@@ -251,6 +259,12 @@ def history_rows(changes: DataFrame, existing: DataFrame, hist: DataFrame | None
         hist = opened.limit(0)
     hist = hist.select(*hist_cols)
     touched = hist.join(chg_keys, key, "left_semi")
+    own = (((F.col("change_type") == "UPDATE") & F.col("effective_start_dt").eqNullSafe(ts))
+           | ((F.col("change_type") == "INSERT") & F.col("effective_end_dt").eqNullSafe(ts)))
+    closed_here = F.col("effective_end_dt").eqNullSafe(ts)
+    touched = touched.filter(~own).withColumns({
+        "is_current": F.col("is_current") | closed_here,
+        "effective_end_dt": F.when(~closed_here, F.col("effective_end_dt"))})
     untouched = hist.join(chg_keys, key, "left_anti")
     closed = touched.withColumns({
         "effective_end_dt": F.when(F.col("is_current"), ts).otherwise(F.col("effective_end_dt")),
@@ -290,8 +304,12 @@ def load_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str, m
               existing: DataFrame | None = None, hist: DataFrame | None = None, batch_ts=None,
               hash_mode: str = "safe", update_current: bool = True, materialize_split: bool = True, **kw):
     """INITIAL: the whole fact (written with overwrite, so a rerun does not
-    double it). INCREMENTAL: ``(fact, history)`` next states (X-06)."""
+    double it). INCREMENTAL: ``(fact, history)`` next states (X-06). Of rows
+    with the same business id the latest valid one is loaded (A-13)."""
     spec = FACT_SPECS[subject]
+    if kw.get("only_valid", True):
+        staging = valid(staging)
+    staging = latest_rows(staging, spec["id"], [schemas.subject(subject)["date"]])
     mode = mode.upper()
     if mode == "INITIAL":
         return build_fact(staging, dims, subject, batch_ts, hash_mode, **kw)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -159,22 +159,24 @@ def flag_rows(df: DataFrame, subject: str, as_of) -> DataFrame:
     """Row flags ``dq_is_valid`` and ``dq_validation_errors`` (Q-06).
 
     Errors per row: each missing required field, a date out of range, a
-    duplicated id (count window over the id: one shuffle by id). Errors are
+    duplicated id (ids are counted map-side and only the repeated ones are
+    joined back, so neither a hot id nor the rows without an id form one group). Errors are
     joined with ``;`` in check order; NULL when the row is clean.
     """
     cfg = schemas.subject(subject)
     lo = F.lit(VALID_DATE_MIN).cast("date")
-    dup = F.count(F.lit(1)).over(Window.partitionBy(cfg["id"])) > 1
+    repeated = (df.filter(F.col(cfg["id"]).isNotNull()).groupBy(F.col(cfg["id"]).alias("_dup_id"))
+                .agg(F.count(F.lit(1)).alias("_dup_n")).filter("_dup_n > 1").select("_dup_id"))
     errs = [F.when(F.col(c).isNull(), F.lit(f"{c}_not_null")) for c in cfg["required"]]
     errs.append(F.when(F.coalesce((F.col(cfg["date"]) < lo) | (F.col(cfg["date"]) > _ts(as_of)),
                                   F.lit(False)), F.lit(f"{cfg['date']}_valid_range")))
-    errs.append(F.when(dup & F.col(cfg["id"]).isNotNull(), F.lit(f"{cfg['id']}_unique")))
+    errs.append(F.when(F.col("_dup_id").isNotNull(), F.lit(f"{cfg['id']}_unique")))
     arr = F.array_compact(F.array(*errs))
-    return (df.withColumn("_errs", arr)
+    return (df.join(repeated, F.col(cfg["id"]) == F.col("_dup_id"), "left").withColumn("_errs", arr)
             .withColumn("dq_is_valid", F.size("_errs") == 0)
             .withColumn("dq_validation_errors",
                         F.when(F.size("_errs") > 0, F.array_join("_errs", ";")))
-            .drop("_errs"))
+            .drop("_errs", "_dup_id"))
 
 
 def failures(results: DataFrame, raise_on_fail: bool = False) -> DataFrame:

@@ -46,8 +46,8 @@ def upsert(target: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFra
 class VersionedTable:
     """A Parquet table stored as numbered versions with a pointer.
 
-    ``write`` puts the new state in the next version folder, then rewrites the
-    pointer; a failure before the pointer switch leaves the old version live.
+    ``write`` puts the new state in the next version folder, then adds a
+    pointer to it; a failure before the pointer switch leaves the old version live.
     Reading and writing the same table in one plan is safe: the new state goes
     to a different folder than the one being read.
     """
@@ -96,7 +96,8 @@ class VersionedTable:
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         w.parquet(f"{self.path}/v={v}")
-        self.spark.createDataFrame([(v,)], "version int").coalesce(1).write.mode("overwrite") \
+        # one more pointer file, the greatest version counts: there is no moment without a pointer
+        self.spark.createDataFrame([(v,)], "version int").coalesce(1).write.mode("append") \
             .json(self._pointer())
         return v
 

@@ -9,17 +9,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.dates import date_key
 from ..operators import facts, quality, recon
+from ..operators.keys import assign_keys
 from ..operators.runlog import RunLog
-from ..operators.staging import conform, stamp
+from ..operators.staging import conform, latest_rows, stamp
 from ..operators.tables import VersionedTable
+from ..session import materialize
 from ..sources.calendar import build_d_date
 
+# Dimensions bounded by construction: seed lists and the generated calendar.
+BOUNDED_DIMS = {"d_date", "d_code", "d_code_category", "d_state", "d_country", "d_data_source"}
+
 
 def file_dimension(staged: DataFrame, d_data_source: DataFrame, batch_ts: str,
                    existing: DataFrame | None = None) -> DataFrame:
@@ -36,7 +41,7 @@ def file_dimension(staged: DataFrame, d_data_source: DataFrame, batch_ts: str,
         start = existing.agg(F.coalesce(F.max("file_key"), F.lit(0)).cast("long")).scalar()
     else:
         start = F.lit(0)
-    new = files.withColumn("file_key", (start + F.row_number().over(Window.orderBy("file_name"))).cast("long")) \
+    new = assign_keys(files, "file_key", ["file_name"], start) \
         .select("file_key", F.col("file_name").alias("file_id"), "data_source_key", "file_name",
                 F.col("record_count").cast("long"), F.lit(batch_ts).cast("timestamp").alias("load_timestamp"),
                 F.lit("COMPLETED").alias("processing_status"))
@@ -58,14 +63,13 @@ def run_pipeline(spark: SparkSession, subject: str, mode: str, raw: DataFrame, r
     t = {name: VersionedTable(spark, f"{root}/{name}") for name in
          (cfg["table"], "dq_results", "d_file", f"f_{subject}", f"f_{subject}_hist", "etl_control")}
 
-    staged = conform(stamp(raw, batch_ts), cfg["schema"])
-    staged = quality.flag_rows(staged, subject, batch_ts)
+    # the checks see every landed row; of an id's copies the latest is staged
+    landed = materialize(conform(stamp(raw, batch_ts), cfg["schema"]), f"landed-{subject}")
+    t["dq_results"].append(quality.run_checks(landed, subject, batch_ts))
+    staged = quality.flag_rows(latest_rows(landed, cfg["id"], [cfg["date"]]), subject, batch_ts)
     t[cfg["table"]].write(staged)
     staged = t[cfg["table"]].read()
 
-    checks = quality.run_checks(staged, subject, batch_ts)
-    t["dq_results"].append(checks)
-
     d_file = file_dimension(staged, dims["d_data_source"], batch_ts,
                             t["d_file"].read() if t["d_file"].exists() else None)
     t["d_file"].write(d_file)
@@ -75,7 +79,7 @@ def run_pipeline(spark: SparkSession, subject: str, mode: str, raw: DataFrame, r
     all_dims["d_date"] = build_d_date(spark, *calendar)
     from ..plans.domain import Dims
     dm = Dims(all_dims)
-    dm.small = set(all_dims)
+    dm.small = BOUNDED_DIMS & set(all_dims)  # files and zipcodes grow: their lookups check the size
     dm.calendar_span = tuple(calendar)
 
     fact_t, hist_t = t[f"f_{subject}"], t[f"f_{subject}_hist"]
@@ -87,9 +91,11 @@ def run_pipeline(spark: SparkSession, subject: str, mode: str, raw: DataFrame, r
         existing = fact_t.read()
         hist = hist_t.read() if hist_t.exists() else None
         fact, new_hist = facts.load_fact(staged, dm, subject, "INCREMENTAL", existing, hist, batch_ts)
-        fact_t.write(log.observe(fact), sort_by=[spec_key])
+        # history first: if the fact write fails, the next run of the batch
+        # finds the same changes and redoes its history rows
         hist_t.write(new_hist)
-    rec = recon.reconcile({"staging": staged, "valid": staged.filter("dq_is_valid"),
+        fact_t.write(log.observe(fact), sort_by=[spec_key])
+    rec = recon.reconcile({"landed": landed, "staging": staged, "valid": staged.filter("dq_is_valid"),
                            "warehouse": fact_t.read()})
     counts = {r["layer"]: r["row_count"] for r in rec.collect()}
     log.finish("SUCCESS", read=counts.get("staging"),

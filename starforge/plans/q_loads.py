@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 from ..operators import archive, facts, recon, scd
 from ..operators.staging import valid
+from ..session import materialize
 from ..sources.files import incremental_extract
 from . import domain, warehouse
-from .catalog import query
+from .catalog import _REG_FACT_SQL, query
 from .oracle import TS, dk, safe_hash, with_ctes
 
 SNAP_TS = f"{domain.SNAPSHOT_DATE} 00:00:00"
-LOAD_SKIP = ("zipcode", "file")
 ARCHIVE_AS_OF, ARCHIVE_YEARS = "2002-01-01", 5
 
 
@@ -33,23 +33,29 @@ def snapshot_staging(spark, sf):
 
 
 def _dims(spark, sf):
-    return domain.dims(spark, sf, with_zipcode=False,
-                       need={"d_date", "d_code", "d_code_category", "d_state", "d_country", "d_data_source"})
+    return domain.dims(spark, sf, with_zipcode=True,
+                       need={"d_date", "d_code", "d_code_category", "d_state", "d_country", "d_data_source",
+                             "d_file", "d_zipcode"})
 
 
 def existing_and_batch(spark, sf):
     dm = _dims(spark, sf)
-    existing = facts.build_fact(snapshot_staging(spark, sf), dm, "registration", SNAP_TS, assign=True,
-                                person_counts=False, skip=LOAD_SKIP)
+    existing = facts.build_fact(snapshot_staging(spark, sf), dm, "registration", SNAP_TS, assign=True)
     batch = facts.build_fact(domain.staging(spark, sf, "registration"), dm, "registration", domain.BATCH_TS,
-                             assign=False, person_counts=False, skip=LOAD_SKIP)
+                             assign=False)
     return existing, batch, dm
 
 
-_SNAP = with_ctes("stg_registration", "d_code", "d_state") + f""",
+def split_of(spark, sf):
+    """The existing fact and the tagged batch, written once: several branches read it."""
+    existing, batch, dm = existing_and_batch(spark, sf)
+    return existing, materialize(facts.split_changes(batch, existing, "registration_id"), "split-registration"), dm
+
+
+_SNAP = with_ctes("stg_registration", "d_code", "d_state", "d_zipcode") + f""",
 ls AS (SELECT CAST(l_orderkey AS VARCHAR) AS rid, max(l_shipdate) AS last_ship FROM lineitem GROUP BY 1),
 snap AS (
-  SELECT r.registration_id, r.registration_date, r.registration_type, r.state,
+  SELECT r.registration_id, r.registration_date, r.registration_type, r.state, r.zipcode,
          CASE WHEN r.registration_status = 'F' AND ls.last_ship >= TIMESTAMP '{SNAP_TS}' THEN 'O'
               ELSE r.registration_status END AS registration_status
   FROM stg_registration r LEFT JOIN ls ON ls.rid = r.registration_id
@@ -75,9 +81,10 @@ def split_changes(spark, sf):
     return facts.split_changes(batch, existing, "registration_id").select("registration_id", "action")
 
 
-@query("fact_upsert", "X-06 K-05 W-08", _SNAP + f"""
-SELECT c.registration_key, c.registration_id, cs.code_key AS registration_status_code_key,
-       {safe_hash(['c.registration_id', 'c.status'])} AS record_hash, c.created_dt, c.updated_dt
+@query("fact_upsert", "X-06 K-05 W-08", _SNAP + f""",
+full_fact AS ({_REG_FACT_SQL})
+SELECT f.* REPLACE (c.registration_key AS registration_key, cs.code_key AS registration_status_code_key,
+       {safe_hash(['c.registration_id', 'c.status'])} AS record_hash, c.created_dt AS created_dt, c.updated_dt AS updated_dt)
 FROM (
   SELECT ex_key AS registration_key, registration_id, ex_status AS status,
          TIMESTAMP '{SNAP_TS}' AS created_dt, TIMESTAMP '{SNAP_TS}' AS updated_dt FROM cmp WHERE action = 'UNCHANGED'
@@ -86,38 +93,35 @@ FROM (
   UNION ALL
   SELECT (SELECT m FROM maxk) + row_number() OVER (ORDER BY registration_id), registration_id, registration_status,
          {TS}, {TS} FROM cmp WHERE action = 'NEW') c
+JOIN full_fact f ON f.registration_id = c.registration_id
 {_code('cs', 'REG_STATUS', 'c.status')}""")
 def fact_upsert(spark, sf):
     """Next fact state after the incremental batch (INCREMENTAL mode)."""
-    existing, batch, _ = existing_and_batch(spark, sf)
-    split = facts.split_changes(batch, existing, "registration_id")
-    out = facts.upsert_fact(existing, split, "registration_id", "registration_key", domain.BATCH_TS)
-    return out.select("registration_key", "registration_id", "registration_status_code_key", "record_hash",
-                      "created_dt", "updated_dt")
+    existing, split, _ = split_of(spark, sf)
+    return facts.upsert_fact(existing, split, "registration_id", "registration_key", domain.BATCH_TS)
 
 
 _HIST = _SNAP + f""",
 hist AS (
   SELECT c.ex_key AS registration_key, c.registration_id, {dk(f"DATE '{domain.SNAPSHOT_DATE}'")} AS snapshot_date_key,
          {dk('c.registration_date')} AS registration_date_key, cs.code_key AS registration_status_code_key,
-         ct.code_key AS registration_type_code_key, CAST(NULL AS BIGINT) AS zipcode_key, st.state_key,
+         ct.code_key AS registration_type_code_key, z.zipcode_key, st.state_key,
          'INSERT' AS change_type, TIMESTAMP '{SNAP_TS}' AS effective_start_dt, {TS} AS effective_end_dt,
          FALSE AS is_current, TIMESTAMP '{SNAP_TS}' AS created_dt
   FROM cmp c {_code('cs', 'REG_STATUS', 'c.ex_status')} {_code('ct', 'REG_TYPE', 'c.registration_type')}
-  LEFT JOIN d_state st ON st.state_code = c.state
+  LEFT JOIN d_state st ON st.state_code = c.state LEFT JOIN d_zipcode z ON z.zipcode = c.zipcode
   WHERE c.action = 'CHANGED'
   UNION ALL
   SELECT c.ex_key, c.registration_id, {dk(TS)}, {dk('c.registration_date')}, cs.code_key, ct.code_key,
-         CAST(NULL AS BIGINT), st.state_key, 'UPDATE', {TS}, CAST(NULL AS TIMESTAMP), TRUE, {TS}
+         z.zipcode_key, st.state_key, 'UPDATE', {TS}, CAST(NULL AS TIMESTAMP), TRUE, {TS}
   FROM cmp c {_code('cs', 'REG_STATUS', 'c.registration_status')} {_code('ct', 'REG_TYPE', 'c.registration_type')}
-  LEFT JOIN d_state st ON st.state_code = c.state
+  LEFT JOIN d_state st ON st.state_code = c.state LEFT JOIN d_zipcode z ON z.zipcode = c.zipcode
   WHERE c.action = 'CHANGED')
 """
 
 
 def history(spark, sf):
-    existing, batch, dm = existing_and_batch(spark, sf)
-    split = facts.split_changes(batch, existing, "registration_id")
+    existing, split, dm = split_of(spark, sf)
     cols = ["registration_date_key", "registration_status_code_key", "registration_type_code_key",
             "zipcode_key", "state_key"]
     return facts.history_rows(split, existing, None, "registration_id", "registration_key", cols,
@@ -146,9 +150,8 @@ def history_as_of(spark, sf):
 # ------------------------------------------------------------------ archive
 
 def archive_sets(spark, sf):
-    dm = domain.dims(spark, sf, with_zipcode=False, need={"d_date", "d_code", "d_code_category", "d_state",
-                                                          "d_country", "d_data_source"})
-    f = warehouse.fact(spark, sf, "registration", keys=True, skip=LOAD_SKIP, dims=dm)
+    dm = _dims(spark, sf)
+    f = warehouse.fact(spark, sf, "registration", keys=True, zipcode=True, person_counts=True, dims=dm)
     cut = archive.cutoff(ARCHIVE_AS_OF, years=ARCHIVE_YEARS)
     return archive.archive_split(f, dm["d_date"], "registration_date_key", cut)
 
@@ -162,11 +165,13 @@ old AS (SELECT registration_key, registration_id, registration_date_key,
 """
 
 
-@query("archive_split", "X-07 J-11 F-11", _ARCH + "SELECT * FROM old")
+@query("archive_split", "X-07 J-11 F-11", _ARCH + f"""
+, full_fact AS ({_REG_FACT_SQL})
+SELECT f.*, old.archive_year FROM old JOIN full_fact f USING (registration_id)""")
 def archive_split(spark, sf):
     """Registrations older than five years before the run date, tagged with their archive year."""
     old, _kept = archive_sets(spark, sf)
-    return old.select("registration_key", "registration_id", "registration_date_key", "archive_year")
+    return old
 
 
 @query("archive_counts", "A-20 X-08", _ARCH + """

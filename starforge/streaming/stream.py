@@ -11,6 +11,13 @@ from pyspark.sql import types as T
 from ..operators.monitor import AGG
 
 
+def table_source(root: str, name: str) -> str:
+    """Path of a Parquet table for a file stream, be the table one file or a
+    folder of part files. As a pattern (of one name) both can be listed; a
+    plain path to a single file is refused by the stream source."""
+    return f"{root.rstrip('/')}/{{{name}.parquet}}"
+
+
 def ingest_new_files(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: T.StructType,
                      fmt: str = "parquet", transform: Callable[[DataFrame], DataFrame] | None = None,
                      partition_by: Sequence[str] = (), wait: bool = True, glob: str | None = None,
