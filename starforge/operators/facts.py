@@ -89,12 +89,43 @@ def first_time(df: DataFrame, person: Sequence[str], date: str, id_col: str,
             .drop("_ft_b", "_ft_local", "_ft_off"))
 
 
+PERSON = ("first_name", "last_name", "birth_date")
+
+
+def person_rows(staging: DataFrame, person: Sequence[str] = PERSON, only_valid: bool = True) -> DataFrame:
+    """(registration_id, registration_date, person_key) of a load's rows. The key
+    is a hash of the person's columns (NULL-safe), so later loads can count a
+    person's earlier registrations without keeping personal data."""
+    df = valid(staging) if only_valid else staging
+    return df.select("registration_id", "registration_date", change_hash(list(person), "safe").alias("person_key"))
+
+
+def next_persons(earlier: DataFrame | None, batch: DataFrame) -> DataFrame:
+    """Person rows after a load: the batch's rows replace those of the same ids."""
+    if earlier is None:
+        return batch
+    return earlier.join(batch.select("registration_id"), "registration_id", "left_anti").unionByName(batch)
+
+
+def first_time_after(df: DataFrame, earlier: DataFrame, person: Sequence[str]) -> DataFrame:
+    """:func:`first_time` over the rows of ``df`` and the earlier loads' rows
+    (see :func:`person_rows`) of the same persons. Earlier rows with an id of
+    ``df`` are replaced by it. Only the batch's persons are read on; rows of
+    earlier loads keep the counts they were loaded with."""
+    batch = df.withColumn("_person", change_hash(list(person), "safe"))
+    past = (earlier.join(batch.select("registration_id"), "registration_id", "left_anti")
+            .join(batch.select(F.col("_person").alias("person_key")).distinct(), "person_key", "left_semi")
+            .select("registration_id", "registration_date", F.col("person_key").alias("_person"), F.lit(True).alias("_past")))
+    both = batch.withColumn("_past", F.lit(False)).unionByName(past, allowMissingColumns=True)
+    return first_time(both, ["_person"], "registration_date", "registration_id").filter(~F.col("_past")).drop("_past", "_person")
+
+
 def build_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str, batch_ts=None,
                hash_mode: str = "safe", assign: bool = True, key_start=0,
                state_match: str = "state_code", source_match: str = "source_system",
-               person: Sequence[str] = ("first_name", "last_name", "birth_date"),
+               person: Sequence[str] = PERSON,
                only_valid: bool = True, person_counts: bool = True,
-               skip: Sequence[str] = ()) -> DataFrame:
+               skip: Sequence[str] = (), earlier: DataFrame | None = None) -> DataFrame:
     """Fact rows of one subject from valid staging rows (X-01..X-03).
 
     Surrogate lookups (dates, codes per category, zip, state with its
@@ -102,7 +133,8 @@ def build_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str,
     the bounded dimensions are broadcast behind a size check, so the staging
     side is never shuffled for them. No personal column survives.
     ``person_counts=False`` skips the per-person window (W-07) for callers
-    that only aggregate; ``assign=False`` leaves the surrogate key NULL;
+    that only aggregate; ``earlier`` (:func:`person_rows` of the loads before)
+    makes it count their registrations too; ``assign=False`` leaves the surrogate key NULL;
     ``skip`` (``codes``, ``zipcode``, ``state``, ``source``, ``file``) leaves
     those keys NULL for callers that do not read them. Dimensions listed in
     ``dims.small`` were counted once by their builder and are broadcast
@@ -156,7 +188,9 @@ def build_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str,
     df = df.withColumns({"source_system_id": F.col("source_system"), "created_dt": ts, "updated_dt": ts})
 
     if subject == "registration":
-        if person_counts:
+        if person_counts and earlier is not None:
+            df = first_time_after(df, earlier, person)
+        elif person_counts:
             df = first_time(df, list(person), "registration_date", "registration_id")
         else:
             df = df.withColumns({"previous_registration_count": F.lit(None).cast("int"),
@@ -305,7 +339,9 @@ def load_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str, m
               hash_mode: str = "safe", update_current: bool = True, materialize_split: bool = True, **kw):
     """INITIAL: the whole fact (written with overwrite, so a rerun does not
     double it). INCREMENTAL: ``(fact, history)`` next states (X-06). Of rows
-    with the same business id the latest valid one is loaded (A-13)."""
+    with the same business id the latest valid one is loaded (A-13). An
+    incremental load of registrations needs ``earlier`` to count a person's
+    registrations of the loads before."""
     spec = FACT_SPECS[subject]
     if kw.get("only_valid", True):
         staging = valid(staging)

@@ -61,7 +61,8 @@ def run_pipeline(spark: SparkSession, subject: str, mode: str, raw: DataFrame, r
     cfg = schemas.subject(subject)
     log = RunLog(spark, f"load_{subject}", mode.upper())
     t = {name: VersionedTable(spark, f"{root}/{name}") for name in
-         (cfg["table"], "dq_results", "d_file", f"f_{subject}", f"f_{subject}_hist", "etl_control")}
+         (cfg["table"], "dq_results", "d_file", f"f_{subject}", f"f_{subject}_hist",
+          "registration_person", "etl_control")}
 
     # the checks see every landed row; of an id's copies the latest is staged
     landed = materialize(conform(stamp(raw, batch_ts), cfg["schema"]), f"landed-{subject}")
@@ -84,13 +85,19 @@ def run_pipeline(spark: SparkSession, subject: str, mode: str, raw: DataFrame, r
 
     fact_t, hist_t = t[f"f_{subject}"], t[f"f_{subject}_hist"]
     spec_key = facts.FACT_SPECS[subject]["key"]  # files sorted by the surrogate key (min/max skipping)
-    if mode.upper() == "INITIAL" or not fact_t.exists():
+    initial, kw = mode.upper() == "INITIAL" or not fact_t.exists(), {}
+    if subject == "registration":
+        # hashed persons of all loads; replaced by id, so a repeated run gives the same
+        earlier = None if initial else t["registration_person"].read()
+        t["registration_person"].write(facts.next_persons(earlier, facts.person_rows(staged)))
+        kw = {} if initial else {"earlier": earlier}
+    if initial:
         fact = facts.build_fact(staged, dm, subject, batch_ts)
         fact_t.write(log.observe(fact), sort_by=[spec_key])
     else:
         existing = fact_t.read()
         hist = hist_t.read() if hist_t.exists() else None
-        fact, new_hist = facts.load_fact(staged, dm, subject, "INCREMENTAL", existing, hist, batch_ts)
+        fact, new_hist = facts.load_fact(staged, dm, subject, "INCREMENTAL", existing, hist, batch_ts, **kw)
         # history first: if the fact write fails, the next run of the batch
         # finds the same changes and redoes its history rows
         hist_t.write(new_hist)

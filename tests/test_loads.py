@@ -96,3 +96,20 @@ def test_streams_read_folders_of_part_files(spark, tmp_path):
         spark.read.parquet(f"{src}/{name}.parquet").repartition(5).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert rows(q_ops.stream_ingest(spark, str(tmp_path))) == rows(q_ops.stream_ingest(spark, src))
     assert q_ops.stream_window(spark, str(tmp_path)).count() > 0
+
+
+def test_first_time_counts_earlier_loads(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    dims = seed_dimensions(spark, "2025-01-01 00:00:00")
+    pipeline.run_pipeline(spark, "registration", "INITIAL", raw(spark, BATCH1), root, TS1, dims)
+    again = ("REG005", *BATCH1[0][1:3], dt.date(2025, 1, 20), *BATCH1[0][4:])       # the person of REG001
+    second = ("REG006", *again[1:3], dt.date(2025, 1, 21), *again[4:])
+    batch = raw(spark, [again, second, *BATCH2])
+    for _ in range(2):                                                              # and a repeated run
+        pipeline.run_pipeline(spark, "registration", "INCREMENTAL", batch, root, TS2, dims)
+        fact = VersionedTable(spark, f"{root}/f_registration").read()
+        assert rows(fact, "registration_id", "previous_registration_count", "is_first_time_registration") == [
+            ("REG001", 0, True), ("REG002", 0, True), ("REG003", 0, True), ("REG004", 0, True),
+            ("REG005", 1, False), ("REG006", 2, False)]
+    persons = VersionedTable(spark, f"{root}/registration_person").read()
+    assert persons.columns == ["registration_id", "registration_date", "person_key"] and persons.count() == 6
