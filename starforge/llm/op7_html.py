@@ -1,16 +1,23 @@
 """HTML extraction with site template removal.
 
 Pages are parsed into element trees. Every element's subtree is hashed (tag,
-class, text, children), Spark counts on how many pages of a host each hash
-occurs, and subtrees that recur on ``min_pages`` pages or more are deleted,
-besides what markup itself names as no content (menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, reader comments). Text
-blocks without a class or id inside an article are kept though they recur: a
-passage that many articles quote is content, not template.
+class, text, children), and Spark counts on how many distinct pages of a host
+each hash occurs at the same place: below the same tags and classes and, for
+elements without class, id or role, as the same child from the start or from
+the end. Pages of a host with equal main text, under many URLs, with other
+adverts or repeated as rows, count once. Subtrees on ``min_pages`` distinct
+pages or more, and on ``percent`` of the host's distinct pages or more, are
+deleted, besides what markup itself names as no content (menus, headers,
+footers, sidebars, notices, adverts, forms, scripts, styles, reader comments);
+blocks without class, id or role inside an article stay. Where unmarked
+subtrees hold more than half of a page's main text, the page is a near copy of
+others rather than filled into a template, and they stay.
 
 The main text is that of the page's ``article`` elements, else of ``main``,
-else of the whole body. Only hashes that recur and occur on a page are joined
-back to it (by a hash of url and html), so no list grows with the site.
+else of the whole body. Only elements in it are counted. A host's template is
+no longer than its mean page has elements times 200 / ``percent``, however many
+pages it has, so it is joined to the pages as one list (in ``SALTS`` copies, so
+that a host's pages are dealt to many tasks).
 
 Defined results: null or empty html gives an empty text with 0 characters; a
 null url is a host of its own; unclosed and misnested tags are closed as HTML
@@ -26,12 +33,16 @@ import re
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import map_texts
 
-MIN_PAGES = 10
+#: Distinct pages, and percent of the host's distinct pages, that make a subtree template.
+MIN_PAGES, PERCENT = 10, 30
+#: Parts that a host's rows are dealt to in joins.
+SALTS = 32
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
@@ -142,8 +153,50 @@ def hash_subtrees(e: Element, out: set[int]) -> None:
             out.add(x.hash)
 
 
+def _roots(root: Element) -> list[Element]:
+    return _find(root, "article") or _find(root, "main") or [root]
+
+
+def _headings_only(x: Element, inside: bool) -> bool:
+    """Whether of a dropped element the headings stay: headers in articles."""
+    return inside and (x.tag == "header" or bool(re.search(r"\bheader\b", x.marks)))
+
+
+def placed(root: Element):
+    """(element, keys) of the main text's elements that hold text. Keys hash
+    the subtree with its place: the tags and marks above it and, if it has no
+    marks, its position among its parent's elements from either end."""
+    filled: set[int] = set()
+    hash_subtrees(root, filled)
+    for top in _roots(root):
+        inside = top.tag in ("article", "main")
+        todo = [(top, top.tag)]
+        while todo:
+            x, path = todo.pop()
+            own = [p for p in x.parts if not isinstance(p, str)]
+            for k, e in enumerate(own):
+                if dropped(e) and not _headings_only(e, inside):
+                    continue
+                if e.hash in filled and e.tag not in KEEP and (e.marks or not inside):
+                    places = (path,) if e.marks else (f"{path}+{k}", f"{path}-{len(own) - k}")
+                    yield e, [xxhash.xxh3_64_intdigest(f"{e.hash:x} {place}") >> 1 for place in places]
+                todo.append((e, f"{xxhash.xxh3_64_intdigest(path):x}/{e.tag} {e.marks}"))
+
+
+def page_text(root: Element, often: set[int]) -> str:
+    """The main text without the subtrees whose keys are ``often``."""
+    template = [e for e, keys in placed(root) if not often.isdisjoint(keys)] if often else []
+    got = main_text(root, {id(e) for e in template})
+    if any(not e.marks for e in template):
+        whole = main_text(root, {id(e) for e in template if e.marks})
+        if 2 * len(got) < len(whole):
+            return whole
+    return got
+
+
 def main_text(root: Element, template: set[int]) -> str:
-    """Blocks of the main text joined by an empty line."""
+    """Blocks of the main text joined by an empty line, without the elements
+    whose ``id()`` is in ``template``."""
     blocks: list[str] = []
     line: list[str] = []
 
@@ -153,8 +206,7 @@ def main_text(root: Element, template: set[int]) -> str:
             blocks.append(text)
         line.clear()
 
-    roots = _find(root, "article") or _find(root, "main") or [root]
-    for top in roots:
+    for top in _roots(root):
         inside = top.tag in ("article", "main")
         todo: list[tuple[str, object, bool]] = [("in", top, False)]
         while todo:
@@ -168,10 +220,10 @@ def main_text(root: Element, template: set[int]) -> str:
                 only = headings
                 if x is not top:
                     if dropped(x):
-                        if not (inside and (x.tag == "header" or re.search(r"\bheader\b", x.marks))):
+                        if not _headings_only(x, inside):
                             continue
                         only = True
-                    elif x.hash in template and (x.marks or not inside):
+                    if id(x) in template:
                         continue
                 if only and x.tag in HEADINGS:
                     only = False
@@ -198,52 +250,58 @@ def _find(root: Element, tag: str) -> list[Element]:
     return found
 
 
-def _host(url: str | None) -> str:
-    return re.split(r"[/?#]", url.split("://", 1)[1], maxsplit=1)[0].lower() if url and "://" in url else ""
+def host(url: Column) -> Column:
+    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1))
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per page: id, url, text, n_chars."""
-    key = F.xxhash64(F.col(url_col), F.col(html_col))
-    own = pages.select(pages[id_col].alias(id_col), pages[url_col].alias(url_col), pages[html_col].alias(html_col)).withColumn("_page", key)
-    tagged = own.select(F.struct("_page", url_col).alias("_key"), html_col)
-
-    def marks(keys, texts):
-        out: dict[str, list] = {"page": [], "subtree": []}
-        for k, text in zip(keys, texts, strict=True):
-            found: set[int] = set()
-            hash_subtrees(parse(text), found)
-            site = xxhash.xxh3_64_intdigest(_host(k[url_col]))
-            out["page"] += [k["_page"]] * len(found)
-            out["subtree"] += [(h ^ site) >> 1 for h in found]
+def templates(pages: DataFrame, min_pages: int = MIN_PAGES, percent: int = PERCENT) -> DataFrame:
+    """(site, often) per host that has a template: the keys of its subtrees.
+    ``pages``: (site, html)."""
+    def marks(sites, texts):
+        out: dict[str, list] = {"site": [], "subtree": [], "content": []}
+        for site, text in zip(sites, texts, strict=True):
+            root = parse(text)
+            whole = main_text(root, set())
+            if not whole:
+                continue
+            found = {None} | {key for _, keys in placed(root) for key in keys}  # None counts the host's pages
+            out["site"] += [site] * len(found)
+            out["subtree"] += found
+            out["content"] += [xxhash.xxh3_64_intdigest(whole) >> 1] * len(found)
         return out
 
-    # dealt once by subtree: the count and the join below read the same exchange
-    seen = map_texts(tagged, "_key", html_col, marks, [("page", pa.int64()), ("subtree", pa.int64())]).repartition("subtree")
-    often = seen.groupBy("subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages).select("subtree")
-    lists = seen.join(often, "subtree", "left_semi").groupBy("page").agg(F.collect_set("subtree").alias("_often"))
-    joined = own.join(lists, own["_page"] == lists["page"], "left").drop("page")
+    seen = map_texts(pages, "site", "html", marks, [("site", pa.int64()), ("subtree", pa.int64()), ("content", pa.int64())])
+    counts = seen.distinct().groupBy("site", "subtree").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
+    counts = materialize(counts, "subtree-counts")
+    sites = counts.where("subtree IS NULL").select("site", F.col("n").alias("pages"), every_salt())
+    own = counts.where("subtree IS NOT NULL").withColumn("salt", salt("subtree"))
+    often = own.join(sites, ["site", "salt"]).where(F.col("n") * 100 >= F.col("pages") * percent)
+    return materialize(often.groupBy("site").agg(F.collect_set("subtree").alias("often")), "site-templates")
+
+
+def salt(*by) -> Column:
+    return F.pmod(F.xxhash64(*by), F.lit(SALTS))
+
+
+def every_salt() -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+
+
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", percent: int = PERCENT) -> DataFrame:
+    """One row per page: id, url, text, n_chars."""
+    own = pages.select(pages[id_col].alias(id_col), pages[url_col].alias(url_col), pages[html_col].alias(html_col))
+    own = own.withColumn("_site", F.xxhash64(host(F.col(url_col))))
+    lists = templates(own.select(F.col("_site").alias("site"), F.col(html_col).alias("html")), min_pages, percent)
+    lists = lists.select(F.col("site").alias("_of"), F.col("often").alias("_often"), every_salt().alias("_salt"))
+    joined = own.join(lists, (own["_site"] == lists["_of"]) & (salt(own[id_col], own[url_col]) == lists["_salt"]), "left")
     work = joined.select(F.struct(id_col, url_col, "_often").alias("_key"), html_col)
 
     def texts_of(keys, texts):
         out: dict[str, list] = {id_col: [], url_col: [], "text": [], "n_chars": []}
         for k, text in zip(keys, texts, strict=True):
-            root = parse(text)
-            hash_subtrees(root, set())
-            site = xxhash.xxh3_64_intdigest(_host(k[url_col]))
-            often_here = set(k["_often"] or ())
-            template = {e.hash for e in _elements(root) if (e.hash ^ site) >> 1 in often_here} if often_here else set()
-            got = main_text(root, template)
+            got = page_text(parse(text), set(k["_often"] or ()))
             for name, v in ((id_col, k[id_col]), (url_col, k[url_col]), ("text", got), ("n_chars", len(got))):
                 out[name].append(v)
         return out
 
     return map_texts(work, "_key", html_col, texts_of, [(id_col, pa.int64()), (url_col, pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
-
-
-def _elements(root: Element):
-    todo = [root]
-    while todo:
-        x = todo.pop()
-        yield x
-        todo += [p for p in x.parts if not isinstance(p, str)]

@@ -216,6 +216,22 @@ def test_html_template_removal(spark):
     assert got[20] == got[21] == "" and got[22] == "T\n\na b\n\nc" and got[23] == "cut of"
 
 
+def extracted(spark, rows):
+    from starforge.llm.op7_html import extract
+
+    return {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_html_copies_and_quotes_are_no_template(spark):
+    copies = [(k, f"http://copy.io/{k}", f"<script>t({k})</script><p>one</p><p>two</p>") for k in range(15)]
+    quotes = [(100 + k, f"http://quote.io/{k}", f"<p>own words {k}</p><p>{'quoted' if k < 12 else f'more {k}'}</p>") for k in range(60)]
+    near = [(200 + k, f"http://near.io/{k}", f"<p>{'a long text that is copied ' * 5}</p><p>word {k}</p>") for k in range(15)]
+    got = extracted(spark, [*copies, *quotes, *near])
+    assert all(got[k] == "one\n\ntwo" for k in range(15))
+    assert all(got[100 + k] == f"own words {k}\n\nquoted" for k in range(12))
+    assert all(got[200 + k].startswith("a long text") and got[200 + k].endswith(f"word {k}") for k in range(15))
+
+
 def test_pipeline_stages_keep_the_columns(spark):
     import corpus_pipeline as c
 
