@@ -7,9 +7,9 @@ elements without class, id or role, as the same child from the start or from
 the end. Pages of a host with equal main text, under many URLs, with other
 adverts or repeated as rows, count once. Subtrees on ``min_pages`` distinct
 pages or more, and on ``percent`` of the host's distinct pages or more, are
-deleted, besides what markup itself names as no content (menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles, reader comments);
-blocks without class, id or role inside an article stay. Where unmarked
+deleted, inside articles too, besides what markup itself names as no content
+(menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
+reader comments). A passage that some articles quote stays. Where unmarked
 subtrees hold more than half of a page's main text, the page is a near copy of
 others rather than filled into a template, and they stay.
 
@@ -177,7 +177,7 @@ def placed(root: Element):
             for k, e in enumerate(own):
                 if dropped(e) and not _headings_only(e, inside):
                     continue
-                if e.hash in filled and e.tag not in KEEP and (e.marks or not inside):
+                if e.hash in filled and e.tag not in KEEP:
                     places = (path,) if e.marks else (f"{path}+{k}", f"{path}-{len(own) - k}")
                     yield e, [xxhash.xxh3_64_intdigest(f"{e.hash:x} {place}") >> 1 for place in places]
                 todo.append((e, f"{xxhash.xxh3_64_intdigest(path):x}/{e.tag} {e.marks}"))

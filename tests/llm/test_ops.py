@@ -232,6 +232,17 @@ def test_html_copies_and_quotes_are_no_template(spark):
     assert all(got[200 + k].startswith("a long text") and got[200 + k].endswith(f"word {k}") for k in range(15))
 
 
+def test_html_counts_alone_remove_blocks_of_articles(spark):
+    def page(k):
+        middle = "".join(f"<p>paragraph {k} {j}</p>" for j in range(k % 4))
+        return f"<article><h1>Title {k}</h1><p>Find us on all channels</p>{middle}<p>quoted by {k // 6}</p><p>Many more words of page {k} than of its site</p><p>Send this page on</p></article>"
+
+    got = extracted(spark, [(k, f"http://site.io/{k}", page(k)) for k in range(24)])
+    for k in range(24):
+        middle = [f"paragraph {k} {j}" for j in range(k % 4)]
+        assert got[k].split("\n\n") == [f"Title {k}", *middle, f"quoted by {k // 6}", f"Many more words of page {k} than of its site"]
+
+
 def test_pipeline_stages_keep_the_columns(spark):
     import corpus_pipeline as c
 
