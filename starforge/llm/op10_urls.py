@@ -2,8 +2,12 @@
 
 Fixed (host, path) rules decide first. For the other URLs, FP-growth mines
 combinations of URL tokens over the labelled pages, with the label as one more
-item; rules "tokens -> block" are kept if their support and confidence reach
-the thresholds and no rule over fewer of the same tokens is as confident. Rules
+item; rules "tokens -> block" are kept if their support (a number of pages) and
+confidence reach the thresholds and no rule over fewer of the same tokens is as
+confident. A page's label is that of the document it shows: the number that is
+the last part of its path, with or without an ending; only a page whose path
+ends in no number takes the label of its own id. Tokens on fewer bad pages than
+the support are in no rule and are left out before mining. Rules
 match through an inverted index: each rule is filed under its rarest token, so
 a URL meets only rules filed under its own tokens, and an array test checks the
 rest of the combination. All of it is DataFrame and ML-library code in the JVM.
@@ -30,7 +34,7 @@ from .common import fresh
 
 #: Fixed rules: verdict, host, path.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-MIN_SUPPORT = 0.002
+#: Bad pages that a rule needs, however many pages there are.
 MIN_COUNT = 5
 MIN_CONFIDENCE = 0.9
 BAD = "@block"
@@ -66,20 +70,31 @@ def tokens(url: Column) -> Column:
                                      F.transform(F.filter(names, lambda x: x != ""), lambda x: F.concat(F.lit("q:"), x))))
 
 
-def mine(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE,
+def document(url: Column, page_id: Column) -> Column:
+    """Id of the document that a page shows."""
+    number = F.regexp_extract(F.coalesce(parts(url)[1], F.lit("")), r"/(\d{1,18})(?:\.[A-Za-z0-9]+)?/?$", 1)
+    return F.when(number != "", number.try_cast("long")).otherwise(page_id)
+
+
+def mine(pages: DataFrame, labels: DataFrame, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE,
          id_col: str = "page_id", url_col: str = "url", label_id: str = "doc_id") -> DataFrame | None:
     """Rules (antecedent, confidence) for blocking; None without labels. A page
     is bad if its label says toxic or not of quality."""
     key = fresh(pages, "_label_id")
     bad = (labels.where(labels[label_id].isNotNull()).groupBy(labels[label_id].alias(key))
            .agg(F.max(F.coalesce((labels["toxic"] == 1) | (labels["quality"] == 0), F.lit(False))).alias("bad")))
-    known = pages.join(bad, pages[id_col] == bad[key]).select(tokens(pages[url_col]).alias("items"), "bad")
+    known = pages.join(bad, document(pages[url_col], pages[id_col]) == bad[key]).select(tokens(pages[url_col]).alias("items"), "bad")
     known = materialize(known.where(F.size("items") > 0), "url-baskets")
-    total, marked = known.agg(F.count(F.lit(1)), F.count_if("bad")).first()
-    if not marked:
+    row = fresh(known, "_row")
+    spread = known.withColumn(row, F.monotonically_increasing_id()).select(row, "bad", F.explode("items").alias("item"))
+    often = spread.where("bad").groupBy("item").count().where(F.col("count") >= min_count).select("item")
+    held = spread.join(often, "item", "left_semi").groupBy(row).agg(F.collect_list("item").alias("items"), F.any_value("bad").alias("bad"))
+    baskets = materialize(held.select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items")), "url-often")
+    total = baskets.count()
+    if not total:
         return None
-    baskets = known.select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_count / total)), minConfidence=min_confidence).fit(baskets)
+    # half a page less, so that the product with the total is never rounded above the count
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (min_count - 0.5) / total), minConfidence=min_confidence).fit(baskets)
     found = (model.associationRules.where(F.col("consequent")[0] == BAD)
              .select(F.array_sort("antecedent").alias("antecedent"), "confidence"))
     # A rule whose tokens contain those of a rule at least as confident adds nothing: file rules under

@@ -203,6 +203,18 @@ def test_url_rules(spark):
     assert judge_urls(pages.limit(0), labels).count() == 0
 
 
+def test_url_labels_are_those_of_the_shown_document(spark):
+    from starforge.llm.op10_urls import judge_urls
+
+    # the documents 1000 to 1004 are bad; the pages with these ids show others
+    rows = [(k, f"http://a.io/bad/{1000 + k}.html?p=1") for k in range(5)] + [(1000 + k, f"http://a.io/good/{k}") for k in range(5)]
+    rows += [(2000 + k, f"http://a.io/more/{3000 + k}") for k in range(5000)] + [(9000, "http://a.io/bad/9"), (9001, "http://a.io/good/10")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(k, 0 if 1000 <= k < 1005 else 1, 0) for k in [*range(5), *range(1000, 1005), *range(3000, 8000)]], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in judge_urls(pages, labels).collect()}
+    assert sorted(k for k, v in got.items() if v == "block") == [0, 1, 2, 3, 4, 9000]
+
+
 def test_html_template_removal(spark):
     from starforge.llm.op7_html import extract
 
