@@ -25,9 +25,13 @@ exact (up to collisions of 64-bit hashes).
 
 Defined results: null text and text without words have an empty set, link with
 nothing and are components of their own; fewer than five words make one
-shingle; repeated rows are copies of each other and all are returned; a null
-id is never a component's smallest, and a set that only rows without id have links with nothing; an empty table
-gives an empty table; other columns are ignored.
+shingle; repeated rows are copies of each other and all are returned by
+``jaccard_components``; rows are told apart by a hash of id and text, so rows
+with one id and different texts are different documents, whose components may
+have the same id as smallest; a null id is never a component's smallest, and a
+component of rows without id has none; ``keep_one`` returns one row of each
+component, and every row with an empty set; an empty table gives an empty table;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -135,32 +139,40 @@ def _place(ids: np.ndarray) -> np.ndarray:
     return (mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - WANTED_BITS)).astype(np.int64)
 
 
+def row_key(docs: DataFrame, id_col: str, text_col: str):
+    """A row's id and text as one hash; other columns don't count."""
+    return F.xxhash64(docs[id_col].cast("long"), docs[text_col])
+
+
 def texts_of(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(point, text) of the chosen (point, pick) documents. A bit map of the
-    picked ids, of fixed size, drops most other texts before the shuffle."""
-    def count(ids, total):
-        total[_place(np.array(ids))] = 1
+    """(point, text) of the chosen (point, pick) rows. A bit map of the picked
+    row keys, of fixed size, drops most other texts before the shuffle."""
+    def count(keys, total):
+        total[_place(np.array(keys))] = 1
 
     wanted = np.packbits(added(chosen.select("pick"), count, 1 << WANTED_BITS, "<u1") > 0)
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def sift(batches):
         for batch in batches:
-            at = _place(batch.column(0).to_numpy(zero_copy_only=False))
-            yield batch.filter(pa.array((shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            once = np.zeros(len(keys), bool)
+            once[np.unique(keys, return_index=True)[1]] = True
+            at = _place(keys)
+            yield batch.filter(pa.array(once & (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
 
-    rows = docs.where(docs[id_col].isNotNull()).select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    return rows.mapInArrow(sift, rows.schema).join(chosen, F.col("id") == F.col("pick")).dropDuplicates(["point"]).select("point", "text")
+    rows = docs.select(row_key(docs, id_col, text_col).alias("row"), docs[text_col].alias("text"))
+    return rows.mapInArrow(sift, rows.schema).join(chosen, F.col("row") == F.col("pick")).dropDuplicates(["point"]).select("point", "text")
 
 
 def points(docs: DataFrame, counts: np.ndarray, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """(id, n, point, prefix, parity) of every document; point is 0 for empty
-    sets."""
+    """(id, row, n, point, prefix, parity) of every document; row is its key,
+    point is 0 for empty sets."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(keys, texts):
         begin, h = shingle_sets(texts)
-        out: dict[str, list] = {"id": keys, "n": [], "point": [], "prefix": [], "parity": []}
+        out: dict[str, list] = {"id": [k["id"] for k in keys], "row": [k["row"] for k in keys], "n": [], "point": [], "prefix": [], "parity": []}
         for a, b in zip(begin[:-1], begin[1:], strict=True):
             own, n = h[a:b], int(b - a)
             out["n"].append(n)
@@ -171,7 +183,9 @@ def points(docs: DataFrame, counts: np.ndarray, id_col: str, text_col: str, perc
             out["parity"].append(np.packbits(odd.astype(bool)).tobytes())
         return out
 
-    return map_texts(docs, id_col, text_col, run, [("id", pa.int64()), ("n", pa.int64()), ("point", pa.int64()), ("prefix", pa.list_(pa.int64())), ("parity", pa.binary())])
+    named = F.struct(docs[id_col].cast("long").alias("id"), row_key(docs, id_col, text_col).alias("row"))
+    keyed = docs.select(named.alias("_key"), docs[text_col].alias("_text"))
+    return map_texts(keyed, "_key", "_text", run, [("id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("point", pa.int64()), ("prefix", pa.list_(pa.int64())), ("parity", pa.binary())])
 
 
 def possible(pairs: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
@@ -234,7 +248,7 @@ def point_components(docs: DataFrame, known: DataFrame, id_col: str, text_col: s
              .select(F.col("pivot").alias("a"), F.col("point").alias("b")).distinct())
 
     parities = materialize(known.join(regions.select(F.col("point").alias("_p")).distinct(), known["point"] == F.col("_p"), "left_semi")
-                           .groupBy("point").agg(F.any_value("n").alias("n"), F.any_value("parity").alias("parity"), F.min("id").alias("pick")), "parities")
+                           .groupBy("point").agg(F.any_value("n").alias("n"), F.any_value("parity").alias("parity"), F.min("row").alias("pick")), "parities")
     half = F.transform(F.sequence(F.lit(0), F.lit(2 * len(SIGNS) - 1)), lambda k: F.conv(F.hex(F.substring("parity", k * 8 + 1, F.lit(8))), 16, -10).cast("long"))
     signs = parities.select("point", half.alias("h")).select("point", *[F.col("h")[k].bitwiseXOR(F.col("h")[k + len(SIGNS)]).alias(c) for k, c in enumerate(SIGNS)])
     first = materialize(possible(first, parities, percent), "pairs")
@@ -287,7 +301,7 @@ def point_components(docs: DataFrame, known: DataFrame, id_col: str, text_col: s
 def wanted_sets(docs: DataFrame, parities: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(point, shingles) of the points in the pairs."""
     ends = pairs.select(F.col("a").alias("_p")).unionAll(pairs.select(F.col("b").alias("_p"))).distinct()
-    chosen = materialize(parities.join(ends, parities["point"] == ends["_p"], "left_semi").where("pick IS NOT NULL").select("point", "pick"), "chosen")
+    chosen = materialize(parities.join(ends, parities["point"] == ends["_p"], "left_semi").select("point", "pick"), "chosen")
 
     def run(keys, whole):
         begin, h = shingle_sets(whole)
@@ -297,24 +311,42 @@ def wanted_sets(docs: DataFrame, parities: DataFrame, pairs: DataFrame, id_col:
     return materialize(map_texts(texts, "point", "text", run, [("point", pa.int64()), ("shingles", pa.list_(pa.int64()))]), "shingle-sets")
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_shingles, component_id."""
+def grouped(docs: DataFrame, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(id, row, n, point, ...) of every document, and (point, component,
+    least) of every set that is not empty; least is the row of smallest id
+    with that set."""
     ship_code(docs.sparkSession)
     known = materialize(points(docs, sketch(docs, text_col), id_col, text_col, percent), "points")
     comp = point_components(docs, known, id_col, text_col, percent)
-    small = known.where("n > 0").groupBy("point").agg(F.min("id").alias("least"))
-    if comp is not None:
-        small = small.join(comp.withColumnRenamed("id", "point"), "point", "left").withColumn("component", F.coalesce("component", "point"))
-        ends = small.groupBy("component").agg(F.min("least").alias("component_id"))
-        small = small.join(ends, "component").select("point", "component_id")
-    else:
-        small = small.withColumnRenamed("least", "component_id")
+    least = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")).alias("least")
+    small = known.where("n > 0").groupBy("point").agg(least)
+    if comp is None:
+        return known, small.withColumn("component", F.col("point"))
+    return known, small.join(comp.withColumnRenamed("id", "point"), "point", "left").withColumn("component", F.coalesce("component", "point"))
+
+
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, n_shingles, component_id."""
+    known, small = grouped(docs, percent, id_col, text_col)
+    ends = small.groupBy("component").agg(F.min("least.id").alias("component_id"))
+    small = small.join(ends, "component").select("point", "component_id")
     return (known.select("id", "n", "point").join(small, "point", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component."""
-    key = fresh(docs, "_kept_id")
-    kept = jaccard_components(docs, percent, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(key)).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept[key]), "left_semi")
+    """The row of smallest id of each component, one of them if it is repeated,
+    and all rows with an empty set."""
+    known, small = grouped(docs, percent, id_col, text_col)
+    key, copies = fresh(docs, "_kept_row"), fresh(docs, "_copies")
+    first = small.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias("row"))
+    counted = known.where("n > 0").groupBy("row").agg(F.count(F.lit(1)).alias("copies"))
+    empty = known.where("n = 0").select("row", F.lit(1).cast("long").alias("copies")).distinct()
+    kept = materialize(first.join(counted, "row").unionAll(empty).select(F.col("row").alias(key), F.col("copies").alias(copies)), "kept-rows")
+    row = fresh(docs, "_row")
+    held = docs.withColumn(row, row_key(docs, id_col, text_col))
+    once = held.join(kept.where(F.col(copies) == 1), held[row] == kept[key], "left_semi")
+    repeated = kept.where(F.col(copies) > 1)
+    if repeated.limit(1).count():
+        once = once.unionAll(held.join(repeated, held[row] == repeated[key], "left_semi").dropDuplicates([row]))
+    return once.drop(row)

@@ -167,6 +167,24 @@ def test_jaccard_components_match_brute_force(spark):
     assert jaccard_components(docs.limit(0)).count() == 0
 
 
+def test_jaccard_repeated_and_missing_ids(spark):
+    from starforge.llm.op6_jaccard import jaccard_components, keep_one
+
+    def text(word, last="end"):
+        return " ".join([f"{word}{k}" for k in range(60)] + [last])
+
+    rows = [(1, text("a"), 0), (1, text("a"), 1), (2, text("a", "z"), 0),  # repeated row, near copy
+            (3, text("b"), 0), (3, text("c"), 0), (4, text("b", "z"), 0), (5, text("c", "z"), 0),  # one id, two texts
+            (None, text("a", "y"), 0), (None, text("d"), 0), (None, text("d", "z"), 0), (None, text("e"), 0),
+            (6, "", 0), (6, "", 0), (None, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    kept = keep_one(docs)
+    got = collections.Counter((r.doc_id, r.text[:1] if r.text else r.text) for r in kept.collect())
+    assert got == {(1, "a"): 1, (3, "b"): 1, (3, "c"): 1, (None, "d"): 1, (None, "e"): 1, (6, ""): 2, (None, None): 1} and kept.columns == docs.columns
+    ids = collections.Counter((r.doc_id, r.component_id) for r in jaccard_components(docs).collect())
+    assert ids == {(1, 1): 2, (2, 1): 1, (3, 3): 2, (4, 3): 1, (5, 3): 1, (None, 1): 1, (None, None): 4, (6, 6): 2}
+
+
 def test_line_dedup_small(spark):
     from starforge.llm.op3_line_dedup import dedup_lines, deduped
 
