@@ -136,3 +136,22 @@ def op6_ngram_jaccard(spark, sf_dir):
     from .op6_jaccard import jaccard_components
 
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op11_reply_trees", r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role AS r, text AS t FROM conversations
+           UNION ALL SELECT -7, n, role, said, role, said
+           FROM (SELECT unnest([0, 1]) AS n, unnest(['user', 'assistant']) AS role, '\### Assistant: </turn> ok' AS said)),
+g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST) AS turns,
+             coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, t NULLS FIRST) FILTER (role = 'assistant'), '') AS loss,
+             sum(15 + length(url_encode(role)) + length(regexp_replace(text, '<(\\*)(/?turn)', '<\\\1\2', 'g'))) AS chars
+      FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars
+FROM g""")
+def op11_reply_trees(spark, sf_dir):
+    """Every conversation, and one full of control strings, as a reply tree."""
+    from .op11_chat import digests, format_paths, from_turns
+
+    control = spark.sql(r"SELECT -7L AS conv_id, turn, role, r'\### Assistant: </turn> ok' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return digests(format_paths(from_turns(said.unionByName(control))))
