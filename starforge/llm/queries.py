@@ -155,3 +155,44 @@ def op11_reply_trees(spark, sf_dir):
     control = spark.sql(r"SELECT -7L AS conv_id, turn, role, r'\### Assistant: </turn> ok' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return digests(format_paths(from_turns(said.unionByName(control))))
+
+
+def merkle_sql(levels: int = 8, group_levels: int = 4) -> str:
+    """SQL of ``op13_merkle_manifest``, each level spelled out (``levels`` of a
+    language's tree: 8**levels rows at most, ``group_levels`` of the languages')."""
+    framed = "coalesce(CAST(strlen({0}) AS VARCHAR) || ':' || {0}, '-')"
+    leaf = "sha256(" + " || ".join(framed.format(f"CAST({c} AS VARCHAR)") for c in ("doc_id", "source", "lang", "n_chars")) + " || {})"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bits = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, i: xor(a >> 1, 3988292384 * (a & 1)))"
+    crc = ("xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))), "
+           f"lambda c, b: {bits}), 4294967295)")
+    out = [f"d AS MATERIALIZED (SELECT doc_id, lang, {leaf.format(framed.format('text'))} AS leaf, {leaf.format(framed.format(low))} AS low, {crc} AS crc FROM documents)",
+           "l AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM d)",
+           "n0 AS (SELECT lang, p, leaf AS h, count(*) OVER (PARTITION BY lang) AS m FROM l)",
+           "f0 AS (SELECT *, p AS p0, CASE WHEN crc % 3 = 0 THEN low ELSE leaf END AS fold, '' AS proof FROM l)"]
+
+    def tree(n: str, f: str, key: str, count: int) -> None:
+        for k in range(count):
+            run = f"OVER (PARTITION BY {key}, p // 8 ORDER BY p ROWS BETWEEN "
+            out.append(f"""s{n}{k} AS MATERIALIZED (SELECT {key}, p, m, coalesce(string_agg(h, '') {run}UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+              coalesce(string_agg(h, '') {run}1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b FROM {n}{k})""")
+            out.append(f"""{n}{k + 1} AS MATERIALIZED (SELECT {key}, p // 8 AS p, CASE WHEN m > 1 THEN sha256(string_agg(h, '' ORDER BY p)) ELSE min(h) END AS h, (m + 7) // 8 AS m
+              FROM {n}{k} GROUP BY {key}, p // 8, m)""")
+            out.append(f"""{f}{k + 1} AS MATERIALIZED (SELECT f.* REPLACE (f.p0 // 8 AS p0, CASE WHEN m > 1 THEN sha256(a || fold || b) ELSE fold END AS fold,
+              CASE WHEN m > 1 THEN proof || a || b ELSE proof END AS proof) FROM {f}{k} f JOIN s{n}{k} s ON s.{key} IS NOT DISTINCT FROM f.{key} AND s.p = f.p0)""")
+
+    tree("n", "f", "lang", levels)
+    out.append(f"g0 AS MATERIALIZED (SELECT TRUE AS one, lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS p, h, count(*) OVER () AS m FROM n{levels})")
+    out.append(f"e0 AS MATERIALIZED (SELECT f.* REPLACE (g0.p AS p0), g0.h AS subroot, TRUE AS one FROM f{levels} f JOIN g0 ON g0.lang IS NOT DISTINCT FROM f.lang)")
+    tree("g", "e", "one", group_levels)
+    return ("WITH " + ",\n".join(out) + f"""
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = h AS verified FROM e{group_levels}, g{group_levels}""")
+
+
+@query("op13_merkle_manifest", merkle_sql())
+def op13_merkle_manifest(spark, sf_dir):
+    """Every document's leaf, proof and the root of its own version."""
+    from .op13_merkle import build, lower_every_third, verify
+
+    docs = table(spark, sf_dir, "documents")
+    return verify(build(docs, lower_every_third(docs)))
