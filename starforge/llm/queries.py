@@ -196,3 +196,11 @@ def op13_merkle_manifest(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents")
     return verify(build(docs, lower_every_third(docs)))
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark, sf_dir):
+    """Every document's tokens of two tokenizers aligned, with corpus counts."""
+    from .op12_alignment import align
+
+    return align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
