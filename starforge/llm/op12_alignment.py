@@ -4,8 +4,9 @@ Both tokenizers run over the whole text. A place where a space-marked token
 begins is an anchor candidate; a candidate of one tokenizer that the byte
 offsets verify as a candidate of the other is an anchor, and anchors split the
 document into windows of token ids. The bytes of a token depend on its id
-alone, so a window's alignment depends on its ids alone: it is computed once
-per tuple of ids and kept in a memo.
+alone, so a window's alignment depends on its ids alone: per chunk a memo holds
+one alignment for each distinct tuple of ids. Windows are hashed, grouped and
+compared id by id as arrays; only a memo entry is made in Python code.
 
 Corpus counts: tasks write one row per chunk of about ``CHUNK_CHARS`` code
 points, holding its distinct windows, their distinct linked pairs with counts,
@@ -28,10 +29,11 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,11 +41,10 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .bpe import byte_symbols
 from .common import small_batches
+from .words import _BACK, _BASE, _powers, mix
 
 #: Code points of a chunk; a longer text makes a longer chunk.
 CHUNK_CHARS = 4_000_000
-#: Windows kept per worker; a full memo is emptied between chunks, results don't change.
-MEMO = 500_000
 #: A pair of ids as one number: A id << PAIR_BITS | B id.
 PAIR_BITS = 20
 SPACE = "\N{LOWER ONE EIGHTH BLOCK}"
@@ -61,7 +62,10 @@ class ByteLevel:
 
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True
-        model = json.load(open(path, encoding="utf-8"))["model"]
+        spec = json.load(open(path, encoding="utf-8"))
+        model = spec["model"]
+        if spec["normalizer"] is not None:
+            raise ValueError(f"{path} changes texts before it encodes them")
         byte_of = {s: b for b, s in enumerate(byte_symbols())}
         self.bytes = [b""] * len(model["vocab"])
         for token, i in model["vocab"].items():
@@ -71,13 +75,13 @@ class ByteLevel:
                 raise ValueError(f"merge {r} of {path} doesn't make the token of its rank")
         self.fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks={b: i for i, b in enumerate(self.bytes)}, special_tokens={})
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         try:
-            return self.fast.encode_ordinary(text)
+            return np.array(self.fast.encode_ordinary(text), np.int32)
         except BaseException as e:
             if type(e).__name__ != "PanicException":
                 raise
-            return self.lib.encode(text, add_special_tokens=False).ids
+            return np.array(self.lib.encode(text, add_special_tokens=False).ids, np.int32)
 
 
 class Pieces:
@@ -95,74 +99,22 @@ class Pieces:
 
 
 class Aligner:
-    """Both tokenizers and the memo of window alignments."""
+    """Both tokenizers."""
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
         self.size = [np.array([len(x) for x in t.bytes]) for t in (self.a, self.b)]
+        self.names = [pa.array([str(i) for i in range(len(t.bytes))], pa.string()) for t in (self.a, self.b)]
         self.marked = [np.array([x[:1] == b" " for x in t.bytes]) for t in (self.a, self.b)]
-        self.memo: dict[tuple, int] = {}
-        self.shown: list[str] = []
-        self.pairs: list[list[int]] = []
-
-    def encode(self, text: str) -> tuple[list[int], list[int]]:
-        """Ids by A and B, both empty if they don't make up the text."""
-        if not text:
-            return [], []
-        spaced, whole = " " + text, b" " + text.encode()
-        a, b = self.a.encode(spaced), self.b.encode(text)
-        same = all(b"".join([t.bytes[i] for i in ids]) == whole for t, ids in ((self.a, a), (self.b, b)))
-        return (a, b) if same else ([], [])
-
-    def anchors(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-        """Where windows begin, as indices of A's and B's tokens."""
-        at, end = [], []
-        for k, ids in enumerate((a, b)):
-            ids = np.array(ids)
-            at.append(np.flatnonzero(self.marked[k][ids[1:]]) + 1)
-            end.append(np.cumsum(self.size[k][ids])[at[k] - 1])
-        found = np.searchsorted(end[1], end[0])
-        found[found == len(end[1])] = 0
-        both = end[1][found] == end[0] if len(end[1]) else np.zeros(len(end[0]), bool)
-        return [0, *at[0][both].tolist()], [0, *at[1][found[both]].tolist()]
-
-    def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> int:
-        """The number of a window's alignment, made on its first occurrence."""
-        n = self.memo.get((a, b))
-        if n is None:
-            ends_a, ends_b = (list(accumulate(len(t.bytes[i]) for i in ids)) for t, ids in ((self.a, a), (self.b, b)))
-            place = {e: k for k, e in enumerate(ends_b)}
-            links = [(k, place[e]) for k, e in enumerate(ends_a) if e in place]
-            groups, pa_, pb = [], 0, 0
-            for i, j in links:
-                groups.append(",".join(map(str, a[pa_:i + 1])) + "|" + ",".join(map(str, b[pb:j + 1])))
-                pa_, pb = i + 1, j + 1
-            n = self.memo[a, b] = len(self.shown)
-            self.shown.append(";".join(groups))
-            self.pairs.append([a[i] << PAIR_BITS | b[j] for i, j in links])
-        return n
-
-    def windows(self, a: list[int], b: list[int]) -> list[int]:
-        """The numbers of a document's windows in order."""
-        if not a:
-            return []
-        cut_a, cut_b = self.anchors(a, b)
-        get, memo, out = self.memo.get, self.window, []
-        for i, i2, j, j2 in zip(cut_a, [*cut_a[1:], len(a)], cut_b, [*cut_b[1:], len(b)], strict=True):
-            x, y = tuple(a[i:i2]), tuple(b[j:j2])
-            n = get((x, y))
-            out.append(memo(x, y) if n is None else n)
-        return out
-
-    def groups(self, windows: list[int]) -> str:
-        """The groups of a document as text."""
-        return ";".join([self.shown[n] for n in windows])
-
-    def forget(self) -> None:
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-            self.shown.clear()
-            self.pairs.clear()
+
+    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids by A and B, both empty if they don't make up the text. A's do
+        by construction: the file has no normaliser."""
+        if text:
+            b = self.b.encode(text)
+            if b"".join([self.b.bytes[i] for i in b]) == b" " + text.encode():
+                return self.a.encode(" " + text), np.array(b, np.int32)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
 
 
 @lru_cache(maxsize=2)
@@ -170,6 +122,98 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
+# ---- windows of a chunk
+
+class Windows(NamedTuple):
+    per_doc: np.ndarray   # number of windows of each document
+    number: np.ndarray    # of every window, in order: its place in the memo
+    shown: pa.Array       # memo: the groups of each distinct window
+    n_pairs: np.ndarray   # memo: links of each distinct window
+    pairs: np.ndarray     # memo: their pairs of ids
+
+
+def parts(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The indices of runs that begin at ``begin`` and have ``size`` members."""
+    skip = np.cumsum(size) - size
+    return np.repeat(begin - skip, size) + np.arange(int(size.sum()))
+
+
+def run_hash(ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of ids."""
+    total = np.zeros(len(ids) + 1, np.uint64)
+    np.cumsum(mix(ids.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(ids)), out=total[1:])
+    return mix((total[begin + size] - total[begin]) * _powers(_BACK, len(ids) + 1)[begin] + size.astype(np.uint64))
+
+
+def distinct(hashes: np.ndarray, sides: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """The first window of each tuple of ids, in order, and each window's number
+    among them. Windows of one hash are compared id by id with the first; those
+    that differ get another hash."""
+    while True:
+        _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+        own, bad = first[number], np.zeros(len(hashes), bool)
+        for ids, begin, size in sides:
+            bad |= size != size[own]
+        for ids, begin, size in sides:
+            n = np.where(bad, 0, size)
+            differs = ids[parts(begin, n)] != ids[parts(begin[own], n)]
+            bad[np.repeat(np.arange(len(n)), n)[differs]] = True
+        if not bad.any():
+            order = np.argsort(first)
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            return first[order], place[number]
+        hashes = np.where(bad, mix(hashes + np.uint64(0x51ED270B)), hashes)
+
+
+def windows_of(al: Aligner, docs: list[tuple[np.ndarray, np.ndarray]]) -> Windows:
+    """All documents cut into windows at verified anchors, and one alignment
+    for each distinct window."""
+    ids, begins, starts, ends = [], [], [], []
+    for k in (0, 1):
+        lengths = np.array([len(d[k]) for d in docs], np.int64)
+        x = np.concatenate([d[k] for d in docs]).astype(np.int64) if docs else np.zeros(0, np.int64)
+        end = np.cumsum(al.size[k][x])
+        start = end - al.size[k][x]
+        cut = al.marked[k][x]
+        cut[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
+        ids.append(x)
+        begins.append(np.flatnonzero(cut))
+        starts.append(start)
+        ends.append(end)
+    at = [starts[k][begins[k]] for k in (0, 1)]
+    found = np.minimum(np.searchsorted(at[1], at[0]), max(len(at[1]) - 1, 0))
+    both = at[1][found] == at[0] if len(at[0]) else np.zeros(0, bool)
+    begin = [begins[0][both], begins[1][found[both]]]
+    size = [np.diff(np.append(begin[k], len(ids[k]))) for k in (0, 1)]
+    doc_start = np.cumsum([0, *[len(d[0]) for d in docs]])
+    per_doc = np.diff(np.searchsorted(begin[0], doc_start))
+    sides = [(ids[k], begin[k], size[k]) for k in (0, 1)]
+    first, number = distinct(run_hash(*sides[0]) * _BASE + run_hash(*sides[1]), sides)
+    # the distinct windows' own tokens, in order of their place in the chunk
+    take = [parts(begin[k][first], size[k][first]) for k in (0, 1)]
+    end_a, end_b = ends[0][take[0]], ends[1][take[1]]
+    to = np.minimum(np.searchsorted(end_b, end_a), max(len(end_b) - 1, 0))
+    link_a = np.flatnonzero(end_b[to] == end_a) if len(end_a) else np.zeros(0, np.int64)
+    link_b = to[link_a]
+    x, y = ids[0][take[0]], ids[1][take[1]]
+    window = np.repeat(np.arange(len(first)), size[0][first])[link_a]
+    n_pairs = np.bincount(window, minlength=len(first))
+    sides_of = [pc.binary_join(joined(al.names[k].take(pa.array(v)), np.append(0, link + 1)), ",") for k, v, link in ((0, x, link_a), (1, y, link_b))]
+    groups = pc.binary_join_element_wise(*sides_of, "|")
+    return Windows(per_doc, number, pc.binary_join(joined(groups, np.append(0, np.cumsum(n_pairs))), ";"), n_pairs, x[link_a] << PAIR_BITS | y[link_b])
+
+
+def joined(values: pa.Array, offsets: np.ndarray) -> pa.Array:
+    """Lists of ``values`` between neighbouring ``offsets``."""
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+
+def shown_groups(w: Windows) -> pa.Array:
+    """The groups of each document as text."""
+    return pc.binary_join(joined(w.shown.take(pa.array(w.number)), np.append(0, np.cumsum(w.per_doc))), ";")
+
+
 def sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The sum of each run of ``values``, runs of ``sizes``."""
     total = np.concatenate([[0], np.cumsum(values)])
@@ -184,18 +228,14 @@ CHUNK = pa.schema([("chunk", pa.int64()), ("ids", LONGS), ("n_a", LONGS), ("n_b"
                    ("windows", INTS), ("n_pairs", INTS), ("pairs", INTS), ("pair", LONGS), ("pair_n", LONGS)])
 
 
-def chunk_row(al: Aligner, chunk: int, docs: list[tuple]) -> pa.RecordBatch:
-    """One row for the documents (id, n_a, n_b, windows) of a chunk."""
-    n_windows = np.array([len(d[3]) for d in docs], np.int64)
-    flat = np.fromiter((n for d in docs for n in d[3]), np.int64, int(n_windows.sum()))
-    own, numbers, count = np.unique(flat, return_inverse=True, return_counts=True)
-    linked = [al.pairs[n] for n in own.tolist()]
-    n_pairs = np.array([len(p) for p in linked], np.int64)
-    codes = np.array([c for p in linked for c in p], np.int64)
-    pair, back = np.unique(codes, return_inverse=True)
-    pair_n = np.bincount(back, weights=np.repeat(count, n_pairs), minlength=len(pair)).astype(np.int64)
-    shown = [hashlib.sha256(al.groups(d[3]).encode()).hexdigest() if d[1] else "" for d in docs]
-    row = [chunk, [d[0] for d in docs], [d[1] for d in docs], [d[2] for d in docs], shown, n_windows, numbers, n_pairs, back, pair, pair_n]
+def chunk_row(al: Aligner, chunk: int, keys: list, docs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """One row for the documents of a chunk, given their ids by A and B."""
+    w = windows_of(al, docs)
+    pair, back = np.unique(w.pairs, return_inverse=True)
+    count = np.bincount(w.number, minlength=len(w.shown))
+    pair_n = np.bincount(back, weights=np.repeat(count, w.n_pairs), minlength=len(pair)).astype(np.int64)
+    shown = [hashlib.sha256(g.encode()).hexdigest() if n else "" for g, n in zip(shown_groups(w).to_pylist(), w.per_doc, strict=True)]
+    row = [chunk, keys, [len(a) for a, _ in docs], [len(b) for _, b in docs], shown, w.per_doc, w.number, w.n_pairs, back, pair, pair_n]
     return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) if k < 5 else pa.array([v.astype(f.type.value_type.to_pandas_dtype())], type=f.type)
                                        for k, (v, f) in enumerate(zip(row, CHUNK, strict=True))], schema=CHUNK)
 
@@ -205,19 +245,18 @@ def chunks(df: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str)
     small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        al, docs, chars, made = aligner(path_a, path_b), [], 0, TaskContext.get().partitionId() << 33
+        al, keys, docs, chars, made = aligner(path_a, path_b), [], [], 0, TaskContext.get().partitionId() << 33
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py() or ""
                 if docs and chars + len(text) > CHUNK_CHARS:
-                    yield chunk_row(al, made, docs)
-                    al.forget()
-                    docs, chars, made = [], 0, made + 1
-                a, b = al.encode(text)
-                docs.append((key, len(a), len(b), np.array(al.windows(a, b), np.int32)))
+                    yield chunk_row(al, made, keys, docs)
+                    keys, docs, chars, made = [], [], 0, made + 1
+                keys.append(key)
+                docs.append(al.encode(text))
                 chars += len(text)
         if docs:
-            yield chunk_row(al, made, docs)
+            yield chunk_row(al, made, keys, docs)
 
     return df.select(df[id_col], df[text_col]).mapInArrow(
         run, "chunk long, ids array<long>, n_a array<long>, n_b array<long>, shown array<string>, n_windows array<long>, windows array<int>, "
@@ -259,5 +298,5 @@ def align(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_
 def align_texts(texts: list[str | None], path_a: str, path_b: str) -> list[list[tuple[tuple[int, ...], tuple[int, ...]]]]:
     """The groups of each text as pairs of id tuples, in order."""
     al = aligner(path_a, path_b)
-    return [[tuple(tuple(map(int, side.split(","))) for side in g.split("|")) for g in al.groups(al.windows(*ids)).split(";") if g]
-            for ids in (al.encode(t or "") for t in texts)]
+    return [[tuple(tuple(map(int, side.split(","))) for side in g.split("|")) for g in shown.split(";") if g]
+            for shown in shown_groups(windows_of(al, [al.encode(t) for t in texts])).to_pylist()]

@@ -75,17 +75,15 @@ def test_alignment_matches_plain_offsets(spark, monkeypatch):
     assert op.align(df.limit(0), A, B).count() == 0
 
 
-def test_chunks_and_memo_do_not_matter(monkeypatch):
-    import pyarrow as pa
+def test_chunks_and_hashes_do_not_matter(monkeypatch):
+    import numpy as np
 
     from starforge.llm import op12_alignment as op
 
     al = op.aligner(A, B)
-    sample = [t for t in texts()[300:360]]
-    one = [al.groups(al.windows(*al.encode(t))) for t in sample]
-    monkeypatch.setattr(op, "MEMO", 0)
-    for t, s in zip(sample, one):
-        al.forget()
-        assert al.groups(al.windows(*al.encode(t))) == s
-    row = op.chunk_row(al, 3, [(7, 0, 0, [])])
-    assert isinstance(row, pa.RecordBatch) and row.column("n_windows").to_pylist() == [[0]]
+    docs = [al.encode(t) for t in texts()[300:360]] + [al.encode(None)]
+    one = [op.shown_groups(op.windows_of(al, [d])).to_pylist()[0] for d in docs]
+    assert op.shown_groups(op.windows_of(al, docs)).to_pylist() == one and one[-1] == ""
+    monkeypatch.setattr(op, "run_hash", lambda ids, begin, size: size.astype(np.uint64))  # windows of one length collide
+    assert op.shown_groups(op.windows_of(al, docs)).to_pylist() == one
+    assert op.chunk_row(al, 3, [7], [al.encode("")]).column("n_windows").to_pylist() == [[0]]
