@@ -11,7 +11,7 @@ from ..operators import lookup, monitor
 from ..session import scratch_path
 from ..streaming import stream
 from . import domain
-from .catalog import query
+from .catalog import REGISTRY, query
 
 ALARM_THRESHOLD, ALARM_PERIODS = 100.0, 2
 
@@ -114,3 +114,31 @@ def stream_window(spark, sf):
     # a batch without a finished window writes an empty file, so the folder exists
     periods = spark.read.parquet(f"{sink}/periods")
     return periods.select("event_type", "period_start", "period_end", F.round("stat", 4).alias("stat"))
+
+
+LANDINGS = 3
+
+
+@query("stream_alarm", "R-02 W-10", REGISTRY["window_alarm"][1])
+def stream_alarm(spark, sf):
+    """The alarm of ``window_alarm`` from a stream: events land in three spans of
+    time, the query is started anew for each, continues from its state, and an
+    end marker flushes the windows still open."""
+    run = uuid.uuid4().hex
+    land, marks, sink, ck = (scratch_path(spark, f"stream_alarm/{run}/{x}") for x in ("landing", "markers", "alarms", "checkpoint"))
+    e = domain.table(spark, sf, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
+    lo, hi = e.agg(F.min("ts"), F.max("ts")).first()
+    stream.marker_folder(spark, marks, "ts")
+    span = F.least(F.floor((F.col("ts").cast("double") - F.lit(lo).cast("double"))
+                           / (F.lit(hi).cast("double") - F.lit(lo).cast("double") + 1) * LANDINGS), F.lit(LANDINGS - 1))
+
+    def start():
+        sdf = spark.readStream.schema(e.schema).parquet(land)
+        stream.keyed_alarm(spark, sdf, "ts", "value", "Sum", ALARM_THRESHOLD, ALARM_PERIODS, sink, ck, marks, by=["event_type"])
+
+    for k in range(LANDINGS):
+        e.where(span == k).write.mode("append").parquet(land)
+        start()
+    stream.end_stream(spark, marks, "ts", hi)
+    start()
+    return stream.read_alarms(spark, sink).withColumn("stat_value", F.round("stat_value", 4))
