@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -13,6 +13,7 @@ from ..functions.hashing import change_hash
 from ..session import materialize
 from .keys import assign_keys
 from .lookup import lookup, lookup_code, lookup_date
+from .segments import prefix_sum
 from .staging import latest_rows, strip_pii, valid
 
 NEW, CHANGED, UNCHANGED = "NEW", "CHANGED", "UNCHANGED"
@@ -58,35 +59,24 @@ def _ts(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v).cast("timestamp")
 
 
-def first_time(df: DataFrame, person: Sequence[str], date: str, id_col: str,
-               bucket: Column | None = None) -> DataFrame:
+def first_time(df: DataFrame, person: Sequence[str], date: str, id_col: str) -> DataFrame:
     """``previous_registration_count`` and ``is_first_time_registration`` (W-07).
 
-    Previous count = rows of the same person earlier in ``(date, id)`` order.
-    With ``bucket`` (default: year of ``date``) the work is two-level so one
-    prolific person does not land in a single task: a row number inside
-    ``(person, bucket)``, plus the rows of the person's earlier buckets taken
-    from a per-(person, bucket) count (a small frame, pre-aggregated before
-    its shuffle).
+    Previous count = rows of the same person (NULL parts equal) earlier in
+    ``(date, id)`` order; rows that tie on both don't count one another. The
+    counts are prefix sums over narrow rows, one per (person, date, id), in
+    range-partitioned order, so neither a prolific person nor the rows
+    without one land in a single task; they join back on the same three columns.
     """
-    bucket = F.year(F.col(date)) if bucket is None else bucket
-    b = df.withColumn("_ft_b", bucket)
-    local = b.withColumn("_ft_local", F.row_number().over(
-        Window.partitionBy(*person, "_ft_b").orderBy(F.col(date), F.col(id_col))) - 1)
-    counts = b.groupBy(*person, "_ft_b").agg(F.count(F.lit(1)).alias("_ft_n"))
-    offs = counts.withColumn("_ft_off", F.coalesce(F.sum("_ft_n").over(
-        Window.partitionBy(*person).orderBy("_ft_b").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0))).drop("_ft_n")
-    keys = [*person, "_ft_b"]
-    cond = None
-    for k in keys:
-        c = local[k].eqNullSafe(offs[k])
-        cond = c if cond is None else cond & c
-    out = local.join(offs, cond, "left").select(local["*"], offs["_ft_off"])
-    prev = (F.col("_ft_off") + F.col("_ft_local")).cast("int")
-    return (out.withColumn("previous_registration_count", prev)
+    rows = df.withColumn("_ft_person", change_hash(list(person), "safe"))
+    steps = (rows.groupBy("_ft_person", F.col(date).alias("_ft_date"), F.col(id_col).alias("_ft_id")).agg(F.count(F.lit(1)).alias("_ft_n"))
+             .withColumnRenamed("_ft_person", "_ft_key"))
+    before = prefix_sum(steps, ["_ft_key"], ["_ft_date", "_ft_id"], "_ft_n", "_ft_prev", "person-counts")
+    same = ((F.col("_ft_person") == F.col("_ft_key")) & F.col(date).eqNullSafe(F.col("_ft_date")) & F.col(id_col).eqNullSafe(F.col("_ft_id")))
+    prev = F.col("_ft_prev").cast("int")
+    return (rows.join(before, same, "left").withColumn("previous_registration_count", prev)
             .withColumn("is_first_time_registration", prev == 0)
-            .drop("_ft_b", "_ft_local", "_ft_off"))
+            .drop("_ft_person", "_ft_key", "_ft_date", "_ft_id", "_ft_n", "_ft_prev"))
 
 
 PERSON = ("first_name", "last_name", "birth_date")
@@ -153,6 +143,14 @@ def build_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str,
         return frame.withColumn(col, F.lit(None).cast("long"))
 
     df = valid(staging) if only_valid else staging
+    if subject == "registration":  # before the lookups: the counts read staging rows only
+        if person_counts and earlier is not None:
+            df = first_time_after(df, earlier, person)
+        elif person_counts:
+            df = first_time(df, list(person), "registration_date", "registration_id")
+        else:
+            df = df.withColumns({"previous_registration_count": F.lit(None).cast("int"),
+                                 "is_first_time_registration": F.lit(None).cast("boolean")})
     for col, out in spec["dates"].items():
         df = lookup_date(df, dims["d_date"], col, out, broadcast=bc("d_date") or True,
                          span=getattr(dims, "calendar_span", None))
@@ -188,13 +186,6 @@ def build_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str,
     df = df.withColumns({"source_system_id": F.col("source_system"), "created_dt": ts, "updated_dt": ts})
 
     if subject == "registration":
-        if person_counts and earlier is not None:
-            df = first_time_after(df, earlier, person)
-        elif person_counts:
-            df = first_time(df, list(person), "registration_date", "registration_id")
-        else:
-            df = df.withColumns({"previous_registration_count": F.lit(None).cast("int"),
-                                 "is_first_time_registration": F.lit(None).cast("boolean")})
         df = df.withColumn("age_at_registration", completed_years("birth_date", "registration_date"))
         df = df.withColumns({"effective_date_key": F.col("registration_date_key"),
                              "source_record_version": F.lit(1)})

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import change_hash
+from ..session import materialize
 from .keys import assign_keys
 from .lookup import bounded_broadcast
+from .segments import carry_last
 
 NEW, CHANGED, UNCHANGED, MISSING = "NEW", "CHANGED", "UNCHANGED", "MISSING"
 
@@ -255,6 +257,29 @@ def as_of_join(df: DataFrame, dim: DataFrame, on: dict[str, str], ts: str, colum
     return df.join(d, cond, how).drop(*[f"_aj_{k}" for k in on], "_aj_s", "_aj_e")
 
 
+def as_of_carry(df: DataFrame, dim: DataFrame, on: dict[str, str], ts: str, columns: Sequence[str],
+                start: str = "effective_start_dt", end: str = "effective_end_dt") -> DataFrame:
+    """:func:`as_of_join` for dimensions of any size (J-14), by carry-forward.
+
+    Versions and rows are put in one order of (key, time), versions first, and
+    the last version of the key is carried along to its rows, across partition
+    borders too; it counts unless it has ended. No version is compared with a
+    row, a key with most of the rows spans many tasks, and the dimension is
+    computed once. Rows with a null key or time match nothing.
+    """
+    keys = [f"_ac_k{i}" for i in range(len(on))]
+    versions = materialize(dim.where(F.col(start).isNotNull()).select(*[F.col(v).alias(k) for k, v in zip(keys, on.values(), strict=True)], F.col(start).alias("_ac_t"),
+                                      F.struct(F.col(end).alias("end"), *columns).alias("_ac_v")), "as-of-versions")
+    rows = df.select(*[F.col(c).alias(k) for k, c in zip(keys, on, strict=True)], F.col(ts).cast("timestamp").alias("_ac_t"), F.struct("*").alias("_ac_row"))
+    known = F.expr(" AND ".join(f"{k} IS NOT NULL" for k in [*keys, "_ac_t"]))
+    both = (versions.dropna(subset=keys).withColumn("_ac_kind", F.lit(0))
+            .unionByName(rows.where(known).withColumn("_ac_kind", F.lit(1)), allowMissingColumns=True))
+    last = carry_last(both, keys, ["_ac_t", "_ac_kind"], "_ac_v", "_ac_last", "as-of").where("_ac_kind = 1")
+    live = F.col("_ac_last.end").isNull() | (F.col("_ac_last.end") > F.col("_ac_t"))
+    found = last.select("_ac_row.*", *[F.when(live, F.col(f"_ac_last.{c}")).alias(c) for c in columns])
+    return found.unionByName(rows.where(~known).select("_ac_row.*"), allowMissingColumns=True)
+
+
 def history_as_of(hist: DataFrame, dim: DataFrame, fk: str, pk: str, ts, columns: Sequence[str]) -> DataFrame:
     """Two-level point in time (J-15): fact history rows valid at ``ts``, each with
     the dimension version valid at ``ts``."""

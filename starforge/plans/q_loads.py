@@ -209,3 +209,22 @@ def incremental_extract_q(spark, sf):
     """Rows at or after the high-water mark (a pushed-down scan filter)."""
     o = domain.table(spark, sf, "orders")
     return incremental_extract(o, "2001-01-01 00:00:00", "o_orderdate").select("o_orderkey", "o_orderdate")
+
+
+# ------------------------------------------------------------------ prior counts under skew
+
+@query("prior_registrations", "W-07", """
+WITH p AS (SELECT CAST(o.o_orderkey AS VARCHAR) AS registration_id, CAST(o.o_orderdate AS DATE) AS registration_date,
+                  CASE o.o_orderkey % 3 WHEN 0 THEN 'HOT' WHEN 1 THEN NULL ELSE c.c_name END AS first_name
+           FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey),
+n AS (SELECT *, row_number() OVER (PARTITION BY first_name ORDER BY registration_date, registration_id) - 1 AS prev FROM p)
+SELECT registration_id, first_name, CAST(prev AS INTEGER) AS previous_registration_count, prev = 0 AS is_first_time_registration FROM n""")
+def prior_registrations(spark, sf):
+    """Earlier registrations of each person where one person holds a third of the
+    rows and another third has no person at all."""
+    name = F.when(F.col("o_orderkey") % 3 == 0, F.lit("HOT")).when(F.col("o_orderkey") % 3 == 1, F.lit(None)).otherwise(F.col("c_name"))
+    c = domain.table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    people = domain.table(spark, sf, "orders").join(c, "o_custkey", "left").select(
+        F.col("o_orderkey").cast("string").alias("registration_id"), F.to_date("o_orderdate").alias("registration_date"), name.alias("first_name"))
+    out = facts.first_time(people, ["first_name"], "registration_date", "registration_id")
+    return out.select("registration_id", "first_name", "previous_registration_count", "is_first_time_registration")

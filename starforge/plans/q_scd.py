@@ -131,8 +131,8 @@ FROM lineitem l LEFT JOIN applied a ON a.p_partkey = l.l_partkey
 def scd2_as_of_join(spark, sf):
     """Every shipped line joined to the part version valid on its ship date."""
     li = domain.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
-    out = scd.as_of_join(li, applied(spark, sf), {"l_partkey": "p_partkey"}, "l_shipdate",
-                         ["part_key", "p_size"])
+    out = scd.as_of_carry(li, applied(spark, sf), {"l_partkey": "p_partkey"}, "l_shipdate",
+                          ["part_key", "p_size"])
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "part_key", "p_size")
 
 
