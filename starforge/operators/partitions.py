@@ -11,10 +11,12 @@ under ``_loads/<run>/rows``, then one plan row per touched partition under
 written last. A load that stopped before its plan has changed nothing; one
 that stopped later is switched again, from the same rows, by the next load or
 :func:`finish_loads`. A run that is done is not repeated. One load runs at a time.
+Archive runs commit the same way.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -68,9 +70,14 @@ def _one(spark: SparkSession, path: str, run: str) -> None:
 
 
 def _switch(spark: SparkSession, path: str, part: str, run: str) -> None:
-    """Overwrite the touched partitions of a planned load; may be repeated."""
-    base = f"{path}/_loads/{run}"
-    rows = spark.read.parquet(f"{base}/rows")
+    """Overwrite the touched partitions of a planned load or archive run; may be
+    repeated. Archived rows go first, to folders of their own run."""
+    base, schema = f"{path}/_loads/{run}", spark.read.parquet(path).schema
+    to = _archive_of(spark, base)
+    if to:
+        old = spark.read.parquet(f"{base}/archived")
+        old.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("archive_year", "run").parquet(to)
+    rows = spark.read.schema(schema).parquet(f"{base}/rows")
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path))
     # an overwrite by rows can't empty a partition: all of its rows moved elsewhere
     empty = spark.read.schema(PLAN).json(f"{base}/plan").where("rows_after = 0 AND rows_before > 0").select("part_value").collect()
@@ -79,6 +86,16 @@ def _switch(spark: SparkSession, path: str, part: str, run: str) -> None:
     _one(spark, f"{base}/done", run)
 
 
+def _archive_of(spark: SparkSession, base: str) -> str | None:
+    """The archive of an archive run; None for a load."""
+    try:
+        return spark.read.schema("run string").json(f"{base}/archive").first()["run"]
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
+        return None
+
+
 def finish_loads(spark: SparkSession, path: str, part: str) -> list[str]:
     """Switch planned loads that were stopped; their names."""
     done = set(_runs(spark, path, "done"))
@@ -154,3 +171,56 @@ def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, key: str
     else:
         _one(spark, f"{base}/done", run)
     return load_plan(spark, path, run)
+
+
+# ---- archive
+
+class ArchiveMismatch(RuntimeError):
+    """Written archive rows differ from the fact's; nothing was removed."""
+
+
+def _fingerprint(df: DataFrame, columns: list[str]) -> tuple[int, int]:
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("h")).first()
+    return row["n"], int(row["h"] or 0)
+
+
+def archive_partitions(spark: SparkSession, path: str, part: str, date_key: str, upto: int, cut: dt.date, archive_path: str, run: str,
+                       before_switch: Callable[[], None] | None = None) -> DataFrame:
+    """Move the rows dated before ``cut`` to the archive (X-08, K-04, K-06); returns :func:`load_plan`.
+
+    Only partitions up to ``upto`` (the cutoff's own) are read. The old rows are
+    written beside the fact with their year, read back and compared with the
+    fact's (rows and sum of row hashes); the plan then names the touched
+    partitions, and the switch writes the archive first and removes the rows
+    from the fact last, both by overwriting folders of the run's own, so
+    a stopped run is completed and a finished one is not repeated. Rows
+    without a calendar date stay.
+    """
+    finish_loads(spark, path, part)
+    if run in _runs(spark, path, "done"):
+        return load_plan(spark, path, run)
+    target = read_partitions(spark, path)
+    date = F.to_date(F.col(date_key).cast("string"), "yyyyMMdd")
+    within = target.where((F.col(part) > 0) & (F.col(part) <= upto))
+    is_old = F.coalesce(date < F.lit(cut), F.lit(False))
+    old, base = within.where(is_old), f"{path}/_loads/{run}"
+    counts = materialize(within.groupBy(F.col(part).alias("part_value"))
+                         .agg(F.count(F.lit(1)).alias("rows_before"), F.count_if(~is_old).alias("rows_after")).where("rows_after < rows_before"), f"archive-{run}")
+    touched = sorted(r[0] for r in counts.select("part_value").collect())
+    if touched:
+        (old.withColumn("archive_year", F.year(date).cast("int")).withColumn("run", F.lit(run))
+         .repartition("archive_year", F.pmod(F.xxhash64(*target.columns[:2]), F.lit(8))).write.mode("overwrite").partitionBy("archive_year", "run").parquet(f"{base}/archived"))
+        written = spark.read.schema(target.schema).parquet(f"{base}/archived")
+        if _fingerprint(old, target.columns) != _fingerprint(written, target.columns):
+            raise ArchiveMismatch(f"archive of run {run} differs from the rows of {path}; fact left unchanged")
+        _one(spark, f"{base}/archive", archive_path)
+    kept = within.where(F.col(part).isin(touched) & ~is_old)
+    kept.repartition(part, F.pmod(F.xxhash64(*target.columns[:2]), F.lit(8))).write.mode("overwrite").partitionBy(part).parquet(f"{base}/rows")
+    (counts.withColumns({"new_rows": F.lit(0), "changed_rows": F.lit(0), "run": F.lit(run)}).coalesce(1).write.mode("overwrite").json(f"{base}/plan"))
+    if before_switch:
+        before_switch()
+    if touched:
+        _switch(spark, path, part, run)
+    else:
+        _one(spark, f"{base}/done", run)
+    return load_plan(spark, path, run)

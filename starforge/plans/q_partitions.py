@@ -10,6 +10,7 @@ out, later ones than the first load's are NEW, closed ones CHANGED, the rest UNC
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
@@ -109,3 +110,31 @@ def load_compliance_partitions(spark, sf):
 @query("load_verification_partitions", "X-06 X-04 X-03 K-05 K-06 P-05 Q-06", _sql("verification"))
 def load_verification_partitions(spark, sf):
     return two_loads(spark, sf, "verification")
+
+
+# ------------------------------------------------------------------ archive of all subjects
+
+ARCHIVE_CUT = {"registration": "1997-01-15", "compliance": "1997-01-15", "verification": "2024-01-10"}
+
+
+def _archive_sql(subject: str) -> str:
+    date, cut = schemas.subject(subject)["date"], f"DATE '{ARCHIVE_CUT[subject]}'"
+    return f"""SELECT '{subject}' AS subject, CASE WHEN {date} < {cut} THEN CAST(year({date}) AS INTEGER) ELSE -1 END AS archive_year, count(*) AS row_count
+FROM stg_{subject} GROUP BY 2"""
+
+
+@query("archive_run", "X-08 K-04 K-06 A-20", with_ctes(*[f"stg_{s}" for s in ARCHIVE_CUT]) + "\nUNION ALL ".join(map(_archive_sql, ARCHIVE_CUT)))
+def archive_run(spark, sf):
+    """Rows per archive year after an archive run over each fact, kept rows as year -1."""
+    out = None
+    for subject, cut in ARCHIVE_CUT.items():
+        path, to = (scratch_path(spark, f"archive-run/{subject}-{uuid.uuid4().hex}/{x}") for x in ("fact", "archive"))
+        key, cfg, day = f"{subject}_date_key", LOADS[subject], dt.date.fromisoformat(cut)
+        upto = day.year * 100 + day.month if cfg["part"] is partitions.month_part else day.year * 10000 + day.month * 100 + day.day
+        fact = warehouse.fact(spark, sf, subject, skip=("codes", "zipcode", "state", "source", "file"))
+        partitions.write_partitions(fact, path, PART, cfg["part"](key))
+        partitions.archive_partitions(spark, path, PART, key, upto, day, to, f"before-{cut}")
+        kept = partitions.read_partitions(spark, path).agg(F.lit(-1).alias("archive_year"), F.count(F.lit(1)).alias("row_count"))
+        per = spark.read.parquet(to).groupBy("archive_year").agg(F.count(F.lit(1)).alias("row_count")).unionByName(kept).withColumn("subject", F.lit(subject))
+        out = per if out is None else out.unionByName(per)
+    return out.select("subject", "archive_year", "row_count")

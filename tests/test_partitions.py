@@ -1,4 +1,5 @@
 """Partitioned fact loads: only touched partitions are rewritten, loads survive a stop at any step."""
+import datetime as dt
 import uuid
 
 import pytest
@@ -81,3 +82,48 @@ def test_repeated_key_in_target_is_an_error(spark, path):
     frame(spark, [(9, "b", 20240501, "x")]).withColumn("part", month()).write.mode("append").partitionBy("part").parquet(path)
     with pytest.raises(Exception, match="repeated id in the target: b"):
         load(spark, path)
+
+
+OLD = {"a": 2024, "b": 2024}
+
+
+def archive(spark, path, run="a1", **kw):
+    return p.archive_partitions(spark, path, "part", "day", 202402, dt.date(2024, 2, 10), f"{path}-archive", run, **kw)
+
+
+def archived(spark, path):
+    return {r.id: r.archive_year for r in spark.read.parquet(f"{path}-archive").collect()}
+
+
+def test_archive_moves_old_rows_once(spark, path):
+    frame(spark, [(8, "h", 20240215, "x")]).withColumn("part", month()).write.mode("append").partitionBy("part").parquet(path)
+    before = files(spark, path)
+    plan = {r.part_value: (r.rows_before, r.rows_after) for r in archive(spark, path).collect()}
+    assert plan == {202401: (1, 0), 202402: (2, 1)} and archived(spark, path) == OLD
+    assert {i for i, *_ in state(spark, path)} == {"c", "d", "e", "f", "h"}
+    assert {f for f in before if f[0] not in plan} <= files(spark, path)
+    assert archive(spark, path).count() == 2 and archive(spark, path, run="a2").count() == 0
+    assert spark.read.parquet(f"{path}-archive").count() == 2
+
+
+def test_stopped_archive_is_completed(spark, path, monkeypatch):
+    def stop(*a):
+        raise RuntimeError("stopped")
+
+    with pytest.raises(RuntimeError, match="stopped"):
+        archive(spark, path, before_switch=stop)
+    assert len(state(spark, path)) == 6
+    one = p._one
+    monkeypatch.setattr(p, "_one", lambda s, to, run: stop() if to.endswith("done") else one(s, to, run))
+    with pytest.raises(RuntimeError, match="stopped"):
+        p.finish_loads(spark, path, "part")  # archived and removed, but not marked as done
+    monkeypatch.undo()
+    assert p.finish_loads(spark, path, "part") == ["a1"]
+    assert archived(spark, path) == OLD and len(state(spark, path)) == 4 and spark.read.parquet(f"{path}-archive").count() == 2
+
+
+def test_archive_that_differs_removes_nothing(spark, path, monkeypatch):
+    monkeypatch.setattr(p, "_fingerprint", lambda df, cols, seen=[]: seen.append(1) or len(seen))
+    with pytest.raises(p.ArchiveMismatch):
+        archive(spark, path)
+    assert len(state(spark, path)) == 6
