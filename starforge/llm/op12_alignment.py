@@ -44,7 +44,7 @@ from .common import small_batches
 from .words import _BACK, _BASE, _powers, mix
 
 #: Code points of a chunk; a longer text makes a longer chunk.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
 #: A pair of ids as one number: A id << PAIR_BITS | B id.
 PAIR_BITS = 20
 SPACE = "\N{LOWER ONE EIGHTH BLOCK}"
