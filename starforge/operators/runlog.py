@@ -48,7 +48,15 @@ class RunLog:
         if self._obs is not None:
             vals = self._obs.get
             self.written = vals.get("written")
-            self.rejected = vals.get("rejected")
+            self.rejected = vals.get("rejected", self.rejected)
+        return self
+
+    def fail(self, error: BaseException) -> "RunLog":
+        """End the run as FAILED with the counts known so far; what was being
+        written has no count."""
+        self.end = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        self.status, self.written = "FAILED", None
+        self.error = f"{type(error).__name__}: {error}"[:2000]
         return self
 
     def row(self) -> DataFrame:

@@ -10,14 +10,17 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..operators import archive, facts, recon, scd
 from ..operators.staging import valid
+from ..operators.tables import VersionedTable
 from ..session import materialize, scratch_path
 from ..sources import landing
 from ..sources.files import incremental_extract
-from . import domain, warehouse
+from . import domain, pipeline, warehouse
 from .catalog import _REG_FACT_SQL, query
 from .oracle import TS, dk, safe_hash, with_ctes
 
@@ -287,3 +290,48 @@ def files_changed(spark, sf):
         landing.register_files(files, f"{base}/registry", run)
         out = per if out is None else out.unionByName(per)
     return out
+
+
+# ------------------------------------------------------------------ daily flow with gate and quarantine
+
+#: (mode, rows dated from, before, batch instant) of each run; the last one comes with an instant before most of its rows.
+RUNS = [("INITIAL", "1995-01-01", "1999-07-01", "1999-07-01 00:00:00"), ("INCREMENTAL", "1999-01-01", "2001-01-01", "2000-07-01 00:00:00"),
+        ("INCREMENTAL", "1995-01-01", "2002-01-01", "1996-01-01 00:00:00")]
+MAX_REJECTED = 0.5
+
+
+def _runs_sql() -> str:
+    out = []
+    for n, (mode, lo, hi, ts) in enumerate(RUNS, 1):
+        out.append(f"""SELECT {n} AS run_no, '{mode}' AS job_type, r.read AS records_read, r.bad AS records_rejected, r.bad > {MAX_REJECTED} * r.read AS failed,
+       (SELECT count(DISTINCT o_orderkey) FROM orders WHERE {' OR '.join(f"(o_orderdate >= DATE '{a}' AND o_orderdate < DATE '{b}' AND CAST(o_orderdate AS DATE) <= TIMESTAMP '{t}')"
+                                                                         for _, a, b, t in RUNS[:n])}) AS loaded
+FROM (SELECT count(*) AS read, count(*) FILTER (CAST(o_orderdate AS DATE) > TIMESTAMP '{ts}') AS bad FROM orders WHERE o_orderdate >= DATE '{lo}' AND o_orderdate < DATE '{hi}') r""")
+    return ("WITH r AS (" + "\nUNION ALL ".join(out) + """)
+SELECT CAST(run_no AS INTEGER) AS run_no, job_type, CASE WHEN failed THEN 'FAILED' ELSE 'SUCCESS' END AS status, records_read,
+       CASE WHEN NOT failed THEN loaded END AS records_written, records_rejected FROM r
+UNION ALL SELECT 0, 'quarantine', 'SUCCESS', CAST(NULL AS BIGINT), CAST(sum(records_rejected) AS BIGINT), NULL FROM r
+UNION ALL SELECT 0, 'd_zipcode', 'SUCCESS', NULL, (SELECT count(*) FROM customer), NULL""")
+
+
+@query("pipeline_counts", "X-09 Q-08 K-10 P-05 D-03", _runs_sql())
+def pipeline_counts(spark, sf):
+    """The run log of three daily flows over the registrations: an initial load, an
+    incremental one with rows dated after the batch, and one that the gate stops;
+    with the rows in quarantine and in the dimension loaded on the way."""
+    root, ids = scratch_path(spark, f"pipeline/{uuid.uuid4().hex}"), schemas.subject("registration")
+    dims = domain.dims(spark, sf, with_zipcode=False, need={"d_code", "d_code_category", "d_state", "d_data_source"})
+    stg, zips = domain.staging(spark, sf, "registration"), domain.d_zipcode(spark, sf).select("zipcode", "state_key")
+    loads = {"d_zipcode": pipeline.DimensionLoad(zips, ["zipcode"], ["state_key"], "zipcode_key")}
+    for mode, lo, hi, ts in RUNS:
+        raw = stg.where((F.col(ids["date"]) >= F.lit(lo).cast("date")) & (F.col(ids["date"]) < F.lit(hi).cast("date")))
+        try:
+            pipeline.run_pipeline(spark, "registration", mode, raw, root, ts, dims, dimension_loads=loads, max_rejected=MAX_REJECTED)
+        except pipeline.GateFailed:
+            continue  # the flow has logged it
+    log = VersionedTable(spark, f"{root}/etl_control").read()
+    runs = log.select(F.row_number().over(Window.orderBy("start_timestamp")).alias("run_no"), "job_type", "status", "records_read", "records_written", "records_rejected")
+    for name, folder in (("quarantine", "rejected_registration"), ("d_zipcode", "d_zipcode")):
+        n = VersionedTable(spark, f"{root}/{folder}").read().agg(F.count(F.lit(1)).alias("records_written"))
+        runs = runs.unionByName(n.withColumns({"run_no": F.lit(0), "job_type": F.lit(name), "status": F.lit("SUCCESS")}), allowMissingColumns=True)
+    return runs
