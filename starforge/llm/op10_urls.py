@@ -80,10 +80,10 @@ def mine(pages: DataFrame, labels: DataFrame, min_count: int = MIN_COUNT, min_co
          id_col: str = "page_id", url_col: str = "url", label_id: str = "doc_id") -> DataFrame | None:
     """Rules (antecedent, confidence) for blocking; None without labels. A page
     is bad if its label says toxic or not of quality."""
-    key = fresh(pages, "_label_id")
+    key, flag = fresh(pages, "_label_id"), fresh(pages, "_bad")
     bad = (labels.where(labels[label_id].isNotNull()).groupBy(labels[label_id].alias(key))
-           .agg(F.max(F.coalesce((labels["toxic"] == 1) | (labels["quality"] == 0), F.lit(False))).alias("bad")))
-    known = pages.join(bad, document(pages[url_col], pages[id_col]) == bad[key]).select(tokens(pages[url_col]).alias("items"), "bad")
+           .agg(F.max(F.coalesce((labels["toxic"] == 1) | (labels["quality"] == 0), F.lit(False))).alias(flag)))
+    known = pages.join(bad, document(pages[url_col], pages[id_col]) == bad[key]).select(tokens(pages[url_col]).alias("items"), bad[flag].alias("bad"))
     known = materialize(known.where(F.size("items") > 0), "url-baskets")
     row = fresh(known, "_row")
     spread = known.withColumn(row, F.monotonically_increasing_id()).select(row, "bad", F.explode("items").alias("item"))
