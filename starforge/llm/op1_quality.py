@@ -169,14 +169,16 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 40, depth: int = 3, rate: fl
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "quality") -> Trees:
-    """Fit on the ``sample`` labelled documents whose id hashes lowest."""
+    """Fit on the ``sample`` labelled documents whose id hashes lowest; of rows that
+    share an id the one whose text hashes lowest is taken, chosen map-side."""
     key = fresh(docs, "_label_id")
     good = fresh(docs, "_good")
     chosen = (labels.where(labels[label_col].isNotNull() & labels[label_id].isNotNull())
               .groupBy(labels[label_id].cast("long").alias(key)).agg(F.min(label_col).alias(good))
               .orderBy(F.xxhash64(key), key).limit(sample))
     own = docs.select(docs[id_col].cast("long").alias(id_col), docs[text_col])
-    joined = own.join(F.broadcast(chosen), own[id_col] == chosen[key])  # at most `sample` rows of two numbers
+    held = own.join(F.broadcast(chosen), own[id_col] == chosen[key])  # at most `sample` rows of two numbers
+    joined = held.groupBy(id_col).agg(F.min(F.struct(F.xxhash64(text_col), text_col)).alias("_first")).select(id_col, f"_first.{text_col}")
 
     def run(keys, texts):
         return {"id": keys, "x": statistics(texts)[1].tolist()}
