@@ -64,9 +64,7 @@ SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date_value,
        CAST(weekofyear(d) AS INTEGER) AS week_of_year, CAST(day(d) AS INTEGER) AS day_of_month,
        CAST(dayofweek(d) AS INTEGER) AS day_of_week, strftime(d, '%A') AS day_name,
        dayofweek(d) IN (0, 6) AS is_weekend, FALSE AS is_holiday,
-       CAST(CASE WHEN month(d) >= 10 THEN year(d) + 1 ELSE year(d) END AS INTEGER) AS fiscal_year,
-       CAST(CASE WHEN month(d) IN (10, 11, 12) THEN 1 WHEN month(d) IN (1, 2, 3) THEN 2
-                 WHEN month(d) IN (4, 5, 6) THEN 3 ELSE 4 END AS INTEGER) AS fiscal_quarter
+       CAST(year(d + INTERVAL 3 MONTH) AS INTEGER) AS fiscal_year, CAST(quarter(d + INTERVAL 3 MONTH) AS INTEGER) AS fiscal_quarter
 FROM days""")
 def d_date(spark, sf):
     """Date dimension spanning the whole years of the order dates."""
