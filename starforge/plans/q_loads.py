@@ -38,23 +38,25 @@ def snapshot_staging(spark, sf):
             .select(*stg.columns))
 
 
-def _dims(spark, sf):
-    return domain.dims(spark, sf, with_zipcode=True,
-                       need={"d_date", "d_code", "d_code_category", "d_state", "d_country", "d_data_source",
-                             "d_file", "d_zipcode"})
+def _dims(spark, sf, file=True):
+    need = {"d_date", "d_code", "d_code_category", "d_state", "d_country", "d_data_source", "d_zipcode"}
+    return domain.dims(spark, sf, with_zipcode=True, need=need | {"d_file"} if file else need)
 
 
-def existing_and_batch(spark, sf):
-    dm = _dims(spark, sf)
-    existing = facts.build_fact(snapshot_staging(spark, sf), dm, "registration", SNAP_TS, assign=True)
+def existing_and_batch(spark, sf, whole=True):
+    """The existing fact and the batch's fact rows. A history has no person counts,
+    files or sources: with ``whole`` off they are not looked up."""
+    dm = _dims(spark, sf, whole)
+    kw = {} if whole else {"person_counts": False, "skip": ("file", "source")}
+    existing = facts.build_fact(snapshot_staging(spark, sf), dm, "registration", SNAP_TS, assign=True, **kw)
     batch = facts.build_fact(domain.staging(spark, sf, "registration"), dm, "registration", domain.BATCH_TS,
-                             assign=False)
+                             assign=False, **kw)
     return existing, batch, dm
 
 
-def split_of(spark, sf):
+def split_of(spark, sf, whole=True):
     """The existing fact and the tagged batch, written once: several branches read it."""
-    existing, batch, dm = existing_and_batch(spark, sf)
+    existing, batch, dm = existing_and_batch(spark, sf, whole)
     return existing, materialize(facts.split_changes(batch, existing, "registration_id"), "split-registration"), dm
 
 
@@ -127,7 +129,7 @@ hist AS (
 
 
 def history(spark, sf):
-    existing, split, dm = split_of(spark, sf)
+    existing, split, dm = split_of(spark, sf, whole=False)
     cols = ["registration_date_key", "registration_status_code_key", "registration_type_code_key",
             "zipcode_key", "state_key"]
     return facts.history_rows(split, existing, None, "registration_id", "registration_key", cols,
