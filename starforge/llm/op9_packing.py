@@ -9,8 +9,9 @@ Each step at least halves the room of the sequences it touches, and each
 length adds at most three ranges of sequences, so the plan has at most
 3 * capacity * (log2(capacity) + 1) runs whatever the corpus size; that bound
 is what allows its broadcast. Pieces take their slots by joining on length and
-rank. Ranks come from (length, bucket) groups plus the buckets' offsets, so a
-length that holds a third of all pieces is spread over all buckets.
+rank. Ranks come from (length, bucket) groups plus the buckets' offsets; buckets
+are a hash that takes in a row number, so neither a length nor an id (null too)
+that holds a third of all pieces is one group.
 
 Defined results: null or empty text is one piece holding the separator id;
 repeated rows are packed once each; other columns, also clashing names, are
@@ -77,18 +78,23 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 
 
 class _Bytes(dict):
-    """Unit -> its ids as little-endian bytes."""
+    """Unit -> its ids as little-endian bytes. A full cache becomes the older
+    generation, from which units and words still in use come back."""
 
     def __init__(self, path: str):
         super().__init__()
-        self.bpe, self.words = load(path), {}
+        self.bpe, self.older = load(path), {}
+        self.words, self.older_words = {}, {}
 
     def word(self, raw: str) -> bytes:
         out = self.words.get(raw)
         if out is None:
-            if len(self.words) > CACHE:
-                self.words.clear()
-            out = self.words[raw] = self._pack(self.bpe.merge(self.bpe._ids(raw.encode())))
+            out = self.older_words.get(raw)
+            if out is None:
+                out = self.model_ids(raw if raw.isascii() and raw.isprintable() else "".join([self.bpe.symbols[b] for b in raw.encode()]))
+            if len(self.words) >= CACHE // 2:
+                self.older_words, self.words = self.words, {}
+            self.words[raw] = out
         return out
 
     @staticmethod
@@ -96,17 +102,28 @@ class _Bytes(dict):
         return b"".join([i.to_bytes(4, "little") for i in ids])
 
     def __missing__(self, unit) -> bytes:
-        if isinstance(unit, int):
-            out = self._pack([unit])
-        elif isinstance(unit, tuple):
-            out = self._pack([i for w in self.bpe.words(unit) for i in self.bpe.merge(w)])
-        else:
-            out = b"".join(map(self.word, self.bpe.pre.findall(unit)))
-        if len(self) > CACHE:
+        out = self.older.get(unit)
+        if out is None:
+            out = self.encode(unit)
+        if len(self) >= CACHE // 2:
+            self.older = dict(self)
             self.clear()
         self[unit] = out
         return out
 
+    def model_ids(self, symbols: str) -> bytes:
+        """Ids of one pre-token, given in byte symbols, by the library's model."""
+        return self._pack([t.id for t in self.bpe.lib.model.tokenize(symbols)])
+
+    def encode(self, unit) -> bytes:
+        if isinstance(unit, int):
+            return self._pack([unit])
+        if isinstance(unit, tuple):
+            return self.model_ids(unit[0])
+        if unit.isalpha():  # letters alone are one pre-token
+            return self.word(unit)
+        return b"".join(map(self.word, self.bpe.pre.findall(unit)))
+
 
 _STATE: dict[str, _Bytes] = {}
 
@@ -147,11 +164,11 @@ def pack(df: DataFrame, path: str, capacity: int = 2048, id_col: str = "doc_id",
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id,
     offset."""
     spark = df.sparkSession
-    cut = materialize(pieces(df, path, capacity, id_col, text_col), "packing-pieces")
+    cut = materialize(pieces(df, path, capacity, id_col, text_col).withColumn("_row", F.monotonically_increasing_id()), "packing-pieces")
     counts = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}  # at most `capacity` rows
     plan = spark.createDataFrame(best_fit(counts, capacity), PLAN_SCHEMA).withColumnRenamed("length", "_length")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranked = with_rank(cut, "length", [id_col, "piece"], buckets)
+    ranked = with_rank(cut, "length", [id_col, "piece", "_row"], buckets)
     step = F.col("rank") - F.col("rank_from")
     return (ranked.join(F.broadcast(plan), (F.col("length") == F.col("_length")) & (F.col("rank") >= F.col("rank_from")) & (F.col("rank") < F.col("rank_to")))
             .select(id_col, "piece", "start", "length", "ids_crc32",

@@ -1,6 +1,10 @@
 """Fits take one row per labelled id; label and page columns may clash."""
+import pytest
 from pyspark.sql import functions as F
 
+public_tokenizers = pytest.importorskip("public_tokenizers")
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
 
 def test_quality_fit_sees_one_row_per_id(spark, monkeypatch):
     from starforge.llm import op1_quality as op
@@ -25,3 +29,27 @@ def test_url_rules_with_clashing_columns(spark):
     got = {r.page_id: r.verdict for r in judge_urls(pages, labels).collect()}
     assert len(got) == 40 and got == {r.page_id: r.verdict for r in judge_urls(pages.drop("bad", "rule", "_label_id"), labels).collect()}
     assert "block" in got.values()
+
+
+def test_op9_hot_and_null_ids_spread_over_buckets(spark):
+    from starforge.llm.op9_packing import with_rank
+
+    rows = spark.range(600).select(F.when(F.col("id") >= 200, F.lit(7)).cast("long").alias("doc_id"), F.lit(0).alias("piece"),
+                                   F.lit(3).alias("length"), F.col("id").alias("_row"))
+    ranked = with_rank(rows, "length", ["doc_id", "piece", "_row"], 8)
+    assert sorted(r["rank"] for r in ranked.collect()) == list(range(600))
+    spread = rows.groupBy("doc_id", F.pmod(F.xxhash64("doc_id", "piece", "_row"), F.lit(8)).alias("b")).count().collect()
+    assert len(spread) == 16 and max(r["count"] for r in spread) < 100
+
+
+def test_op9_ids_equal_the_library_on_odd_texts(spark):
+    from tokenizers import Tokenizer
+
+    from starforge.llm import op9_packing
+
+    known = op9_packing._Bytes(PATH)
+    lib = Tokenizer.from_file(PATH)
+    for text in ["plain words, 's it's don't!! a1b2c3", "\x01a\x7fb \x02", "caf\u00e9 na\u00efve \u00df \u0130", "\u65e5\u672c \U0001f600 \u201cq\u201d", "x" * 5000, ""]:
+        ids = b"".join(map(known.__getitem__, known.bpe.units(text)))
+        want = lib.encode(text, add_special_tokens=False).ids
+        assert ids == b"".join(i.to_bytes(4, "little") for i in want)
