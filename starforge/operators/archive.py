@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -43,6 +43,24 @@ def archive_counts(archived: DataFrame, part: str = "archive_year") -> DataFrame
     return archived.groupBy(part).agg(F.count(F.lit(1)).alias("archived_rows"))
 
 
+def archive_year_counts(spark: SparkSession, path: str, years=None, part: str = "archive_year") -> DataFrame:
+    """Rows per year of a written archive, from metadata alone (A-20, S-06).
+
+    The count is pushed into the Parquet reader, which takes row counts from the
+    file footers and the year from the folder names; no column is read. ``years``
+    prunes folders. The reader needs two settings, so the frame belongs to a
+    session of its own and the caller's settings stay as they are; an empty
+    archive folder holds no year and is an error, as for any reader.
+    """
+    own = spark.newSession()
+    for key, value in {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true", "spark.sql.session.timeZone": "UTC"}.items():
+        own.conf.set(key, value)
+    df = own.read.parquet(path)
+    if years is not None:
+        df = df.filter(F.col(part).isin(list(years)))
+    return df.groupBy(part).agg(F.count(F.lit(1)).alias("archived_rows"))
+
+
 def run_archive(fact_table: VersionedTable, d_date: DataFrame, date_key: str, cut: Column,
                 archive_path: str, catalog_name: str | None = None, part: str = "archive_year") -> dict:
     """Archive run (X-08): write old rows by year, verify, then switch the fact

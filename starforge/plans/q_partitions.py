@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators import facts, partitions, quality
+from ..operators import archive, calendar, facts, partitions, quality
 from ..operators.staging import latest_rows
 from ..session import scratch_path
 from . import domain, warehouse
@@ -117,6 +117,17 @@ def load_verification_partitions(spark, sf):
 ARCHIVE_CUT = {"registration": "1997-01-15", "compliance": "1997-01-15", "verification": "2024-01-10"}
 
 
+def archived(spark, sf, subject):
+    """An archive run over the subject's partitioned fact; (fact path, archive path)."""
+    path, to = (scratch_path(spark, f"archive-run/{subject}-{uuid.uuid4().hex}/{x}") for x in ("fact", "archive"))
+    key, cfg, day = f"{subject}_date_key", LOADS[subject], dt.date.fromisoformat(ARCHIVE_CUT[subject])
+    upto = day.year * 100 + day.month if cfg["part"] is partitions.month_part else day.year * 10000 + day.month * 100 + day.day
+    fact = warehouse.fact(spark, sf, subject, skip=("codes", "zipcode", "state", "source", "file"))
+    partitions.write_partitions(fact, path, PART, cfg["part"](key))
+    partitions.archive_partitions(spark, path, PART, key, upto, day, to, f"before-{day}")
+    return path, to
+
+
 def _archive_sql(subject: str) -> str:
     date, cut = schemas.subject(subject)["date"], f"DATE '{ARCHIVE_CUT[subject]}'"
     return f"""SELECT '{subject}' AS subject, CASE WHEN {date} < {cut} THEN CAST(year({date}) AS INTEGER) ELSE -1 END AS archive_year, count(*) AS row_count
@@ -127,14 +138,58 @@ FROM stg_{subject} GROUP BY 2"""
 def archive_run(spark, sf):
     """Rows per archive year after an archive run over each fact, kept rows as year -1."""
     out = None
-    for subject, cut in ARCHIVE_CUT.items():
-        path, to = (scratch_path(spark, f"archive-run/{subject}-{uuid.uuid4().hex}/{x}") for x in ("fact", "archive"))
-        key, cfg, day = f"{subject}_date_key", LOADS[subject], dt.date.fromisoformat(cut)
-        upto = day.year * 100 + day.month if cfg["part"] is partitions.month_part else day.year * 10000 + day.month * 100 + day.day
-        fact = warehouse.fact(spark, sf, subject, skip=("codes", "zipcode", "state", "source", "file"))
-        partitions.write_partitions(fact, path, PART, cfg["part"](key))
-        partitions.archive_partitions(spark, path, PART, key, upto, day, to, f"before-{cut}")
+    for subject in ARCHIVE_CUT:
+        path, to = archived(spark, sf, subject)
         kept = partitions.read_partitions(spark, path).agg(F.lit(-1).alias("archive_year"), F.count(F.lit(1)).alias("row_count"))
         per = spark.read.parquet(to).groupBy("archive_year").agg(F.count(F.lit(1)).alias("row_count")).unionByName(kept).withColumn("subject", F.lit(subject))
         out = per if out is None else out.unionByName(per)
     return out.select("subject", "archive_year", "row_count")
+
+
+@query("archive_year_counts", "A-20 S-06 X-08", with_ctes(*[f"stg_{s}" for s in ARCHIVE_CUT]) + "\nUNION ALL ".join(
+    f"""SELECT '{s}' AS subject, CAST(year({schemas.subject(s)['date']}) AS INTEGER) AS archive_year, count(*) AS archived_rows
+FROM stg_{s} WHERE {schemas.subject(s)['date']} < DATE '{cut}' GROUP BY 2""" for s, cut in ARCHIVE_CUT.items()))
+def archive_year_counts(spark, sf):
+    """Rows per year of each subject's archive, counted from footers and folder names."""
+    out = None
+    for subject in ARCHIVE_CUT:
+        per = archive.archive_year_counts(spark, archived(spark, sf, subject)[1]).select(F.lit(subject).alias("subject"), "archive_year", "archived_rows")
+        counts = scratch_path(spark, f"archive-years/{subject}-{uuid.uuid4().hex}")
+        per.write.parquet(counts)  # one row a year; the counting session ends here
+        rows = spark.read.parquet(counts)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+# ------------------------------------------------------------------ calendar slices of partitioned facts
+
+def partitioned_fact(spark, sf, subject):
+    """The subject's fact written by date partition, without the lookups a count doesn't read."""
+    path = scratch_path(spark, f"calendar/{subject}-{uuid.uuid4().hex}")
+    fact = warehouse.fact(spark, sf, subject, skip=("codes", "zipcode", "state", "source", "file"))
+    partitions.write_partitions(fact, path, PART, LOADS[subject]["part"](f"{subject}_date_key"))
+    return partitions.read_partitions(spark, path)
+
+
+@query("last_12_months", "P-09 J-11 A-03", with_ctes("stg_registration") + """
+SELECT CAST(strftime(registration_date, '%Y%m') AS INTEGER) AS month, count(*) AS registrations FROM stg_registration
+WHERE registration_date >= (SELECT date_trunc('month', max(registration_date)) - INTERVAL 11 MONTH FROM stg_registration) GROUP BY 1""")
+def last_12_months(spark, sf):
+    """Registrations per month of the last twelve months; the slice of the
+    calendar prunes the fact's partitions and is pushed to its reader."""
+    fact = partitioned_fact(spark, sf, "registration")
+    newest = domain.table(spark, sf, "orders").agg(F.max(F.to_date("o_orderdate")).alias("d")).first()["d"]  # one date
+    where = calendar.last_months(F.lit(newest).cast("date"))
+    rows = calendar.in_calendar(fact, domain.d_date(spark), where, "registration_date_key", PART, partitions.month_part)
+    return rows.groupBy(F.floor(F.col("registration_date_key") / 100).cast("int").alias("month")).agg(F.count(F.lit(1)).alias("registrations"))
+
+
+@query("weekend_checks", "P-09 J-11 A-03", with_ctes("stg_compliance") + """
+SELECT CAST(year(compliance_date) AS INTEGER) AS year, count(*) AS checks FROM stg_compliance
+WHERE dayofweek(compliance_date) IN (0, 6) GROUP BY 1""")
+def weekend_checks(spark, sf):
+    """Compliance checks on weekend days per year: a slice of thousands of short
+    runs of days, answered by a semi-join with the calendar's days."""
+    fact = partitioned_fact(spark, sf, "compliance")
+    rows = calendar.in_calendar(fact, domain.d_date(spark), "is_weekend", "compliance_date_key", PART, partitions.month_part)
+    return rows.groupBy(F.floor(F.col("compliance_date_key") / 10000).cast("int").alias("year")).agg(F.count(F.lit(1)).alias("checks"))
