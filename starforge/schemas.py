@@ -141,6 +141,48 @@ F_REGISTRATION_HIST = T.StructType([
     f("effective_start_dt", TS, False), f("effective_end_dt", TS), f("is_current", B),
     f("created_dt", TS)])
 
+# Enrichment dimensions, overwritten in place (type 1).
+D_ZIP_GEOGRAPHY = T.StructType([
+    f("zip_geography_key", L, False), vc("zipcode", 10, False), vc("city", 100), vc("state_code", 2),
+    vc("county", 100), vc("timezone", 50), vc("area_code", 10), f("last_updated_dt", TS)])
+
+D_CENSUS = T.StructType([
+    f("census_key", L, False), vc("census_tract", 20, False), vc("zipcode", 10), f("population", I),
+    f("median_income", dec(12, 2)), f("median_age", dec(5, 2)), f("census_year", I), f("last_updated_dt", TS)])
+
+D_COUNTY_DEMOGRAPHICS = T.StructType([
+    f("county_demo_key", L, False), vc("county_fips", 10, False), vc("county_name", 100), vc("state_code", 2),
+    f("total_population", I), f("median_household_income", dec(12, 2)), f("unemployment_rate", dec(5, 2)),
+    f("education_level_pct", dec(5, 2)), f("demo_year", I), f("last_updated_dt", TS)])
+
+_FACT_END = [vc("error_message", 2000), f("retry_count", I), vc("source_system_id", 100), vc("record_hash", 64),
+             f("created_dt", TS), f("updated_dt", TS)]
+
+F_COMPLIANCE = T.StructType([
+    f("compliance_key", L, False), vc("compliance_id", 100, False), vc("registration_id", 100),
+    f("compliance_date_key", I), f("due_date_key", I), f("completion_date_key", I),
+    f("compliance_status_code_key", L), f("compliance_result_code_key", L), f("state_key", L),
+    f("data_source_key", L), f("file_key", L), f("is_doj_referral", B), f("compliance_score", dec(5, 2)),
+    f("days_to_completion", I), vc("source_list_type", 50), f("source_year", I)] + _FACT_END)
+
+F_VERIFICATION = T.StructType([
+    f("verification_key", L, False), vc("verification_id", 100, False), vc("registration_id", 100),
+    f("verification_date_key", I), f("request_date_key", I), f("response_date_key", I),
+    f("verification_method_code_key", L), f("verification_status_code_key", L), f("verification_result_code_key", L),
+    f("state_key", L), f("data_source_key", L), f("file_key", L), f("is_match", B), f("match_score", dec(5, 2)),
+    vc("interim_status", 50), vc("verification_flags", 500), f("response_time_seconds", I)] + _FACT_END)
+
+
+def _history(subject: str, codes: list[str]) -> T.StructType:
+    return T.StructType([
+        f(f"{subject}_key", L, False), vc(f"{subject}_id", 100, False), f("snapshot_date_key", I, False),
+        f(f"{subject}_date_key", I), *[f(c, L) for c in codes], vc("change_type", 20),
+        f("effective_start_dt", TS, False), f("effective_end_dt", TS), f("is_current", B), f("created_dt", TS)])
+
+
+F_COMPLIANCE_HIST = _history("compliance", ["compliance_status_code_key", "compliance_result_code_key"])
+F_VERIFICATION_HIST = _history("verification", ["verification_status_code_key", "verification_result_code_key"])
+
 # Subject configuration (S-09): which columns the daily checks look at.
 SUBJECTS = {
     "registration": {
@@ -171,7 +213,10 @@ TABLES = {
         "d_date": D_DATE, "d_code_category": D_CODE_CATEGORY, "d_code": D_CODE,
         "d_country": D_COUNTRY, "d_state": D_STATE, "d_zipcode": D_ZIPCODE,
         "d_data_source_configuration": D_DATA_SOURCE, "d_file_information": D_FILE_INFORMATION,
+        "d_zip_geography": D_ZIP_GEOGRAPHY, "d_census": D_CENSUS, "d_county_demographics": D_COUNTY_DEMOGRAPHICS,
         "f_registration": F_REGISTRATION, "f_registration_hist": F_REGISTRATION_HIST,
+        "f_compliance": F_COMPLIANCE, "f_compliance_hist": F_COMPLIANCE_HIST,
+        "f_verification": F_VERIFICATION, "f_verification_hist": F_VERIFICATION_HIST,
     },
 }
 
