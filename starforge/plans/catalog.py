@@ -202,4 +202,4 @@ for _subj, _id, _date, _req in [
 
 
 # more registered queries live in sibling modules; importing them registers them
-from . import q_census, q_loads, q_ops, q_partitions, q_profiles, q_quality, q_reports, q_scd  # noqa: E402,F401
+from . import q_census, q_flows, q_loads, q_ops, q_partitions, q_profiles, q_quality, q_reports, q_scd  # noqa: E402,F401
