@@ -115,7 +115,8 @@ def build_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str,
                state_match: str = "state_code", source_match: str = "source_system",
                person: Sequence[str] = PERSON,
                only_valid: bool = True, person_counts: bool = True,
-               skip: Sequence[str] = (), earlier: DataFrame | None = None) -> DataFrame:
+               skip: Sequence[str] = (), earlier: DataFrame | None = None,
+               codes: Sequence[str] | None = None) -> DataFrame:
     """Fact rows of one subject from valid staging rows (X-01..X-03).
 
     Surrogate lookups (dates, codes per category, zip, state with its
@@ -126,7 +127,8 @@ def build_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str,
     that only aggregate; ``earlier`` (:func:`person_rows` of the loads before)
     makes it count their registrations too; ``assign=False`` leaves the surrogate key NULL;
     ``skip`` (``codes``, ``zipcode``, ``state``, ``source``, ``file``) leaves
-    those keys NULL for callers that do not read them. Dimensions listed in
+    those keys NULL for callers that do not read them, and ``codes`` looks up
+    only some code categories. Dimensions listed in
     ``dims.small`` were counted once by their builder and are broadcast
     without another count.
     ``dims``: ``d_date, d_code, d_code_category, d_state, d_data_source,
@@ -155,7 +157,7 @@ def build_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str,
         df = lookup_date(df, dims["d_date"], col, out, broadcast=bc("d_date") or True,
                          span=getattr(dims, "calendar_span", None))
     for col, (cat, out) in spec["codes"].items():
-        if "codes" in skip:
+        if "codes" in skip or (codes is not None and cat not in codes):
             df = null_key(df, out)
         else:
             df = lookup_code(df, dims["d_code"], dims["d_code_category"], cat, col, out,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import divide
+from ..session import materialize
 
 
 def _c(c) -> Column:
@@ -51,28 +52,44 @@ def duplicates(df: DataFrame, key: Sequence[str], name: str = "row_count") -> Da
 
 def with_share(df: DataFrame, value: str, within: Sequence[str] | None = None, name: str = "share",
                scale: int = 4) -> DataFrame:
-    """Share of total (A-10). Without ``within`` the grand total is a scalar
-    subquery (one small aggregate); with it, a window per group."""
+    """Share of total (A-10). With ``within``, a window per group. Without it the
+    grouped rows are written once and the grand total is a scalar subquery over
+    them, so their source is read once and no task holds all groups."""
     if within:
         total = F.sum(value).over(Window.partitionBy(*within))
     else:
+        df = materialize(df, "share")
         total = df.agg(F.sum(value)).scalar()
     return df.withColumn(name, F.round(divide(F.col(value), total), scale).cast(f"decimal(10,{scale})"))
 
 
 def matrix(df: DataFrame, rows: Sequence[str], col: str, members: Sequence, value: str = "count",
            with_share_of_total: bool = True) -> DataFrame:
-    """Rows × columns count matrix (A-11). ``members`` lists the pivot values,
+    """Rows × columns count matrix (A-11). ``members`` lists the column values,
     so Spark does not collect them first; each cell also gets its share of the
-    grand total as ``<member>_share``."""
-    piv = df.groupBy(*rows).pivot(col, list(members)).agg(F.count(F.lit(1)))
-    piv = piv.fillna(0, subset=[str(m) for m in members])
+    grand total (of all rows, members or not) as ``<member>_share``. One
+    aggregate, written once, gives the cells and the total."""
+    cells = df.groupBy(*rows).agg(*[F.count_if(F.col(col).eqNullSafe(F.lit(m))).alias(str(m)) for m in members],
+                                  F.count(F.lit(1)).alias("_row_total"))
     if not with_share_of_total:
-        return piv
-    total = df.agg(F.count(F.lit(1))).scalar()
+        return cells.drop("_row_total")
+    cells = materialize(cells, "matrix")
+    total = cells.agg(F.sum("_row_total")).scalar()
     for m in members:
-        piv = piv.withColumn(f"{m}_share", F.round(divide(F.col(str(m)), total), 4).cast("decimal(10,4)"))
-    return piv
+        cells = cells.withColumn(f"{m}_share", F.round(divide(F.col(str(m)), total), 4).cast("decimal(10,4)"))
+    return cells.drop("_row_total")
+
+
+def to_date_kpis(df: DataFrame, date_col: str, conditions: Mapping[str, Column], to_date: str) -> DataFrame:
+    """Rows that meet each condition, and as ``to_date`` the rows of the last
+    day's year up to that day (A-18). That year is the last one there is, so
+    counts per year answer both in one pass over ``df``; rows without a date
+    only count for the conditions."""
+    per_year = df.groupBy(F.year(date_col).alias("_year")).agg(F.count(F.lit(1)).alias("_rows"),
+                                                               *[F.count_if(c).alias(name) for name, c in conditions.items()])
+    none = F.lit(0).cast("long")
+    return per_year.agg(*[F.coalesce(F.sum(name), none).alias(name) for name in conditions],
+                        F.coalesce(F.max_by("_rows", "_year"), none).alias(to_date))
 
 
 def histogram(df: DataFrame, c: str, edges: Sequence[float], labels: Sequence[str] | None = None,

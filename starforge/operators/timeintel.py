@@ -85,10 +85,11 @@ def moving_average(df: DataFrame, date_col: str, months: int = 3) -> DataFrame:
     """
     d = F.to_date(date_col)
     daily = df.groupBy(d.alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    last_day = daily.agg(F.last_day(F.max("day"))).scalar()
-    cand = daily.select("day", "n", F.explode(F.sequence(F.lit(0), F.lit(months))).alias("k")) \
+    # over the days, whose number the calendar bounds; the rows are read once
+    daily = daily.withColumn("last", F.last_day(F.max("day").over(Window.partitionBy())))
+    cand = daily.select("day", "n", "last", F.explode(F.sequence(F.lit(0), F.lit(months))).alias("k")) \
         .withColumn("anchor", F.last_day(F.add_months("day", F.col("k"))))
-    inwin = cand.filter((F.col("day") > F.add_months("anchor", -months)) & (F.col("anchor") <= last_day))
+    inwin = cand.filter((F.col("day") > F.add_months("anchor", -months)) & (F.col("anchor") <= F.col("last")))
     return (inwin.groupBy("anchor")
             .agg(F.sum("n").alias("window_total"), F.count(F.lit(1)).alias("days_with_rows"))
             .select(F.trunc("anchor", "month").alias("month_start"), F.col("anchor").alias("month_end"),

@@ -35,7 +35,7 @@ FROM stg_registration r LEFT JOIN d_state s ON r.state = s.state_code
 GROUP BY 1, 2, 3, 4""")
 def agg_registration_monthly(spark, sf):
     """Monthly count by state and status over the star (the BI aggregate table)."""
-    st = warehouse.registration_star(spark, sf)
+    st = warehouse.registration_star(spark, sf, ("reg", "state", "status"))
     return (st.groupBy(F.col("reg_year").alias("year"), F.col("reg_month").alias("month"),
                        "state_name", F.col("status_code_value").alias("status"))
             .agg(F.count(F.lit(1)).alias("registration_count")))
@@ -46,7 +46,7 @@ SELECT {dk('registration_date')} AS date_key, registration_status AS status, reg
        COUNT(*) AS registration_count
 FROM stg_registration GROUP BY 1, 2, 3""")
 def agg_registration_daily(spark, sf):
-    st = warehouse.registration_star(spark, sf)
+    st = warehouse.registration_star(spark, sf, ("status", "type"))
     return (st.groupBy(F.col("registration_date_key").alias("date_key"),
                        F.col("status_code_value").alias("status"), F.col("type_code_value").alias("type"))
             .agg(F.count(F.lit(1)).alias("registration_count")))

@@ -10,6 +10,8 @@ sources and files from the staging metadata.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,9 +30,6 @@ DIM_START_TS = "1990-01-01 00:00:00"       # when the seeded dimension versions
 SNAPSHOT_DATE = "2000-01-01"                # date of the earlier load used by incremental plans
 CALENDAR_START, CALENDAR_END = "1900-01-01", "2099-12-31"
 
-# The code categories of the reference seed; their keys are 1..8 in this order.
-
-
 # Which raw column (or rule over it) feeds which code category: the same
 # rules the staging frames apply, read straight from the narrow source column.
 CODE_SOURCES = [
@@ -44,6 +43,15 @@ CODE_SOURCES = [
     ("VERIF_RESULT", "events", lambda: verification_result(F.col("value"))),
 ]
 
+# Code categories and source system of each subject's rows.
+SUBJECT_CODES = {"registration": ["REG_TYPE", "REG_STATUS", "CLASSIFICATION"],
+                 "compliance": ["COMP_STATUS", "COMP_RESULT"],
+                 "verification": ["VERIF_METHOD", "VERIF_STATUS", "VERIF_RESULT"]}
+SUBJECT_FEED = {"registration": "ORDERS", "compliance": "LINEITEM", "verification": "EVENTS"}
+
+# Low bits of code and file keys; the category or data source is above them.
+GROUP_SHIFT = 32
+
 # Source system and daily landing file of each subject's rows.
 SOURCE_FILES = [("ORDERS", "orders", "o_orderdate"), ("LINEITEM", "lineitem", "l_shipdate"),
                 ("EVENTS", "events", "ts")]
@@ -211,14 +219,19 @@ def d_code_category(spark: SparkSession) -> DataFrame:
                            "is_active": F.lit(True)})
 
 
+def high_key(group: str, rank: str):
+    """Key of the ``rank``-th member of a group: stable when other groups grow or are left out."""
+    return (F.shiftleft(F.col(group).cast("long"), GROUP_SHIFT) + F.col(rank)).cast("long")
+
+
 def d_code(spark: SparkSession, sf_dir: str, categories=None) -> DataFrame:
     """Code dimension from the distinct values of each categorized column.
 
-    Size is bounded by the number of distinct codes; keys follow (category,
-    value). Each source table is scanned once for all its categorized
-    columns ((category, value) pairs exploded per row, aggregated map-side).
-    ``categories`` limits the build to some categories (keys are then only
-    consistent within that build; reports read code values, not keys).
+    Size is bounded by the number of distinct codes. A key holds its category's
+    key in the high bits and the code's rank within the category in the low
+    ones, so a code has the same key whichever ``categories`` are built. Each
+    source table is scanned once for all its categorized columns ((category,
+    value) pairs exploded per row, aggregated map-side).
     """
     by_table: dict[str, list] = {}
     for cat, tbl, expr in CODE_SOURCES:
@@ -236,9 +249,8 @@ def d_code(spark: SparkSession, sf_dir: str, categories=None) -> DataFrame:
     vals = vals.join(F.broadcast(cats), "code_category_id")
     vals = vals.withColumn("display_order", F.row_number().over(
         Window.partitionBy("code_category_id").orderBy("code_value")).cast("int"))
-    keyed = small_keys(vals, "code_key", ["code_category_key", "code_value"])
-    return keyed.select(
-        "code_key", F.concat_ws("_", "code_category_id", "code_value").alias("code_id"),
+    return vals.select(
+        high_key("code_category_key", "display_order").alias("code_key"), F.concat_ws("_", "code_category_id", "code_value").alias("code_id"),
         "code_category_key", "code_value", F.col("code_value").alias("code_description"),
         "display_order", F.lit(DIM_START_TS).cast("timestamp").alias("effective_start_dt"),
         F.lit(None).cast("timestamp").alias("effective_end_dt"), F.lit(True).alias("is_active"))
@@ -300,23 +312,27 @@ def d_data_source(spark: SparkSession) -> DataFrame:
         F.lit(None).cast("timestamp").alias("effective_end_dt"), F.lit(True).alias("is_active"))
 
 
-def d_file(spark: SparkSession, sf_dir: str, batch_ts: str = BATCH_TS) -> DataFrame:
+def d_file(spark: SparkSession, sf_dir: str, batch_ts: str = BATCH_TS, feeds=None) -> DataFrame:
     """File dimension: one row per landed daily file with its record count.
 
-    Bounded by days × feeds; keys follow the file name. Each feed reads its
-    date column only and is aggregated map-side before the shuffle.
+    Bounded by days × feeds. A key holds its data source's key in the high bits
+    and the file's rank by name within that source in the low ones, so it is the
+    same whichever ``feeds`` (source systems, all by default) are built. Each
+    feed reads its date column only and is aggregated map-side before the shuffle.
     """
     parts = []
     for name, tbl, col in SOURCE_FILES:
+        if feeds is not None and name not in feeds:
+            continue
         parts.append(table(spark, sf_dir, tbl).select(_day_file(tbl, col).alias("file_name"))
                      .groupBy("file_name").agg(F.count(F.lit(1)).alias("record_count"))
                      .withColumn("source_system", F.lit(name)))
-    meta = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    meta = reduce(DataFrame.unionByName, parts)
     src = d_data_source(spark).select("source_system", "data_source_key")
     f = meta.join(F.broadcast(src), "source_system", "left")
-    keyed = small_keys(f, "file_key", ["file_name"])
-    return keyed.select(
-        "file_key", F.col("file_name").alias("file_id"), "data_source_key", "file_name",
+    f = f.withColumn("_rank", F.row_number().over(Window.partitionBy("source_system").orderBy("file_name")))
+    return f.select(
+        high_key("data_source_key", "_rank").alias("file_key"), F.col("file_name").alias("file_id"), "data_source_key", "file_name",
         F.lit(None).cast("string").alias("file_path"), F.lit(None).cast("long").alias("file_size_bytes"),
         F.col("record_count").cast("long"), F.lit(batch_ts).cast("timestamp").alias("load_timestamp"),
         F.lit("COMPLETED").alias("processing_status"), F.lit(None).cast("string").alias("error_message"))
@@ -332,7 +348,7 @@ class Dims(dict):
 
 
 def dims(spark: SparkSession, sf_dir: str, stg=None, with_zipcode: bool = True, need=None,
-         code_categories=None) -> Dims:
+         code_categories=None, subject: str | None = None) -> Dims:
     """The dimensions a fact build needs.
 
     Small by construction (no count needed): the calendar (generated over a
@@ -344,8 +360,12 @@ def dims(spark: SparkSession, sf_dir: str, stg=None, with_zipcode: bool = True,
     instead of re-deriving them from full scans. (In a deployed warehouse
     they are tables.) The zipcode dimension grows with the customers: it is
     neither cached nor assumed small. ``need`` limits the build to the named
-    dimensions; ``code_categories`` to the code categories a query reads.
+    dimensions; ``subject`` to the codes and files of one subject, so only
+    its feed is scanned for them; ``code_categories`` to fewer of its codes.
     """
+    if subject is not None and code_categories is None:
+        code_categories = SUBJECT_CODES[subject]
+    feeds = None if subject is None else [SUBJECT_FEED[subject]]
     makers = {
         "d_date": lambda: d_date(spark),
         "d_code_category": lambda: d_code_category(spark),
@@ -353,7 +373,7 @@ def dims(spark: SparkSession, sf_dir: str, stg=None, with_zipcode: bool = True,
         "d_state": lambda: d_state(spark, sf_dir),
         "d_country": lambda: d_country(spark, sf_dir),
         "d_data_source": lambda: d_data_source(spark),
-        "d_file": lambda: d_file(spark, sf_dir),
+        "d_file": lambda: d_file(spark, sf_dir, feeds=feeds),
     }
     bounded = {"d_date", "d_code_category", "d_state", "d_country", "d_data_source"}
     out = Dims()

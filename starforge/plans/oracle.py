@@ -107,7 +107,7 @@ CTE["d_code"] = """code_vals AS (
   UNION ALL SELECT DISTINCT 'VERIF_RESULT', CASE WHEN value >= 50 THEN 'MATCH' ELSE 'NO_MATCH' END FROM events
 ),
 d_code AS (
-  SELECT row_number() OVER (ORDER BY k.code_category_key, v.v) AS code_key,
+  SELECT k.code_category_key * 4294967296 + row_number() OVER (PARTITION BY k.code_category_key ORDER BY v.v) AS code_key,
          v.cid || '_' || v.v AS code_id, k.code_category_key, k.code_category_id,
          v.v AS code_value, TRUE AS is_active
   FROM code_vals v JOIN d_code_category k ON v.cid = k.code_category_id
@@ -139,18 +139,20 @@ CTE["d_data_source"] = """d_data_source AS (
 )"""
 
 CTE["d_file"] = """d_file AS (
-  SELECT row_number() OVER (ORDER BY file_name) AS file_key, file_name, record_count
-  FROM (SELECT 'orders_' || strftime(o_orderdate, '%Y%m%d') || '.parquet' AS file_name, count(*) AS record_count
-        FROM orders GROUP BY 1
-        UNION ALL SELECT 'lineitem_' || strftime(l_shipdate, '%Y%m%d') || '.parquet', count(*) FROM lineitem GROUP BY 1
-        UNION ALL SELECT 'events_' || strftime(ts, '%Y%m%d') || '.parquet', count(*) FROM events GROUP BY 1) t
+  SELECT d.data_source_key * 4294967296 + row_number() OVER (PARTITION BY d.data_source_key ORDER BY t.file_name) AS file_key,
+         t.file_name, t.record_count
+  FROM (SELECT 'ORDERS' AS source_system, 'orders_' || strftime(o_orderdate, '%Y%m%d') || '.parquet' AS file_name, count(*) AS record_count
+        FROM orders GROUP BY 2
+        UNION ALL SELECT 'LINEITEM', 'lineitem_' || strftime(l_shipdate, '%Y%m%d') || '.parquet', count(*) FROM lineitem GROUP BY 2
+        UNION ALL SELECT 'EVENTS', 'events_' || strftime(ts, '%Y%m%d') || '.parquet', count(*) FROM events GROUP BY 2) t
+  JOIN d_data_source d ON d.source_system = t.source_system
 )"""
 
 DEPS = {
     "stg_registration": [], "stg_compliance": [], "stg_verification": [], "d_code_category": [],
     "d_code": ["d_code_category"],
     "d_country": [], "d_state": ["d_country"], "d_zipcode": ["d_state"],
-    "d_data_source": [], "d_file": [],
+    "d_data_source": [], "d_file": ["d_data_source"],
 }
 
 

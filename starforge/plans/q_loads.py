@@ -40,7 +40,7 @@ def snapshot_staging(spark, sf):
 
 def _dims(spark, sf, file=True):
     need = {"d_date", "d_code", "d_code_category", "d_state", "d_country", "d_data_source", "d_zipcode"}
-    return domain.dims(spark, sf, with_zipcode=True, need=need | {"d_file"} if file else need)
+    return domain.dims(spark, sf, with_zipcode=True, need=need | {"d_file"} if file else need, subject="registration")
 
 
 def existing_and_batch(spark, sf, whole=True):
@@ -322,7 +322,7 @@ def pipeline_counts(spark, sf):
     incremental one with rows dated after the batch, and one that the gate stops;
     with the rows in quarantine and in the dimension loaded on the way."""
     root, ids = scratch_path(spark, f"pipeline/{uuid.uuid4().hex}"), schemas.subject("registration")
-    dims = domain.dims(spark, sf, with_zipcode=False, need={"d_code", "d_code_category", "d_state", "d_data_source"})
+    dims = domain.dims(spark, sf, with_zipcode=False, need={"d_code", "d_code_category", "d_state", "d_data_source"}, subject="registration")
     stg, zips = domain.staging(spark, sf, "registration"), domain.d_zipcode(spark, sf).select("zipcode", "state_key")
     loads = {"d_zipcode": pipeline.DimensionLoad(zips, ["zipcode"], ["state_key"], "zipcode_key")}
     for mode, lo, hi, ts in RUNS:

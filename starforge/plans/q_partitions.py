@@ -54,7 +54,7 @@ def two_loads(spark, sf, subject):
     cfg, spec = LOADS[subject], facts.FACT_SPECS[subject]
     first, batch = first_and_batch(spark, sf, subject)
     need = warehouse.REPORT_DIMS | {"d_file"} | ({"d_zipcode"} if subject == "registration" else set())
-    dims = domain.dims(spark, sf, with_zipcode=subject == "registration", need=need)
+    dims = domain.dims(spark, sf, with_zipcode=subject == "registration", need=need, subject=subject)
     path = scratch_path(spark, f"facts/{subject}-{uuid.uuid4().hex}")
 
     def value():

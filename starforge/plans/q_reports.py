@@ -25,8 +25,9 @@ def _rate_sql(num: str, den: str) -> str:
     return f"CAST(round(CASE WHEN {den} = 0 OR {den} IS NULL THEN 0 ELSE CAST({num} AS DOUBLE) / {den} END, 4) AS DECIMAL(10,4))"
 
 
-def reg_star(spark, sf):
-    return warehouse.registration_star(spark, sf)
+def reg_star(spark, sf, *roles):
+    """The registration star with the given roles only."""
+    return warehouse.registration_star(spark, sf, roles)
 
 
 def month_of(c):
@@ -39,7 +40,7 @@ def month_of(c):
 SELECT {MONTH.format(c='registration_date')} AS month_start, registration_status AS status,
        CAST(count(*) AS BIGINT) AS registration_count FROM stg_registration GROUP BY 1, 2""")
 def report_registration_trend(spark, sf):
-    st = reg_star(spark, sf)
+    st = reg_star(spark, sf, "reg", "status")
     return st.groupBy(month_of("reg_date_value"), F.col("status_code_value").alias("status")) \
         .agg(F.count(F.lit(1)).alias("registration_count"))
 
@@ -49,7 +50,7 @@ def report_registration_trend(spark, sf):
 SELECT state_name, CAST(n AS BIGINT) AS registration_count,
        {_rate_sql('n', '(SELECT sum(n) FROM c)')} AS share FROM c""")
 def report_state_share(spark, sf):
-    st = reg_star(spark, sf)
+    st = reg_star(spark, sf, "state")
     c = st.groupBy("state_name").agg(F.count(F.lit(1)).alias("registration_count"))
     return measures.with_share(c, "registration_count")
 
@@ -58,7 +59,7 @@ def report_state_share(spark, sf):
 SELECT state_name, CAST(count(*) AS BIGINT) AS registration_count FROM rs GROUP BY 1
 ORDER BY registration_count DESC, state_name LIMIT 10""")
 def report_top_states(spark, sf):
-    st = reg_star(spark, sf)
+    st = reg_star(spark, sf, "state")
     c = st.groupBy("state_name").agg(F.count(F.lit(1)).alias("registration_count"))
     return measures.top_n(c, "registration_count", 10, ["state_name"])
 
@@ -67,8 +68,9 @@ def report_top_states(spark, sf):
 SELECT registration_type AS type, CAST(count(*) AS BIGINT) AS registration_count FROM stg_registration GROUP BY 1""")
 def report_by_type(spark, sf):
     """Counts through the type relationship (the inactive role switched on)."""
-    dm = domain.dims(spark, sf, with_zipcode=False, need=warehouse.REPORT_DIMS)
-    f = warehouse.fact(spark, sf, "registration", dims=dm, skip=("file",))
+    dm = domain.dims(spark, sf, with_zipcode=False, need={"d_date", "d_code", "d_code_category"}, subject="registration",
+                     code_categories=["REG_STATUS", "REG_TYPE"])
+    f = warehouse.fact(spark, sf, "registration", dims=dm, skip=("file", "source", "state"), codes=["REG_STATUS", "REG_TYPE"])
     roles = {"status": "registration_status_code_key", "type": "registration_type_code_key"}
     f = lookup.with_role(f, roles, "type", "code_key_in_use")
     codes = lookup.bounded_broadcast(dm["d_code"].select(F.col("code_key").alias("code_key_in_use"), "code_value"),
@@ -86,8 +88,9 @@ SELECT registration_id, registration_date, state_name, zipcode, registration_typ
        source_system AS data_source FROM rs""")
 def report_registration_detail(spark, sf):
     """The detail table: every registration with its dimension names (no personal data)."""
-    dm = domain.dims(spark, sf, with_zipcode=True, need=warehouse.REPORT_DIMS | {"d_zipcode"})
-    f = warehouse.fact(spark, sf, "registration", zipcode=True, dims=dm, skip=("file",))
+    cats = ["REG_STATUS", "REG_TYPE"]
+    dm = domain.dims(spark, sf, with_zipcode=True, need=warehouse.REPORT_DIMS | {"d_zipcode"}, subject="registration", code_categories=cats)
+    f = warehouse.fact(spark, sf, "registration", zipcode=True, dims=dm, skip=("file",), codes=cats)
     st = lookup.star(f, {
         "reg": (dm["d_date"], "registration_date_key", "date_key", ["date_value"]),
         "state": (dm["d_state"], "state_key", "state_key", ["state_name"]),
@@ -134,7 +137,7 @@ def report_by_method(spark, sf):
 SELECT month_start, status, CAST(n AS BIGINT) AS registration_count,
        {_rate_sql('n', 'sum(n) OVER (PARTITION BY month_start)')} AS share FROM c""")
 def report_monthly_status_share(spark, sf):
-    st = reg_star(spark, sf)
+    st = reg_star(spark, sf, "reg", "status")
     c = st.groupBy(month_of("reg_date_value"), F.col("status_code_value").alias("status")) \
         .agg(F.count(F.lit(1)).alias("registration_count"))
     return measures.with_share(c, "registration_count", within=["month_start"])
@@ -142,16 +145,15 @@ def report_monthly_status_share(spark, sf):
 
 # ------------------------------------------------------------------ compliance visuals
 
-def comp_star(spark, sf):
-    return warehouse.subject_star(spark, sf, "compliance", {"status": "compliance_status_code_key",
-                                                           "result": "compliance_result_code_key"})
+def comp_star(spark, sf, *codes, day=False, state=False):
+    return warehouse.subject_star(spark, sf, "compliance", {c: f"compliance_{c}_code_key" for c in codes}, day, state)
 
 
 @query("report_compliance_status_trend", "M-09 A-03", COMP + f"""
 SELECT {MONTH.format(c='compliance_date')} AS month_start, compliance_status AS status,
        CAST(count(*) AS BIGINT) AS check_count FROM stg_compliance GROUP BY 1, 2""")
 def report_compliance_status_trend(spark, sf):
-    st = comp_star(spark, sf)
+    st = comp_star(spark, sf, "status", day=True)
     return st.groupBy(month_of("day_date_value"), F.col("status_code_value").alias("status")) \
         .agg(F.count(F.lit(1)).alias("check_count"))
 
@@ -161,7 +163,7 @@ SELECT state_name, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (WHER
        {_rate_sql("count(*) FILTER (WHERE compliance_result = 'A')", 'count(*)')} AS pass_rate
 FROM cs GROUP BY 1""")
 def report_compliance_by_state(spark, sf):
-    st = comp_star(spark, sf)
+    st = comp_star(spark, sf, "result", state=True)
     return measures.rate(st, ["state_name"], F.col("result_code_value") == "A", "pass_rate")
 
 
@@ -169,7 +171,7 @@ def report_compliance_by_state(spark, sf):
 SELECT {MONTH.format(c='compliance_date')} AS month_start, CAST(count(*) AS BIGINT) AS checks,
        CAST(count(*) FILTER (WHERE is_doj_referral) AS BIGINT) AS referrals FROM stg_compliance GROUP BY 1""")
 def report_referrals_monthly(spark, sf):
-    st = comp_star(spark, sf)
+    st = comp_star(spark, sf, day=True)
     return measures.measure(st, [month_of("day_date_value")],
                             {"checks": ("count", None), "referrals": ("count_if", F.col("is_doj_referral"))})
 
@@ -185,15 +187,14 @@ t AS (SELECT count(*) AS total FROM cs)
 SELECT state_name, CAST(a AS BIGINT) AS "A", CAST(n AS BIGINT) AS "N", CAST(r AS BIGINT) AS "R",
 """ + ",\n".join(f"{_rate_sql(x.lower(), '(SELECT total FROM t)')} AS \"{x}_share\"" for x in RESULTS) + " FROM c")
 def report_compliance_matrix(spark, sf):
-    st = comp_star(spark, sf)
+    st = comp_star(spark, sf, "result", state=True)
     return measures.matrix(st, ["state_name"], "result_code_value", RESULTS)
 
 
 # ------------------------------------------------------------------ verification visuals
 
-def ver_star(spark, sf):
-    return warehouse.subject_star(spark, sf, "verification", {"method": "verification_method_code_key",
-                                                             "status": "verification_status_code_key"})
+def ver_star(spark, sf, *codes, day=False):
+    return warehouse.subject_star(spark, sf, "verification", {c: f"verification_{c}_code_key" for c in codes}, day, False)
 
 
 @query("report_verification_method_success", "M-13 A-17", VER + f"""
@@ -202,7 +203,7 @@ SELECT verification_method AS method, CAST(count(*) AS BIGINT) AS total,
        {_rate_sql('count(*) FILTER (WHERE is_match)', 'count(*)')} AS success_rate
 FROM stg_verification GROUP BY 1""")
 def report_verification_method_success(spark, sf):
-    st = ver_star(spark, sf).withColumn("method", F.col("method_code_value"))
+    st = ver_star(spark, sf, "method").withColumn("method", F.col("method_code_value"))
     return measures.rate(st, ["method"], F.col("is_match"), "success_rate")
 
 
@@ -233,7 +234,7 @@ SELECT CAST(c.stage_no AS INTEGER) AS stage_no, c.stage, CAST(c.reached AS BIGIN
        """ + _rate_sql("c.reached", "coalesce(p.reached, c.reached)") + """ AS conversion
 FROM c LEFT JOIN c p ON p.stage_no = c.stage_no - 1""")
 def report_verification_funnel(spark, sf):
-    st = ver_star(spark, sf)
+    st = ver_star(spark, sf, "status")
     return measures.funnel(st, "status_code_value", FUNNEL)
 
 
@@ -249,7 +250,7 @@ SELECT {MONTH.format(c='verification_date')} AS month_start,
          AS above_sla
 FROM stg_verification GROUP BY 1""")
 def report_response_time(spark, sf):
-    st = ver_star(spark, sf)
+    st = ver_star(spark, sf, day=True)
     avg = F.avg(F.col("response_time_seconds").cast("double"))
     return (st.groupBy(month_of("day_date_value"))
             .agg(F.round(avg, 4).cast("decimal(18,4)").alias("avg_response_seconds"), (avg > SLA_SECONDS).alias("above_sla"))
@@ -267,12 +268,9 @@ SELECT CAST(count(*) AS BIGINT) AS total_registrations,
 FROM stg_registration""")
 def kpi_registration(spark, sf):
     """Total, active (open status) and year-to-date as of the last registration day."""
-    st = reg_star(spark, sf)
-    last = st.agg(F.max("reg_date_value")).scalar()
-    return st.agg(F.count(F.lit(1)).alias("total_registrations"),
-                  F.count_if(F.col("status_code_value") == "O").alias("active_registrations"),
-                  F.count_if((F.year("reg_date_value") == F.year(last)) & (F.col("reg_date_value") <= last))
-                  .alias("ytd_registrations"))
+    st = reg_star(spark, sf, "reg", "status")
+    return measures.to_date_kpis(st, "reg_date_value", {"total_registrations": F.lit(True), "active_registrations": F.col("status_code_value") == "O"},
+                                 "ytd_registrations")
 
 
 @query("kpi_compliance", "A-18 A-08 A-09", COMP + f"""
@@ -282,7 +280,7 @@ SELECT CAST(count(*) AS BIGINT) AS total_checks,
        CAST(round(avg(CAST(completion_date - compliance_date AS DOUBLE)), 4) AS DECIMAL(18,4)) AS avg_days_to_completion
 FROM stg_compliance""")
 def kpi_compliance(spark, sf):
-    st = comp_star(spark, sf)
+    st = comp_star(spark, sf, "result")
     return st.agg(F.count(F.lit(1)).alias("total_checks"),
                   F.round(divide(F.count_if(F.col("result_code_value") == "A"), F.count(F.lit(1))), 4)
                   .cast("decimal(10,4)").alias("pass_rate"),
@@ -319,7 +317,7 @@ m AS (SELECT sp.month_start, CAST(coalesce(c.n, 0) AS BIGINT) AS total FROM sp L
 
 
 def reg_monthly(spark, sf):
-    st = reg_star(spark, sf)
+    st = reg_star(spark, sf, "reg")
     return timeintel.monthly(st, "reg_date_value")
 
 
@@ -363,7 +361,7 @@ SELECT CAST(date_trunc('month', anchor) AS DATE) AS month_start, anchor AS month
        CAST(round(CAST(window_total AS DOUBLE) / days_with_rows, 4) AS DECIMAL(18,4)) AS moving_avg
 FROM w""")
 def moving_average_3m(spark, sf):
-    st = reg_star(spark, sf)
+    st = reg_star(spark, sf, "reg")
     return timeintel.moving_average(st, "reg_date_value", 3)
 
 
@@ -374,7 +372,7 @@ SELECT country_name, state_name, CAST(GROUPING(country_name, state_name) AS INTE
        CAST(count(*) AS BIGINT) AS registration_count
 FROM rs GROUP BY ROLLUP (country_name, state_name)""")
 def drill_down(spark, sf):
-    st = reg_star(spark, sf)
+    st = reg_star(spark, sf, "country", "state")
     out = measures.drill_down(st, ["country_name", "state_name"], {"registration_count": ("count", None)})
     return out.withColumn("grouping_level", F.col("grouping_level").cast("int"))
 
@@ -387,8 +385,8 @@ GRANTS = [("analyst_1", "STATE", "07"), ("analyst_1", "REGION", "ASIA"), ("direc
 SELECT registration_id, state_name FROM rs WHERE state = '07' OR country_name = 'ASIA'""")
 def rls_registrations(spark, sf):
     """Registrations visible to ``analyst_1`` (one state and one region)."""
-    dm = domain.dims(spark, sf, with_zipcode=False, need=warehouse.REPORT_DIMS)
-    f = warehouse.fact(spark, sf, "registration", dims=dm, skip=("file", "codes"))
+    dm = domain.dims(spark, sf, with_zipcode=False, need={"d_date", "d_state"})
+    f = warehouse.fact(spark, sf, "registration", dims=dm, skip=("file", "source", "codes"))
     grants = spark.createDataFrame(GRANTS, "user_name string, role string, member string")
     seen = security.apply_rls(f, dm["d_state"], grants, "analyst_1")
     names = F.broadcast(dm["d_state"].select("state_key", "state_name"))
@@ -402,7 +400,7 @@ WHERE year(registration_date) = 1998 AND quarter(registration_date) IN (1, 2)
 def report_sliced(spark, sf):
     """Detail rows under slicers: calendar (year, quarters) and member lists."""
     from ..functions.predicates import members
-    st = reg_star(spark, sf)
+    st = reg_star(spark, sf, "reg", "status", "type")
     cond = (members("reg_year", [1998]) & members("reg_quarter", [1, 2])
             & members("status_code_value", ["F", "O"]) & members("type_code_value", ["1-URGENT", "2-HIGH"]))
     return st.filter(cond).select("registration_id", F.col("reg_date_value").alias("registration_date"),
@@ -414,7 +412,7 @@ SELECT registration_id, registration_date, registration_status AS status FROM st
 ORDER BY registration_date DESC, registration_id LIMIT 10""")
 def report_sample(spark, sf):
     """Ten newest registrations (a top-k: per-task top 10, merged)."""
-    st = reg_star(spark, sf)
+    st = reg_star(spark, sf, "reg", "status")
     s = st.select("registration_id", F.col("reg_date_value").alias("registration_date"),
                   F.col("status_code_value").alias("status"))
     return measures.sample_rows(s, [F.col("registration_date").desc(), F.col("registration_id")], 10)
@@ -441,7 +439,7 @@ FROM (SELECT state_name, CAST(date_trunc('month', registration_date) AS DATE) AS
              CAST(count(*) AS BIGINT) AS n FROM rs GROUP BY 1, 2)""")
 def state_window_rank(spark, sf):
     """States ranked within each month (an ordered listing per partition)."""
-    st = reg_star(spark, sf)
+    st = reg_star(spark, sf, "reg", "state")
     c = st.groupBy("state_name", month_of("reg_date_value")).agg(F.count(F.lit(1)).alias("registration_count"))
     w = Window.partitionBy("month_start").orderBy(F.col("registration_count").desc())
     return c.withColumn("rank_in_month", F.rank().over(w).cast("int"))

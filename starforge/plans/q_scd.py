@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..operators import scd
 from ..operators.keys import assign_keys, small_keys
+from ..operators.staging import current
+from ..session import materialize
 from . import domain
 from .catalog import query
 
@@ -93,6 +95,61 @@ def scd2_apply(spark, sf):
     return applied(spark, sf)
 
 
+# ------------------------------------------------------------------ a second batch
+
+SECOND_TS = "2000-01-01 00:00:00"   # fixed value: the instant of the second batch
+
+
+def second_source(spark, sf):
+    """The source at the second batch: the parts still sold since the first one;
+    those returned at least once since then come one size up."""
+    li = domain.table(spark, sf, "lineitem").filter(F.col("l_shipdate") >= F.lit(SCD_BATCH_TS).cast("timestamp"))
+    sold = li.groupBy("l_partkey").agg(F.bool_or(F.col("l_returnflag") == "R").alias("returned"))
+    p = part_source(spark, sf).join(sold, F.col("p_partkey") == F.col("l_partkey"))
+    return p.select("p_partkey", "p_name", "p_brand", "p_type",
+                    F.when(F.col("returned"), F.col("p_size") + 1).otherwise(F.col("p_size")).alias("p_size"))
+
+
+def applied_twice(spark, sf):
+    """The dimension after both batches; the state between them is a written table."""
+    first = materialize(applied(spark, sf), "part-dimension")
+    return scd.scd2_apply(second_source(spark, sf), first, NK, TRACKED, "part_key", SECOND_TS, expire_missing=True)
+
+
+_TWICE = _CUR + f""",
+sold AS (SELECT l_partkey, bool_or(l_returnflag = 'R') AS returned FROM lineitem
+         WHERE l_shipdate >= TIMESTAMP '{SCD_BATCH_TS}' GROUP BY 1),
+src2 AS (SELECT p.p_partkey, p.p_name, p.p_brand, p.p_type, CASE WHEN s.returned THEN p.p_size + 1 ELSE p.p_size END AS p_size
+         FROM part p JOIN sold s ON s.l_partkey = p.p_partkey),
+open1 AS (SELECT * FROM applied WHERE is_active),
+reopened AS (SELECT s.* FROM src2 s LEFT JOIN open1 a USING (p_partkey)
+             WHERE a.p_partkey IS NULL OR (s.p_brand, s.p_type, s.p_size) IS DISTINCT FROM (a.p_brand, a.p_type, a.p_size)),
+shut AS (SELECT a.part_key FROM open1 a LEFT JOIN src2 s USING (p_partkey)
+         WHERE s.p_partkey IS NULL OR (s.p_brand, s.p_type, s.p_size) IS DISTINCT FROM (a.p_brand, a.p_type, a.p_size)),
+twice AS (
+  SELECT a.* REPLACE (CASE WHEN h.part_key IS NOT NULL THEN TIMESTAMP '{SECOND_TS}' ELSE a.effective_end_dt END AS effective_end_dt,
+                      a.is_active AND h.part_key IS NULL AS is_active)
+  FROM applied a LEFT JOIN shut h USING (part_key)
+  UNION ALL
+  SELECT (SELECT max(part_key) FROM applied) + row_number() OVER (ORDER BY p_partkey), p_partkey, p_name, p_brand, p_type, p_size,
+         TIMESTAMP '{SECOND_TS}', CAST(NULL AS TIMESTAMP), TRUE
+  FROM reopened)
+"""
+
+
+@query("scd2_apply_twice", "D-03 D-02 W-08 P-15", _TWICE + "SELECT * FROM twice")
+def scd2_apply_twice(spark, sf):
+    """A second batch on a dimension that holds closed versions: those stay as
+    they are, changed and missing parts are closed, changed and new ones opened."""
+    return applied_twice(spark, sf)
+
+
+@query("scd2_current", "P-04 D-03", _TWICE + "SELECT part_key, p_partkey, p_size, effective_start_dt FROM twice WHERE is_active")
+def scd2_current(spark, sf):
+    """Active versions of a dimension most of whose parts have closed ones."""
+    return current(applied_twice(spark, sf)).select("part_key", "p_partkey", "p_size", "effective_start_dt")
+
+
 @query("scd2_check", "D-06 W-09", _CUR + """
 , per_key AS (
   SELECT p_partkey, count(*) AS versions, count(*) FILTER (WHERE is_active) AS active_rows
