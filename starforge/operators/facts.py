@@ -156,17 +156,6 @@ def build_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str,
     for col, out in spec["dates"].items():
         df = lookup_date(df, dims["d_date"], col, out, broadcast=bc("d_date") or True,
                          span=getattr(dims, "calendar_span", None))
-    for col, (cat, out) in spec["codes"].items():
-        if "codes" in skip or (codes is not None and cat not in codes):
-            df = null_key(df, out)
-        else:
-            df = lookup_code(df, dims["d_code"], dims["d_code_category"], cat, col, out,
-                             broadcast=bc("d_code"))
-    if subject == "registration":
-        if "d_zipcode" in dims and "zipcode" not in skip:
-            df = lookup(df, dims["d_zipcode"], {"zipcode": "zipcode"}, "zipcode_key", active_only=True)
-        else:
-            df = null_key(df, "zipcode_key")
     if "state" in skip:
         df = null_key(df, "state_key")
         if subject == "registration":
@@ -174,16 +163,6 @@ def build_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str,
     else:
         df = lookup(df, dims["d_state"], {"state": state_match}, "state_key", active_only=True,
                     extra=["country_key"] if subject == "registration" else (), broadcast=bc("d_state"))
-    if "source" in skip:
-        df = null_key(df, "data_source_key")
-    else:
-        df = lookup(df, dims["d_data_source"], {"source_system": source_match}, "data_source_key",
-                    active_only=True, broadcast=bc("d_data_source"))
-    if "file" in skip:
-        df = null_key(df, "file_key")
-    else:
-        df = lookup(df, dims["d_file"], {"source_file_name": "file_name"}, "file_key",
-                    broadcast=bc("d_file"))
     df = df.withColumn("record_hash", change_hash(spec["tracked"], hash_mode))
     df = df.withColumns({"source_system_id": F.col("source_system"), "created_dt": ts, "updated_dt": ts})
 
@@ -217,7 +196,10 @@ def build_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str,
                 "source_system_id", "record_hash", "created_dt", "updated_dt"]
     key = spec["key"]
     body = [c for c in cols if c != key]
-    df = strip_pii(df.select(*body), schemas.PII_COLUMNS)
+    # The key comes before the other lookups: range sampling and the numbering
+    # pass then run on the staging rows' narrow columns, and each lookup runs once.
+    inputs = [*spec["codes"], "source_system", "source_file_name"] + (["zipcode"] if subject == "registration" else [])
+    df = df.select(*dict.fromkeys([*[c for c in body if c in df.columns], *inputs]))
     if assign:
         # ids may repeat in staging (the uniqueness check reports them); the
         # tie-breakers make the order total, so keys are reproducible
@@ -225,7 +207,28 @@ def build_fact(staging: DataFrame, dims: Mapping[str, DataFrame], subject: str,
         df = assign_keys(df, key, order, key_start)
     else:
         df = df.withColumn(key, F.lit(None).cast("long"))
-    return df.select(*cols)
+    for col, (cat, out) in spec["codes"].items():
+        if "codes" in skip or (codes is not None and cat not in codes):
+            df = null_key(df, out)
+        else:
+            df = lookup_code(df, dims["d_code"], dims["d_code_category"], cat, col, out,
+                             broadcast=bc("d_code"))
+    if subject == "registration":
+        if "d_zipcode" in dims and "zipcode" not in skip:
+            df = lookup(df, dims["d_zipcode"], {"zipcode": "zipcode"}, "zipcode_key", active_only=True)
+        else:
+            df = null_key(df, "zipcode_key")
+    if "source" in skip:
+        df = null_key(df, "data_source_key")
+    else:
+        df = lookup(df, dims["d_data_source"], {"source_system": source_match}, "data_source_key",
+                    active_only=True, broadcast=bc("d_data_source"))
+    if "file" in skip:
+        df = null_key(df, "file_key")
+    else:
+        df = lookup(df, dims["d_file"], {"source_file_name": "file_name"}, "file_key",
+                    broadcast=bc("d_file"))
+    return strip_pii(df.select(*cols), schemas.PII_COLUMNS)
 
 
 def split_changes(new: DataFrame, existing: DataFrame, key: str, hash_col: str = "record_hash") -> DataFrame:
