@@ -65,6 +65,8 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: An open element of the first kind ends when one of the second begins.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot", "thead"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
           "option": {"option"}, "p": BLOCK - {"html", "body", "head", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"}}
+#: The other way round: what the start of a tag can end.
+ENDED_BY = {tag: {t for t, by in CLOSES.items() if tag in by} for tag in set().union(*CLOSES.values())}
 SCOPE = {"table", "ul", "ol", "dl", "td", "th", "html", "body", "article", "section", "div"}
 
 
@@ -75,61 +77,84 @@ class Element:
         self.tag, self.marks, self.parts, self.hash = tag, marks, [], 0
 
 
+class Open:
+    """The open elements from the root down, with the places of each tag, so that
+    no tag walks the stack; an element is pushed and removed once."""
+
+    def __init__(self, root: Element):
+        self.stack, self.places, self.blocks = [root], {}, [0]
+
+    def top(self) -> Element:
+        return self.stack[-1]
+
+    def last(self, tags) -> int:
+        """Place of the innermost open element of the tags, 0 if none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def push(self, e: Element) -> None:
+        self.places.setdefault(e.tag, []).append(len(self.stack))
+        if e.tag in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append(e)
+
+    def cut(self, place: int) -> None:
+        while len(self.stack) > place:
+            tag = self.stack.pop().tag
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+
+    def begin(self, tag: str) -> None:
+        """Remove the elements that the start of ``tag`` ends, within its scope."""
+        ends = ENDED_BY.get(tag)
+        while ends and (place := self.last(ends)) > self.last(SCOPE - ends):
+            self.cut(place)
+
+    def end(self, tag: str) -> None:
+        """An end tag closes up to its element; an inline one not beyond a block."""
+        place = self.last((tag,))
+        if place and (tag in BLOCK or place > self.blocks[-1]):
+            self.cut(place)
+
+
 def parse(html: str) -> Element:
     """The element tree; ``parts`` of an element are texts and elements."""
     root = Element("html")
-    stack, at, n = [root], 0, len(html)
+    open_, at, n = Open(root), 0, len(html)
+    last = html.rfind(">") + 1  # behind it only a comment is markup
     while at < n:
-        m = TOKEN.search(html, at)
+        m = TOKEN.search(html, at, last) if at < last else None
         if m is None:
-            stack[-1].parts.append(html[at:])
+            comment = html.find("<!--", max(at, last))
+            if comment != at:
+                open_.top().parts.append(html[at:comment if comment >= 0 else n])
             break
         if m.start() > at:
-            stack[-1].parts.append(html[at:m.start()])
+            open_.top().parts.append(html[at:m.start()])
         at = m.end()
         tag = m[2] or m[5]
         if tag is None:
             if m[0].startswith("<![CDATA["):
-                stack[-1].parts.append(m[0][9:-3].replace("&", "&amp;"))
+                open_.top().parts.append(m[0][9:-3].replace("&", "&amp;"))
+            elif m[0].startswith("<!--") and not (len(m[0]) >= len("<!---->") and m[0].endswith("-->")):
+                break  # never closed
             continue
         tag, attributes = tag.lower(), m[3] or m[6] or ""
         if m[1] or m[4]:
-            _close(stack, tag)
+            open_.end(tag)
             continue
-        while (ending := _ended(stack, tag)) is not None:
-            del stack[ending:]
+        open_.begin(tag)
         marks = " ".join(f"{a[0].lower()}={a[1] or a[2] or a[3]}" for a in ATTRIBUTE.findall(attributes)) if "=" in attributes else ""
         new = Element(tag, marks)
-        stack[-1].parts.append(new)
+        open_.top().parts.append(new)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[^>]*(?:>|\Z)", re.I).search(html, at)
             at = end.end() if end else n
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
-            stack.append(new)
+            open_.push(new)
     return root
 
 
-def _ended(stack: list[Element], tag: str) -> int | None:
-    """Position of the open element that the start of ``tag`` ends."""
-    for k in range(len(stack) - 1, 0, -1):
-        open_tag = stack[k].tag
-        if tag in CLOSES.get(open_tag, ()):
-            return k
-        if open_tag in SCOPE:
-            return None
-    return None
-
-
-def _close(stack: list[Element], tag: str) -> None:
-    """An end tag closes up to its element; an inline one not beyond a block."""
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag == tag:
-            del stack[k:]
-            return
-        if tag not in BLOCK and stack[k].tag in BLOCK:
-            return
-
-
 def dropped(e: Element) -> bool:
     """Whether the element's tag, class, id or role says it is no content."""
     if e.tag in DROP:
