@@ -12,8 +12,9 @@ Python worker and is emptied when full, which changes no result.
 Long texts are cut into chunks. A chunk's state map is kept as (head, count,
 tail): the unfinished word it takes over, the tokens of what lies between its
 first and last white space, the unfinished word it leaves. A chunk without
-white space is a head alone. Maps compose associatively, so an inclusive
-prefix scan in log2(chunks) rounds gives the count at every chunk end.
+white space is a head alone. Maps compose associatively; the rounds of the
+scan that give the whole text's count compose neighbours, so they are
+log2(chunks) and hold no more than the text.
 
 Defined results: null or empty text has 0 tokens and 0 bytes; special strings
 count as one token; whole texts of any length; repeated rows give repeated
@@ -173,11 +174,11 @@ def compose(counts: UnitCounts, a: tuple, b: tuple) -> tuple:
 
 
 def scan(counts: UnitCounts, maps: list[tuple]) -> list[tuple]:
-    """Inclusive prefix scan: round k composes maps 2**k apart."""
-    out, gap = list(maps), 1
-    while gap < len(out):
-        out = out[:gap] + [compose(counts, out[i - gap], out[i]) for i in range(gap, len(out))]
-        gap *= 2
+    """Up-sweep of the prefix scan: every round composes neighbours, so the maps
+    of a round are of disjoint stretches. The last one is the whole text's."""
+    out = list(maps)
+    while len(out) > 1:
+        out = [compose(counts, *out[i:i + 2]) if i + 1 < len(out) else out[i] for i in range(0, len(out), 2)]
     return out
 
 
