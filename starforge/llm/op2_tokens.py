@@ -14,7 +14,7 @@ tail): the unfinished word it takes over, the tokens of what lies between its
 first and last white space, the unfinished word it leaves. A chunk without
 white space is a head alone. Maps compose associatively; the rounds of the
 scan that give the whole text's count compose neighbours, so they are
-log2(chunks) and hold no more than the text.
+log2(chunks) and each holds no more than the text.
 
 Defined results: null or empty text has 0 tokens and 0 bytes; special strings
 count as one token; whole texts of any length; repeated rows give repeated
