@@ -20,7 +20,7 @@ from ..operators import archive, calendar, facts, partitions, quality
 from ..operators.staging import latest_rows
 from ..session import scratch_path
 from . import domain, warehouse
-from .catalog import REGISTRY, query
+from .catalog import FACT_SQL, query
 from .oracle import CTE, dk, with_ctes
 
 PART = "date_part"
@@ -79,7 +79,7 @@ def _sql(subject: str) -> str:
     differ = " OR ".join(f"e.{c} IS DISTINCT FROM b.{c}" for c in spec["tracked"] if c != i)
     ts1, ts2 = f"TIMESTAMP '{cfg['first_until']} 00:00:00'", f"TIMESTAMP '{cfg['batch_ts']}'"
     part = f"{dk(date)} // 100" if cfg["part"] is partitions.month_part else dk(date)
-    fact = REGISTRY[f"fact_{subject}"][1].replace(f"FROM {stg} s WHERE dq_is_valid", "FROM final s").replace(f"FROM {stg} s", "FROM final s")
+    fact = FACT_SQL[subject](whole=False).replace(f"FROM {stg} s WHERE dq_is_valid", "FROM final s").replace(f"FROM {stg} s", "FROM final s")
     names = ", ".join(cols)
     return f"""WITH {CTE[stg]},
 w1 AS (SELECT * REPLACE ({was}) FROM {stg} WHERE {date} < DATE '{cfg['first_until']}'),

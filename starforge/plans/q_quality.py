@@ -160,13 +160,13 @@ def date_stats(spark, sf):
     return out
 
 
-@query("code_dimension", "D-08 S-04 J-19 U-02 A-14", with_ctes("d_code") + """
+@query("code_dimension", "D-08 S-04 J-19 U-02 A-14", with_ctes("d_code", whole=True) + """
 SELECT code_key, code_id, code_category_key, code_value,
        CAST(row_number() OVER (PARTITION BY code_category_key ORDER BY code_value) AS INTEGER) AS display_order
 FROM d_code""")
 def code_dimension(spark, sf):
     """Code dimension built from the categorized values, keyed per category order."""
-    return domain.d_code(spark, sf).select("code_key", "code_id", "code_category_key", "code_value",
+    return domain.d_code(spark, sf, dense=True).select("code_key", "code_id", "code_category_key", "code_value",
                                            "display_order")
 
 

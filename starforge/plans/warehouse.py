@@ -27,11 +27,11 @@ def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def fact(spark: SparkSession, sf_dir: str, subject: str, keys: bool = False,
          zipcode: bool = False, person_counts: bool = False, skip=(),
-         stg: DataFrame | None = None, dims: dict | None = None, codes=None) -> DataFrame:
+         stg: DataFrame | None = None, dims: dict | None = None, codes=None, whole: bool = False) -> DataFrame:
     """A fact as the daily load builds it. Aggregating callers leave out the
     surrogate key, the zipcode lookup, the per-person counts, lookups in
     ``skip`` and code categories not in ``codes``; none of these changes any
-    other column."""
+    other column. ``whole`` keys codes and files over all subjects."""
     stg = stg if stg is not None else domain.staging(spark, sf_dir, subject)
     if dims is None:
         need = {"d_date", "d_code", "d_code_category", "d_state", "d_country", "d_data_source", "d_file"}
@@ -41,7 +41,7 @@ def fact(spark: SparkSession, sf_dir: str, subject: str, keys: bool = False,
             need -= {"d_code", "d_code_category"}
         if zipcode:
             need.add("d_zipcode")
-        dims = domain.dims(spark, sf_dir, with_zipcode=zipcode, need=need, subject=subject)
+        dims = domain.dims(spark, sf_dir, with_zipcode=zipcode, need=need, subject=subject, whole=whole)
     return build_fact(stg, dims, subject, domain.BATCH_TS, assign=keys,
                       person_counts=person_counts, skip=skip, codes=codes)
 
