@@ -34,8 +34,9 @@ def dedup_source(source: DataFrame, natural_key: Sequence[str], order: Sequence
 
 def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join on keys whose parts may be NULL (NULL equals NULL); one set of key
-    columns remains. Spark plans it as an equi-join."""
-    r = right.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    columns remains. Spark plans it as an equi-join; both sides grow with the
+    dimension, so neither is broadcast, however small its files look."""
+    r = right.withColumnsRenamed({k: f"_k_{k}" for k in keys}).hint("merge")
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))

@@ -32,7 +32,7 @@ def part_dimension(spark, sf):
     li = domain.table(spark, sf, "lineitem")
     first = li.groupBy("l_partkey").agg(F.min("l_shipdate").alias("first_sale")) \
         .filter(F.col("first_sale") < F.lit(SCD_BATCH_TS).cast("timestamp"))
-    p = part_source(spark, sf).join(first, F.col("p_partkey") == F.col("l_partkey"), "left_semi")
+    p = part_source(spark, sf).join(first.hint("merge"), F.col("p_partkey") == F.col("l_partkey"), "left_semi")
     p = p.withColumn("p_size", F.when(F.col("p_size") > 40, F.col("p_size") - 1).otherwise(F.col("p_size")))
     # the starting state is numbered in natural-key order (distributed numbering)
     keyed = assign_keys(p, "part_key", NK)
@@ -105,7 +105,7 @@ def second_source(spark, sf):
     those returned at least once since then come one size up."""
     li = domain.table(spark, sf, "lineitem").filter(F.col("l_shipdate") >= F.lit(SCD_BATCH_TS).cast("timestamp"))
     sold = li.groupBy("l_partkey").agg(F.bool_or(F.col("l_returnflag") == "R").alias("returned"))
-    p = part_source(spark, sf).join(sold, F.col("p_partkey") == F.col("l_partkey"))
+    p = part_source(spark, sf).join(sold.hint("merge"), F.col("p_partkey") == F.col("l_partkey"))
     return p.select("p_partkey", "p_name", "p_brand", "p_type",
                     F.when(F.col("returned"), F.col("p_size") + 1).otherwise(F.col("p_size")).alias("p_size"))
 
