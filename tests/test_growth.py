@@ -1,6 +1,8 @@
 """Steps whose driver, broadcast and shuffle volume must not grow with the rows."""
 
-from starforge.operators import scd
+from pyspark.sql import functions as F
+
+from starforge.operators import scd, segments
 
 
 def _plan(df):
@@ -14,3 +16,13 @@ def test_scd2_joins_are_not_broadcast(spark):
     assert got == [(1, 1, "a", False), (2, 1, "b", True), (3, 2, "c", True)]
     diff = scd.scd2_diff_frame(spark.sql("SELECT * FROM VALUES (1L, 'b') AS t(k, v)"), dim, ["k"], ["v"], "part_key", "2000-01-01 00:00:00")
     assert "BroadcastHashJoin" not in _plan(diff)
+
+
+def test_only_groups_cut_by_a_slice_are_carried(spark):
+    df = spark.range(2000).select((F.col("id") / 2).cast("long").alias("g"), "id", F.lit(1).alias("v"))
+    rows = segments.sliced(df, ["g"], ["id"], "growth")
+    slices = rows.select(segments.SLICE).distinct().count()
+    per = segments._carried(rows, ["g"], F.sum("v"), F.sum, "c")
+    assert per.select("g").distinct().count() <= slices
+    sums = segments.prefix_sum(df, ["g"], ["id"], "v", "s")
+    assert sums.count() == 2000 and sums.where(F.col("s") != F.col("id") % 2).count() == 0
