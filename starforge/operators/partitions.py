@@ -20,9 +20,10 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.hashing import packed, unpacked
 from ..session import materialize
 from .facts import CHANGED, NEW, UNCHANGED
 from .keys import assign_keys
@@ -40,10 +41,21 @@ def day_part(date_key: str) -> Column:
     return F.coalesce(F.col(date_key), F.lit(0)).cast("int")
 
 
-def write_partitions(df: DataFrame, path: str, part: str, value: Column) -> None:
-    """The initial load: all partitions, rows of one partition in few files."""
+def dealt(df: DataFrame, part: Column | str, *spread: str) -> DataFrame:
+    """Rows of one partition in few tasks, so in few files."""
+    return df.repartition(part, F.pmod(F.xxhash64(*spread), F.lit(8)))
+
+
+def write_partitions(df: DataFrame, path: str, part: str, value: Column, lie: bool = False) -> None:
+    """The initial load: all partitions, rows of one partition in few files
+    (``lie``: the rows are :func:`dealt` already)."""
     out = df.withColumn(part, value)
-    out.repartition(part, F.pmod(F.xxhash64(*df.columns[:2]), F.lit(8))).write.mode("overwrite").partitionBy(part).parquet(path)
+    _write(out if lie else dealt(out, part, *df.columns[:2]), path, part)
+
+
+def _write(df: DataFrame, path: str, *parts: str, dynamic: bool = False) -> None:
+    out = df.write.mode("overwrite").option("compression", "zstd")
+    (out.option("partitionOverwriteMode", "dynamic") if dynamic else out).partitionBy(*parts).parquet(path)
 
 
 def read_partitions(spark: SparkSession, path: str) -> DataFrame:
@@ -76,9 +88,9 @@ def _switch(spark: SparkSession, path: str, part: str, run: str) -> None:
     to = _archive_of(spark, base)
     if to:
         old = spark.read.parquet(f"{base}/archived")
-        old.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("archive_year", "run").parquet(to)
+        _write(old, to, "archive_year", "run", dynamic=True)
     rows = spark.read.schema(schema).parquet(f"{base}/rows")
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path))
+    _write(rows, path, part, dynamic=True)
     # an overwrite by rows can't empty a partition: all of its rows moved elsewhere
     empty = spark.read.schema(PLAN).json(f"{base}/plan").where("rows_after = 0 AND rows_before > 0").select("part_value").collect()
     for r in empty:
@@ -115,14 +127,26 @@ def tag_changes(batch: DataFrame, target: DataFrame, key: str, sk: str, part: st
     target's surrogate key, creation time and partition: one join with narrow
     columns. A key that the target holds twice is an error."""
     twice = F.raise_error(F.concat(F.lit(f"repeated {key} in the target: "), F.col(key).cast("string")))
-    known = (target.where(F.col(key).isNotNull()).groupBy(key)
-             .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.col(sk).alias("sk"), F.col("created_dt").alias("created"),
-                                                                   F.col(part).alias("part"), F.col(hash_col).alias("hash"))).alias("_was"))
+    was = F.struct(F.col(sk).alias("sk"), F.col("created_dt").alias("created"), F.col(part).alias("part"), packed(hash_col).alias("hash"))
+    # a grouping would sort all rows before the shuffle, to combine keys that may not repeat
+    known = (target.where(F.col(key).isNotNull()).select(key, was.alias("_was")).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
              .select(key, F.when(F.col("_n") > 1, twice.cast("boolean")).otherwise(F.lit(True)).alias("_hit"), "_was"))
-    action = (F.when(F.col("_hit").isNull(), NEW).when(~F.col(hash_col).eqNullSafe(F.col("_was.hash")), CHANGED).otherwise(UNCHANGED))
+    action = (F.when(F.col("_hit").isNull(), NEW).when(~packed(hash_col).eqNullSafe(F.col("_was.hash")), CHANGED).otherwise(UNCHANGED))
     return batch.join(known, key, "left").withColumn("action", action).drop("_hit")
 
 
+def _replace(old: DataFrame, new: DataFrame, gone: DataFrame, key: str, part: str, hash_col: str = "record_hash") -> DataFrame:
+    """The old rows without those that ``gone`` names by partition and key, and
+    the new rows, dealt for the write. The names travel with the rows, so the
+    one shuffle that the write needs also finds the rows to leave out."""
+    rows = old.withColumn("_kind", F.lit(1)).unionByName(new.withColumn("_kind", F.lit(2)))
+    rows = rows.withColumn(hash_col, packed(hash_col)).unionByName(gone.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
+    lie = rows.withColumn("_spread", F.pmod(F.xxhash64(key), F.lit(8))).repartition(part, "_spread")
+    first = F.min("_kind").over(Window.partitionBy(part, "_spread", key).orderBy("_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    left = lie.withColumn("_first", first).where((F.col("_kind") == 2) | ((F.col("_kind") == 1) & (F.col("_first") == 1)))
+    return left.withColumn(hash_col, unpacked(hash_col)).select(*old.columns)
+
+
 def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, key: str, sk: str, part: str, value: Callable[[], Column],
                       batch_ts, run: str, before_switch: Callable[[], None] | None = None) -> DataFrame:
     """Load a batch of fact rows (no surrogate keys yet) into the table at ``path``; returns :func:`load_plan`.
@@ -148,10 +172,10 @@ def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, key: str
     start = target.agg(F.coalesce(F.max(sk), F.lit(0)).cast("long")).scalar()
     fresh = assign_keys(new.drop(sk), sk, [key], start).withColumns({"created_dt": ts, "updated_dt": ts})
     replaced = changed.withColumns({sk: F.col("_was.sk"), "created_dt": F.col("_was.created"), "updated_dt": ts})
-    kept = old.join(changed.select(key), key, "left_anti")
-    rows = kept.select(*cols, part).unionByName(replaced.select(*cols, part)).unionByName(fresh.select(*cols, part))
+    rows = _replace(old.select(*cols, part), replaced.select(*cols, part).unionByName(fresh.select(*cols, part)),
+                    changed.select(F.col(key), F.col("_was.part").alias(part)), key, part)
     base = f"{path}/_loads/{run}"
-    rows.repartition(part, F.pmod(F.xxhash64(key), F.lit(8))).write.mode("overwrite").partitionBy(part).parquet(f"{base}/rows")
+    _write(rows, f"{base}/rows", part)
     counts = [old.groupBy(F.col(part).alias("part_value")).agg(F.count(F.lit(1)).alias("n")).withColumn("what", F.lit("rows_before")),
               spark.read.schema(rows.schema).parquet(f"{base}/rows").groupBy(F.col(part).alias("part_value")).agg(F.count(F.lit(1)).alias("n"))
               .withColumn("what", F.lit("rows_after")),

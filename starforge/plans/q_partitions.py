@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import archive, calendar, facts, partitions, quality
-from ..operators.staging import latest_rows
+from ..operators.staging import latest_known
 from ..session import scratch_path
 from . import domain, warehouse
 from .catalog import FACT_SQL, query
@@ -45,7 +45,8 @@ def first_and_batch(spark, sf, subject):
     first = first.select(*[F.when(is_open, F.expr(cfg["was"][c])).otherwise(F.col(c)).cast(stg.schema[c].dataType).alias(c) if c in cfg["was"] else F.col(c)
                            for c in stg.columns])
     batch = stg.where(F.col(date) >= F.lit(cfg["since"]).cast("date"))
-    return [quality.flag_rows(latest_rows(rows, spec["id"], [date]), subject, ts)
+    return [quality.flag_rows(latest_known(rows, spec["id"], [date]), subject, ts, ids="grouped")
+            .unionByName(quality.flag_rows(rows.where(F.col(spec["id"]).isNull()), subject, ts, ids="missing"))
             for rows, ts in ((first, cfg["first_until"] + " 00:00:00"), (batch, cfg["batch_ts"]))]
 
 
@@ -60,7 +61,9 @@ def two_loads(spark, sf, subject):
     def value():
         return cfg["part"](f"{subject}_date_key")
 
-    partitions.write_partitions(facts.build_fact(first, dims, subject, cfg["first_until"] + " 00:00:00"), path, PART, value())
+    fact = facts.build_fact(first, dims, subject, cfg["first_until"] + " 00:00:00",
+                            layout=lambda df: partitions.dealt(df, value(), spec["key"], spec["id"]))
+    partitions.write_partitions(fact, path, PART, value(), lie=True)
     kw = {"earlier": facts.person_rows(first)} if subject == "registration" else {}
     rows = facts.build_fact(batch, dims, subject, cfg["batch_ts"], assign=False, **kw)
     plan = partitions.upsert_partitions(spark, path, rows, spec["id"], spec["key"], PART, value, cfg["batch_ts"], "second")
