@@ -204,8 +204,12 @@ class ArchiveMismatch(RuntimeError):
 
 
 def _fingerprint(df: DataFrame, columns: list[str]) -> tuple[int, int]:
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], int(row["h"] or 0)
+    """Rows and the sum of their 64-bit hashes, which is taken in three parts:
+    they add up as longs for 2**41 rows, where a decimal costs more than the hash."""
+    h, low = F.xxhash64(*columns), F.lit((1 << 22) - 1)
+    row = (df.select(h.alias("h")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("h").bitwiseAND(low)).alias("h0"),
+                                       F.sum(F.shiftright("h", 22).bitwiseAND(low)).alias("h1"), F.sum(F.shiftright("h", 44)).alias("h2")).first())
+    return row["n"], sum(int(row[f"h{k}"] or 0) << 22 * k for k in range(3))
 
 
 def archive_partitions(spark: SparkSession, path: str, part: str, date_key: str, upto: int, cut: dt.date, archive_path: str, run: str,
@@ -224,7 +228,9 @@ def archive_partitions(spark: SparkSession, path: str, part: str, date_key: str,
     if run in _runs(spark, path, "done"):
         return load_plan(spark, path, run)
     target = read_partitions(spark, path)
-    date = F.to_date(F.col(date_key).cast("string"), "yyyyMMdd")
+    # by arithmetic, not by writing and parsing a text per row; a key that is no date fails as in to_date
+    key = F.col(date_key)
+    date = F.make_date(F.floor(key / 10000).cast("int"), F.floor(key / 100 % 100).cast("int"), (key % 100).cast("int"))
     within = target.where((F.col(part) > 0) & (F.col(part) <= upto))
     is_old = F.coalesce(date < F.lit(cut), F.lit(False))
     old, base = within.where(is_old), f"{path}/_loads/{run}"

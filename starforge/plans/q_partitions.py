@@ -120,13 +120,24 @@ def load_verification_partitions(spark, sf):
 ARCHIVE_CUT = {"registration": "1997-01-15", "compliance": "1997-01-15", "verification": "2024-01-10"}
 
 
+def write_fact(spark, sf, subject, path):
+    """The subject's fact by date partition, without the lookups a count doesn't read."""
+    spec = facts.FACT_SPECS[subject]
+
+    def value():
+        return LOADS[subject]["part"](f"{subject}_date_key")
+
+    fact = warehouse.fact(spark, sf, subject, skip=("codes", "zipcode", "state", "source", "file"),
+                          layout=lambda df: partitions.dealt(df, value(), spec["key"], spec["id"]))
+    partitions.write_partitions(fact, path, PART, value(), lie=True)
+
+
 def archived(spark, sf, subject):
     """An archive run over the subject's partitioned fact; (fact path, archive path)."""
     path, to = (scratch_path(spark, f"archive-run/{subject}-{uuid.uuid4().hex}/{x}") for x in ("fact", "archive"))
     key, cfg, day = f"{subject}_date_key", LOADS[subject], dt.date.fromisoformat(ARCHIVE_CUT[subject])
     upto = day.year * 100 + day.month if cfg["part"] is partitions.month_part else day.year * 10000 + day.month * 100 + day.day
-    fact = warehouse.fact(spark, sf, subject, skip=("codes", "zipcode", "state", "source", "file"))
-    partitions.write_partitions(fact, path, PART, cfg["part"](key))
+    write_fact(spark, sf, subject, path)
     partitions.archive_partitions(spark, path, PART, key, upto, day, to, f"before-{day}")
     return path, to
 
@@ -169,8 +180,7 @@ def archive_year_counts(spark, sf):
 def partitioned_fact(spark, sf, subject):
     """The subject's fact written by date partition, without the lookups a count doesn't read."""
     path = scratch_path(spark, f"calendar/{subject}-{uuid.uuid4().hex}")
-    fact = warehouse.fact(spark, sf, subject, skip=("codes", "zipcode", "state", "source", "file"))
-    partitions.write_partitions(fact, path, PART, LOADS[subject]["part"](f"{subject}_date_key"))
+    write_fact(spark, sf, subject, path)
     return partitions.read_partitions(spark, path)
 
 

@@ -27,7 +27,7 @@ def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def fact(spark: SparkSession, sf_dir: str, subject: str, keys: bool = False,
          zipcode: bool = False, person_counts: bool = False, skip=(),
-         stg: DataFrame | None = None, dims: dict | None = None, codes=None, whole: bool = False) -> DataFrame:
+         stg: DataFrame | None = None, dims: dict | None = None, codes=None, whole: bool = False, layout=None) -> DataFrame:
     """A fact as the daily load builds it. Aggregating callers leave out the
     surrogate key, the zipcode lookup, the per-person counts, lookups in
     ``skip`` and code categories not in ``codes``; none of these changes any
@@ -43,7 +43,7 @@ def fact(spark: SparkSession, sf_dir: str, subject: str, keys: bool = False,
             need.add("d_zipcode")
         dims = domain.dims(spark, sf_dir, with_zipcode=zipcode, need=need, subject=subject, whole=whole)
     return build_fact(stg, dims, subject, domain.BATCH_TS, assign=keys,
-                      person_counts=person_counts, skip=skip, codes=codes)
+                      person_counts=person_counts, skip=skip, codes=codes, layout=layout)
 
 
 def _skips(codes, state: bool) -> tuple:
