@@ -8,7 +8,8 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
@@ -16,6 +17,8 @@ from pyspark.sql.pandas.types import from_arrow_type
 ARROW_ROWS = 256
 #: Code points that a task works on at once inside a batch.
 GROUP_CHARS = 2_000_000
+#: Bits of a map of ids: 4 MB to broadcast, whatever the corpus.
+ID_BITS = 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +56,25 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def flag_ids(df: DataFrame, id_col: str, ids: DataFrame, flag: str) -> DataFrame:
+    """``df`` with the boolean column ``flag``, false only for rows whose id is
+    none of the one column of ``ids`` (null counts as an id). A bit map of fixed
+    size is broadcast, so no row of ``df`` is shuffled; the fuller it is, the
+    more other rows are flagged too."""
+    def slot(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(1 << ID_BITS)) + 1
+
+    own = slot(ids[ids.columns[0]])
+    bits = (ids.select(F.bitmap_bucket_number(own).alias("bucket"), F.bitmap_bit_position(own).alias("bit")).distinct()
+            .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")))
+    bucket, held = fresh(df, "_bucket"), fresh(df, "_bits")
+    found = df.join(F.broadcast(bits.select(F.col("bucket").alias(bucket), F.col("bits").alias(held))), F.bitmap_bucket_number(slot(df[id_col])) == F.col(bucket), "left")
+    at = F.bitmap_bit_position(slot(df[id_col]))
+    byte = F.conv(F.hex(F.substring(held, F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    set_ = F.coalesce(F.getbit(byte, at.bitwiseAND(F.lit(7)).cast("int")) == 1, F.lit(False))
+    return found.withColumn(flag, set_).drop(bucket, held)
+
+
 def text_groups(texts: list, chars: int = GROUP_CHARS) -> Iterator[tuple[int, int]]:
     """Runs of rows holding about ``chars`` code points; a longer text is a run
     of its own."""

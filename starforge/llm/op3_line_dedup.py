@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import fresh
+from .common import flag_ids, fresh
 
 #: Words that a line needs to be compared for nearness.
 MIN_NEAR = 8
@@ -47,6 +47,11 @@ def words(line: Column) -> Column:
     return F.array_remove(F.split(F.translate(line, "\t\x0b\x0c\r", "    "), " "), "")
 
 
+def lines_with_words(text: Column) -> Column:
+    """Number of lines with a word; 0 if the text is null."""
+    return F.coalesce(F.size(F.array_remove(F.split(F.translate(text, "\t\x0b\x0c\r ", ""), "\n"), "")), F.lit(0)).cast("long")
+
+
 def digests(w: Column) -> list[Column]:
     """Hashes of the first and of the second half, which together are the
     line's 128-bit digest, and of the one other half that a partner with a word
@@ -77,10 +82,12 @@ def near_lines(df: DataFrame, firsts: DataFrame, id_col: str, text_col: str) ->
     halves = firsts.where(F.col("c").isNotNull()).select("id", "at", F.explode(F.array("a", "b", "c")).alias("key"))
     shared = halves.groupBy("key").count().where("count > 1").select("key")
     wanted = halves.join(shared, "key", "left_semi").groupBy("id").agg(F.collect_set("at").alias("ats"))
-    wanted = wanted.withColumnRenamed("id", "_id")
+    wanted = materialize(wanted.withColumnRenamed("id", "_id"), "line-wanted")
+    # only texts that may have a wanted line are shuffled
+    texts = flag_ids(df.select(df[id_col].alias("id"), df[text_col].alias("text")), "id", wanted.select("_id"), "flag").where("flag")
     # split below the join: a lambda would split the text again for every line
-    parts = df.select(df[id_col].alias("id"), F.split(df[text_col], "\n").alias("parts"))
-    held = parts.join(wanted, F.col("id").eqNullSafe(F.col("_id"))).drop("_id")
+    parts = texts.select("id", F.split("text", "\n").alias("parts"))
+    held = parts.join(wanted.hint("merge"), F.col("id").eqNullSafe(F.col("_id"))).drop("_id")
     chosen = held.select("id", F.explode(F.transform("ats", lambda k: F.struct(k.alias("at"), F.get("parts", k).alias("line")))).alias("x"))
     split = chosen.select("id", "x.at", words(F.col("x.line")).alias("w"))
     whole = F.aggregate("w", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.xxhash64(x)))
@@ -125,15 +132,22 @@ def dropped_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def deduped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of ``df``, the text without its dropped lines, and after
     them ``n_lines`` and ``n_dropped`` (fresh names; returned by position)."""
-    verdict = materialize(dropped_lines(df, id_col, text_col), "line-verdicts")
-    key, parts, total, drop = (fresh(df, x) for x in ("_line_id", "_parts", "n_lines", "n_dropped"))
-    found = verdict.select(F.col("id").alias(key), F.col("n_lines").alias(total), F.col("drop").alias(drop))
-    split = df.select(*[F.split(df[c], "\n").alias(parts) if c == text_col else F.col(f"`{c}`") for c in df.columns])
-    joined = split.join(found, F.col(f"`{id_col}`").eqNullSafe(F.col(key)), "left")
+    key, parts, total, drop, flag = (fresh(df, x) for x in ("_line_id", "_parts", "n_lines", "n_dropped", "_flag"))
+    verdict = dropped_lines(df, id_col, text_col).select(F.col("id").alias(key), F.col("n_lines").alias(total), F.col("drop").alias(drop))
+    shared = df.groupBy(df[id_col].alias("_shared")).count().where("count > 1").select("_shared", F.lit(True).alias("_is_shared"))
+    # a row alone with its id and without a dropped line needs no verdict
+    verdict = verdict.join(shared, F.col(key).eqNullSafe(F.col("_shared")), "left").where((F.size(drop) > 0) | F.col("_is_shared"))
+    verdict = materialize(verdict.select(key, total, drop), "line-verdicts")
+    flagged = flag_ids(df, id_col, verdict.select(key), flag)
+    split = flagged.where(flag).select(*[F.split(df[c], "\n").alias(parts) if c == text_col else F.col(f"`{c}`") for c in df.columns])
+    joined = split.join(verdict.hint("merge"), F.col(f"`{id_col}`").eqNullSafe(F.col(key)), "left")
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(drop))
     left = F.when(F.size(drop) > 0, F.transform(stay, lambda k: F.get(parts, k))).otherwise(F.col(parts))
     kept = [F.array_join(left, "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns]
-    return joined.select(*kept, F.coalesce(F.col(total), F.lit(0)).alias(total), F.coalesce(F.size(drop), F.lit(0)).alias(drop))
+    counted = F.coalesce(F.col(total), lines_with_words(F.array_join(parts, "\n"))).alias(total)
+    moved = joined.select(*kept, counted, F.coalesce(F.size(drop), F.lit(0)).alias(drop))
+    whole = flagged.where(~F.col(flag)).select(*[F.col(f"`{c}`") for c in df.columns], lines_with_words(df[text_col]).alias(total), F.lit(0).alias(drop))
+    return whole.unionAll(moved)
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
