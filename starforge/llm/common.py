@@ -65,7 +65,7 @@ def flag_ids(df: DataFrame, id_col: str, ids: DataFrame, flag: str) -> DataFrame
         return F.pmod(F.xxhash64(c), F.lit(1 << ID_BITS)) + 1
 
     own = slot(ids[ids.columns[0]])
-    bits = (ids.select(F.bitmap_bucket_number(own).alias("bucket"), F.bitmap_bit_position(own).alias("bit")).distinct()
+    bits = (ids.select(F.bitmap_bucket_number(own).alias("bucket"), F.bitmap_bit_position(own).alias("bit"))
             .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")))
     bucket, held = fresh(df, "_bucket"), fresh(df, "_bits")
     found = df.join(F.broadcast(bits.select(F.col("bucket").alias(bucket), F.col("bits").alias(held))), F.bitmap_bucket_number(slot(df[id_col])) == F.col(bucket), "left")

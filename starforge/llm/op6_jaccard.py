@@ -8,9 +8,11 @@ Two points within the distance share one of these, so boundary points are
 replicated exactly as far as needed and no link is lost. Points alone in all
 their regions are done: nothing is within the distance.
 
-A pair's sets are only fetched if its parity signatures allow a link: bit k of
-a signature is the parity of the shingles that hash to k, so two signatures
-differ in at most |x xor y| bits, and a link needs |x xor y| <= 0.2 |x or y|.
+A pair is taken in a region only if the shingles from that region's on, in the
+global order, suffice for a link. Its sets are only fetched if its parity
+signatures allow a link: bit k of a signature is the parity of the shingles that
+hash to k, so two signatures differ in at most |x xor y| bits, and a link needs
+|x xor y| <= 0.2 |x or y|.
 
 Each region's pivot is its point of smallest digest, the same for most regions
 of a group of near copies. Distances to the pivots are computed once per pair.
@@ -43,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import fresh, map_texts, ship_code, small_batches, text_groups
+from .common import flag_ids, fresh, map_texts, ship_code, small_batches, text_groups
 from .graph import components, merged
 from .words import Words, mix, window_starts, windows, words_of
 
@@ -51,9 +53,6 @@ SIZE = 5
 PERCENT = 80
 #: Counters of the sketch; its 16 MB don't grow with the corpus.
 SKETCH_BITS = 22
-#: Bits of the map of wanted ids (512 KB, whatever the corpus); a full map only
-#: spares nothing.
-WANTED_BITS = 22
 BLOCKS = 16
 #: Bits of a parity signature.
 PARITY_BITS = 10
@@ -135,34 +134,17 @@ def sketch(docs: DataFrame, text_col: str) -> np.ndarray:
     return added(docs.select(docs[text_col]), count, 1 << SKETCH_BITS, "<u2")
 
 
-def _place(ids: np.ndarray) -> np.ndarray:
-    return (mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - WANTED_BITS)).astype(np.int64)
-
-
 def row_key(docs: DataFrame, id_col: str, text_col: str):
     """A row's id and text as one hash; other columns don't count."""
     return F.xxhash64(docs[id_col].cast("long"), docs[text_col])
 
 
 def texts_of(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(point, text) of the chosen (point, pick) rows. A bit map of the picked
-    row keys, of fixed size, drops most other texts before the shuffle."""
-    def count(keys, total):
-        total[_place(np.array(keys))] = 1
-
-    wanted = np.packbits(added(chosen.select("pick"), count, 1 << WANTED_BITS, "<u1") > 0)
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
-
-    def sift(batches):
-        for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            once = np.zeros(len(keys), bool)
-            once[np.unique(keys, return_index=True)[1]] = True
-            at = _place(keys)
-            yield batch.filter(pa.array(once & (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
-
+    """(point, text) of the chosen (point, pick) rows. Most other texts drop out
+    before the shuffle, and the chosen ones are shuffled once."""
     rows = docs.select(row_key(docs, id_col, text_col).alias("row"), docs[text_col].alias("text"))
-    return rows.mapInArrow(sift, rows.schema).join(chosen, F.col("row") == F.col("pick")).dropDuplicates(["point"]).select("point", "text")
+    held = flag_ids(rows, "row", chosen.select("pick"), "wanted").where("wanted").select("row", "text").dropDuplicates(["row"])
+    return held.join(chosen.hint("merge"), F.col("row") == F.col("pick")).select("point", "text")
 
 
 def points(docs: DataFrame, counts: np.ndarray, id_col: str, text_col: str, percent: int) -> DataFrame:
@@ -236,15 +218,24 @@ def size_window(n, m, percent: int):
     return (n * 100 >= m * percent) & (m * 100 >= n * percent)
 
 
+def enough_left(n, at, m, p_at, percent: int):
+    """Whether two sets of n and m shingles that meet in a region can link if it
+    is the first they share: they then have no common shingle before their
+    places at and p_at in the global order. A pair that links passes in the
+    first region it shares, so the others need not bring it up."""
+    return F.least(n - at, m - p_at) * (100 + percent) >= (n + m) * percent
+
+
 def point_components(docs: DataFrame, known: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame | None:
     """(point, component) of the points that link with another; None if no two
     points share a region."""
     spark = docs.sparkSession
-    cells = known.where("n > 0").select(F.explode("prefix").alias("cell"), "point", "n").repartition("cell")
+    cells = known.where("n > 0").select(F.posexplode("prefix").alias("at", "cell"), "point", "n").repartition("cell")
     lead = cells.groupBy("cell").agg(F.min("point").alias("pivot"), F.max("point").alias("other")).where("pivot != other").select("cell", "pivot")
-    regions = materialize(cells.join(lead, "cell").groupBy("cell", "point", "n", "pivot").agg(F.lit(1).alias("_one")).drop("_one"), "regions")
-    pivots = regions.where("point = pivot").select("cell", F.col("n").alias("pivot_n"))
-    first = (regions.join(pivots, "cell").where((F.col("point") != F.col("pivot")) & size_window(F.col("n"), F.col("pivot_n"), percent))
+    regions = materialize(cells.join(lead, "cell").groupBy("cell", "point", "n", "at", "pivot").agg(F.lit(1).alias("_one")).drop("_one"), "regions")
+    pivots = regions.where("point = pivot").select("cell", F.col("n").alias("pivot_n"), F.col("at").alias("pivot_at"))
+    first = (regions.join(pivots, "cell").where((F.col("point") != F.col("pivot")) & size_window(F.col("n"), F.col("pivot_n"), percent)
+                                                & enough_left(F.col("n"), F.col("at"), F.col("pivot_n"), F.col("pivot_at"), percent))
              .select(F.col("pivot").alias("a"), F.col("point").alias("b")).distinct())
 
     parities = materialize(known.join(regions.select(F.col("point").alias("_p")).distinct(), known["point"] == F.col("_p"), "left_semi")
@@ -269,7 +260,7 @@ def point_components(docs: DataFrame, known: DataFrame, id_col: str, text_col: s
         live = materialize(named.join(open_cells, "cell"), "open-regions")
         if not live.limit(1).count():
             return comp
-        regions = live.select("cell", "point", "n", "pivot")  # the others are done
+        regions = live.select("cell", "point", "n", "at", "pivot")  # the others are done
         away = checked.select(F.col("a").alias("pivot"), F.col("b").alias("point"), (1 - F.col("common") / F.col("together")).alias("away"))
         live = live.join(away, ["pivot", "point"], "left").join(signs, "point")
         chance = F.lit(float(goal)) / F.col("members")
@@ -278,13 +269,14 @@ def point_components(docs: DataFrame, known: DataFrame, id_col: str, text_col: s
         # sizes within the window differ by one class at most
         size_class = F.floor(F.log("n") / np.log(100 / percent))
         more = live.where("point != pivot").where((draw < chance) | (F.col("members") <= goal)).select(
-            "cell", F.explode(F.array(size_class - 1, size_class, size_class + 1)).alias("size_class"), F.col("point").alias("p"), F.col("n").alias("p_n"),
+            "cell", F.explode(F.array(size_class - 1, size_class, size_class + 1)).alias("size_class"), F.col("point").alias("p"), F.col("n").alias("p_n"), F.col("at").alias("p_at"),
             F.col("component").alias("p_component"), F.col("away").alias("p_away"), *[F.col(c).alias("p_" + c) for c in SIGNS])
         window = F.coalesce(F.abs(F.col("away") - F.col("p_away")) <= near + 1e-9, F.lit(True))
         both = F.col("n") + F.col("p_n")
         differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col("p_" + c))) for c in SIGNS), F.lit(0))
         pairs = (live.where("point != pivot").withColumn("size_class", size_class).join(more, ["cell", "size_class"])
                  .where((F.col("component") != F.col("p_component")) & size_window(F.col("n"), F.col("p_n"), percent) & window
+                        & enough_left(F.col("n"), F.col("at"), F.col("p_n"), F.col("p_at"), percent)
                         & (differ <= both - 2 * F.ceil(both * percent / (100 + percent))))
                  .select(F.least("point", "p").alias("a"), F.greatest("point", "p").alias("b")).distinct())
         more_pairs = materialize(possible(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"), parities, percent), "pairs")
@@ -338,15 +330,16 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", te
     """The row of smallest id of each component, one of them if it is repeated,
     and all rows with an empty set."""
     known, small = grouped(docs, percent, id_col, text_col)
-    key, copies = fresh(docs, "_kept_row"), fresh(docs, "_copies")
-    first = small.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias("row"))
+    key, row, flag = (fresh(docs, x) for x in ("_known_row", "_row", "_flag"))
+    first = small.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias("row"), F.lit(True).alias("kept"))
     counted = known.where("n > 0").groupBy("row").agg(F.count(F.lit(1)).alias("copies"))
-    empty = known.where("n = 0").select("row", F.lit(1).cast("long").alias("copies")).distinct()
-    kept = materialize(first.join(counted, "row").unionAll(empty).select(F.col("row").alias(key), F.col("copies").alias(copies)), "kept-rows")
-    row = fresh(docs, "_row")
-    held = docs.withColumn(row, row_key(docs, id_col, text_col))
-    once = held.join(kept.where(F.col(copies) == 1), held[row] == kept[key], "left_semi")
-    repeated = kept.where(F.col(copies) > 1)
+    # all other rows stay, and stay where they are
+    told = counted.join(first, "row", "left").where("kept IS NULL OR copies > 1").select(F.col("row").alias(key), F.col("kept").alias("kept"))
+    told = materialize(told, "told-rows")
+    held = flag_ids(docs.withColumn(row, row_key(docs, id_col, text_col)), row, told.select(key), flag)
+    rest = held.where(flag).join(told.hint("merge"), F.col(row) == F.col(key), "left_anti")
+    once = held.where(~F.col(flag)).unionAll(rest)
+    repeated = told.where("kept").select(key)
     if repeated.limit(1).count():
-        once = once.unionAll(held.join(repeated, held[row] == repeated[key], "left_semi").dropDuplicates([row]))
-    return once.drop(row)
+        once = once.unionAll(held.where(flag).join(repeated.hint("merge"), F.col(row) == F.col(key), "left_semi").dropDuplicates([row]))
+    return once.drop(row, flag)
