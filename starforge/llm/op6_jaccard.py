@@ -231,11 +231,14 @@ def point_components(docs: DataFrame, known: DataFrame, id_col: str, text_col: s
     points share a region."""
     spark = docs.sparkSession
     cells = known.where("n > 0").select(F.posexplode("prefix").alias("at", "cell"), "point", "n").repartition("cell")
-    lead = cells.groupBy("cell").agg(F.min("point").alias("pivot"), F.max("point").alias("other")).where("pivot != other").select("cell", "pivot")
-    regions = materialize(cells.join(lead, "cell").groupBy("cell", "point", "n", "at", "pivot").agg(F.lit(1).alias("_one")).drop("_one"), "regions")
-    pivots = regions.where("point = pivot").select("cell", F.col("n").alias("pivot_n"), F.col("at").alias("pivot_at"))
-    first = (regions.join(pivots, "cell").where((F.col("point") != F.col("pivot")) & size_window(F.col("n"), F.col("pivot_n"), percent)
-                                                & enough_left(F.col("n"), F.col("at"), F.col("pivot_n"), F.col("pivot_at"), percent))
+    # the aggregate reads the columns that the join reads, so both read one shuffle
+    lead = (cells.groupBy("cell").agg(F.min("point").alias("pivot"), F.min_by("n", "point").alias("pivot_n"), F.min_by("at", "point").alias("pivot_at"), F.max("point").alias("other"))
+            .where("pivot != other").drop("other"))
+    named = ["cell", "point", "n", "at", "pivot", "pivot_n", "pivot_at"]
+    met = materialize(cells.join(lead, "cell").groupBy(*named).agg(F.lit(1).alias("_one")).drop("_one"), "regions")
+    regions = met.select("cell", "point", "n", "at", "pivot")
+    first = (met.where((F.col("point") != F.col("pivot")) & size_window(F.col("n"), F.col("pivot_n"), percent)
+                       & enough_left(F.col("n"), F.col("at"), F.col("pivot_n"), F.col("pivot_at"), percent))
              .select(F.col("pivot").alias("a"), F.col("point").alias("b")).distinct())
 
     parities = materialize(known.join(regions.select(F.col("point").alias("_p")).distinct(), known["point"] == F.col("_p"), "left_semi")
