@@ -8,11 +8,13 @@ alone, so a window's alignment depends on its ids alone: per chunk a memo holds
 one alignment for each distinct tuple of ids. Windows are hashed, grouped and
 compared id by id as arrays; only a memo entry is made in Python code.
 
-Corpus counts: tasks write one row per chunk of about ``CHUNK_CHARS`` code
-points, holding its distinct windows, their distinct linked pairs with counts,
-and each document's windows by number. Only (chunk, pair, count) rows are
-summed up and joined back, so no link is shipped on its own, and every chunk
-meets its own pairs' corpus counts again in one cogroup.
+Corpus counts: tasks write the distinct linked pairs of each chunk of about
+``CHUNK_CHARS`` code points with counts, and each document's distinct pairs by
+place among them with counts. Only (chunk, pair, count) rows are summed up and
+joined back, so no link is shipped on its own, and every chunk meets its own
+pairs' corpus counts again in one cogroup. A chunk's documents are written in
+rows of about ``PIECE`` distinct pairs, as plain bytes and in small row groups,
+so no reader or sort holds whole chunks as nested columns.
 
 Defined results: null and empty texts, and texts whose tokens' bytes are not a
 space and the text (a literal U+2581, say), have no tokens: all numbers are 0
@@ -45,6 +47,10 @@ from .words import _BACK, _BASE, _powers, mix
 
 #: Code points of a chunk; a longer text makes a longer chunk.
 CHUNK_CHARS = 2_000_000
+#: Distinct pairs of documents in a row of a chunk; a document is not divided.
+PIECE = 16_384
+#: Parquet's row groups of chunks: a reader decodes one as a whole.
+ROW_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "8"}
 #: A pair of ids as one number: A id << PAIR_BITS | B id.
 PAIR_BITS = 20
 SPACE = "\N{LOWER ONE EIGHTH BLOCK}"
@@ -225,23 +231,43 @@ def sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 LONGS, INTS = pa.list_(pa.int64()), pa.list_(pa.int32())
 CHUNK = pa.schema([("chunk", pa.int64()), ("ids", LONGS), ("n_a", LONGS), ("n_b", LONGS), ("shown", pa.list_(pa.string())), ("n_windows", LONGS),
-                   ("windows", INTS), ("n_pairs", INTS), ("pairs", INTS), ("pair", LONGS), ("pair_n", LONGS)])
+                   ("n_groups", LONGS), ("n_pairs", INTS), ("pairs", pa.binary()), ("times", pa.binary()), ("pair", LONGS), ("pair_n", LONGS)])
+
+
+def doc_pairs(w: Windows, index: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each document the links and the distinct pairs; of these, in order of
+    the documents, the place among the chunk's ``n`` pairs and the links.
+    ``index``: the place of each of the memo's pairs."""
+    size = w.n_pairs[w.number]
+    links = sums(size, w.per_doc)
+    key = index[parts((np.cumsum(w.n_pairs) - w.n_pairs)[w.number], size)]
+    key += np.repeat(np.arange(len(links)) * n, links)
+    key, times = np.unique(key, return_counts=True)
+    doc, place = np.divmod(key, max(n, 1))
+    return links, np.bincount(doc, minlength=len(links)), place, times
 
 
 def chunk_row(al: Aligner, chunk: int, keys: list, docs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    """One row for the documents of a chunk, given their ids by A and B."""
+    """The rows for the documents of a chunk, given their ids by A and B; the
+    first has the chunk's pairs."""
     w = windows_of(al, docs)
     pair, back = np.unique(w.pairs, return_inverse=True)
-    count = np.bincount(w.number, minlength=len(w.shown))
-    pair_n = np.bincount(back, weights=np.repeat(count, w.n_pairs), minlength=len(pair)).astype(np.int64)
+    links, n_pairs, place, times = doc_pairs(w, back, len(pair))
+    pair_n = np.bincount(place, weights=times, minlength=len(pair)).astype(np.int64)
     shown = [hashlib.sha256(g.encode()).hexdigest() if n else "" for g, n in zip(shown_groups(w).to_pylist(), w.per_doc, strict=True)]
-    row = [chunk, keys, [len(a) for a, _ in docs], [len(b) for _, b in docs], shown, w.per_doc, w.number, w.n_pairs, back, pair, pair_n]
-    return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) if k < 5 else pa.array([v.astype(f.type.value_type.to_pandas_dtype())], type=f.type)
-                                       for k, (v, f) in enumerate(zip(row, CHUNK, strict=True))], schema=CHUNK)
+    end = np.cumsum(n_pairs)
+    cut = np.flatnonzero(np.diff((end - n_pairs) // PIECE)) + 1
+    at, cut = np.concatenate([[0], end])[np.concatenate([[0], cut, [len(docs)]])], np.concatenate([[0], cut, [len(docs)]])
+    first = np.append(0, np.full(len(cut) - 1, len(pair)))
+    by_doc = [keys, [len(a) for a, _ in docs], [len(b) for _, b in docs], shown, w.per_doc, links, n_pairs]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(cut) - 1, chunk), pa.int64()), *(joined(pa.array(v, type=CHUNK.field(k + 1).type.value_type), cut) for k, v in enumerate(by_doc)),
+         *(pa.array([v[i:j].astype(np.int32).tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary()) for v in (place, times)),
+         *(joined(pa.array(v, pa.int64()), first) for v in (pair, pair_n))], schema=CHUNK)
 
 
 def chunks(df: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str) -> DataFrame:
-    """The documents, tokenised and aligned, one row per chunk."""
+    """The documents, tokenised and aligned, in rows of ``CHUNK``."""
     small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,8 +285,8 @@ def chunks(df: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str)
             yield chunk_row(al, made, keys, docs)
 
     return df.select(df[id_col], df[text_col]).mapInArrow(
-        run, "chunk long, ids array<long>, n_a array<long>, n_b array<long>, shown array<string>, n_windows array<long>, windows array<int>, "
-             "n_pairs array<int>, pairs array<int>, pair array<long>, pair_n array<long>")
+        run, "chunk long, ids array<long>, n_a array<long>, n_b array<long>, shown array<string>, n_windows array<long>, n_groups array<long>, "
+             "n_pairs array<int>, pairs binary, times binary, pair array<long>, pair_n array<long>")
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:
@@ -274,23 +300,22 @@ def pair_counts(rows: DataFrame) -> DataFrame:
 
 def align(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
-    made = materialize(chunks(df, path_a, path_b, id_col, text_col), "aligned-chunks")
+    made = materialize(chunks(df, path_a, path_b, id_col, text_col), "aligned-chunks", ROW_GROUPS)
     rows = (made.select(F.col("chunk").alias("of"), F.posexplode(F.arrays_zip("pair", "pair_n")).alias("at", "p"))
             .select("of", "at", F.col("p.pair").alias("pair"), F.col("p.pair_n").alias("n")))
     counted = materialize(pair_counts(rows), "aligned-pairs")
     told = rows.join(counted, "pair").select("of", "at", "total", "top")
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        c = {k: left[k].combine_chunks().values for k in left.column_names if k != "chunk"}
-        num = {k: v.to_numpy(zero_copy_only=False) for k, v in c.items() if k not in ("ids", "shown")}
+        c = {k: left[k].combine_chunks().flatten() for k in ("ids", "n_a", "n_b", "n_groups", "n_pairs", "shown")}
+        pairs, times = (np.frombuffer(b"".join(left[k].to_pylist()), np.int32) for k in ("pairs", "times"))
         place = np.argsort(right["at"].to_numpy())
         total, top = (right[k].to_numpy()[place].astype(np.int64) for k in ("total", "top"))
-        of_window = {"n_groups": num["n_pairs"].astype(np.int64), "n_best": sums(top[num["pairs"]], num["n_pairs"]), "count_sum": sums(total[num["pairs"]], num["n_pairs"])}
-        of_doc = {k: pa.array(sums(v[num["windows"]], num["n_windows"]), pa.int64()) for k, v in of_window.items()}
-        return pa.table({"id": c["ids"], "n_a": c["n_a"], "n_b": c["n_b"], "n_groups": of_doc["n_groups"], "n_links": of_doc["n_groups"], "n_best": of_doc["n_best"],
-                         "count_sum": of_doc["count_sum"], "groups_sha256": c["shown"]})
+        n_best, count_sum = (pa.array(sums(v[pairs] * times, c["n_pairs"].to_numpy()), pa.int64()) for v in (top, total))
+        return pa.table({"id": c["ids"], "n_a": c["n_a"], "n_b": c["n_b"], "n_groups": c["n_groups"], "n_links": c["n_groups"], "n_best": n_best,
+                         "count_sum": count_sum, "groups_sha256": c["shown"]})
 
-    out = made.drop("pair", "pair_n").groupBy("chunk").cogroup(told.groupBy("of")).applyInArrow(
+    out = made.drop("n_windows", "pair", "pair_n").groupBy("chunk").cogroup(told.groupBy("of")).applyInArrow(
         finish, "id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
     return out.withColumnRenamed("id", id_col)
 

@@ -87,3 +87,56 @@ def test_chunks_and_hashes_do_not_matter(monkeypatch):
     monkeypatch.setattr(op, "run_hash", lambda ids, begin, size: size.astype(np.uint64))  # windows of one length collide
     assert op.shown_groups(op.windows_of(al, docs)).to_pylist() == one
     assert op.chunk_row(al, 3, [7], [al.encode("")]).column("n_windows").to_pylist() == [[0]]
+
+
+def test_chunks_are_written_in_small_rows(monkeypatch):
+    import numpy as np
+
+    from starforge.llm import op12_alignment as op
+
+    al, given = op.aligner(A, B), [*texts()[300:500], None, "", "the token " * 30_000]
+    want, docs = list(brute(given)), [al.encode(t) for t in given]
+    links = [collections.Counter((x[-1], y[-1]) for x, y in w[7]) for w in want]
+    for piece in (1, 500, op.PIECE):
+        monkeypatch.setattr(op, "PIECE", piece)
+        batch = op.chunk_row(al, 5, list(range(len(given))), docs)
+        c = batch.to_pydict()
+        held = [len(p) // 4 for p in c["pairs"]]
+        assert set(c["chunk"]) == {5} and (piece > 500 or batch.num_rows > 5)
+        assert all(n - per[-1] <= piece for n, per in zip(held, c["n_pairs"]))  # a row ends with the document that fills it
+        assert sum(c["ids"], []) == list(range(len(given))) and sum(c["n_groups"], []) == [w[2] for w in want]
+        pair, pair_n = sum(c["pair"], []), sum(c["pair_n"], [])
+        names = [(p >> op.PAIR_BITS, p & (1 << op.PAIR_BITS) - 1) for p in pair]
+        assert dict(zip(names, pair_n)) == sum(links, collections.Counter())
+        place, times = (np.frombuffer(b"".join(c[k]), np.int32).tolist() for k in ("pairs", "times"))
+        at = 0
+        for n, own in zip(sum(c["n_pairs"], []), links):
+            assert {names[p]: t for p, t in zip(place[at:at + n], times[at:at + n])} == own
+            at += n
+        assert at == len(place)
+
+
+def test_chunk_rows_do_not_grow_with_the_chunk():
+    from starforge.llm import op12_alignment as op
+
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdeghinorst") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    given = [" ".join(rng.choice(words) for _ in range(500)) for _ in range(200)]
+    al = op.aligner(A, B)
+    batch = op.chunk_row(al, 0, list(range(200)), [al.encode(t) for t in given])
+    assert batch.num_rows > 3 and max(batch.slice(i, 1).nbytes for i in range(batch.num_rows)) < 250_000
+    text = op.chunk_row(al, 0, [1], [al.encode(" ".join(given))])  # a repeated pair takes no more room
+    assert text.nbytes < len(" ".join(given)) / 4
+
+
+def test_row_groups_of_chunks_are_small(spark):
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from starforge.llm import op12_alignment as op
+    from starforge.session import materialize
+
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(8000)), lambda k: F.sha2(F.concat_ws(".", "id", k), 256)), "")
+    made = materialize(spark.range(0, 96, 1, 1).select("id", text.alias("x")), "row-groups", op.ROW_GROUPS)
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in made.inputFiles()]
+    assert made.count() == 96 and max(m.row_group(i).total_byte_size for m in files for i in range(m.num_row_groups)) < 20e6
